@@ -15,9 +15,16 @@ from pyspark.sql import functions as F
 from redeemflow import functions as RF
 from redeemflow.operators.receipts import day_gaps, first_last_flags, receipt_day_stats
 
-has_date = F.col("date").isNotNull()
-has_coupon = F.col("coupon_id").isNotNull()
-has_received = F.col("date_received").isNotNull()
+def has_date() -> F.Column:
+    return F.col("date").isNotNull()
+
+
+def has_coupon() -> F.Column:
+    return F.col("coupon_id").isNotNull()
+
+
+def has_received() -> F.Column:
+    return F.col("date_received").isNotNull()
 
 
 def _count_if(cond) -> F.Column:
@@ -81,7 +88,7 @@ def coupon_features(dataset: DataFrame, anchor: str) -> DataFrame:
         RF.discount_jian("discount_rate").alias("discount_jian"),
         RF.is_manjian("discount_rate").alias("is_man_jian"),
     )
-    popularity = (dataset.where(has_coupon).groupBy("coupon_id")
+    popularity = (dataset.where(has_coupon()).groupBy("coupon_id")
                   .agg(F.count(F.lit(1)).alias("coupon_count")))
     return rows.join(popularity, "coupon_id", "left").select(*rows.columns, "coupon_count")
 
@@ -89,11 +96,11 @@ def coupon_features(dataset: DataFrame, anchor: str) -> DataFrame:
 # ----------------------------------------------------------------- A-3
 def merchant_features(features: DataFrame) -> DataFrame:
     """A-3: per merchant of the feature window."""
-    used = has_date & has_coupon
+    used = has_date() & has_coupon()
     g = features.groupBy("merchant_id").agg(
-        _count_if(has_date).alias("total_sales"),
+        _count_if(has_date()).alias("total_sales"),
         _count_if(used).alias("sales_use_coupon"),
-        _count_if(has_coupon).alias("total_coupon"),
+        _count_if(has_coupon()).alias("total_coupon"),
         F.min(F.when(used, F.col("distance"))).alias("merchant_min_distance"),
         F.max(F.when(used, F.col("distance"))).alias("merchant_max_distance"),
         F.avg(F.when(used, F.col("distance"))).alias("merchant_mean_distance"),
@@ -116,7 +123,7 @@ def merchant_features(features: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------- A-4
 def user_gap_features(features: DataFrame) -> DataFrame:
     """Part of A-4: days from receipt to use, per user (both dates present)."""
-    gap = F.when(has_date & has_received, F.datediff("date", "date_received"))
+    gap = F.when(has_date() & has_received(), F.datediff("date", "date_received"))
     return features.groupBy("user_id").agg(
         F.avg(gap).alias("avg_user_date_datereceived_gap"),
         F.min(gap).alias("min_user_date_datereceived_gap"),
@@ -126,17 +133,17 @@ def user_gap_features(features: DataFrame) -> DataFrame:
 
 def user_features(features: DataFrame) -> DataFrame:
     """A-4: per user of the feature window."""
-    used = has_date & has_coupon
-    gap = F.when(has_date & has_received, F.datediff("date", "date_received"))
+    used = has_date() & has_coupon()
+    gap = F.when(has_date() & has_received(), F.datediff("date", "date_received"))
     g = features.groupBy("user_id").agg(
-        F.count_distinct(F.when(has_date, F.col("merchant_id"))).alias("count_merchant"),
+        F.count_distinct(F.when(has_date(), F.col("merchant_id"))).alias("count_merchant"),
         F.min(F.when(used, F.col("distance"))).alias("user_min_distance"),
         F.max(F.when(used, F.col("distance"))).alias("user_max_distance"),
         F.avg(F.when(used, F.col("distance"))).alias("user_mean_distance"),
         F.median(F.when(used, F.col("distance"))).alias("user_median_distance"),
         _count_if(used).alias("buy_use_coupon"),
-        _count_if(has_date).alias("buy_total"),
-        _count_if(has_coupon).alias("coupon_received"),
+        _count_if(has_date()).alias("buy_total"),
+        _count_if(has_coupon()).alias("coupon_received"),
         F.avg(gap).alias("avg_user_date_datereceived_gap"),
         F.min(gap).alias("min_user_date_datereceived_gap"),
         F.max(gap).alias("max_user_date_datereceived_gap"),
@@ -158,11 +165,11 @@ def user_merchant_features(features: DataFrame) -> DataFrame:
     """A-5: per (user, merchant) of the feature window.  Here buy_total and
     received stay null when absent (the dataset assembly fills them)."""
     g = features.groupBy("user_id", "merchant_id").agg(
-        _count_if(has_date).alias("bt"),
-        _count_if(has_coupon).alias("rc"),
-        _count_if(has_date & has_received).alias("user_merchant_buy_use_coupon"),
+        _count_if(has_date()).alias("bt"),
+        _count_if(has_coupon()).alias("rc"),
+        _count_if(has_date() & has_received()).alias("user_merchant_buy_use_coupon"),
         F.count(F.lit(1)).alias("user_merchant_any"),
-        _count_if(has_date & ~has_coupon).alias("user_merchant_buy_common"),
+        _count_if(has_date() & ~has_coupon()).alias("user_merchant_buy_common"),
     )
     bt, rc = _nz(F.col("bt")), _nz(F.col("rc"))
     return g.select(

@@ -18,9 +18,17 @@ from redeemflow import functions as RF
 from redeemflow.operators.prep import WEEKDAY0_DOMAIN
 from redeemflow.operators.receipts import receipt_day_stats
 
-consumed = F.col("date").isNotNull()
-not_consumed = F.col("date").isNull()
-redeemed15 = F.col("label") == 1
+
+def consumed() -> F.Column:
+    return F.col("date").isNotNull()
+
+
+def not_consumed() -> F.Column:
+    return F.col("date").isNull()
+
+
+def redeemed15() -> F.Column:
+    return F.col("label") == 1
 
 
 def _count_if(cond) -> F.Column:
@@ -76,10 +84,10 @@ def hist_user(label: DataFrame, history: DataFrame) -> DataFrame:
     p = RF.prefix("history_field", ["user_id"])
     agg = history.groupBy("user_id").agg(
         F.count(F.lit(1)).alias(p + "receive_cnt"),
-        _count_if(not_consumed).alias(p + "receive_not_consume_cnt"),
-        _count_if(consumed).alias(p + "receive_and_consume_cnt"),
+        _count_if(not_consumed()).alias(p + "receive_not_consume_cnt"),
+        _count_if(consumed()).alias(p + "receive_and_consume_cnt"),
         F.count_distinct("merchant_id").alias(p + "receive_differ_Merchant_cnt"),
-        F.count_distinct(F.when(redeemed15, F.col("merchant_id")))
+        F.count_distinct(F.when(redeemed15(), F.col("merchant_id")))
          .alias(p + "receive_and_consume_differ_Merchant_cnt_15"),
     )
     out = _spine_join(label, ["user_id"], agg, {
@@ -99,8 +107,8 @@ def hist_merchant(label: DataFrame, history: DataFrame) -> DataFrame:
     agg = history.groupBy("merchant_id").agg(
         F.count(F.lit(1)).alias(p + "received_cnt"),
         F.count_distinct("user_id").alias(p + "received_differ_User_cnt"),
-        _count_if(consumed).alias(p + "received_and_consumed_cnt"),
-        _count_if(not_consumed).alias(p + "received_not_consumed_cnt"),
+        _count_if(consumed()).alias(p + "received_and_consumed_cnt"),
+        _count_if(not_consumed()).alias(p + "received_not_consumed_cnt"),
         F.count_distinct("coupon_id").alias(p + "differ_Coupon_cnt"),
     )
     out = _spine_join(label, ["merchant_id"], agg, {
@@ -121,8 +129,8 @@ def hist_coupon(label: DataFrame, history: DataFrame) -> DataFrame:
     p = RF.prefix("history_field", ["coupon_id"])
     agg = history.groupBy("coupon_id").agg(
         F.count(F.lit(1)).alias(p + "received_cnt"),
-        _count_if(redeemed15).alias(p + "received_and_consumed_cnt_15"),
-        F.avg(F.when(redeemed15, F.datediff("date", "date_received")).cast("double"))
+        _count_if(redeemed15()).alias(p + "received_and_consumed_cnt_15"),
+        F.avg(F.when(redeemed15(), F.datediff("date", "date_received")).cast("double"))
          .alias(p + "consumed_mean_time_gap_15"),
         F.median(F.when(F.col("is_manjian") == 1, F.col("min_cost_of_manjian")))
          .alias(p + "median_of_min_cost_of_manjian"),
@@ -143,7 +151,7 @@ def hist_user_coupon(label: DataFrame, history: DataFrame) -> DataFrame:
     p = RF.prefix("history_field", keys)
     agg = history.groupBy(*keys).agg(
         F.count(F.lit(1)).alias(p + "receive_cnt"),
-        _count_if(consumed).alias(p + "receive_and_consume_cnt"),
+        _count_if(consumed()).alias(p + "receive_and_consume_cnt"),
     )
     out = _spine_join(label, keys, agg, {p + "receive_cnt": 0, p + "receive_and_consume_cnt": 0})
     return out.select(*keys, p + "receive_cnt", p + "receive_and_consume_cnt",
@@ -158,13 +166,13 @@ def hist_user_ext(label: DataFrame, history: DataFrame) -> DataFrame:
     p = RF.prefix("history_field", ["user_id"])
     agg = history.groupBy("user_id").agg(
         F.count(F.lit(1)).alias(p + "receive_cnt"),
-        _count_if(not_consumed).alias(p + "receive_not_consume_cnt"),
-        _count_if(consumed).alias(p + "receive_and_consume_cnt"),
-        F.avg(F.when(consumed, F.col("discount_rate")))
+        _count_if(not_consumed()).alias(p + "receive_not_consume_cnt"),
+        _count_if(consumed()).alias(p + "receive_and_consume_cnt"),
+        F.avg(F.when(consumed(), F.col("discount_rate")))
          .alias(p + "receive_and_consume_mean_discount_rate"),
-        F.avg(F.when(consumed & (F.col("distance") != -1), F.col("distance")).cast("double"))
+        F.avg(F.when(consumed() & (F.col("distance") != -1), F.col("distance")).cast("double"))
          .alias(p + "receive_and_consume_mean_distance"),
-        F.count_distinct(F.when(consumed, F.col("merchant_id")))
+        F.count_distinct(F.when(consumed(), F.col("merchant_id")))
          .alias(p + "receive_differ_Merchant_and_consume_cnt"),
         F.count_distinct("merchant_id").alias(p + "receive_differ_Merchant_cnt"),
     )

@@ -96,34 +96,35 @@ def exact_auc(df: DataFrame, score_col: str, label_col: str, buckets: int = 64)
 
     AUC = sum over score values s of pos(s) * (neg_below(s) + neg(s) / 2)
           / (P * N).
-    Counts are first aggregated per distinct score.  The running count of
-    negatives below each score is a prefix sum computed in quantile buckets
-    of the score: each bucket is sorted in its own task, and bucket offsets
-    come from a table with one row per bucket -- nothing is gathered into a
-    single task or the driver beyond ``buckets`` boundaries.
+    Counts are first aggregated per distinct score (partial aggregation).
+    The running count of negatives below each score is a prefix sum done
+    in quantile buckets of the score: each bucket is sorted in its own task
+    and starts from the total of the buckets below it.  Only the bucket
+    boundaries and the per-bucket totals (at most ``buckets`` numbers each)
+    pass through the driver.
     """
     g = (df.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
            .groupBy(F.col(score_col).cast("double").alias("s"))
            .agg(F.count(F.when(F.col(label_col) == 1, 1)).alias("pos"),
                 F.count(F.when(F.col(label_col) != 1, 1)).alias("neg")))
     probs = [i / buckets for i in range(1, buckets)]
-    # ``buckets - 1`` approximate quantile boundaries travel to the driver
-    # and back as a literal; bucket = number of boundaries below the score.
-    bounds = g.select(F.percentile_approx("s", probs, 10000)).first()[0] or []
-    lit_bounds = F.array(*[F.lit(float(x)) for x in bounds]) if bounds else F.array().cast("array<double>")
-    b = g.select("*", F.aggregate(lit_bounds, F.lit(0),
-                                  lambda acc, x: acc + F.when(x < F.col("s"), 1).otherwise(0))
-                 .alias("bucket"))
-    per_bucket = b.groupBy("bucket").agg(F.sum("neg").alias("bneg"))
-    offsets = per_bucket.select(
-        "bucket",
-        F.coalesce(F.sum("bneg").over(Window.orderBy("bucket")
-                                      .rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("offset"))
+    bounds = sorted(set(g.select(F.percentile_approx("s", probs, 10000)).first()[0] or []))
+    # bucket i holds scores in (bounds[i-1], bounds[i]]; a CASE chain keeps
+    # the expression inside whole-stage codegen.
+    bucket = F.lit(len(bounds))
+    for i in reversed(range(len(bounds))):
+        bucket = F.when(F.col("s") <= F.lit(float(bounds[i])), F.lit(i)).otherwise(bucket)
+    b = g.select("*", bucket.alias("bucket"))
+    totals = dict(b.groupBy("bucket").agg(F.sum("neg").alias("n")).collect())
+    offsets, run = [], 0
+    for i in range(len(bounds) + 1):
+        offsets.append(run)
+        run += int(totals.get(i, 0) or 0)
+    offset = F.element_at(F.array(*[F.lit(o) for o in offsets]).cast("array<long>"),
+                          F.col("bucket") + 1)
     within = F.coalesce(F.sum("neg").over(Window.partitionBy("bucket").orderBy("s")
                                           .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = b.join(offsets, "bucket").select(
-        "pos", "neg", (F.col("offset") + within).alias("neg_below"))
+    ranked = b.select("pos", "neg", (offset + within).alias("neg_below"))
     return ranked.agg(
         F.try_divide(F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)),
                      F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"),
