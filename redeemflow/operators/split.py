@@ -30,9 +30,15 @@ def closed(df: DataFrame, col: str, first: str, last: str) -> DataFrame:
 
 def feature_window(df: DataFrame, first: str, last: str) -> DataFrame:
     """F2 feature window: consumed in [first, last], or never consumed and
-    received in [first, last]."""
-    return df.where(F.coalesce(F.col("date"), F.col("date_received"))
-                    .between(lit_date(first), lit_date(last)))
+    received in [first, last].
+
+    The exact predicate is on ``coalesce(date, date_received)``, which a
+    Parquet scan cannot use; the OR of the two plain ranges is implied by it
+    (a superset), so adding it changes no result but lets the scan skip row
+    groups by their min/max statistics."""
+    lo, hi = lit_date(first), lit_date(last)
+    prefilter = F.col("date").between(lo, hi) | F.col("date_received").between(lo, hi)
+    return df.where(prefilter & F.coalesce(F.col("date"), F.col("date_received")).between(lo, hi))
 
 
 # Family B intervals (start, length in days); all 2016.

@@ -11,8 +11,13 @@ from pyspark.sql import SparkSession
 # Settings every job here relies on.  AQE re-plans joins from measured
 # shuffle sizes (runtime broadcast, skew-join splitting, partition
 # coalescing); the session time zone is pinned so date casts are stable.
+# Cluster-provided values win: only keys the session has not set are applied.
 BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    # No broadcast from plan-time estimates; AQE broadcasts a join side only
+    # after its shuffle has run and its measured size is below this bound.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -27,14 +32,21 @@ def build_session(master: str | None = None, app: str = "redeemflow",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    # the UI is a server; it must be off before the context starts
+    builder = builder.config("spark.ui.enabled", "false")
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
+    spark.sparkContext.setLogLevel("WARN")
+    given = spark.sparkContext.getConf()
     conf = dict(BASE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
     for k, v in conf.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("WARN")
+        if k == "spark.ui.enabled" or (given.contains(k) and k not in (extra or {})
+                                       and k != "spark.sql.shuffle.partitions"):
+            continue
+        spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
 

@@ -3,6 +3,8 @@ from redeemflow.sources.log import (  # noqa: F401
     ONLINE_SCHEMA,
     TEST_LOG_SCHEMA,
     coupon_log,
+    coupon_view,
+    materialize_log,
     offline_test,
     offline_train,
     read_log_csv,

@@ -13,6 +13,10 @@ Spark columns so every later operator works on DATE / LONG / INT.
 
 from __future__ import annotations
 
+import hashlib
+import os
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,9 +44,6 @@ ONLINE_SCHEMA = T.StructType([
     T.StructField("date", T.DateType()),
 ])
 
-_RAW_TEXT = T.StructType([T.StructField(f.name, T.StringType()) for f in LOG_SCHEMA.fields])
-
-
 def _typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
     cols = []
     for f in schema.fields:
@@ -108,10 +109,10 @@ def _d(days: Column) -> Column:
     return F.date_add(F.lit("2016-01-01").cast("date"), days.cast("int"))
 
 
-def coupon_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def coupon_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``coupon`` view: a coupon log derived from lineitem x orders.
 
-    Fixed mapping (must match the oracle SQL text in plans/oracle.py):
+    Fixed mapping (must match the oracle SQL text in plans/sql.py):
     user = o_custkey, merchant = l_suppkey % 25, coupon = l_partkey % 50
     (none when l_linenumber = 7), distance = int(l_quantity) % 11 (none
     when (l_orderkey + l_linenumber) % 9 = 0), receive day offset =
@@ -153,6 +154,67 @@ def coupon_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _fs_stamp(spark: SparkSession, path: str) -> str:
+    """Size and modification time of a file or folder (Hadoop FS, so it works
+    on any cluster file system)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    st = fs.getFileStatus(p)
+    return f"{fs.getContentSummary(p).getLength()}-{st.getModificationTime()}"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _rename(spark: SparkSession, src: str, dst: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    return s.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(s, d)
+
+
+def log_table_path(spark: SparkSession, sf_dir: str) -> str:
+    """Where the materialised log of ``sf_dir`` lives: under the shared
+    checkpoint folder, keyed by the input tables' sizes and mtimes."""
+    from redeemflow.session import ensure_checkpoint_dir
+
+    key = hashlib.sha1("|".join([
+        os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir,
+        _fs_stamp(spark, f"{sf_dir}/lineitem.parquet"),
+        _fs_stamp(spark, f"{sf_dir}/orders.parquet")]).encode()).hexdigest()[:16]
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/coupon_log-{key}"
+
+
+def materialize_log(spark: SparkSession, sf_dir: str) -> str:
+    """Ingest: write the log once as Parquet, globally ordered by receive
+    date, so every later job reads it with the date ranges of its splits
+    pushed into the scan (row-group min/max skipping).  The write goes to a
+    unique folder that is renamed into place, so a failed or concurrent
+    attempt never leaves a half-written table behind."""
+    final = log_table_path(spark, sf_dir)
+    if _exists(spark, f"{final}/_SUCCESS"):
+        return final
+    tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
+    (coupon_view(spark, sf_dir)
+        .repartitionByRange("date_received")
+        .sortWithinPartitions("date_received")
+        .write.mode("overwrite").parquet(tmp))
+    if not _rename(spark, tmp, final) and not _exists(spark, f"{final}/_SUCCESS"):
+        raise RuntimeError(f"could not publish {final}")
+    return final
+
+
+def coupon_log(spark: SparkSession, sf_dir: str, materialized: bool = True) -> DataFrame:
+    """The log every query reads.  By default the stored copy written by
+    ``materialize_log`` (same rows and schema as ``coupon_view``)."""
+    if not materialized:
+        return coupon_view(spark, sf_dir)
+    return spark.read.schema(LOG_SCHEMA).parquet(materialize_log(spark, sf_dir))
+
+
 # The offline train log is every row up to the end of June; the test log is
 # the July receipts, without ``date`` (the reference's test file has none).
 TEST_START = "2016-07-01"
