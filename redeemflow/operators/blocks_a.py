@@ -132,11 +132,15 @@ def user_gap_features(features: DataFrame) -> DataFrame:
 
 
 def user_features(features: DataFrame) -> DataFrame:
-    """A-4: per user of the feature window."""
+    """A-4: per user of the feature window.
+
+    The distinct-merchant count is its own aggregate (dedupe on (user,
+    merchant), then count) joined on ``user_id``: planned together with the
+    median, Spark would carry a percentile buffer for every (user, merchant)
+    pair of the distinct rewrite."""
     used = has_date() & has_coupon()
     gap = F.when(has_date() & has_received(), F.datediff("date", "date_received"))
     g = features.groupBy("user_id").agg(
-        F.count_distinct(F.when(has_date(), F.col("merchant_id"))).alias("count_merchant"),
         F.min(F.when(used, F.col("distance"))).alias("user_min_distance"),
         F.max(F.when(used, F.col("distance"))).alias("user_max_distance"),
         F.avg(F.when(used, F.col("distance"))).alias("user_mean_distance"),
@@ -148,8 +152,11 @@ def user_features(features: DataFrame) -> DataFrame:
         F.min(gap).alias("min_user_date_datereceived_gap"),
         F.max(gap).alias("max_user_date_datereceived_gap"),
     )
+    merchants = (features.where(has_date()).select("user_id", "merchant_id").distinct()
+                 .groupBy("user_id").agg(F.count(F.lit(1)).alias("count_merchant")))
+    g = g.join(merchants, "user_id", "left")
     return g.select(
-        "user_id", "count_merchant",
+        "user_id", F.coalesce(F.col("count_merchant"), F.lit(0)).alias("count_merchant"),
         "user_min_distance", "user_max_distance", "user_mean_distance", "user_median_distance",
         "buy_use_coupon", "buy_total", "coupon_received",
         "avg_user_date_datereceived_gap", "min_user_date_datereceived_gap",

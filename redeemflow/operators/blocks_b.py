@@ -35,14 +35,6 @@ def _count_if(cond) -> F.Column:
     return F.count(F.when(cond, F.lit(1)))
 
 
-def _spine_join(label: DataFrame, keys: list[str], agg: DataFrame, zero: dict) -> DataFrame:
-    spine = label.select(*keys).where(
-        F.lit(True) if not keys else F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
-    ).distinct()
-    out = spine.join(agg, keys, "left")
-    return out.select(*keys, *[F.coalesce(F.col(n), F.lit(v)).alias(n) for n, v in zero.items()])
-
-
 # ----------------------------------------------------------------- B-1, B-2
 def simple_features(label: DataFrame) -> DataFrame:
     """B-1: label rows plus receipt counts by user, (user, coupon),
@@ -79,115 +71,164 @@ def week_features(label: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- B-3 .. B-7
+# A history block = keys + one aggregate over the history interval +
+# a "finish" projection (zero fill, then rates).  Keeping the two apart
+# lets assembly join the raw aggregate straight onto a table that already
+# holds the label keys, without building a separate key spine.
+class HistBlock:
+    def __init__(self, keys, aggs, fill, rates, order):
+        self.keys = keys          # grouping keys
+        self.aggs = aggs          # () -> list of aliased aggregate columns
+        self.fill = fill          # column -> value for keys absent from history
+        self.rates = rates        # column -> (numerator, denominator), zero rule
+        self.order = order        # output feature columns in order
+
+    def aggregate(self, history: DataFrame) -> DataFrame:
+        return history.groupBy(*self.keys).agg(*self.aggs())
+
+    def finish_columns(self) -> list[F.Column]:
+        filled = {n: F.coalesce(F.col(n), F.lit(v)) for n, v in self.fill.items()}
+        out = []
+        for n in self.order:
+            if n in self.rates:
+                num, den = self.rates[n]
+                out.append(RF.rate_zero(filled[num], filled[den]).alias(n))
+            else:
+                out.append(filled[n].alias(n))
+        return out
+
+    def for_label(self, label: DataFrame, history: DataFrame) -> DataFrame:
+        """One row per distinct label-interval key."""
+        cond = None
+        for k in self.keys:
+            cond = F.col(k).isNotNull() if cond is None else cond & F.col(k).isNotNull()
+        spine = label.select(*self.keys).where(cond).distinct()
+        joined = spine.join(self.aggregate(history), self.keys, "left")
+        return joined.select(*self.keys, *self.finish_columns())
+
+
+def _user_block() -> HistBlock:
+    p = RF.prefix("history_field", ["user_id"])
+    return HistBlock(
+        ["user_id"],
+        lambda: [
+            F.count(F.lit(1)).alias(p + "receive_cnt"),
+            _count_if(not_consumed()).alias(p + "receive_not_consume_cnt"),
+            _count_if(consumed()).alias(p + "receive_and_consume_cnt"),
+            F.count_distinct("merchant_id").alias(p + "receive_differ_Merchant_cnt"),
+            F.count_distinct(F.when(redeemed15(), F.col("merchant_id")))
+             .alias(p + "receive_and_consume_differ_Merchant_cnt_15")],
+        {p + "receive_cnt": 0, p + "receive_not_consume_cnt": 0, p + "receive_and_consume_cnt": 0,
+         p + "receive_differ_Merchant_cnt": 0, p + "receive_and_consume_differ_Merchant_cnt_15": 0},
+        {p + "receive_and_consume_rate": (p + "receive_and_consume_cnt", p + "receive_cnt")},
+        [p + "receive_cnt", p + "receive_not_consume_cnt", p + "receive_and_consume_cnt",
+         p + "receive_and_consume_rate", p + "receive_differ_Merchant_cnt",
+         p + "receive_and_consume_differ_Merchant_cnt_15"])
+
+
+def _merchant_block() -> HistBlock:
+    p = RF.prefix("history_field", ["merchant_id"])
+    return HistBlock(
+        ["merchant_id"],
+        lambda: [
+            F.count(F.lit(1)).alias(p + "received_cnt"),
+            F.count_distinct("user_id").alias(p + "received_differ_User_cnt"),
+            _count_if(consumed()).alias(p + "received_and_consumed_cnt"),
+            _count_if(not_consumed()).alias(p + "received_not_consumed_cnt"),
+            F.count_distinct("coupon_id").alias(p + "differ_Coupon_cnt")],
+        {p + "received_cnt": 0, p + "received_differ_User_cnt": 0,
+         p + "received_and_consumed_cnt": 0, p + "received_not_consumed_cnt": 0,
+         p + "differ_Coupon_cnt": 0},
+        {p + "received_and_consumed_rate": (p + "received_and_consumed_cnt", p + "received_cnt")},
+        [p + "received_cnt", p + "received_differ_User_cnt", p + "received_and_consumed_cnt",
+         p + "received_and_consumed_rate", p + "received_not_consumed_cnt", p + "differ_Coupon_cnt"])
+
+
+def _coupon_block() -> HistBlock:
+    p = RF.prefix("history_field", ["coupon_id"])
+    return HistBlock(
+        ["coupon_id"],
+        lambda: [
+            F.count(F.lit(1)).alias(p + "received_cnt"),
+            _count_if(redeemed15()).alias(p + "received_and_consumed_cnt_15"),
+            F.avg(F.when(redeemed15(), F.datediff("date", "date_received")).cast("double"))
+             .alias(p + "consumed_mean_time_gap_15"),
+            F.median(F.when(F.col("is_manjian") == 1, F.col("min_cost_of_manjian")))
+             .alias(p + "median_of_min_cost_of_manjian")],
+        {p + "received_cnt": 0, p + "received_and_consumed_cnt_15": 0,
+         p + "consumed_mean_time_gap_15": -1.0, p + "median_of_min_cost_of_manjian": 0.0},
+        {p + "received_and_consumed_rate_15": (p + "received_and_consumed_cnt_15", p + "received_cnt")},
+        [p + "received_cnt", p + "received_and_consumed_cnt_15", p + "received_and_consumed_rate_15",
+         p + "consumed_mean_time_gap_15", p + "median_of_min_cost_of_manjian"])
+
+
+def _user_coupon_block() -> HistBlock:
+    keys = ["user_id", "coupon_id"]
+    p = RF.prefix("history_field", keys)
+    return HistBlock(
+        keys,
+        lambda: [F.count(F.lit(1)).alias(p + "receive_cnt"),
+                 _count_if(consumed()).alias(p + "receive_and_consume_cnt")],
+        {p + "receive_cnt": 0, p + "receive_and_consume_cnt": 0},
+        {p + "receive_and_consume_rate": (p + "receive_and_consume_cnt", p + "receive_cnt")},
+        [p + "receive_cnt", p + "receive_and_consume_cnt", p + "receive_and_consume_rate"])
+
+
+def _user_ext_block() -> HistBlock:
+    p = RF.prefix("history_field", ["user_id"])
+    return HistBlock(
+        ["user_id"],
+        lambda: [
+            F.count(F.lit(1)).alias(p + "receive_cnt"),
+            _count_if(not_consumed()).alias(p + "receive_not_consume_cnt"),
+            _count_if(consumed()).alias(p + "receive_and_consume_cnt"),
+            F.avg(F.when(consumed(), F.col("discount_rate")))
+             .alias(p + "receive_and_consume_mean_discount_rate"),
+            F.avg(F.when(consumed() & (F.col("distance") != -1), F.col("distance")).cast("double"))
+             .alias(p + "receive_and_consume_mean_distance"),
+            F.count_distinct(F.when(consumed(), F.col("merchant_id")))
+             .alias(p + "receive_differ_Merchant_and_consume_cnt"),
+            F.count_distinct("merchant_id").alias(p + "receive_differ_Merchant_cnt")],
+        {p + "receive_cnt": 0, p + "receive_not_consume_cnt": 0, p + "receive_and_consume_cnt": 0,
+         p + "receive_and_consume_mean_discount_rate": 0.0,
+         p + "receive_and_consume_mean_distance": 0.0,
+         p + "receive_differ_Merchant_and_consume_cnt": 0, p + "receive_differ_Merchant_cnt": 0},
+        {p + "receive_and_consume_rate": (p + "receive_and_consume_cnt", p + "receive_cnt"),
+         p + "receive_differ_Merchant_consume_rate": (p + "receive_differ_Merchant_and_consume_cnt",
+                                                      p + "receive_differ_Merchant_cnt")},
+        [p + "receive_cnt", p + "receive_not_consume_cnt", p + "receive_and_consume_cnt",
+         p + "receive_and_consume_rate", p + "receive_and_consume_mean_discount_rate",
+         p + "receive_and_consume_mean_distance", p + "receive_differ_Merchant_and_consume_cnt",
+         p + "receive_differ_Merchant_cnt", p + "receive_differ_Merchant_consume_rate"])
+
+
+USER, MERCHANT, COUPON, USER_COUPON, USER_EXT = (
+    _user_block, _merchant_block, _coupon_block, _user_coupon_block, _user_ext_block)
+
+
 def hist_user(label: DataFrame, history: DataFrame) -> DataFrame:
     """B-3: per label-interval user, history receipt behaviour."""
-    p = RF.prefix("history_field", ["user_id"])
-    agg = history.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias(p + "receive_cnt"),
-        _count_if(not_consumed()).alias(p + "receive_not_consume_cnt"),
-        _count_if(consumed()).alias(p + "receive_and_consume_cnt"),
-        F.count_distinct("merchant_id").alias(p + "receive_differ_Merchant_cnt"),
-        F.count_distinct(F.when(redeemed15(), F.col("merchant_id")))
-         .alias(p + "receive_and_consume_differ_Merchant_cnt_15"),
-    )
-    out = _spine_join(label, ["user_id"], agg, {
-        p + "receive_cnt": 0, p + "receive_not_consume_cnt": 0,
-        p + "receive_and_consume_cnt": 0, p + "receive_differ_Merchant_cnt": 0,
-        p + "receive_and_consume_differ_Merchant_cnt_15": 0})
-    return out.select(
-        "user_id", p + "receive_cnt", p + "receive_not_consume_cnt", p + "receive_and_consume_cnt",
-        RF.rate_zero(p + "receive_and_consume_cnt", p + "receive_cnt")
-        .alias(p + "receive_and_consume_rate"),
-        p + "receive_differ_Merchant_cnt", p + "receive_and_consume_differ_Merchant_cnt_15")
+    return USER().for_label(label, history)
 
 
 def hist_merchant(label: DataFrame, history: DataFrame) -> DataFrame:
     """B-4: per label-interval merchant."""
-    p = RF.prefix("history_field", ["merchant_id"])
-    agg = history.groupBy("merchant_id").agg(
-        F.count(F.lit(1)).alias(p + "received_cnt"),
-        F.count_distinct("user_id").alias(p + "received_differ_User_cnt"),
-        _count_if(consumed()).alias(p + "received_and_consumed_cnt"),
-        _count_if(not_consumed()).alias(p + "received_not_consumed_cnt"),
-        F.count_distinct("coupon_id").alias(p + "differ_Coupon_cnt"),
-    )
-    out = _spine_join(label, ["merchant_id"], agg, {
-        p + "received_cnt": 0, p + "received_differ_User_cnt": 0,
-        p + "received_and_consumed_cnt": 0, p + "received_not_consumed_cnt": 0,
-        p + "differ_Coupon_cnt": 0})
-    return out.select(
-        "merchant_id", p + "received_cnt", p + "received_differ_User_cnt",
-        p + "received_and_consumed_cnt",
-        RF.rate_zero(p + "received_and_consumed_cnt", p + "received_cnt")
-        .alias(p + "received_and_consumed_rate"),
-        p + "received_not_consumed_cnt", p + "differ_Coupon_cnt")
+    return MERCHANT().for_label(label, history)
 
 
 def hist_coupon(label: DataFrame, history: DataFrame) -> DataFrame:
     """B-5: per label-interval coupon; mean gap of 15-day redemptions
     (missing -1) and median minimum spend of X:Y receipts (missing 0)."""
-    p = RF.prefix("history_field", ["coupon_id"])
-    agg = history.groupBy("coupon_id").agg(
-        F.count(F.lit(1)).alias(p + "received_cnt"),
-        _count_if(redeemed15()).alias(p + "received_and_consumed_cnt_15"),
-        F.avg(F.when(redeemed15(), F.datediff("date", "date_received")).cast("double"))
-         .alias(p + "consumed_mean_time_gap_15"),
-        F.median(F.when(F.col("is_manjian") == 1, F.col("min_cost_of_manjian")))
-         .alias(p + "median_of_min_cost_of_manjian"),
-    )
-    out = _spine_join(label, ["coupon_id"], agg, {
-        p + "received_cnt": 0, p + "received_and_consumed_cnt_15": 0,
-        p + "consumed_mean_time_gap_15": -1.0, p + "median_of_min_cost_of_manjian": 0.0})
-    return out.select(
-        "coupon_id", p + "received_cnt", p + "received_and_consumed_cnt_15",
-        RF.rate_zero(p + "received_and_consumed_cnt_15", p + "received_cnt")
-        .alias(p + "received_and_consumed_rate_15"),
-        p + "consumed_mean_time_gap_15", p + "median_of_min_cost_of_manjian")
+    return COUPON().for_label(label, history)
 
 
 def hist_user_coupon(label: DataFrame, history: DataFrame) -> DataFrame:
     """B-6, plus the documented-but-missing rate (zero rule)."""
-    keys = ["user_id", "coupon_id"]
-    p = RF.prefix("history_field", keys)
-    agg = history.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(p + "receive_cnt"),
-        _count_if(consumed()).alias(p + "receive_and_consume_cnt"),
-    )
-    out = _spine_join(label, keys, agg, {p + "receive_cnt": 0, p + "receive_and_consume_cnt": 0})
-    return out.select(*keys, p + "receive_cnt", p + "receive_and_consume_cnt",
-                      RF.rate_zero(p + "receive_and_consume_cnt", p + "receive_cnt")
-                      .alias(p + "receive_and_consume_rate"))
+    return USER_COUPON().for_label(label, history)
 
 
 def hist_user_ext(label: DataFrame, history: DataFrame) -> DataFrame:
     """B-7: B-3's counts plus mean discount and distance of used receipts
     and the merchant-level redemption share.  The consumed count uses
     ``date`` present (the exercise script repeated the not-consumed count)."""
-    p = RF.prefix("history_field", ["user_id"])
-    agg = history.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias(p + "receive_cnt"),
-        _count_if(not_consumed()).alias(p + "receive_not_consume_cnt"),
-        _count_if(consumed()).alias(p + "receive_and_consume_cnt"),
-        F.avg(F.when(consumed(), F.col("discount_rate")))
-         .alias(p + "receive_and_consume_mean_discount_rate"),
-        F.avg(F.when(consumed() & (F.col("distance") != -1), F.col("distance")).cast("double"))
-         .alias(p + "receive_and_consume_mean_distance"),
-        F.count_distinct(F.when(consumed(), F.col("merchant_id")))
-         .alias(p + "receive_differ_Merchant_and_consume_cnt"),
-        F.count_distinct("merchant_id").alias(p + "receive_differ_Merchant_cnt"),
-    )
-    zero = {n: 0 for n in [p + "receive_cnt", p + "receive_not_consume_cnt",
-                           p + "receive_and_consume_cnt",
-                           p + "receive_differ_Merchant_and_consume_cnt",
-                           p + "receive_differ_Merchant_cnt"]}
-    zero[p + "receive_and_consume_mean_discount_rate"] = 0.0
-    zero[p + "receive_and_consume_mean_distance"] = 0.0
-    out = _spine_join(label, ["user_id"], agg, zero)
-    return out.select(
-        "user_id", p + "receive_cnt", p + "receive_not_consume_cnt", p + "receive_and_consume_cnt",
-        RF.rate_zero(p + "receive_and_consume_cnt", p + "receive_cnt")
-        .alias(p + "receive_and_consume_rate"),
-        p + "receive_and_consume_mean_discount_rate", p + "receive_and_consume_mean_distance",
-        p + "receive_differ_Merchant_and_consume_cnt", p + "receive_differ_Merchant_cnt",
-        RF.rate_zero(p + "receive_differ_Merchant_and_consume_cnt", p + "receive_differ_Merchant_cnt")
-        .alias(p + "receive_differ_Merchant_consume_rate"))
+    return USER_EXT().for_label(label, history)

@@ -49,19 +49,26 @@ def b_assemble(history: DataFrame, middle: DataFrame | None, label: DataFrame,
         (F.col("n_ucd") > 1).cast("int").alias(B.SIMPLE_COLUMNS[4]),
     )
     hist_cols: list[str] = []
+    finish: list = []
+    rows_join: list = []
     if with_history:
-        hu = B.hist_user(label, history)
-        huc = B.hist_user_coupon(label, history)
-        stats = stats.join(hu, ["user_id"], "left").join(huc, ["user_id", "coupon_id"], "left")
-        hm = B.hist_merchant(label, history)
-        hc = B.hist_coupon(label, history)
-        hist_cols = ([c for c in hu.columns if c != "user_id"]
-                     + [c for c in hm.columns if c != "merchant_id"]
-                     + [c for c in hc.columns if c != "coupon_id"]
-                     + [c for c in huc.columns if c not in ("user_id", "coupon_id")])
+        # user and user-coupon aggregates go onto the (user, coupon, day)
+        # table; merchant and coupon aggregates (one row per merchant /
+        # coupon) onto the rows.  Keys missing from history get the blocks'
+        # fill values in the final projection.
+        u, uc, m, c = B.USER(), B.USER_COUPON(), B.MERCHANT(), B.COUPON()
+        stats = (stats.join(u.aggregate(history), u.keys, "left")
+                      .join(uc.aggregate(history), uc.keys, "left"))
+        rows_join = [m, c]
+        for blk in (u, m, c, uc):
+            hist_cols += blk.order
+            finish += blk.finish_columns()
     rows = label.join(stats, UCD, "left")
-    if with_history:
-        rows = rows.join(hm, ["merchant_id"], "left").join(hc, ["coupon_id"], "left")
+    for blk in rows_join:
+        rows = rows.join(blk.aggregate(history), blk.keys, "left")
+    if finish:
+        keep = [c for c in rows.columns if c not in set(hist_cols)]
+        rows = rows.select(*keep, *finish)
     rows = B.week_features(rows)
     tail = ["label"] if "label" in label.columns else []
     return rows.select(*B_BASE, *B.WEEK_COLUMNS, *B.SIMPLE_COLUMNS, *hist_cols, *tail).distinct()
@@ -96,11 +103,13 @@ def a_dataset(log: DataFrame, n: int, test_log: DataFrame | None = None) -> Data
     # the dataset first gives the same rows as the reference's dedupe after
     # the joins, with fewer rows to shuffle.
     rows = A.coupon_features(data.distinct(), anchor)
+    # user features ride on the (user, coupon, day) table, which is smaller
+    # than the rows, so the rows take both in one join
+    per_receipt = A.other_features(data).join(A.user_features(features), ["user_id"], "left")
     joined = (rows
               .join(A.merchant_features(features), ["merchant_id"], "left")
-              .join(A.user_features(features), ["user_id"], "left")
               .join(A.user_merchant_features(features), ["user_id", "merchant_id"], "left")
-              .join(A.other_features(data), UCD, "left"))
+              .join(per_receipt, UCD, "left"))
     m_cols = ["total_sales", "sales_use_coupon", "total_coupon", "merchant_min_distance",
               "merchant_max_distance", "merchant_mean_distance", "merchant_median_distance",
               "merchant_coupon_transfer_rate", "coupon_rate"]
