@@ -768,29 +768,55 @@ def q_scale_minmax(spark, d):
 _MODELS: dict = {}
 
 
-def _b_model(spark, d):
-    """Fit once per session and folder (ml_score and ml_importance share it)."""
+def _model(spark, d, family: str):
+    """Fit once per session, folder and family (score and importance
+    queries share the model)."""
+    from redeemflow.plans import models
+
     lg = log(spark, d)
-    key = (spark.sparkContext.applicationId, d)
+    key = (spark.sparkContext.applicationId, d, family)
     if key not in _MODELS:
-        train = assemble.b_big_train(lg)
-        features = ml.feature_columns(train, assemble.B_ID_COLUMNS + ["label"])
-        _MODELS[key] = (ml.fit_gbt(train, features, max_iter=20), features)
+        _MODELS[key] = models.b_fit(lg) if family == "b" else models.a_fit(lg)
     model, features = _MODELS[key]
     return lg, model, features
 
 
 @register("ml_score")
 def q_ml_score(spark, d):
-    """M1-M3 + S7/S9: fit on train + validate, score the July test set."""
-    lg, model, features = _b_model(spark, d)
-    test = assemble.b_dataset(lg, "test", offline_test(lg))
-    return ml.score(model, test, features, assemble.B_ID_COLUMNS)
+    """M1-M3 (Family B): fit on train + validate, score the July test set."""
+    from redeemflow.plans import models
+
+    lg, model, features = _model(spark, d, "b")
+    return models.b_predictions(lg, model, features)
 
 
 @register("ml_importance")
 def q_ml_importance(spark, d):
-    _, model, features = _b_model(spark, d)
+    _, model, features = _model(spark, d, "b")
+    return ml.importance(model, features, spark)
+
+
+@register("ml_validate")
+def q_ml_validate(spark, d):
+    """M7: fit on the Family B train set, AUC on the validate set."""
+    from redeemflow.plans import models
+
+    return models.b_validate(log(spark, d))
+
+
+@register("ml_score_a")
+def q_ml_score_a(spark, d):
+    """M1-M4, O1 (Family A): fit on sets 1 + 2 without day gaps, score set 3,
+    min-max scale, sort by (coupon_id, score)."""
+    from redeemflow.plans import models
+
+    lg, model, features = _model(spark, d, "a")
+    return models.a_predictions(lg, model, features)
+
+
+@register("ml_importance_a")
+def q_ml_importance_a(spark, d):
+    _, model, features = _model(spark, d, "a")
     return ml.importance(model, features, spark)
 
 

@@ -116,3 +116,22 @@ def test_streaming_ingest_appends_new_files_once(spark):
     df = spark.read.parquet(out)
     assert df.count() == 3
     assert df.where(F.col("user_id") == 5).first().date.isoformat() == "2016-06-03"
+
+
+def test_prediction_and_importance_writers(spark):
+    from redeemflow.plans.models import write_importance, write_predictions
+
+    preds = spark.createDataFrame([(1, 7, "2016-07-02", 0.25)],
+                                  "user_id long, coupon_id long, date_received string, prob double"
+                                  ).withColumn("date_received", F.to_date("date_received"))
+    out = os.path.join(tempfile.mkdtemp(prefix="rf-pred-"), "p")
+    write_predictions(preds, out)
+    text = "".join(open(os.path.join(out, f)).read() for f in sorted(os.listdir(out))
+                   if f.startswith("part-"))
+    assert text.strip() == "1,7,20160702,0.25"
+    imp = spark.createDataFrame([("a", 0.2, 1), ("b", 0.8, 3)], "feature string, importance double, splits long")
+    out2 = os.path.join(tempfile.mkdtemp(prefix="rf-imp-"), "i")
+    write_importance(imp, out2)
+    text2 = "".join(open(os.path.join(out2, f)).read() for f in sorted(os.listdir(out2))
+                    if f.startswith("part-"))
+    assert text2.splitlines() == ["feature,score", "b,0.8", "a,0.2"]

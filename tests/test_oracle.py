@@ -30,7 +30,8 @@ def test_query_matches_duckdb(spark, con, name):
 
 
 def test_every_query_has_an_oracle_or_is_a_model_fit():
-    assert set(E.queries()) - set(ORACLE) == {"ml_score", "ml_importance"}
+    assert set(E.queries()) - set(ORACLE) == {"ml_score", "ml_importance", "ml_score_a",
+                                              "ml_importance_a", "ml_validate"}
 
 
 def test_entry_smoke(spark):
