@@ -24,19 +24,34 @@ def _euclid(v: Column, c: Column) -> Column:
 def assign(points: DataFrame, centroids: list[list[float]], vec: str = "embedding") -> DataFrame:
     """Nearest centroid by Euclidean distance; ties go to the lower index.
     Adds ``cluster`` (0-based) and ``distance``."""
-    cents = _centroid_literal(centroids)
-    v = F.transform(F.col(vec), lambda x: x.cast("double"))
-    best = F.array_min(F.transform(cents, lambda c, i: F.struct(_euclid(v, c).alias("d"),
-                                                               i.alias("i"))))
+    best = _nearest(F.col(vec), centroids)
     return (points.select("*", best.alias("__best"))
                   .select(*points.columns, F.col("__best.i").alias("cluster"),
                           F.col("__best.d").alias("distance")))
 
 
+def _nearest(vec_col, centroids: list[list[float]]) -> Column:
+    cents = _centroid_literal(centroids)
+    v = F.transform(vec_col, lambda x: x.cast("double"))
+    return F.array_min(F.transform(cents, lambda c, i: F.struct(_euclid(v, c).alias("d"),
+                                                               i.alias("i"))))
+
+
+def _cluster_means(assigned: DataFrame, vec: str, changed=None) -> DataFrame:
+    """(cluster, position, mean[, changed]): coordinate means per cluster,
+    and (on position 0, so once per point) how many points changed cluster."""
+    cols = [F.col("cluster"), F.posexplode(F.col(vec)).alias("position", "x")]
+    if changed is not None:
+        cols.insert(1, changed.cast("long").alias("chg"))
+    aggs = [F.avg(F.col("x").cast("double")).alias("mean")]
+    if changed is not None:
+        aggs.append(F.sum(F.when(F.col("position") == 0, F.col("chg"))).alias("changed"))
+    return assigned.select(*cols).groupBy("cluster", "position").agg(*aggs)
+
+
 def step_means(assigned: DataFrame, vec: str = "embedding") -> DataFrame:
-    """Mean of every coordinate per cluster: (cluster, position, mean)."""
-    exploded = assigned.select("cluster", F.posexplode(F.col(vec)).alias("position", "x"))
-    return exploded.groupBy("cluster", "position").agg(F.avg(F.col("x").cast("double")).alias("mean"))
+    """Mean of every coordinate per cluster, long format (cluster, position, mean)."""
+    return _cluster_means(assigned, vec)
 
 
 def lloyd_step(points: DataFrame, centroids: list[list[float]], vec: str = "embedding") -> DataFrame:
@@ -51,20 +66,70 @@ def first_k(points: DataFrame, k: int, order: str, vec: str = "embedding") -> li
     return [[float(x) for x in r[0]] for r in rows]
 
 
+def _partial_sums(vec: str, cents, prev):
+    """mapInPandas body: per Arrow batch, nearest centroid under the new and
+    the previous centroids (numpy, vectorised), then per-cluster partial
+    sums -- at most k * d numbers leave each batch."""
+    import numpy as np
+    import pandas as pd
+
+    c_new = np.asarray(cents, dtype=np.float64)
+    c_old = None if prev is None else np.asarray(prev, dtype=np.float64)
+    k, d = c_new.shape
+
+    def nearest(x, c):
+        # squared distances; argmin takes the first (lowest index) on ties
+        d2 = (x * x).sum(1)[:, None] - 2.0 * x @ c.T + (c * c).sum(1)[None, :]
+        return d2.argmin(1)
+
+    def run(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = np.stack(pdf[vec].to_numpy()).astype(np.float64)
+            a = nearest(x, c_new)
+            changed = np.ones(len(a), dtype=bool) if c_old is None else a != nearest(x, c_old)
+            rows = []
+            for j in range(k):
+                m = a == j
+                if m.any():
+                    rows.append((j, int(m.sum()), int(changed[m].sum()), x[m].sum(0).tolist()))
+            yield pd.DataFrame(rows, columns=["cluster", "n", "changed", "sums"])
+    return run
+
+
 def kmeans(points: DataFrame, k: int, order: str, vec: str = "embedding",
-           max_iter: int = 50) -> tuple[list[list[float]], DataFrame]:
-    """Lloyd's algorithm until the centroids (hence assignments) stop
-    changing.  An empty cluster keeps its previous centroid.  Returns the
-    centroids and the final (lazy) assignment with squared errors."""
+           max_iter: int = 100) -> tuple[list[list[float]], DataFrame]:
+    """Lloyd's algorithm until no point changes cluster (the reference's
+    rule).  One job per iteration: each partition assigns its points under
+    the new and the previous centroids and emits per-cluster partial sums
+    (``mapInPandas``, numpy inside the task); Spark adds them up by
+    (cluster, coordinate); k * d means and k change counts reach the
+    driver.  An empty cluster keeps its previous centroid.  Returns the
+    centroids and the final (lazy) assignment with squared errors.
+
+    Nearest-centroid ties go to the lower index, as in ``assign``; the
+    squared-distance expansion used here can order near-ties differently
+    from the exact Euclidean form only at rounding level."""
     cents = first_k(points, k, order, vec)
+    prev = None
+    schema = "cluster int, n long, changed long, sums array<double>"
     for _ in range(max_iter):
-        means = lloyd_step(points, cents, vec).collect()  # k * d values
-        new = [list(c) for c in cents]
-        for r in means:
-            new[r["cluster"]][r["position"]] = r["mean"]
-        if new == cents:
+        parts = points.select(vec).mapInPandas(_partial_sums(vec, cents, prev), schema)
+        per_cluster = (parts.select("cluster", "n", "changed",
+                                    F.posexplode("sums").alias("position", "s"))
+                       .groupBy("cluster", "position")
+                       .agg(F.sum("s").alias("s"),
+                            F.sum(F.when(F.col("position") == 0, F.col("n"))).alias("n"),
+                            F.sum(F.when(F.col("position") == 0, F.col("changed"))).alias("changed"))
+                       .collect())  # k * d rows
+        if prev is not None and sum(r["changed"] or 0 for r in per_cluster) == 0:
             break
-        cents = new
+        sizes = {r["cluster"]: r["n"] for r in per_cluster if r["position"] == 0}
+        new = [list(c) for c in cents]
+        for r in per_cluster:
+            new[r["cluster"]][r["position"]] = r["s"] / sizes[r["cluster"]]
+        prev, cents = cents, new
     final = assign(points, cents, vec)
     return cents, final.select("*", (F.col("distance") * F.col("distance")).alias("sq_error"))
 

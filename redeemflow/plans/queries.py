@@ -859,3 +859,13 @@ def q_kmeans_step(spark, d):
     pts = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", "embedding")
     cents = kmeans.first_k(pts, 4, "vec_id")
     return r6(kmeans.lloyd_step(pts, cents))
+
+
+@register("kmeans_fit")
+def q_kmeans_fit(spark, d):
+    """M8: Lloyd's algorithm on the embeddings until the centroids stop
+    moving (k = 4, start = the 4 lowest vec_id); final assignment with
+    squared errors.  Iterative, so no SQL oracle."""
+    pts = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", "embedding")
+    _, assigned = kmeans.kmeans(pts, 4, "vec_id", max_iter=50)
+    return r6(assigned.select("vec_id", "cluster", "distance", "sq_error"))
