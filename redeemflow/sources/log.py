@@ -189,18 +189,23 @@ def log_table_path(spark: SparkSession, sf_dir: str) -> str:
 
 
 def materialize_log(spark: SparkSession, sf_dir: str) -> str:
-    """Ingest: write the log once as Parquet, globally ordered by receive
-    date, so every later job reads it with the date ranges of its splits
-    pushed into the scan (row-group min/max skipping).  The write goes to a
+    """Ingest: write the log once as Parquet, globally ordered by day, so
+    every later job reads it with the date ranges of its splits pushed into
+    the scan (row-group min/max skipping).  The write goes to a
     unique folder that is renamed into place, so a failed or concurrent
     attempt never leaves a half-written table behind."""
     final = log_table_path(spark, sf_dir)
     if _exists(spark, f"{final}/_SUCCESS"):
         return final
     tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
+    # Order by the row's own day (receipt day, else purchase day), then user:
+    # receipts without a purchase and purchases without a coupon both get a
+    # real key (a null key would send every plain purchase to one task), and
+    # the user column lets the range partitioner split a very busy day.
+    day = F.coalesce(F.col("date_received"), F.col("date"))
     (coupon_view(spark, sf_dir)
-        .repartitionByRange("date_received")
-        .sortWithinPartitions("date_received")
+        .repartitionByRange(day, F.col("user_id"))
+        .sortWithinPartitions(day, "user_id")
         .write.mode("overwrite").parquet(tmp))
     if not _rename(spark, tmp, final) and not _exists(spark, f"{final}/_SUCCESS"):
         raise RuntimeError(f"could not publish {final}")
