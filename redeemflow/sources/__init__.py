@@ -8,6 +8,7 @@ from redeemflow.sources.log import (  # noqa: F401
     offline_test,
     offline_train,
     read_log_csv,
+    read_online_csv,
     read_matrix_csv,
     write_csv,
 )

@@ -79,6 +79,16 @@ def read_log_csv(spark: SparkSession, path: str, header: bool = True,
     return _typed(raw, schema)
 
 
+def read_online_csv(spark: SparkSession, path: str, header: bool = False,
+                    sep: str = ",") -> DataFrame:
+    """S3: the online log (with ``action``).  The reference loads it and never
+    uses it; it is offered as a typed source only."""
+    raw_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in ONLINE_SCHEMA.fields])
+    raw = (spark.read.schema(raw_schema).option("header", header).option("sep", sep)
+           .option("nullValue", "null").csv(path))
+    return _typed(raw, ONLINE_SCHEMA)
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
     """Write CSV with or without header; dates as yyyyMMdd, nulls as ``null``."""
     out = df.select(*[

@@ -135,3 +135,15 @@ def test_prediction_and_importance_writers(spark):
     text2 = "".join(open(os.path.join(out2, f)).read() for f in sorted(os.listdir(out2))
                     if f.startswith("part-"))
     assert text2.splitlines() == ["feature,score", "b,0.8", "a,0.2"]
+
+
+def test_online_log_reader(spark):
+    from redeemflow.sources import read_online_csv
+
+    tmp = tempfile.mkdtemp(prefix="rf-online-")
+    p = os.path.join(tmp, "on.csv")
+    with open(p, "w") as f:
+        f.write("13740231,18907,2,100017492,500:50,20160513,null\n")
+    r = read_online_csv(spark, p).collect()[0]
+    assert (r.action, r.coupon_id, r.date_received.isoformat(), r.date) == (
+        2, "100017492", "2016-05-13", None)
