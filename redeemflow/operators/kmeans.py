@@ -68,8 +68,8 @@ def first_k(points: DataFrame, k: int, order: str, vec: str = "embedding") -> li
 
 def _partial_sums(vec: str, cents, prev):
     """mapInPandas body: per Arrow batch, nearest centroid under the new and
-    the previous centroids (numpy, vectorised), then per-cluster partial
-    sums -- at most k * d numbers leave each batch."""
+    the previous centroids (numpy, vectorised); per-cluster sums accumulate
+    over the whole partition, so k rows (k * d numbers) leave each task."""
     import numpy as np
     import pandas as pd
 
@@ -83,18 +83,21 @@ def _partial_sums(vec: str, cents, prev):
         return d2.argmin(1)
 
     def run(batches):
+        # accumulate over every batch of the partition; emit k rows once
+        n = np.zeros(k, dtype=np.int64)
+        moved = np.zeros(k, dtype=np.int64)
+        sums = np.zeros((k, d), dtype=np.float64)
         for pdf in batches:
             if pdf.empty:
                 continue
             x = np.stack(pdf[vec].to_numpy()).astype(np.float64)
             a = nearest(x, c_new)
             changed = np.ones(len(a), dtype=bool) if c_old is None else a != nearest(x, c_old)
-            rows = []
-            for j in range(k):
-                m = a == j
-                if m.any():
-                    rows.append((j, int(m.sum()), int(changed[m].sum()), x[m].sum(0).tolist()))
-            yield pd.DataFrame(rows, columns=["cluster", "n", "changed", "sums"])
+            n += np.bincount(a, minlength=k)
+            moved += np.bincount(a, weights=changed, minlength=k).astype(np.int64)
+            np.add.at(sums, a, x)
+        rows = [(j, int(n[j]), int(moved[j]), sums[j].tolist()) for j in range(k) if n[j] > 0]
+        yield pd.DataFrame(rows, columns=["cluster", "n", "changed", "sums"])
     return run
 
 
