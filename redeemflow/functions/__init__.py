@@ -62,6 +62,42 @@ def discount_jian(rate) -> Column:
     return F.when(c(rate).contains(":"), y.cast("int"))
 
 
+# Parsed once: project ``discount_parts`` first, then derive every discount
+# column from ``_dm`` / ``_dx`` / ``_dy``.  Catalyst keeps the two
+# projections apart (it does not inline a split used several times), so the
+# text is split once per row instead of once per derived column.
+PARTS = ("_dm", "_dx", "_dy")
+
+
+def discount_parts(rate="discount_rate") -> list[Column]:
+    p = F.split(c(rate), ":")
+    return [c(rate).contains(":").alias("_dm"),
+            F.get(p, 0).try_cast("double").alias("_dx"),
+            F.get(p, 1).try_cast("double").alias("_dy")]
+
+
+def p_is_manjian() -> Column:
+    return F.coalesce(F.col("_dm").cast("int"), F.lit(0))
+
+
+def p_ratio(rate="discount_rate", form: str = "b") -> Column:
+    x, y = F.col("_dx"), F.col("_dy")
+    manjian = F.try_divide(x - y, x) if form == "b" else F.lit(1.0) - F.try_divide(y, x)
+    return F.when(F.col("_dm"), manjian).otherwise(c(rate).try_cast("double"))
+
+
+def p_min_cost(default: int = -1) -> Column:
+    return F.when(F.col("_dm"), F.col("_dx").cast("int")).otherwise(F.lit(default))
+
+
+def p_man() -> Column:
+    return F.when(F.col("_dm"), F.col("_dx").cast("int"))
+
+
+def p_jian() -> Column:
+    return F.when(F.col("_dm"), F.col("_dy").cast("int"))
+
+
 # ---------------------------------------------------------------- distance
 def distance_filled(d="distance") -> Column:
     """P5: unknown distance -> -1."""

@@ -78,15 +78,15 @@ def coupon_features(dataset: DataFrame, anchor: str) -> DataFrame:
     its measured size is small); a window over the coupon alone would put a
     popular coupon's rows into a single task.
     """
-    rows = dataset.select(
-        *[RF.discount_ratio("discount_rate", "a").alias("discount_rate")
+    rows = dataset.select("*", *RF.discount_parts("discount_rate")).select(
+        *[RF.p_ratio("discount_rate", "a").alias("discount_rate")
           if c == "discount_rate" else F.col(c) for c in dataset.columns],
         RF.iso_weekday("date_received").alias("day_of_week"),
         F.dayofmonth("date_received").alias("day_of_month"),
         F.datediff(F.col("date_received"), RF.lit_date(anchor)).alias("days_distance"),
-        RF.discount_man("discount_rate").alias("discount_man"),
-        RF.discount_jian("discount_rate").alias("discount_jian"),
-        RF.is_manjian("discount_rate").alias("is_man_jian"),
+        RF.p_man().alias("discount_man"),
+        RF.p_jian().alias("discount_jian"),
+        RF.p_is_manjian().alias("is_man_jian"),
     )
     popularity = (dataset.where(has_coupon()).groupBy("coupon_id")
                   .agg(F.count(F.lit(1)).alias("coupon_count")))

@@ -77,7 +77,8 @@ def distance_rate(log: DataFrame) -> DataFrame:
 
 def discount_counts(log: DataFrame) -> DataFrame:
     """Received and redeemed per discount ratio, 0 where none redeemed."""
-    lab = _labelled(log).select(RF.discount_ratio("discount_rate").alias("ratio"), "label")
+    lab = (_labelled(log).select("discount_rate", "label", *RF.discount_parts())
+           .select(RF.p_ratio().alias("ratio"), "label"))
     return (lab.where(F.col("ratio").isNotNull())
                .groupBy("ratio")
                .agg(F.count(F.lit(1)).alias("received"),
@@ -134,7 +135,8 @@ def label_share(log: DataFrame) -> DataFrame:
 
 def distance_discount(log: DataFrame, distances=(0, 4, 8, 10)) -> DataFrame:
     """Receipts per (distance, discount ratio) at chosen distances."""
-    rows = log.where(F.col("distance").isin(*distances)).select(
-        "distance", RF.discount_ratio("discount_rate").alias("ratio"))
+    rows = (log.where(F.col("distance").isin(*distances))
+               .select("distance", "discount_rate", *RF.discount_parts())
+               .select("distance", RF.p_ratio().alias("ratio")))
     return (rows.where(F.col("ratio").isNotNull())
                 .groupBy("distance", "ratio").agg(F.count(F.lit(1)).alias("rows")))

@@ -14,14 +14,15 @@ ISO_WEEKDAY_DOMAIN = list(range(1, 8))
 
 def with_discount(df: DataFrame, rate: str = "discount_rate", form: str = "b",
                   min_cost_default: int = -1) -> DataFrame:
-    """P1-P4 next to the raw text."""
-    return df.select(
-        "*",
-        RF.is_manjian(rate).alias("is_manjian"),
-        RF.discount_ratio(rate, form).alias("discount_ratio"),
-        RF.min_cost_of_manjian(rate, min_cost_default).alias("min_cost_of_manjian"),
-        RF.discount_man(rate).alias("discount_man"),
-        RF.discount_jian(rate).alias("discount_jian"),
+    """P1-P4 next to the raw text (the text is split once per row)."""
+    parsed = df.select("*", *RF.discount_parts(rate))
+    return parsed.select(
+        *df.columns,
+        RF.p_is_manjian().alias("is_manjian"),
+        RF.p_ratio(rate, form).alias("discount_ratio"),
+        RF.p_min_cost(min_cost_default).alias("min_cost_of_manjian"),
+        RF.p_man().alias("discount_man"),
+        RF.p_jian().alias("discount_jian"),
     )
 
 
@@ -47,6 +48,7 @@ def prepare_b(df: DataFrame, min_cost_default: int = -1) -> DataFrame:
     distance (unknown -> -1), date_received, [date], is_manjian,
     discount_rate (ratio), min_cost_of_manjian, null_distance, [label].
     """
+    parsed = df.select("*", *RF.discount_parts("discount_rate"))
     cols = [
         "user_id", "merchant_id", "coupon_id",
         F.col("discount_rate").alias("discount_text"),
@@ -57,23 +59,23 @@ def prepare_b(df: DataFrame, min_cost_default: int = -1) -> DataFrame:
     if has_date:
         cols.append("date")
     cols += [
-        RF.is_manjian("discount_rate").alias("is_manjian"),
-        RF.discount_ratio("discount_rate", "b").alias("discount_rate"),
-        RF.min_cost_of_manjian("discount_rate", min_cost_default).alias("min_cost_of_manjian"),
+        RF.p_is_manjian().alias("is_manjian"),
+        RF.p_ratio("discount_rate", "b").alias("discount_rate"),
+        RF.p_min_cost(min_cost_default).alias("min_cost_of_manjian"),
         RF.null_distance("distance").alias("null_distance"),
     ]
     if has_date:
         cols.append(RF.label_binary("date", "date_received").alias("label"))
-    return df.select(*cols)
+    return parsed.select(*cols)
 
 
 def prep_all(df: DataFrame) -> DataFrame:
     """Every row-level rule chained on the raw log, plus the binary label."""
-    out = df.select(
-        "*",
-        RF.is_manjian("discount_rate").alias("is_manjian"),
-        RF.discount_ratio("discount_rate", "b").alias("discount_ratio"),
-        RF.min_cost_of_manjian("discount_rate").alias("min_cost_of_manjian"),
+    out = df.select("*", *RF.discount_parts("discount_rate")).select(
+        *df.columns,
+        RF.p_is_manjian().alias("is_manjian"),
+        RF.p_ratio("discount_rate", "b").alias("discount_ratio"),
+        RF.p_min_cost().alias("min_cost_of_manjian"),
         RF.distance_filled("distance").alias("distance_filled"),
         RF.null_distance("distance").alias("null_distance"),
         RF.iso_weekday("date_received").alias("weekday_received"),

@@ -91,14 +91,15 @@ def q_src_csv_roundtrip(spark, d):
   round({S.ratio_a()}, 6) AS rate_a, {S.min_cost()} AS min_cost_of_manjian,
   {S.man()} AS discount_man, {S.jian()} AS discount_jian FROM coupon""")
 def q_prep_discount(spark, d):
-    df = log(spark, d)
+    df = log(spark, d).select("user_id", "merchant_id", "coupon_id", "discount_rate",
+                              *RF.discount_parts())
     return r6(df.select("user_id", "merchant_id", "coupon_id", "discount_rate",
-                        RF.is_manjian("discount_rate").alias("is_manjian"),
-                        RF.discount_ratio("discount_rate", "b").alias("rate_b"),
-                        RF.discount_ratio("discount_rate", "a").alias("rate_a"),
-                        RF.min_cost_of_manjian("discount_rate").alias("min_cost_of_manjian"),
-                        RF.discount_man("discount_rate").alias("discount_man"),
-                        RF.discount_jian("discount_rate").alias("discount_jian")))
+                        RF.p_is_manjian().alias("is_manjian"),
+                        RF.p_ratio("discount_rate", "b").alias("rate_b"),
+                        RF.p_ratio("discount_rate", "a").alias("rate_a"),
+                        RF.p_min_cost().alias("min_cost_of_manjian"),
+                        RF.p_man().alias("discount_man"),
+                        RF.p_jian().alias("discount_jian")))
 
 
 @register("prep_distance", S.with_() + """SELECT user_id, merchant_id, coupon_id, date_received,

@@ -147,3 +147,29 @@ def test_online_log_reader(spark):
     r = read_online_csv(spark, p).collect()[0]
     assert (r.action, r.coupon_id, r.date_received.isoformat(), r.date) == (
         2, "100017492", "2016-05-13", None)
+
+
+def test_kmeans_fit_matches_plain_lloyd(spark):
+    """kmeans_fit against a plain numpy Lloyd's (same start: the 4 lowest
+    vec_id; same stop: no point changes cluster) on the smallest table."""
+    import numpy as np
+
+    import __spark_entry__ as E
+
+    pts = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").orderBy("vec_id").collect()
+    ids = [r.vec_id for r in pts]
+    x = np.array([r.embedding for r in pts], dtype=np.float64)
+    c = x[:4].copy()
+    assign = None
+    for _ in range(100):
+        dist = np.sqrt(((x[:, None, :] - c[None, :, :]) ** 2).sum(-1))
+        new = dist.argmin(1)
+        if assign is not None and (new == assign).all():
+            break
+        assign = new
+        for j in range(4):
+            if (assign == j).any():
+                c[j] = x[assign == j].mean(0)
+    expect = dict(zip(ids, assign.tolist()))
+    got = {r.vec_id: r.cluster for r in E.queries()["kmeans_fit"](spark, SF_SMALL).collect()}
+    assert got == expect
