@@ -114,11 +114,17 @@ def kmeans(points: DataFrame, k: int, order: str, vec: str = "embedding",
     Nearest-centroid ties go to the lower index, as in ``assign``; the
     squared-distance expansion used here can order near-ties differently
     from the exact Euclidean form only at rounding level."""
+    from pyspark import StorageLevel
+
     cents = first_k(points, k, order, vec)
     prev = None
     schema = "cluster int, n long, changed long, sums array<double>"
+    # the vectors are read once per iteration: keep them (memory, spilling
+    # to disk) for the loop, as MLlib's KMeans does; a lost block is
+    # recomputed from the source
+    vectors = points.select(vec).persist(StorageLevel.MEMORY_AND_DISK)
     for _ in range(max_iter):
-        parts = points.select(vec).mapInPandas(_partial_sums(vec, cents, prev), schema)
+        parts = vectors.mapInPandas(_partial_sums(vec, cents, prev), schema)
         per_cluster = (parts.select("cluster", "n", "changed",
                                     F.posexplode("sums").alias("position", "s"))
                        .groupBy("cluster", "position")
@@ -133,6 +139,7 @@ def kmeans(points: DataFrame, k: int, order: str, vec: str = "embedding",
         for r in per_cluster:
             new[r["cluster"]][r["position"]] = r["s"] / sizes[r["cluster"]]
         prev, cents = cents, new
+    vectors.unpersist()
     final = assign(points, cents, vec)
     return cents, final.select("*", (F.col("distance") * F.col("distance")).alias("sq_error"))
 
