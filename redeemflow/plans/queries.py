@@ -518,6 +518,20 @@ _VAL_CTES, _VAL_SEL = _assemble_sql(S.half_open("date_received", "2016-03-31", "
                                     S.half_open("date_received", "2016-01-16", "2016-03-16"), "va")
 
 
+_TEST_CTES, _TEST_SEL = _assemble_sql(S.TEST_WHERE, S.half_open("date_received", "2016-04-17",
+                                                                "2016-06-16"), "te", labelled=False)
+PT = ("pt AS (" + S.prep_b(f"(SELECT user_id, merchant_id, coupon_id, discount_rate, distance, "
+                           f"date_received FROM coupon WHERE {S.TEST_WHERE})", with_date=False) + ")")
+
+
+@register("ds_test", S.with_(PB, PT, _TEST_CTES) + _TEST_SEL)
+def q_ds_test(spark, d):
+    """B-8 on the July test table (no ``date``, no label): the set the
+    Family B model scores."""
+    lg = log(spark, d)
+    return r6(assemble.b_dataset(lg, "test", offline_test(lg)))
+
+
 @register("ds_assemble", S.with_(PB, _TRAIN_CTES) + _TRAIN_SEL)
 def q_ds_assemble(spark, d):
     return r6(assemble.b_dataset(log(spark, d), "train"))
