@@ -763,6 +763,14 @@ def q_a_dataset_train(spark, d):
     return r6(assemble.a_dataset(log(spark, d), 2))
 
 
+@register("a_dataset_set1", _a_dataset_sql(
+    S.between("date_received", "2016-04-14", "2016-05-14"),
+    S.between("COALESCE(date, date_received)", "2016-01-01", "2016-04-13"), "2016-04-13", True))
+def q_a_dataset_set1(spark, d):
+    """A-6 for set 1 (dataset 04-14..05-14, features 01-01..04-13)."""
+    return r6(assemble.a_dataset(log(spark, d), 1))
+
+
 @register("a_dataset_test", _a_dataset_sql(S.TEST_WHERE, A3F_W, "2016-06-30", False))
 def q_a_dataset_test(spark, d):
     lg = log(spark, d)
