@@ -91,3 +91,16 @@ def test_hot_receipt_key_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+PLAN_ONLY_SKIP = {"ml_score", "ml_importance", "ml_score_a", "ml_importance_a", "ml_validate",
+                  "kmeans_fit"}
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - PLAN_ONLY_SKIP))
+def test_plans_have_no_python_udf_and_no_cross_join(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
+                "BroadcastNestedLoopJoin", "PythonUDF"):
+        assert bad not in plan, (name, bad)
