@@ -41,9 +41,12 @@ def fit_gbt(train: DataFrame, features: list[str], label: str = "label", max_ite
     fewer rounds at a larger step (Spark ML fits trees sequentially, one
     distributed pass per tree)."""
     spark = train.sparkSession
+    # cacheNodeIds: each row remembers its node in the tree being grown, so
+    # deeper levels do not re-walk the tree; the cache's lineage is cut every
+    # 10 iterations by a checkpoint in the shared checkpoint folder
     gbt = GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter,
                         maxDepth=max_depth, stepSize=step_size, subsamplingRate=subsample,
-                        featureSubsetStrategy=feature_subset, seed=seed)
+                        featureSubsetStrategy=feature_subset, seed=seed, cacheNodeIds=True)
     ckpt = spark.sparkContext.getCheckpointDir()
     if ckpt:
         gbt.setCheckpointInterval(10)
