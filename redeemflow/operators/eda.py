@@ -1,15 +1,14 @@
 """Exploratory aggregates (the data behind the reference's charts).
 
 Every function is one aggregation over the log (partial aggregation
-map-side, one shuffle of combined rows).  The few window functions here
-run over ``()`` on a grouped result whose size is bounded by a small
-domain (days of a year, 12 months, 11 distances, discount values) -- never
-over raw rows.
+map-side, one shuffle of combined rows).  Totals that a result row needs
+(the daily maximum, the denominator of a share) are scalar subqueries,
+never windows over the whole table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from redeemflow import functions as RF
@@ -56,7 +55,9 @@ def daily(log: DataFrame) -> DataFrame:
     """Coupons received per day, and the maximum over days."""
     g = (log.where(F.col("date_received").isNotNull())
             .groupBy("date_received").agg(F.count("coupon_id").alias("received")))
-    return g.select("*", F.max("received").over(Window.partitionBy()).alias("max_received"))
+    # the maximum is a scalar subquery over the daily counts (one partial
+    # row per task), not a window that would gather the rows in one task
+    return g.select("*", g.select(F.max("received")).scalar().alias("max_received"))
 
 
 def distance_counts(log: DataFrame) -> DataFrame:
@@ -115,8 +116,10 @@ def weekday(log: DataFrame) -> DataFrame:
 
 def value_shares(df: DataFrame, col: str) -> DataFrame:
     """Normalised value counts keyed by value (not by frequency rank)."""
-    g = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("rows"))
-    return g.select("*", (F.col("rows") / F.sum("rows").over(Window.partitionBy())).alias("share"))
+    kept = df.where(F.col(col).isNotNull())
+    g = kept.groupBy(col).agg(F.count(F.lit(1)).alias("rows"))
+    total = kept.select(F.count(F.lit(1))).scalar()
+    return g.select("*", (F.col("rows") / total).alias("share"))
 
 
 def type_share(log: DataFrame, redeemed_only: bool = False) -> DataFrame:
