@@ -164,6 +164,13 @@ def coupon_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _fs_size(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
 def _fs_stamp(spark: SparkSession, path: str) -> str:
     """Size and modification time of a file or folder (Hadoop FS, so it works
     on any cluster file system)."""
@@ -213,8 +220,13 @@ def materialize_log(spark: SparkSession, sf_dir: str) -> str:
     # real key (a null key would send every plain purchase to one task), and
     # the user column lets the range partitioner split a very busy day.
     day = F.coalesce(F.col("date_received"), F.col("date"))
+    # An explicit file count (AQE would otherwise coalesce a small table
+    # into one file, and every later scan into one task): one file per
+    # 128 MB of input, and at least one per core of the cluster.
+    in_bytes = sum(_fs_size(spark, f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders"))
+    files = max(spark.sparkContext.defaultParallelism, -(-in_bytes // (128 << 20)))
     (coupon_view(spark, sf_dir)
-        .repartitionByRange(day, F.col("user_id"))
+        .repartitionByRange(files, day, F.col("user_id"))
         .sortWithinPartitions(day, "user_id")
         .write.mode("overwrite").parquet(tmp))
     if not _rename(spark, tmp, final) and not _exists(spark, f"{final}/_SUCCESS"):
