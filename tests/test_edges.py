@@ -133,3 +133,19 @@ def test_date_list_keeps_repeats_sorted(spark):
             (1, 1, 3, "30:5", 1, "05-18", None)]
     out = date_lists(log_df(spark, rows)).collect()[0]
     assert out.dates == "20160518:20160518:20160525"
+
+
+def test_approx_distinct_option_close_to_exact(spark):
+    import random
+
+    random.seed(11)
+    rows = [(u, random.randint(1, 400), 1, "0.95", 1, "04-01", None)
+            for u in (1, 2) for _ in range(3000)]
+    label = prep.prepare_b(log_df(spark, [(1, 1, 1, "0.95", 1, "05-20", None),
+                                          (2, 1, 1, "0.95", 1, "05-20", None)]))
+    history = prep.prepare_b(log_df(spark, rows))
+    col = "history_field_User_id_receive_differ_Merchant_cnt"
+    exact = {r.user_id: r[col] for r in B.hist_user(label, history).collect()}
+    approx = {r.user_id: r[col] for r in B.hist_user(label, history, approx=True).collect()}
+    for u in (1, 2):
+        assert abs(approx[u] - exact[u]) <= 0.1 * exact[u]
