@@ -8,7 +8,8 @@ the nearest other receipt of the same coupon.  A window partitioned by
 1. aggregate the receipts to the (user, coupon, day) grain -- a hash
    aggregate with map-side partial counts, so a key holding a third of
    all rows is combined before it is shuffled;
-2. roll that table up to (user, day) and (user) with further aggregates;
+2. roll that table up to (user, day), and that to (user), with further
+   aggregates;
 3. run the only window over (user, coupon) on the deduplicated table,
    where each group holds at most one row per calendar day;
 4. callers join the result back on (user, coupon, day) exactly once
@@ -42,9 +43,12 @@ def receipt_day_stats(rows: DataFrame, user: str = U, coupon: str = C, day: str
         F.lag(day).over(wo).alias("prev_day"),
         F.lead(day).over(wo).alias("next_day"),
     )
+    # (user, day) totals, then user totals rolled up from those; the two
+    # small tables are joined first (a user has at most one row per day),
+    # so the (user, coupon, day) table is joined -- and shuffled -- once
     ud = ucd.groupBy(user, day).agg(F.sum("n_ucd").alias("n_ud"))
-    u = ucd.groupBy(user).agg(F.sum("n_ucd").alias("n_u"))
-    return ucd.join(ud, [user, day]).join(u, [user])
+    u = ud.groupBy(user).agg(F.sum("n_ud").alias("n_u"))
+    return ucd.join(ud.join(u, [user]), [user, day])
 
 
 def first_last_flags(stats: DataFrame, day: str = D) -> DataFrame:
