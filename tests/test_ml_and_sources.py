@@ -173,3 +173,28 @@ def test_kmeans_fit_matches_plain_lloyd(spark):
     expect = dict(zip(ids, assign.tolist()))
     got = {r.vec_id: r.cluster for r in E.queries()["kmeans_fit"](spark, SF_SMALL).collect()}
     assert got == expect
+
+
+def test_materialized_log_equals_view_and_is_reused(spark):
+    from redeemflow.sources import coupon_log, coupon_view, materialize_log
+
+    path = materialize_log(spark, SF_SMALL)
+    assert materialize_log(spark, SF_SMALL) == path  # published once, then reused
+    files = [f for f in os.listdir(path.replace("file:", "")) if f.startswith("part-")]
+    assert len(files) >= spark.sparkContext.defaultParallelism
+    stored, view = coupon_log(spark, SF_SMALL), coupon_view(spark, SF_SMALL)
+    assert stored.schema == view.schema
+    assert stored.exceptAll(view).count() == 0 and view.exceptAll(stored).count() == 0
+
+
+def test_headered_csv_with_float_dates(spark):
+    tmp = tempfile.mkdtemp(prefix="rf-hdr-")
+    p = os.path.join(tmp, "h.csv")
+    with open(p, "w") as f:
+        f.write("User_id,Merchant_id,Coupon_id,Discount_rate,Distance,Date_received,Date\n")
+        f.write("1439408,2632,8591.0,20:1,0.0,20160217.0,\n")
+        f.write("1439408,4663,,,1.0,,20160305.0\n")
+    rows = read_log_csv(spark, p, header=True).collect()
+    assert rows[0].coupon_id == 8591 and rows[0].distance == 0
+    assert rows[0].date_received.isoformat() == "2016-02-17" and rows[0].date is None
+    assert rows[1].coupon_id is None and rows[1].date.isoformat() == "2016-03-05"
