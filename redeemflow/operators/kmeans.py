@@ -69,7 +69,7 @@ def first_k(points: DataFrame, k: int, order: str, vec: str = "embedding") -> li
 def _partial_sums(vec: str, cents, prev):
     """mapInPandas body: per Arrow batch, nearest centroid under the new and
     the previous centroids (numpy, vectorised); per-cluster sums accumulate
-    over the whole partition, so k rows (k * d numbers) leave each task."""
+    over the whole partition, so k * d rows leave each task."""
     import numpy as np
     import pandas as pd
 
@@ -83,7 +83,7 @@ def _partial_sums(vec: str, cents, prev):
         return d2.argmin(1)
 
     def run(batches):
-        # accumulate over every batch of the partition; emit k rows once
+        # accumulate over every batch of the partition; emit once per task
         n = np.zeros(k, dtype=np.int64)
         moved = np.zeros(k, dtype=np.int64)
         sums = np.zeros((k, d), dtype=np.float64)
@@ -96,8 +96,14 @@ def _partial_sums(vec: str, cents, prev):
             n += np.bincount(a, minlength=k)
             moved += np.bincount(a, weights=changed, minlength=k).astype(np.int64)
             np.add.at(sums, a, x)
-        rows = [(j, int(n[j]), int(moved[j]), sums[j].tolist()) for j in range(k) if n[j] > 0]
-        yield pd.DataFrame(rows, columns=["cluster", "n", "changed", "sums"])
+        # long format (cluster, position, sum); the point and change counts
+        # ride on position 0 so they are added once per cluster
+        cl, pos = np.meshgrid(np.arange(k), np.arange(d), indexing="ij")
+        cl, pos = cl.ravel(), pos.ravel()
+        first = pos == 0
+        yield pd.DataFrame({"cluster": cl.astype(np.int32), "position": pos.astype(np.int32),
+                            "s": sums.ravel(), "n": np.where(first, n[cl], 0),
+                            "changed": np.where(first, moved[cl], 0)})
     return run
 
 
@@ -118,26 +124,24 @@ def kmeans(points: DataFrame, k: int, order: str, vec: str = "embedding",
 
     cents = first_k(points, k, order, vec)
     prev = None
-    schema = "cluster int, n long, changed long, sums array<double>"
+    schema = "cluster int, position int, s double, n long, changed long"
     # the vectors are read once per iteration: keep them (memory, spilling
     # to disk) for the loop, as MLlib's KMeans does; a lost block is
     # recomputed from the source
     vectors = points.select(vec).persist(StorageLevel.MEMORY_AND_DISK)
     for _ in range(max_iter):
         parts = vectors.mapInPandas(_partial_sums(vec, cents, prev), schema)
-        per_cluster = (parts.select("cluster", "n", "changed",
-                                    F.posexplode("sums").alias("position", "s"))
-                       .groupBy("cluster", "position")
-                       .agg(F.sum("s").alias("s"),
-                            F.sum(F.when(F.col("position") == 0, F.col("n"))).alias("n"),
-                            F.sum(F.when(F.col("position") == 0, F.col("changed"))).alias("changed"))
+        per_cluster = (parts.groupBy("cluster", "position")
+                       .agg(F.sum("s").alias("s"), F.sum("n").alias("n"),
+                            F.sum("changed").alias("changed"))
                        .collect())  # k * d rows
         if prev is not None and sum(r["changed"] or 0 for r in per_cluster) == 0:
             break
         sizes = {r["cluster"]: r["n"] for r in per_cluster if r["position"] == 0}
         new = [list(c) for c in cents]
         for r in per_cluster:
-            new[r["cluster"]][r["position"]] = r["s"] / sizes[r["cluster"]]
+            if sizes.get(r["cluster"]):  # an empty cluster keeps its centroid
+                new[r["cluster"]][r["position"]] = r["s"] / sizes[r["cluster"]]
         prev, cents = cents, new
     vectors.unpersist()
     final = assign(points, cents, vec)
