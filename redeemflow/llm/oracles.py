@@ -66,4 +66,20 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
 
-SQL = {"op2_url_filter": OP2, "op3_decontamination": OP3}
+OP6 = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+s AS (SELECT *, row_number() OVER w AS seq, role = 'assistant' AS target, count(*) OVER (PARTITION BY conv_id) AS n_turns,
+    sum(CASE WHEN role = 'assistant' THEN 7 ELSE 14 + length(replace(replace(role, '\', '\\'), chr(10), '\n')) END
+      + length(text) + len(regexp_extract_all(text, '[<\[]\\*(?:/?s>|/?INST\])'))) OVER w AS e
+  FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, any_value(n_turns) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY seq)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (target), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY seq) FILTER (target), '')) AS loss_sha256,
+  CAST(sum(e) FILTER (target OR seq = n_turns) AS BIGINT) AS formatted_chars,
+  CAST(count(*) FILTER (target OR seq = n_turns) AS BIGINT) AS n_examples
+FROM s GROUP BY conv_id
+"""
+
+SQL = {"op6_chat_format": OP6, "op2_url_filter": OP2, "op3_decontamination": OP3}
