@@ -21,6 +21,11 @@ def register(fn):
     return fn
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 @register
 def op2_url_filter(spark, d):
     from redeemflow.llm.url_filters import filter_urls
@@ -34,6 +39,12 @@ def op3_decontamination(spark, d):
     return contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+@register
+def op4_quality_classifier(spark, d):
+    from redeemflow.llm.quality import classify
+    return classify(table(spark, d, "documents"), table(spark, d, "labels"), threshold=0.3)
+
+
 @register
 def op5_simhash_dedup(spark, d):
     from redeemflow.llm.simhash import group
@@ -56,4 +67,16 @@ def op7_quality_rules(spark, d):
     return judge(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+@register
+def op8_html_extract(spark, d):
+    from redeemflow.llm.html_extract import extract
+    return extract(table(spark, d, "pages"))
+
+
+@register
+def op10_packing(spark, d):
+    from redeemflow.llm.packing import pack
+    return pack(table(spark, d, "documents"), tokenizer_path())
+
+
 ORACLE: dict[str, str] = {k: v for k, v in SQL.items() if k in QUERIES}
