@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from redeemflow.session import ensure_checkpoint_dir
+from redeemflow.session import ensure_checkpoint_dir, scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -30,6 +30,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage of a large table: write it as Parquet (compressed, by column) in
+    the shared checkpoint folder and read it again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest node reachable from every node of an undirected edge list.
 

@@ -73,6 +73,12 @@ def op8_html_extract(spark, d):
     return extract(table(spark, d, "pages"))
 
 
+@register
+def op9_suffix_dedup(spark, d):
+    from redeemflow.llm.suffix import report
+    return report(table(spark, d, "documents"), width=50)
+
+
 @register
 def op10_packing(spark, d):
     from redeemflow.llm.packing import pack
