@@ -26,6 +26,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@register
+def op1_toxicity_chain(spark, d):
+    from redeemflow.llm.toxicity import chain
+    return chain(table(spark, d, "documents"), table(spark, d, "labels"), threshold=0.5)
+
+
 @register
 def op2_url_filter(spark, d):
     from redeemflow.llm.url_filters import filter_urls
