@@ -55,7 +55,8 @@ def _bounded(df: DataFrame) -> DataFrame:
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_words, n_hit, n_items,
-    items_sha256, contaminated``.
+    items_sha256, contaminated``.  A window of up to ``window`` words is a set of
+    ``shingle``-word shingles (its whole sequence if it is shorter).
 
     ``n_hit`` counts document words inside any occurrence of a window,
     ``n_items`` the items with occurring windows, ``items_sha256`` is the hex
@@ -66,6 +67,31 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle:
     matched by doc_id and text, so equal ids with other texts stay apart);
     repeated items count once per item_id; other columns are ignored.
     """
+    n_words = docs.select("doc_id", F.xxhash64("text").alias("text_key"),
+                          F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    marks = covered_words(docs, items, window, shingle)
+    out = (n_words.alias("d").join(
+        marks.select(F.col("doc_id").alias("m_id"), F.col("text_key").alias("m_key"), "n_hit", "ids"),
+        F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("text_key") == F.col("m_key")), "left"))
+    ids = F.coalesce("ids", F.expr("cast(array() as array<string>)"))
+    return out.select(
+        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.size(ids).cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort(ids), ","), 256).alias("items_sha256"),
+        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
+
+
+def uncontaminated(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5) -> DataFrame:
+    """Rows of ``docs``, all columns, that hold no window of an item."""
+    hit = cut(covered_words(docs, items, window, shingle)
+              .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")))
+    rows = docs.select(F.struct("*").alias("_row"), "doc_id", F.xxhash64("text").alias("_text_key"))
+    return rows.join(_bounded(hit), F.col("doc_id").eqNullSafe(F.col("_id"))
+                     & (F.col("_text_key") == F.col("_key")), "left_anti").select("_row.*")
+
+
+def covered_words(docs: DataFrame, items: DataFrame, window: int, shingle: int) -> DataFrame:
+    """``doc_id, text_key, n_hit, ids`` of the documents that hold a window."""
     wins = cut(item_windows(items, window))
     k = F.least(F.col("size"), F.lit(shingle))
     # every shingle of every window: one per offset
@@ -94,40 +120,25 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle:
                        F.slice("w", F.greatest(F.col("pos") - (window - n), F.lit(0)) + 1,
                                F.least(F.col("pos"), F.lit(window - n)) + window).alias("around")))
         hits = pos if hits is None else hits.unionByName(pos)
-    n_words = docs.select("doc_id", F.xxhash64("text").alias("text_key"),
-                          F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
-    if hits is None:
-        found = None
-    else:
-        hits = cut(hits)
-        # rarity over the whole corpus; a shingle that never occurs rules its window out
-        count = _bounded(cut(hits.groupBy("k", "h").agg(F.count("*").alias("n"))))
-        rare = (parts.join(count, ["k", "h"], "left")
-                .groupBy("win", "size", "k")
-                .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "h", "offset")).alias("x"))
-                .where("x.n > 0").select("win", "k", "x.h", "x.offset"))
-        prefix = _bounded(cut(rare.join(wins, "win")))
-        found = (hits.join(prefix, ["k", "h"])
-                 .where("offset <= before")
-                 .where(F.slice("around", F.col("before") - F.col("offset") + 1, F.col("size"))
-                        == F.col("win_words"))
-                 .select("doc_id", "text_key", (F.col("pos") - F.col("offset")).alias("start"),
-                         "size", "item_ids"))
-    if found is None:
-        marks = n_words.select("doc_id", "text_key").distinct().select(
-            "doc_id", "text_key", F.lit(0).cast("long").alias("n_hit"),
-            F.expr("cast(array() as array<string>)").alias("ids"))
-    else:
-        marks = _cover(found)
-    out = (n_words.alias("d").join(
-        marks.select(F.col("doc_id").alias("m_id"), F.col("text_key").alias("m_key"), "n_hit", "ids"),
-        F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("text_key") == F.col("m_key")), "left"))
-    ids = F.coalesce("ids", F.expr("cast(array() as array<string>)"))
-    return out.select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.size(ids).cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.array_sort(ids), ","), 256).alias("items_sha256"),
-        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
+    if hits is None:  # no item has a word
+        return docs.where("false").select("doc_id", F.xxhash64("text").alias("text_key"),
+                                          F.lit(0).cast("long").alias("n_hit"),
+                                          F.expr("cast(array() as array<string>)").alias("ids"))
+    hits = cut(hits)
+    # rarity over the whole corpus; a shingle that never occurs rules its window out
+    count = _bounded(cut(hits.groupBy("k", "h").agg(F.count("*").alias("n"))))
+    rare = (parts.join(count, ["k", "h"], "left")
+            .groupBy("win", "size", "k")
+            .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "h", "offset")).alias("x"))
+            .where("x.n > 0").select("win", "k", "x.h", "x.offset"))
+    prefix = _bounded(cut(rare.join(wins, "win")))
+    found = (hits.join(prefix, ["k", "h"])
+             .where("offset <= before")
+             .where(F.slice("around", F.col("before") - F.col("offset") + 1, F.col("size"))
+                    == F.col("win_words"))
+             .select("doc_id", "text_key", (F.col("pos") - F.col("offset")).alias("start"),
+                     "size", "item_ids"))
+    return _cover(found)
 
 
 def _cover(found: DataFrame) -> DataFrame:

@@ -145,6 +145,26 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
             .mapInArrow(run, "doc_id long, score double"))
 
 
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_rows: int = 3000) -> DataFrame:
+    """Rows of ``docs``, all columns, that score at least ``threshold``; rows are
+    filtered where they are read, so no text is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, _learnable(labels), max_rows))
+
+    def run(batches):
+        weights, bias = shared.value
+        memo: dict = {}
+        for b in batches:
+            keep = [score_text(t.encode("utf-8", "replace") if t is not None else None, weights, bias, memo)
+                    >= threshold for t in b.column("text").to_pylist()]
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _learnable(labels: DataFrame) -> DataFrame:
+    return labels.where(~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").alias("y"))
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows never learned from: crc32 of the id as text, modulo 5, is 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -157,7 +177,6 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_row
     and labels of unknown documents are ignored; repeated rows score alike; a
     null doc_id is never learned from; other columns are ignored.
     """
-    known = labels.where(~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").alias("y"))
-    return (score(docs, fit(docs, known, max_rows))
+    return (score(docs, fit(docs, _learnable(labels), max_rows))
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                     (F.col("score") >= threshold).cast("int").alias("predicted")))

@@ -173,8 +173,8 @@ def deduplicate(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFra
         F.min(F.struct(F.isnull("doc_id"), "doc_id", "text_key", "n")).alias("x"))
     best = best.select(F.col("x.doc_id").alias("_id"), F.col("x.text_key").alias("_key"),
                        F.col("x.n").alias("_n"))
-    stay = docs.withColumn("_text_key", F.xxhash64("text")).join(
-        best, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
+    rows = docs.select(F.struct("*").alias("_row"), "doc_id", "text", F.xxhash64("text").alias("_text_key"))
+    stay = rows.join(best, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
     once, more = stay.where("_n = 1"), stay.where("_n > 1")
-    return once.select(docs.columns).unionByName(
-        more.dropDuplicates(["doc_id", "text"]).select(docs.columns))
+    return (once.select("_row").unionByName(more.dropDuplicates(["doc_id", "text"]).select("_row"))
+            .select("_row.*"))

@@ -402,7 +402,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     """Rows with ``id`` (a null doc_id comes after every other), ``sub`` (part of the
     text's hash: keeps rows of one id with different texts apart) and bytes."""
     return docs.select(
-        "*", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("_id"),
+        F.struct("*").alias("_row"), "doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("_id"),
         F.xxhash64("text").bitwiseAND(F.lit(0x3FFFFF)).alias("_sub"))
 
 
@@ -517,6 +517,6 @@ def cleaned(docs: DataFrame, width: int = 50) -> DataFrame:
         return b"".join(bytes(data[s:e]) for s, e in kept).decode("utf-8", "ignore")
 
     text = F.when(F.col("ranges").isNull(), F.col("text")).otherwise(left(F.col("text").cast("binary"), "ranges"))
-    rows = _with_ranges(docs, width).withColumn("_left", text)
-    return (rows.where("_left is null or _left <> '' or text = ''").withColumn("text", F.col("_left"))
-            .select(docs.columns))
+    rows = _with_ranges(docs, width).select("_row", "text", text.alias("_left"))
+    return (rows.where("_left is null or _left <> '' or text = ''")
+            .select(F.col("_row").withField("text", F.col("_left")).alias("_row")).select("_row.*"))

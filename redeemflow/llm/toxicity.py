@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 20
 NGRAMS = (4, 5, 6)
-MAX_FEATURES, MIN_ROWS, MIN_SCORE, FOLDS = 3000, 3, 3.5, 5
+MAX_FEATURES, MIN_ROWS, MIN_SCORE, MIN_RATIO, FOLDS = 3000, 3, 3.0, 4, 5
 MEMO_WORDS = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -73,7 +73,7 @@ def choose_features(sets: list[np.ndarray], y: np.ndarray) -> dict[int, int]:
     n1, n0 = max(y.sum(), 1), max(len(y) - y.sum(), 1)
     p1, p0 = (pos + 0.5) / (n1 + 1), (neg + 0.5) / (n0 + 1)
     z = np.log(p1 / p0) / np.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))
-    z[(pos + neg) < MIN_ROWS] = 0
+    z[((pos + neg) < MIN_ROWS) | (p1 < MIN_RATIO * p0)] = 0
     top = np.argsort(-z, kind="stable")[:MAX_FEATURES]
     return {int(b): i for i, b in enumerate(top[z[top] > MIN_SCORE])}
 
