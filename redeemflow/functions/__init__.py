@@ -27,41 +27,11 @@ def lit_date(s: str) -> Column:
 
 
 # ---------------------------------------------------------------- discount
-def _parts(rate) -> tuple[Column, Column]:
-    p = F.split(c(rate), ":")
-    return F.get(p, 0).try_cast("double"), F.get(p, 1).try_cast("double")
-
-
 def is_manjian(rate) -> Column:
     """1 when the text is ``X:Y``; null text counts as plain (0)."""
     return F.coalesce(c(rate).contains(":").cast("int"), F.lit(0))
 
 
-def discount_ratio(rate, form: str = "b") -> Column:
-    """The price share paid.  ``X:Y`` -> (X-Y)/X (form b) or 1-Y/X (form a)."""
-    x, y = _parts(rate)
-    manjian = F.try_divide(x - y, x) if form == "b" else F.lit(1.0) - F.try_divide(y, x)
-    return F.when(c(rate).contains(":"), manjian).otherwise(c(rate).try_cast("double"))
-
-
-def min_cost_of_manjian(rate, default: int = -1) -> Column:
-    """X of ``X:Y``, else ``default``."""
-    x, _ = _parts(rate)
-    return F.when(c(rate).contains(":"), x.cast("int")).otherwise(F.lit(default))
-
-
-def discount_man(rate) -> Column:
-    """X of ``X:Y``, else null."""
-    x, _ = _parts(rate)
-    return F.when(c(rate).contains(":"), x.cast("int"))
-
-
-def discount_jian(rate) -> Column:
-    """Y of ``X:Y``, else null."""
-    _, y = _parts(rate)
-    return F.when(c(rate).contains(":"), y.cast("int"))
-
-
 # Parsed once: project ``discount_parts`` first, then derive every discount
 # column from ``_dm`` / ``_dx`` / ``_dy``.  Catalyst keeps the two
 # projections apart (it does not inline a split used several times), so the
@@ -110,11 +80,6 @@ def null_distance(d="distance") -> Column:
 
 
 # ---------------------------------------------------------------- dates
-def parse_yyyymmdd(s) -> Column:
-    """``yyyyMMdd`` text (or a number) -> DATE; anything else -> null."""
-    return F.to_date(F.regexp_replace(c(s).cast("string"), r"\.0+$", ""), "yyyyMMdd")
-
-
 def iso_weekday(d) -> Column:
     """Monday 1 .. Sunday 7."""
     return F.weekday(c(d)) + 1

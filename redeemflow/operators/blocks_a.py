@@ -65,18 +65,22 @@ def other_features(dataset: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- A-2
+#: coupons (16 bytes each) whose counts may be broadcast
+MAX_BROADCAST_COUPONS = 1_000_000
 COUPON_COLUMNS = ["day_of_week", "day_of_month", "days_distance", "discount_man",
                   "discount_jian", "is_man_jian"]
 
 
-def coupon_features(dataset: DataFrame, anchor: str) -> DataFrame:
+def coupon_features(dataset: DataFrame, anchor: str, popularity: bool = True) -> DataFrame:
     """A-2: dataset rows with receipt-date and discount features and the
-    coupon's popularity in the dataset (``coupon_count``).
+    coupon's popularity in the dataset (``coupon_count``, unless ``popularity`` is
+    false).
 
     ``discount_rate`` is replaced by its ratio (1 - Y/X form).  The
-    popularity is a ``groupBy(coupon)`` joined back (AQE broadcasts it when
-    its measured size is small); a window over the coupon alone would put a
-    popular coupon's rows into a single task.
+    popularity is a ``groupBy(coupon)`` joined back; a window over the coupon
+    alone would put a popular coupon's rows into a single task.  Its rows are
+    counted first: a small table is broadcast, so the rows do not move; a
+    large one meets them in a sort-merge join (with skew splitting).
     """
     rows = dataset.select("*", *RF.discount_parts("discount_rate")).select(
         *[RF.p_ratio("discount_rate", "a").alias("discount_rate")
@@ -88,9 +92,13 @@ def coupon_features(dataset: DataFrame, anchor: str) -> DataFrame:
         RF.p_jian().alias("discount_jian"),
         RF.p_is_manjian().alias("is_man_jian"),
     )
-    popularity = (dataset.where(has_coupon()).groupBy("coupon_id")
-                  .agg(F.count(F.lit(1)).alias("coupon_count")))
-    return rows.join(popularity, "coupon_id", "left").select(*rows.columns, "coupon_count")
+    if not popularity:
+        return rows
+    counts = (dataset.where(has_coupon()).groupBy("coupon_id")
+              .agg(F.count(F.lit(1)).alias("coupon_count")))
+    if counts.count() <= MAX_BROADCAST_COUPONS:
+        counts = F.broadcast(counts)
+    return rows.join(counts, "coupon_id", "left").select(*rows.columns, "coupon_count")
 
 
 # ----------------------------------------------------------------- A-3

@@ -88,7 +88,8 @@ def discount_counts(log: DataFrame) -> DataFrame:
 
 def monthly(log: DataFrame) -> DataFrame:
     """E5: per month -- redeemed and received by receive month, consumed by
-    consume month.  One pass: each row contributes to (at most) two months."""
+    consume month, 0 where a month between the first and the last has none.
+    One pass: each row contributes to (at most) two months."""
     lab = _labelled(log)
     events = lab.select(F.explode(F.array(
         F.struct(F.month("date_received").alias("month"),
@@ -98,20 +99,30 @@ def monthly(log: DataFrame) -> DataFrame:
         F.struct(F.month("date").alias("month"), F.lit(0).alias("rec"), F.lit(0).alias("red"),
                  F.lit(1).alias("con")),
     )).alias("e")).select("e.*")
-    return (events.where(F.col("month").isNotNull())
-                  .groupBy("month")
-                  .agg(F.sum("red").cast("long").alias("redeemed"),
-                       F.sum("rec").cast("long").alias("received"),
-                       F.sum("con").cast("long").alias("consumed")))
+    months = (events.where(F.col("month").isNotNull())
+                    .groupBy("month")
+                    .agg(F.sum("red").cast("long").alias("redeemed"),
+                         F.sum("rec").cast("long").alias("received"),
+                         F.sum("con").cast("long").alias("consumed")))
+    # 12 rows at most: the axis is spanned by the two end months
+    axis = months.agg(F.explode(F.sequence(F.min("month"), F.max("month"))).alias("month"))
+    return _on_axis(axis, months, "month")
+
+
+def _on_axis(axis: DataFrame, counts: DataFrame, key: str) -> DataFrame:
+    """Every key of ``axis`` with its counts, 0 where there are none."""
+    return axis.join(counts, key, "left").na.fill(0, [c for c in counts.columns if c != key])
 
 
 def weekday(log: DataFrame) -> DataFrame:
-    """Receipts and redemptions per ISO weekday of receipt."""
+    """Receipts and redemptions per ISO weekday of receipt, all seven days."""
     lab = _labelled(log)
-    return (lab.where(F.col("date_received").isNotNull())
+    days = (lab.where(F.col("date_received").isNotNull())
                .groupBy(RF.iso_weekday("date_received").alias("weekday"))
                .agg(F.count(F.lit(1)).alias("received"),
                     _count_if(F.col("label") == 1).alias("redeemed")))
+    axis = log.sparkSession.range(1, 8).select(F.col("id").cast("int").alias("weekday"))
+    return _on_axis(axis, days, "weekday")
 
 
 def value_shares(df: DataFrame, col: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """K-means (M8).
 
-Centroids travel as a literal array column (k x d numbers), so assigning a
-point is a per-row expression inside whole-stage codegen -- no join of
-points against centroids.  One Lloyd iteration is one distributed
-aggregation; only k x d means return to the driver between iterations.
+Centroids travel with the task (k x d numbers), so assigning a point joins
+nothing.  ``assign`` and ``lloyd_step`` are plain expressions over a literal array
+(array functions, which Spark interprets per row); the fit assigns whole Arrow
+batches in numpy, and its iterations are one distributed aggregation each, of
+which k x d means return to the driver.
 """
 
 from __future__ import annotations
@@ -66,6 +67,32 @@ def first_k(points: DataFrame, k: int, order: str, vec: str = "embedding") -> li
     return [[float(x) for x in r[0]] for r in rows]
 
 
+def _distances(x, cents):
+    """Squared distance of every row of ``x`` to every centroid, by direct
+    differences (the expanded form loses digits where norms are large)."""
+    import numpy as np
+
+    return np.stack([((x - c) ** 2).sum(1) for c in cents], axis=1)
+
+
+def _assign_batches(vec: str, cents):
+    import numpy as np
+
+    c = np.asarray(cents, dtype=np.float64)
+
+    def run(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            d2 = _distances(np.stack(pdf[vec].to_numpy()).astype(np.float64), c)
+            best = d2.argmin(1)
+            pdf["cluster"] = best.astype(np.int32)
+            pdf["distance"] = np.sqrt(d2[np.arange(len(best)), best])
+            pdf["sq_error"] = pdf["distance"] * pdf["distance"]
+            yield pdf
+    return run
+
+
 def _partial_sums(vec: str, cents, prev):
     """mapInPandas body: per Arrow batch, nearest centroid under the new and
     the previous centroids (numpy, vectorised); per-cluster sums accumulate
@@ -78,9 +105,7 @@ def _partial_sums(vec: str, cents, prev):
     k, d = c_new.shape
 
     def nearest(x, c):
-        # squared distances; argmin takes the first (lowest index) on ties
-        d2 = (x * x).sum(1)[:, None] - 2.0 * x @ c.T + (c * c).sum(1)[None, :]
-        return d2.argmin(1)
+        return _distances(x, c).argmin(1)  # the first (lowest index) on ties
 
     def run(batches):
         # accumulate over every batch of the partition; emit once per task
@@ -108,7 +133,7 @@ def _partial_sums(vec: str, cents, prev):
 
 
 def kmeans(points: DataFrame, k: int, order: str, vec: str = "embedding",
-           max_iter: int = 100) -> tuple[list[list[float]], DataFrame]:
+           max_iter: int | None = None) -> tuple[list[list[float]], DataFrame]:
     """Lloyd's algorithm until no point changes cluster (the reference's
     rule).  One job per iteration: each partition assigns its points under
     the new and the previous centroids and emits per-cluster partial sums
@@ -117,42 +142,38 @@ def kmeans(points: DataFrame, k: int, order: str, vec: str = "embedding",
     driver.  An empty cluster keeps its previous centroid.  Returns the
     centroids and the final (lazy) assignment with squared errors.
 
-    Nearest-centroid ties go to the lower index, as in ``assign``; the
-    squared-distance expansion used here can order near-ties differently
-    from the exact Euclidean form only at rounding level."""
+    ``max_iter`` bounds the iterations; reaching it with points still moving
+    raises, so an unfinished result is never returned.  Nearest-centroid ties
+    go to the lower index; the fit and the final assignment measure alike."""
     from pyspark import StorageLevel
 
     cents = first_k(points, k, order, vec)
-    prev = None
+    prev, done, n_iter = None, False, 0
     schema = "cluster int, position int, s double, n long, changed long"
     # the vectors are read once per iteration: keep them (memory, spilling
     # to disk) for the loop, as MLlib's KMeans does; a lost block is
     # recomputed from the source
     vectors = points.select(vec).persist(StorageLevel.MEMORY_AND_DISK)
-    for _ in range(max_iter):
-        parts = vectors.mapInPandas(_partial_sums(vec, cents, prev), schema)
-        per_cluster = (parts.groupBy("cluster", "position")
-                       .agg(F.sum("s").alias("s"), F.sum("n").alias("n"),
-                            F.sum("changed").alias("changed"))
-                       .collect())  # k * d rows
-        if prev is not None and sum(r["changed"] or 0 for r in per_cluster) == 0:
-            break
-        sizes = {r["cluster"]: r["n"] for r in per_cluster if r["position"] == 0}
-        new = [list(c) for c in cents]
-        for r in per_cluster:
-            if sizes.get(r["cluster"]):  # an empty cluster keeps its centroid
-                new[r["cluster"]][r["position"]] = r["s"] / sizes[r["cluster"]]
-        prev, cents = cents, new
-    vectors.unpersist()
-    final = assign(points, cents, vec)
-    return cents, final.select("*", (F.col("distance") * F.col("distance")).alias("sq_error"))
-
-
-def fit_ml_kmeans(points: DataFrame, k: int, vec: str = "embedding", seed: int = 0):
-    """The library implementation (k-means|| init), for large k or d."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    data = points.select(array_to_vector(
-        F.transform(F.col(vec), lambda x: x.cast("double"))).alias("features"))
-    return KMeans(k=k, seed=seed, featuresCol="features").fit(data)
+    try:
+        while not done:
+            if max_iter is not None and n_iter >= max_iter:
+                raise RuntimeError(f"points still change cluster after {max_iter} iterations")
+            n_iter += 1
+            parts = vectors.mapInPandas(_partial_sums(vec, cents, prev), schema)
+            per_cluster = (parts.groupBy("cluster", "position")
+                           .agg(F.sum("s").alias("s"), F.sum("n").alias("n"),
+                                F.sum("changed").alias("changed"))
+                           .collect())  # k * d rows
+            done = prev is not None and sum(r["changed"] or 0 for r in per_cluster) == 0
+            if not done:
+                sizes = {r["cluster"]: r["n"] for r in per_cluster if r["position"] == 0}
+                new = [list(c) for c in cents]
+                for r in per_cluster:
+                    if sizes.get(r["cluster"]):  # an empty cluster keeps its centroid
+                        new[r["cluster"]][r["position"]] = r["s"] / sizes[r["cluster"]]
+                prev, cents = cents, new
+    finally:
+        vectors.unpersist()
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema.fields)
+    return cents, points.mapInPandas(_assign_batches(vec, cents),
+                                     fields + ", cluster int, distance double, sq_error double")

@@ -9,7 +9,8 @@ the nearest other receipt of the same coupon.  A window partitioned by
    aggregate with map-side partial counts, so a key holding a third of
    all rows is combined before it is shuffled;
 2. roll that table up to (user, day), and that to (user), with further
-   aggregates;
+   aggregates (``receipt_day_stats``; what needs no such totals uses
+   ``pair_day_stats``);
 3. run the only window over (user, coupon) on the deduplicated table,
    where each group holds at most one row per calendar day;
 4. callers join the result back on (user, coupon, day) exactly once
@@ -24,18 +25,15 @@ from pyspark.sql import functions as F
 U, C, D = "user_id", "coupon_id", "date_received"
 
 
-def receipt_day_stats(rows: DataFrame, user: str = U, coupon: str = C, day: str = D) -> DataFrame:
-    """One row per distinct (user, coupon, day) of ``rows``.
-
-    Columns: n_ucd, n_uc, n_ud, n_u (receipt counts), first_day, last_day
-    (of the (user, coupon) group), prev_day, next_day (nearest other
-    distinct receipt day of the same user and coupon, null if none).
-    """
+def pair_day_stats(rows: DataFrame, user: str = U, coupon: str = C, day: str = D) -> DataFrame:
+    """One row per distinct (user, coupon, day) of ``rows``: n_ucd, n_uc (receipt
+    counts), first_day, last_day (of the (user, coupon) group), prev_day, next_day
+    (nearest other distinct receipt day of the same pair, null if none)."""
     ucd = (rows.where(F.col(user).isNotNull() & F.col(coupon).isNotNull() & F.col(day).isNotNull())
                .groupBy(user, coupon, day).agg(F.count(F.lit(1)).alias("n_ucd")))
     w = Window.partitionBy(user, coupon)
     wo = w.orderBy(day)
-    ucd = ucd.select(
+    return ucd.select(
         "*",
         F.sum("n_ucd").over(w).alias("n_uc"),
         F.min(day).over(w).alias("first_day"),
@@ -43,6 +41,12 @@ def receipt_day_stats(rows: DataFrame, user: str = U, coupon: str = C, day: str
         F.lag(day).over(wo).alias("prev_day"),
         F.lead(day).over(wo).alias("next_day"),
     )
+
+
+def receipt_day_stats(rows: DataFrame, user: str = U, coupon: str = C, day: str = D) -> DataFrame:
+    """``pair_day_stats`` with n_ud and n_u, the receipts of the (user, day) and of
+    the user."""
+    ucd = pair_day_stats(rows, user, coupon, day)
     # (user, day) totals, then user totals rolled up from those; the two
     # small tables are joined first (a user has at most one row per day),
     # so the (user, coupon, day) table is joined -- and shuffled -- once
@@ -75,17 +79,16 @@ def day_gaps(stats: DataFrame, day: str = D) -> DataFrame:
 
 
 def date_lists(rows: DataFrame, user: str = U, coupon: str = C, day: str = D) -> DataFrame:
-    """Per (user, coupon) the receipt days as sorted ``yyyyMMdd`` text
-    joined by ``:`` (one entry per receipt, repeats kept).
-
-    The aggregation buffer holds one (day, count) pair per distinct day;
-    repeats are expanded only in the final projection.
-    """
+    """Per (user, coupon) the receipt days in order with their counts, as
+    ``days: array<struct<day, n>>`` -- one entry per distinct day, however often a day
+    repeats."""
     ucd = (rows.where(F.col(user).isNotNull() & F.col(coupon).isNotNull() & F.col(day).isNotNull())
                .groupBy(user, coupon, day).agg(F.count(F.lit(1)).alias("n")))
-    g = ucd.groupBy(user, coupon).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(day).alias("d"), F.col("n").alias("n"))))
-        .alias("days"))
-    text = F.array_join(F.flatten(F.transform(
-        "days", lambda x: F.array_repeat(F.date_format(x["d"], "yyyyMMdd"), x["n"].cast("int")))), ":")
-    return g.select(user, coupon, text.alias("dates"))
+    return ucd.groupBy(user, coupon).agg(
+        F.sort_array(F.collect_list(F.struct(F.col(day).alias("day"), F.col("n").alias("n")))).alias("days"))
+
+
+def date_list_text(lists: DataFrame) -> DataFrame:
+    """The same as text, ``yyyyMMdd:count`` pairs joined by ``,``."""
+    pairs = F.transform("days", lambda x: F.concat(F.date_format(x["day"], "yyyyMMdd"), F.lit(":"), x["n"]))
+    return lists.withColumn("dates", F.array_join(pairs, ",")).drop("days")

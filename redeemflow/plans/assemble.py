@@ -7,11 +7,11 @@ user-merchant and other blocks, are deduplicated BEFORE the drop (as the
 reference does), then labelled.
 
 Join layout: the per-(user, coupon, day) statistics table is the only
-table joined to the rows on a composite key; user and user-coupon history
-are attached to that (smaller) table first, so the rows are shuffled once
-for all key-derived features.  Merchant and coupon blocks have one row per
-merchant / coupon; AQE turns those joins into broadcasts when their
-measured size is below the broadcast threshold, and keeps a sort-merge
+table joined to the rows on a composite key; user, coupon and user-coupon
+features are attached to that (smaller) table first, so the rows are shuffled
+once for all key-derived features.  The merchant block, one row per merchant,
+is joined last: AQE turns that join into a broadcast before the rows move when
+its measured size is below the broadcast threshold, and keeps a sort-merge
 join (with skew splitting) otherwise.
 """
 
@@ -52,14 +52,16 @@ def b_assemble(history: DataFrame, middle: DataFrame | None, label: DataFrame,
     finish: list = []
     rows_join: list = []
     if with_history:
-        # user and user-coupon aggregates go onto the (user, coupon, day)
-        # table; merchant and coupon aggregates (one row per merchant /
-        # coupon) onto the rows.  Keys missing from history get the blocks'
-        # fill values in the final projection.
+        # every aggregate but the merchant's is keyed by a part of the
+        # (user, coupon, day) key and goes onto that table, so the rows meet
+        # them in one join; the merchant's (one row per merchant) comes last,
+        # where its measured size lets AQE broadcast it.  Keys missing from
+        # history get the blocks' fill values in the final projection.
         u, uc, m, c = B.USER(), B.USER_COUPON(), B.MERCHANT(), B.COUPON()
-        stats = (stats.join(u.aggregate(history), u.keys, "left")
+        stats = (stats.join(c.aggregate(history), c.keys, "left")
+                      .join(u.aggregate(history), u.keys, "left")
                       .join(uc.aggregate(history), uc.keys, "left"))
-        rows_join = [m, c]
+        rows_join = [m]
         for blk in (u, m, c, uc):
             hist_cols += blk.order
             finish += blk.finish_columns()
@@ -91,7 +93,7 @@ def b_big_train(log: DataFrame, with_history: bool = True) -> DataFrame:
 
 # ---------------------------------------------------------------- Family A
 A_FILL_ZERO = ["user_merchant_buy_total", "user_merchant_any", "user_merchant_received"]
-A_DROP = ["merchant_id", "day_of_week", "coupon_count"]
+A_DROP = ["merchant_id", "day_of_week"]
 A_DROP_TRAIN = ["date", "date_received", "coupon_id"]
 
 
@@ -101,15 +103,17 @@ def a_dataset(log: DataFrame, n: int, test_log: DataFrame | None = None) -> Data
     anchor = A_SETS[n].anchor
     # The feature blocks are functions of the row's own keys, so deduplicating
     # the dataset first gives the same rows as the reference's dedupe after
-    # the joins, with fewer rows to shuffle.
-    rows = A.coupon_features(data.distinct(), anchor)
+    # the joins, with fewer rows to shuffle.  It happens after parsing: two
+    # discount texts of one rate ("0.9", "0.90") are equal rows only then.
+    # (coupon_count would be dropped below, so it is not joined in at all)
+    rows = A.coupon_features(data, anchor, popularity=False).distinct()
     # user features ride on the (user, coupon, day) table, which is smaller
     # than the rows, so the rows take both in one join
     per_receipt = A.other_features(data).join(A.user_features(features), ["user_id"], "left")
     joined = (rows
-              .join(A.merchant_features(features), ["merchant_id"], "left")
+              .join(per_receipt, UCD, "left")
               .join(A.user_merchant_features(features), ["user_id", "merchant_id"], "left")
-              .join(per_receipt, UCD, "left"))
+              .join(A.merchant_features(features), ["merchant_id"], "left"))
     m_cols = ["total_sales", "sales_use_coupon", "total_coupon", "merchant_min_distance",
               "merchant_max_distance", "merchant_mean_distance", "merchant_median_distance",
               "merchant_coupon_transfer_rate", "coupon_rate"]

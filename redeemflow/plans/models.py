@@ -16,26 +16,48 @@ from pyspark.sql import functions as F
 from redeemflow import functions as RF
 from redeemflow.operators import ml
 from redeemflow.plans import assemble
+from redeemflow.session import scratch_path
 from redeemflow.sources import offline_test, write_csv
 
+#: Rounds, step and sampling of the reference (fixed values).  They are thousands
+#: of sequential trees; pass them to a flow to run them, e.g.
+#: ``b_fit(log, **REFERENCE_B)``.
+REFERENCE_B = {"max_iter": 5167, "step_size": 0.01, "max_depth": 5, "subsample": 0.9, "feature_subset": "0.7"}
+REFERENCE_A = {"max_iter": 3500, "step_size": 0.01, "max_depth": 5, "subsample": 0.7, "feature_subset": "0.7"}
+
 A_NOT_FEATURES = ["user_id", "coupon_id", "date_received", "label",
                   "day_gap_before", "day_gap_after"]
 
 
-def b_fit(log: DataFrame, max_iter: int = 20) -> tuple[PipelineModel, list[str]]:
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """Scored rows, written once to the shared folder: later steps read them
+    instead of assembling and scoring again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def b_fit(log: DataFrame, **settings) -> tuple[PipelineModel, list[str]]:
+    """Fit on train + validate.  ``settings`` are those of ``ml.fit_gbt`` (rounds,
+    step, depth, sampling, seed)."""
     train = assemble.b_big_train(log)
     features = ml.feature_columns(train, assemble.B_ID_COLUMNS + ["label"])
-    return ml.fit_gbt(train, features, max_iter=max_iter), features
+    return ml.fit_gbt(train, features, **settings), features
 
 
-def b_validate(log: DataFrame, max_iter: int = 20) -> DataFrame:
-    """M7: the offline check -- fit on the train set, exact AUC on the
-    validate set (one row)."""
+def b_offline(log: DataFrame, **settings) -> DataFrame:
+    """M7, the offline run: fit on the train set, score the validate set (ids,
+    label, prob), written once."""
     train = assemble.b_dataset(log, "train")
     features = ml.feature_columns(train, assemble.B_ID_COLUMNS + ["label"])
-    model = ml.fit_gbt(train, features, max_iter=max_iter)
-    scored = ml.score(model, assemble.b_dataset(log, "validate"), features, ["label"])
-    return ml.exact_auc(scored, "prob", "label")
+    model = ml.fit_gbt(train, features, **settings)
+    scored = ml.score(model, assemble.b_dataset(log, "validate"), features, [*assemble.B_ID_COLUMNS, "label"])
+    return _written(scored, "offline-scores")
+
+
+def b_validate(log: DataFrame, **settings) -> DataFrame:
+    """M7: exact AUC of the offline run (one row)."""
+    return ml.exact_auc(b_offline(log, **settings), "prob", "label")
 
 
 def b_predictions(log: DataFrame, model: PipelineModel, features: list[str]) -> DataFrame:
@@ -53,17 +75,18 @@ def a_train_set(log: DataFrame) -> DataFrame:
     return sets[0].unionByName(sets[1])
 
 
-def a_fit(log: DataFrame, max_iter: int = 20) -> tuple[PipelineModel, list[str]]:
+def a_fit(log: DataFrame, **settings) -> tuple[PipelineModel, list[str]]:
+    """Fit on sets 1 + 2; ``settings`` as for ``b_fit`` (row sampling 0.7 by default)."""
     train = a_train_set(log)
     features = ml.feature_columns(train, A_NOT_FEATURES)
-    return ml.fit_gbt(train, features, max_iter=max_iter, subsample=0.7), features
+    return ml.fit_gbt(train, features, **{"subsample": 0.7, **settings}), features
 
 
 def a_predictions(log: DataFrame, model: PipelineModel, features: list[str]) -> DataFrame:
     """Set 3 scored, the score min-max scaled into ``label`` (the
     reference's output column name), sorted by (coupon_id, label)."""
     test = assemble.a_dataset(log, 3, offline_test(log)).distinct()
-    scored = ml.score(model, test, features, ["user_id", "coupon_id", "date_received"])
+    scored = _written(ml.score(model, test, features, ["user_id", "coupon_id", "date_received"]), "scores-a")
     scaled = ml.min_max_scale(scored, "prob", "label").drop("prob")
     return scaled.orderBy("coupon_id", "label")
 

@@ -23,11 +23,11 @@ from redeemflow import functions as RF
 from redeemflow.operators import blocks_a as A
 from redeemflow.operators import blocks_b as B
 from redeemflow.operators import eda, kmeans, ml, prep, split
-from redeemflow.operators.receipts import date_lists, day_gaps, first_last_flags, receipt_day_stats
+from redeemflow.operators.receipts import date_list_text, date_lists, day_gaps, first_last_flags, pair_day_stats
 from redeemflow.plans import assemble
 from redeemflow.plans import sql as S
-from redeemflow.session import scratch_path
-from redeemflow.sources import coupon_log, offline_test, read_log_csv, write_csv
+from redeemflow.session import apply_conf, scratch_path
+from redeemflow.sources import coupon_log, malformed, offline_test, read_log_csv, read_matrix_csv, write_csv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -50,6 +50,7 @@ def r6(df: DataFrame) -> DataFrame:
 
 
 def log(spark, d) -> DataFrame:
+    apply_conf(spark)
     return coupon_log(spark, d)
 
 
@@ -85,6 +86,28 @@ def q_src_csv_roundtrip(spark, d):
     return read_log_csv(spark, path, header=True)
 
 
+@register("src_csv_headerless", S.with_() + "SELECT * FROM coupon")
+def q_src_csv_headerless(spark, d):
+    """The same by position, without a header."""
+    path = scratch_path(spark, "csv-headerless")
+    write_csv(log(spark, d), path, header=False)
+    return read_log_csv(spark, path, header=False)
+
+
+@register("src_malformed", S.with_() + "SELECT * FROM (" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST({n} AS BIGINT) AS cells" for c, n in (
+        ("user_id", 0), ("merchant_id", 0), ("coupon_id", "(SELECT COUNT(*) FROM coupon WHERE coupon_id % 7 = 0)"),
+        ("discount_rate", 0), ("distance", 0), ("date_received", 0), ("date", 0))) + ")")
+def q_src_malformed(spark, d):
+    """Cells that are no id, number or date: every coupon divisible by 7 is
+    written with a letter and has to be reported."""
+    path = scratch_path(spark, "csv-malformed")
+    bad = F.when(F.col("coupon_id") % 7 == 0, F.concat(F.lit("x"), "coupon_id")).otherwise(
+        F.col("coupon_id").cast("string"))
+    write_csv(log(spark, d).withColumn("coupon_id", bad), path, header=True)
+    return malformed(spark, path, header=True)
+
+
 # ====================================================================== row level
 @register("prep_discount", S.with_() + f"""SELECT user_id, merchant_id, coupon_id, discount_rate,
   {S.is_manjian()} AS is_manjian, round({S.ratio_b()}, 6) AS rate_b,
@@ -202,39 +225,42 @@ def _split_rows(spark, d, family: str) -> DataFrame:
                    F.max("t.day").alias("last_day")))
 
 
-def _split_sql_b() -> str:
-    parts = []
-    for name, s in split.B_SPLITS.items():
-        for part, col, rng in (("history", "date_received", s.history),
-                               ("middle", "date", s.middle),
-                               ("label", "date_received", s.label)):
-            if rng is None:
-                where, col = S.TEST_WHERE, "date_received"
-            else:
-                where = S.half_open(col, rng[0], split._plus(rng[0], rng[1]))
-            parts.append(f"SELECT '{name}_{part}' AS split, COUNT(*) AS rows, MIN({col}) AS first_day, "
-                         f"MAX({col}) AS last_day FROM coupon WHERE {where}")
-    return S.with_() + "SELECT * FROM (" + "\nUNION ALL ".join(parts) + ") WHERE rows > 0"
+# The reference's own dates, written out: (split, column or expression, first
+# day, last day).
+_B_DATES = [
+    ("train_history", "date_received", "2016-03-02", "2016-04-30"),
+    ("train_middle", "date", "2016-05-01", "2016-05-15"),
+    ("train_label", "date_received", "2016-05-16", "2016-06-15"),
+    ("validate_history", "date_received", "2016-01-16", "2016-03-15"),
+    ("validate_middle", "date", "2016-03-16", "2016-03-30"),
+    ("validate_label", "date_received", "2016-03-31", "2016-04-30"),
+    ("test_history", "date_received", "2016-04-17", "2016-06-15"),
+    ("test_middle", "date", "2016-06-16", "2016-06-30"),
+    ("test_label", "date_received", "2016-07-01", "2016-07-31"),
+]
+_A_DATES = [
+    ("set1_dataset", "date_received", "2016-04-14", "2016-05-14"),
+    ("set1_features", "COALESCE(date, date_received)", "2016-01-01", "2016-04-13"),
+    ("set2_dataset", "date_received", "2016-05-15", "2016-06-15"),
+    ("set2_features", "COALESCE(date, date_received)", "2016-02-01", "2016-05-14"),
+    ("set3_dataset", "date_received", "2016-07-01", "2016-07-31"),
+    ("set3_features", "COALESCE(date, date_received)", "2016-03-15", "2016-06-30"),
+]
 
 
-def _split_sql_a() -> str:
-    parts = []
-    for n, s in split.A_SETS.items():
-        where = S.TEST_WHERE if s.data is None else S.between("date_received", *s.data)
-        parts.append(f"SELECT 'set{n}_dataset' AS split, COUNT(*) AS rows, MIN(date_received) AS "
-                     f"first_day, MAX(date_received) AS last_day FROM coupon WHERE {where}")
-        eff = "COALESCE(date, date_received)"
-        parts.append(f"SELECT 'set{n}_features' AS split, COUNT(*) AS rows, MIN({eff}) AS first_day, "
-                     f"MAX({eff}) AS last_day FROM coupon WHERE {S.between(eff, *s.features)}")
-    return S.with_() + "SELECT * FROM (" + "\nUNION ALL ".join(parts) + ") WHERE rows > 0"
+def _split_sql(dates) -> str:
+    return S.with_() + "SELECT * FROM (" + "\nUNION ALL ".join(
+        f"SELECT '{name}' AS split, COUNT(*) AS rows, MIN({day}) AS first_day, MAX({day}) AS last_day "
+        f"FROM coupon WHERE {day} >= DATE '{first}' AND {day} <= DATE '{last}'"
+        for name, day, first, last in dates) + ") WHERE rows > 0"
 
 
-@register("split_b", _split_sql_b())
+@register("split_b", _split_sql(_B_DATES))
 def q_split_b(spark, d):
     return _split_rows(spark, d, "b")
 
 
-@register("split_a", _split_sql_a())
+@register("split_a", _split_sql(_A_DATES))
 def q_split_a(spark, d):
     return _split_rows(spark, d, "a")
 
@@ -293,15 +319,19 @@ def q_eda_discount(spark, d):
     f"e AS (SELECT {S.month('date_received')} AS month, CAST(date_received IS NOT NULL AS INTEGER) AS rec, "
     f"CASE WHEN {S.label_b()} = 1 THEN 1 ELSE 0 END AS red, 0 AS con FROM coupon "
     f"UNION ALL SELECT {S.month('date')}, 0, 0, 1 FROM coupon)") + """SELECT month,
-  CAST(SUM(red) AS BIGINT) AS redeemed, CAST(SUM(rec) AS BIGINT) AS received,
-  CAST(SUM(con) AS BIGINT) AS consumed FROM e WHERE month IS NOT NULL GROUP BY month""")
+  CAST(COALESCE(SUM(red), 0) AS BIGINT) AS redeemed, CAST(COALESCE(SUM(rec), 0) AS BIGINT) AS received,
+  CAST(COALESCE(SUM(con), 0) AS BIGINT) AS consumed
+  FROM (SELECT CAST(unnest(range(min(month), max(month) + 1)) AS INTEGER) AS month FROM e) axis
+    LEFT JOIN e USING (month) GROUP BY month""")
 def q_eda_month(spark, d):
     return eda.monthly(log(spark, d))
 
 
-@register("eda_weekday", S.with_() + f"""SELECT {S.isodow('date_received')} AS weekday,
-  COUNT(*) AS received, COUNT(*) FILTER (WHERE {S.label_b()} = 1) AS redeemed FROM coupon
-  WHERE date_received IS NOT NULL GROUP BY 1""")
+@register("eda_weekday", S.with_(f"""e AS (SELECT {S.isodow('date_received')} AS weekday, {S.label_b()} AS label
+  FROM coupon WHERE date_received IS NOT NULL)""") + """SELECT weekday, COUNT(label) AS received,
+  COUNT(*) FILTER (WHERE label = 1) AS redeemed
+  FROM (SELECT CAST(unnest([1, 2, 3, 4, 5, 6, 7]) AS INTEGER) AS weekday) axis LEFT JOIN e USING (weekday)
+  GROUP BY weekday""")
 def q_eda_weekday(spark, d):
     return eda.weekday(log(spark, d))
 
@@ -672,22 +702,37 @@ _OTHER_OUT = f"""user_id, coupon_id, date_received,
   n_ucd AS this_day_user_receive_same_coupon_count, {_GAPB}, {_GAPA}"""
 
 
-@register("a_first_last", S.with_(A2D_CTE, _OTHER_CTE.format(src="d2")) + f"""SELECT user_id,
-  coupon_id, date_received, {_LAST}, {_FIRST} FROM d2 JOIN o USING (user_id, coupon_id, date_received)""")
+# W1, W2 told from the raw rows: every receipt against the other receipts of its
+# user and coupon
+_PEERS = """r AS (SELECT * FROM d2 WHERE coupon_id IS NOT NULL AND date_received IS NOT NULL),
+peers AS (SELECT a.user_id, a.coupon_id, a.date_received, COUNT(*) AS n_pair,
+    COUNT(*) FILTER (WHERE b.date_received > a.date_received) AS later,
+    COUNT(*) FILTER (WHERE b.date_received < a.date_received) AS earlier,
+    MIN(date_diff('day', b.date_received, a.date_received)) FILTER (WHERE b.date_received < a.date_received) AS back,
+    MIN(date_diff('day', a.date_received, b.date_received)) FILTER (WHERE b.date_received > a.date_received) AS ahead
+  FROM (SELECT DISTINCT user_id, coupon_id, date_received FROM r) a
+    JOIN r b ON b.user_id = a.user_id AND b.coupon_id = a.coupon_id GROUP BY ALL)"""
+
+
+@register("a_first_last", S.with_(A2D_CTE, _PEERS) + """SELECT user_id, coupon_id, date_received,
+  CASE WHEN n_pair = 1 THEN -1 WHEN later = 0 THEN 1 ELSE 0 END AS this_month_user_receive_same_coupon_lastone,
+  CASE WHEN n_pair = 1 THEN -1 WHEN earlier = 0 THEN 1 ELSE 0 END AS this_month_user_receive_same_coupon_firstone
+  FROM r JOIN peers USING (user_id, coupon_id, date_received)""")
 def q_a_first_last(spark, d):
     data, _ = a2(spark, d)
-    flags = first_last_flags(receipt_day_stats(data)).select(
+    flags = first_last_flags(pair_day_stats(data)).select(
         "user_id", "coupon_id", "date_received", "this_month_user_receive_same_coupon_lastone",
         "this_month_user_receive_same_coupon_firstone")
     return data.select("user_id", "coupon_id", "date_received").join(
         flags, ["user_id", "coupon_id", "date_received"])
 
 
-@register("a_day_gap", S.with_(A2D_CTE, _OTHER_CTE.format(src="d2")) + f"""SELECT user_id,
-  coupon_id, date_received, {_GAPB}, {_GAPA} FROM d2 JOIN o USING (user_id, coupon_id, date_received)""")
+@register("a_day_gap", S.with_(A2D_CTE, _PEERS) + """SELECT user_id, coupon_id, date_received,
+  CAST(COALESCE(back, -1) AS INTEGER) AS day_gap_before, CAST(COALESCE(ahead, -1) AS INTEGER) AS day_gap_after
+  FROM r JOIN peers USING (user_id, coupon_id, date_received)""")
 def q_a_day_gap(spark, d):
     data, _ = a2(spark, d)
-    gaps = day_gaps(receipt_day_stats(data)).select(
+    gaps = day_gaps(pair_day_stats(data)).select(
         "user_id", "coupon_id", "date_received", "day_gap_before", "day_gap_after")
     return data.select("user_id", "coupon_id", "date_received").join(
         gaps, ["user_id", "coupon_id", "date_received"])
@@ -700,11 +745,13 @@ def q_a_other(spark, d):
 
 
 @register("agg_date_list", S.with_(A2D_CTE) + """SELECT user_id, coupon_id,
-  string_agg(strftime(date_received, '%Y%m%d'), ':' ORDER BY date_received) AS dates
-  FROM d2 WHERE coupon_id IS NOT NULL AND date_received IS NOT NULL GROUP BY user_id, coupon_id""")
+  string_agg(strftime(date_received, '%Y%m%d') || ':' || n, ',' ORDER BY date_received) AS dates
+  FROM (SELECT user_id, coupon_id, date_received, COUNT(*) AS n FROM d2
+        WHERE coupon_id IS NOT NULL AND date_received IS NOT NULL GROUP BY ALL)
+  GROUP BY user_id, coupon_id""")
 def q_agg_date_list(spark, d):
     data, _ = a2(spark, d)
-    return date_lists(data)
+    return date_list_text(date_lists(data))
 
 
 def _a_dataset_sql(data_where: str, feat_where: str, anchor: str, labelled: bool) -> str:
@@ -713,11 +760,9 @@ def _a_dataset_sql(data_where: str, feat_where: str, anchor: str, labelled: bool
         ", date" if labelled else "")
     ctes = [
         f"dfull AS (SELECT {src_cols} FROM coupon WHERE {data_where})",
-        "dd AS (SELECT DISTINCT * FROM dfull)",
         f"ff AS (SELECT * FROM coupon WHERE {feat_where})",
         f"cf AS (SELECT " + _A_COUPON_OUT.replace("{date}", date_col).replace("{anchor}", anchor)
-        .replace("COUNT(coupon_id) OVER (PARTITION BY coupon_id) AS coupon_count", "0 AS coupon_count")
-        + " FROM dd)",
+        + " FROM dfull)",
         f"m AS ({_A_MERCHANT_SQL.format(src='ff')})",
         f"mo AS (SELECT {_A_MERCHANT_OUT} FROM m)",
         f"u AS ({_A_USER_SQL.format(src='ff')})",
@@ -737,7 +782,11 @@ def _a_dataset_sql(data_where: str, feat_where: str, anchor: str, labelled: bool
               "user_median_distance", "buy_use_coupon", "buy_total", "coupon_received",
               "avg_user_date_datereceived_gap", "min_user_date_datereceived_gap",
               "max_user_date_datereceived_gap", "buy_use_coupon_rate", "user_coupon_transfer_rate"]
-    sel = [f"cf.{c}" for c in keep] + [f"mo.{c}" for c in m_cols] + [f"uo.{c}" for c in u_cols]
+    # joined rows are deduplicated with their keys, then the keys go
+    keys = ["merchant_id", "coupon_id", "date_received", "day_of_week", "coupon_count"] + (
+        ["date"] if labelled else [])
+    sel = [f"cf.{c} AS k_{c}" for c in keys]
+    sel += [f"cf.{c}" for c in keep] + [f"mo.{c}" for c in m_cols] + [f"uo.{c}" for c in u_cols]
     sel += ["COALESCE(umo.user_merchant_buy_total, 0) AS user_merchant_buy_total",
             "COALESCE(umo.user_merchant_received, 0) AS user_merchant_received",
             "umo.user_merchant_buy_use_coupon",
@@ -750,12 +799,13 @@ def _a_dataset_sql(data_where: str, feat_where: str, anchor: str, labelled: bool
     sel += [f"CAST({S.isodow('cf.date_received')} = {i} AS INTEGER) AS weekday{i}" for i in range(1, 8)]
     if labelled:
         sel += [f"{S.label_a('cf.date', 'cf.date_received')} AS label"]
-    return S.with_(*ctes) + "SELECT " + ",\n  ".join(sel) + """
+    return S.with_(*ctes) + "SELECT * EXCLUDE (" + ", ".join(f"k_{c}" for c in keys) + ") FROM (SELECT DISTINCT " + \
+        ",\n  ".join(sel) + """
 FROM cf LEFT JOIN mo ON mo.merchant_id = cf.merchant_id
   LEFT JOIN uo ON uo.user_id = cf.user_id
   LEFT JOIN umo ON umo.user_id = cf.user_id AND umo.merchant_id = cf.merchant_id
   LEFT JOIN oo ON oo.user_id = cf.user_id AND oo.coupon_id = cf.coupon_id
-    AND oo.date_received = cf.date_received"""
+    AND oo.date_received = cf.date_received)"""
 
 
 @register("a_dataset_train", _a_dataset_sql(A2D_W, A2F_W, "2016-05-14", True))
@@ -792,12 +842,14 @@ _MODELS: dict = {}
 
 
 def _model(spark, d, family: str):
-    """Fit once per session, folder and family (score and importance
-    queries share the model)."""
+    """Fit once per session, input data and family (score and importance
+    queries share the model).  The key holds the input's stamp, so changed
+    tables are fitted anew."""
     from redeemflow.plans import models
+    from redeemflow.sources.log import log_table_path
 
     lg = log(spark, d)
-    key = (spark.sparkContext.applicationId, d, family)
+    key = (spark.sparkContext.applicationId, log_table_path(spark, d), family)
     if key not in _MODELS:
         _MODELS[key] = models.b_fit(lg) if family == "b" else models.a_fit(lg)
     model, features = _MODELS[key]
@@ -827,6 +879,42 @@ def q_ml_validate(spark, d):
     return models.b_validate(log(spark, d))
 
 
+@register("ml_offline_rows", S.with_(PB, _VAL_CTES) + f"""SELECT user_id, coupon_id, date_received, label,
+  TRUE AS scored, COUNT(*) AS rows FROM ({_VAL_SEL}) GROUP BY ALL""")
+def q_ml_offline_rows(spark, d):
+    """M7's offline predictions, what SQL can say of them: ids and label of every
+    validate row, and that each has a probability."""
+    from redeemflow.plans import models
+
+    scored = models.b_offline(log(spark, d), max_iter=3)
+    return (scored.select("user_id", "coupon_id", "date_received", "label",
+                          F.coalesce(F.col("prob").between(0, 1), F.lit(False)).alias("scored"))
+            .groupBy("user_id", "coupon_id", "date_received", "label", "scored").agg(F.count("*").alias("rows")))
+
+
+@register("ml_prediction_files", S.with_(PB, PT, _TEST_CTES) + f"""SELECT user_id, coupon_id, date_received,
+  COUNT(*) AS rows, TRUE AS scored FROM ({_TEST_SEL}) GROUP BY ALL
+  UNION ALL SELECT -1, -1, NULL, 39, TRUE""")
+def q_ml_prediction_files(spark, d):
+    """Predictions and importances written as files and read again.  Ids
+    come back as integers, probabilities in [0, 1]; the row -1 counts the
+    features in the importance file, highest score first."""
+    from redeemflow.plans import models
+
+    lg, model, features = _model(spark, d, "b")
+    path, imp_path = scratch_path(spark, "predictions"), scratch_path(spark, "importance")
+    models.write_predictions(models.b_predictions(lg, model, features), path)
+    models.write_importance(ml.importance(model, features, spark), imp_path)
+    back = spark.read.csv(path, schema="user_id long, coupon_id long, day string, prob double", nullValue="null")
+    rows = (back.groupBy("user_id", "coupon_id", F.to_date("day", "yyyyMMdd").alias("date_received"))
+            .agg(F.count("*").alias("rows"), F.min(F.col("prob").between(0, 1)).alias("scored")))
+    imp = spark.read.csv(imp_path, header=True, schema="feature string, score double")
+    total = imp.agg(F.lit(-1).cast("long").alias("user_id"), F.lit(-1).cast("long").alias("coupon_id"),
+                    F.lit(None).cast("date").alias("date_received"), F.count("*").alias("rows"),
+                    F.min(F.col("score").between(0, 1)).alias("scored"))
+    return rows.unionByName(total)
+
+
 @register("ml_score_a")
 def q_ml_score_a(spark, d):
     """M1-M4, O1 (Family A): fit on sets 1 + 2 without day gaps, score set 3,
@@ -884,11 +972,49 @@ def q_kmeans_step(spark, d):
     return r6(kmeans.lloyd_step(pts, cents))
 
 
+# Lloyd's steps unrolled by recursion: a state is the list of centroids and every
+# vector's cluster; it ends when no vector changes cluster.
+_KM_FIT = """WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v,
+    CAST(ROW_NUMBER() OVER (ORDER BY vec_id) AS INTEGER) AS i FROM embeddings),
+flat AS (SELECT i, generate_subscripts(v, 1) AS j, unnest(v) AS x FROM e),
+start AS (SELECT list(v ORDER BY i) AS c FROM e WHERE i <= 4),
+run(it, c, a, moved) AS (
+  SELECT 0, c, CAST([] AS INTEGER[]), TRUE FROM start
+  UNION ALL
+  SELECT it + 1,
+    CASE WHEN n.a = r.a THEN r.c ELSE (
+      SELECT list(m ORDER BY k) FROM (SELECT k, list(mean ORDER BY j) AS m FROM (
+        SELECT n.a[i] AS k, j, AVG(x) AS mean FROM flat GROUP BY 1, 2) GROUP BY k)) END,
+    n.a, n.a <> r.a
+  FROM run r, LATERAL (SELECT list(k ORDER BY i) AS a FROM (
+    SELECT i, CAST(list_position(ds, list_min(ds)) AS INTEGER) AS k FROM (
+      SELECT i, [list_distance(v, r.c[1]), list_distance(v, r.c[2]),
+                 list_distance(v, r.c[3]), list_distance(v, r.c[4])] AS ds FROM e))) n
+  WHERE r.moved),
+fin AS (SELECT c FROM run ORDER BY it DESC LIMIT 1)
+"""
+
+
 @register("kmeans_fit")
 def q_kmeans_fit(spark, d):
-    """M8: Lloyd's algorithm on the embeddings until the centroids stop
-    moving (k = 4, start = the 4 lowest vec_id); final assignment with
-    squared errors.  Iterative, so no SQL oracle."""
+    """M8: Lloyd's algorithm on the embeddings until no point changes cluster
+    (k = 4, start = the 4 lowest vec_id); final assignment with squared
+    errors."""
     pts = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", "embedding")
-    _, assigned = kmeans.kmeans(pts, 4, "vec_id", max_iter=50)
+    _, assigned = kmeans.kmeans(pts, 4, "vec_id")
     return r6(assigned.select("vec_id", "cluster", "distance", "sq_error"))
+
+
+@register("kmeans_matrix_file", "WITH " + ",\n".join(_KM_CTES) + """
+SELECT cluster, COUNT(*) AS points, round(SUM(distance), 4) AS distance FROM a GROUP BY cluster""")
+def q_kmeans_matrix_file(spark, d):
+    """S5 into M8: the embeddings written as a tab-separated matrix, read by
+    ``read_matrix_csv`` and assigned to the 4 lowest vec_id."""
+    pts = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", "embedding")
+    path = scratch_path(spark, "matrix")
+    (pts.select(*[F.col("embedding")[i].cast("double").alias(f"c{i}") for i in range(64)])
+        .write.option("sep", "\t").csv(path))
+    matrix = read_matrix_csv(spark, path, 64)
+    got = kmeans.assign(matrix, kmeans.first_k(pts, 4, "vec_id"), "features")
+    return (got.groupBy("cluster").agg(F.count("*").alias("points"),
+                                       F.round(F.sum("distance"), 4).alias("distance")))

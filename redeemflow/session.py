@@ -54,24 +54,48 @@ def build_session(master: str | None = None, app: str = "redeemflow",
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+def storage_root(spark: SparkSession) -> str:
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) is a private folder created and registered.
+    The same in every session of one setting, so tables and stream
+    checkpoints below it are found again after a restart.  Unset, a private
+    folder takes its place on a local master (as in tests); anywhere else that
+    is an error, since executors would not share it.
     """
     sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir", None)
+    if path:
+        return path.rstrip("/")
+    current = sc.getCheckpointDir()
+    if current:  # set by the caller: Spark appends a folder per session
+        return current.rstrip("/").rsplit("/", 1)[0]
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    path = tempfile.mkdtemp(prefix="redeemflow-ckpt-")
+    sc.setCheckpointDir(path)
+    return path
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return this session's checkpoint folder, below ``storage_root``."""
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    path = sc.getConf().get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="redeemflow-ckpt-")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    root = storage_root(spark)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
+    return sc.getCheckpointDir() or root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh location under the shared checkpoint folder."""
+    """A fresh location under this session's checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def apply_conf(spark: SparkSession) -> None:
+    """The settings that query results rest on, for sessions built elsewhere:
+    dates and weekdays are cast in UTC."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

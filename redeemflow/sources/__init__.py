@@ -4,9 +4,9 @@ from redeemflow.sources.log import (  # noqa: F401
     TEST_LOG_SCHEMA,
     coupon_log,
     coupon_view,
+    malformed,
     materialize_log,
     offline_test,
-    offline_train,
     read_log_csv,
     read_online_csv,
     read_matrix_csv,

@@ -44,13 +44,13 @@ ONLINE_SCHEMA = T.StructType([
     T.StructField("date", T.DateType()),
 ])
 
-def _typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    cols = []
+def _typed(raw: DataFrame, schema: T.StructType, keep: list[str] = ()) -> DataFrame:
+    cols = list(keep)
     for f in schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.DateType):
             # float-formatted dates ("20160528.0") appear in headered files
-            c = F.to_date(F.regexp_replace(c, r"\.0+$", ""), "yyyyMMdd")
+            c = F.try_to_date(F.regexp_replace(c, r"\.0+$", ""), "yyyyMMdd")
         elif isinstance(f.dataType, (T.LongType, T.IntegerType)):
             c = F.regexp_replace(c, r"\.0+$", "").try_cast(f.dataType)
         cols.append(c.alias(f.name))
@@ -65,6 +65,11 @@ def read_log_csv(spark: SparkSession, path: str, header: bool = True,
     Text is read first and typed afterwards, so ``yyyyMMdd`` and
     ``yyyyMMdd.0`` both parse.
     """
+    schema = LOG_SCHEMA if with_date else TEST_LOG_SCHEMA
+    return _typed(_raw_log(spark, path, header, with_date, sep), schema)
+
+
+def _raw_log(spark: SparkSession, path: str, header: bool, with_date: bool, sep: str) -> DataFrame:
     schema = LOG_SCHEMA if with_date else TEST_LOG_SCHEMA
     raw_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     raw = (spark.read.schema(raw_schema)
@@ -74,9 +79,21 @@ def read_log_csv(spark: SparkSession, path: str, header: bool = True,
            .option("nanValue", "NaN")
            .option("enforceSchema", True)
            .csv(path))
-    raw = raw.select(*[F.when(F.col(c).isin("", "nan", "NaN"), None).otherwise(F.col(c)).alias(c)
-                       for c in raw.columns])
-    return _typed(raw, schema)
+    return raw.select(*[F.when(F.col(c).isin("", "nan", "NaN"), None).otherwise(F.col(c)).alias(c)
+                        for c in raw.columns])
+
+
+def malformed(spark: SparkSession, path: str, header: bool = True, with_date: bool = True,
+              sep: str = ",") -> DataFrame:
+    """Counts of cells, per column, that hold text which is no id, number or date
+    (``column_name, cells``).  ``read_log_csv`` turns those into nulls, and a null
+    coupon means a purchase without one, so a count above zero wants a look."""
+    raw = _raw_log(spark, path, header, with_date, sep)
+    schema = LOG_SCHEMA if with_date else TEST_LOG_SCHEMA
+    typed = _typed(raw.select("*", F.struct(*raw.columns).alias("_raw")), schema, keep=["_raw"])
+    counts = typed.agg(*[F.count(F.when(F.col(f"_raw.{f.name}").isNotNull() & F.col(f.name).isNull(), 1)).alias(f.name)
+                         for f in schema.fields])
+    return counts.unpivot([], [f.name for f in schema.fields], "column_name", "cells")
 
 
 def read_online_csv(spark: SparkSession, path: str, header: bool = False,
@@ -104,15 +121,16 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
 def read_matrix_csv(spark: SparkSession, path: str, n_cols: int, sep: str = "\t") -> DataFrame:
     """A delimited numeric matrix -> (row_id, features array<double>).
 
-    ``row_id`` is derived from the file position so the assignment of
-    every point is stable across retries.
+    A line that has no number where one is due fails the job (empty lines are
+    no rows).  ``row_id`` numbers the lines by file, block and place: unique, and
+    the same as long as the files and the split size are.
     """
     schema = T.StructType([T.StructField(f"c{i}", T.DoubleType()) for i in range(n_cols)])
-    df = spark.read.schema(schema).option("sep", sep).csv(path)
-    df = df.where(F.col("c0").isNotNull())
-    return df.select(
-        F.monotonically_increasing_id().alias("row_id"),
-        F.array(*[F.col(f"c{i}") for i in range(n_cols)]).alias("features"))
+    df = (spark.read.schema(schema).option("sep", sep).option("mode", "FAILFAST")
+          .option("enforceSchema", True).csv(path))
+    cells = [F.coalesce(F.col(f"c{i}"), F.raise_error(F.lit(f"column {i} of a matrix line is empty")).cast("double"))
+             for i in range(n_cols)]
+    return df.select(F.monotonically_increasing_id().alias("row_id"), F.array(*cells).alias("features"))
 
 
 def _d(days: Column) -> Column:
@@ -195,14 +213,15 @@ def _rename(spark: SparkSession, src: str, dst: str) -> bool:
 
 def log_table_path(spark: SparkSession, sf_dir: str) -> str:
     """Where the materialised log of ``sf_dir`` lives: under the shared
-    checkpoint folder, keyed by the input tables' sizes and mtimes."""
-    from redeemflow.session import ensure_checkpoint_dir
+    storage root (the same in every session), keyed by the input tables'
+    sizes and mtimes."""
+    from redeemflow.session import storage_root
 
     key = hashlib.sha1("|".join([
         os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir,
         _fs_stamp(spark, f"{sf_dir}/lineitem.parquet"),
         _fs_stamp(spark, f"{sf_dir}/orders.parquet")]).encode()).hexdigest()[:16]
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/coupon_log-{key}"
+    return f"{storage_root(spark)}/coupon_log-{key}"
 
 
 def materialize_log(spark: SparkSession, sf_dir: str) -> str:
@@ -248,10 +267,6 @@ TEST_START = "2016-07-01"
 TEST_END = "2016-08-01"
 
 
-def offline_train(log: DataFrame) -> DataFrame:
-    return log
-
-
 def offline_test(log: DataFrame) -> DataFrame:
     return (log.where((F.col("date_received") >= F.lit(TEST_START).cast("date"))
                       & (F.col("date_received") < F.lit(TEST_END).cast("date")))

@@ -7,7 +7,7 @@ from redeemflow import functions as RF
 from redeemflow.operators import blocks_a as A
 from redeemflow.operators import blocks_b as B
 from redeemflow.operators import prep
-from redeemflow.operators.receipts import date_lists
+from redeemflow.operators.receipts import date_list_text, date_lists
 
 OTHER_ROWS = [
     # single receipt
@@ -131,8 +131,8 @@ def test_discount_parsing(spark):
 def test_date_list_keeps_repeats_sorted(spark):
     rows = [(1, 1, 3, "30:5", 1, "05-25", None), (1, 1, 3, "30:5", 1, "05-18", None),
             (1, 1, 3, "30:5", 1, "05-18", None)]
-    out = date_lists(log_df(spark, rows)).collect()[0]
-    assert out.dates == "20160518:20160518:20160525"
+    out = date_list_text(date_lists(log_df(spark, rows))).collect()[0]
+    assert out.dates == "20160518:2,20160525:1"
 
 
 def test_approx_distinct_option_close_to_exact(spark):

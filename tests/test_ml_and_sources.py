@@ -107,12 +107,12 @@ def test_streaming_ingest_appends_new_files_once(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="rf-stream-out-"), "log")
     with open(os.path.join(src, "day1.csv"), "w") as f:
         f.write("1,2,null,null,0,null,20160217\n3,4,11002,150:20,1,20160528,null\n")
-    name = f"t{random.randint(0, 10**9)}"
-    ingest(spark, src, out, name=name).awaitTermination()
+    name, root = f"t{random.randint(0, 10**9)}", tempfile.mkdtemp(prefix="rf-stream-root-")
+    ingest(spark, src, out, name=name, root=root).awaitTermination()
     assert spark.read.parquet(out).count() == 2
     with open(os.path.join(src, "day2.csv"), "w") as f:
         f.write("5,6,7,0.9,2,20160601,20160603\n")
-    ingest(spark, src, out, name=name).awaitTermination()
+    ingest(spark, src, out, name=name, root=root).awaitTermination()
     df = spark.read.parquet(out)
     assert df.count() == 3
     assert df.where(F.col("user_id") == 5).first().date.isoformat() == "2016-06-03"

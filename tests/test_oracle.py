@@ -8,7 +8,7 @@ from tools.oracle_check import duck, rows_of
 
 from conftest import SF_SMALL
 
-ORACLE = E.oracle_sql()
+from redeemflow.plans.queries import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +18,7 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_duckdb(spark, con, name):
-    sdf = E.queries()[name](spark, SF_SMALL)
+    sdf = QUERIES[name](spark, SF_SMALL)
     srows = [r.asDict() for r in sdf.collect()]
     rel = con.sql(ORACLE[name])
     dcols = rel.columns
@@ -30,7 +30,7 @@ def test_query_matches_duckdb(spark, con, name):
 
 
 def test_every_query_has_an_oracle_or_is_a_model_fit():
-    assert set(E.queries()) - set(ORACLE) == {"ml_score", "ml_importance", "ml_score_a",
+    assert set(QUERIES) - set(ORACLE) == {"ml_score", "ml_importance", "ml_score_a",
                                               "ml_importance_a", "ml_validate", "kmeans_fit"}
 
 
