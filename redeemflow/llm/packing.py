@@ -15,11 +15,15 @@ from counts per (length, salt), so no class is ranked in one task.
 
 from __future__ import annotations
 
+import base64
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections import Counter
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,67 +32,65 @@ from pyspark.sql import functions as F
 
 from redeemflow.llm.common import cut
 
-#: chunks of text whose ids a worker remembers, and the longest of them
-MEMO_CHUNKS, MEMO_CHARS = 600_000, 48
 #: pieces of one length that are ranked together
 RANK_GROUP = 100_000
 
-_INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_RUN = re.compile(r"\s\s|\s\Z")
+_BEYOND_LATIN = re.compile("[^\\x00-\\u024f]")
 _PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 _PLACED = _PIECE + ", sequence_id long, offset long"
 
 
 # ---------------------------------------------------------------- tokenising
-class _Memo(dict):
-    """Ids, as little-endian 32-bit bytes, of a chunk that follows a space."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, chunk):
-        ids = self.encode(" " + chunk)
-        if len(chunk) <= MEMO_CHARS:
-            if len(self) >= MEMO_CHUNKS:
-                self.clear()
-            self[chunk] = ids
-        return ids
+class Files(NamedTuple):
+    """A byte-level BPE: the ``tokenizers`` file, and optionally the same
+    vocabulary as ranks with its pattern."""
+    tokenizer: str
+    ranks: str | None = None
+    pattern: str | None = None
 
 
 @lru_cache(2)
-def _tokenizer(path: str):
+def _encoders(files: Files):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(path)
+    tok = Tokenizer.from_file(files.tokenizer)
     tok.encode_special_tokens = True  # their strings in a text are ordinary text
 
     def encode(text):
-        return np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-    return encode, _Memo(encode)
+        return tok.encode(text, add_special_tokens=False).ids
+    if files.ranks is None:
+        return encode, encode
+    import tiktoken
+    with open(files.ranks, "rb") as f:
+        ranks = {base64.b64decode(t): int(n) for t, n in (line.split() for line in f)}
+    fast = tiktoken.Encoding("ranks", pat_str=files.pattern, mergeable_ranks=ranks, special_tokens={})
+    return encode, fast.encode_ordinary
 
 
-def token_bytes(text: str | None, path: str) -> bytes:
+def token_bytes(text: str | None, files: Files) -> bytes:
     """Ids of a whole text as little-endian unsigned 32-bit bytes.
 
-    A byte-level BPE never joins what stands before a space between two
-    non-spaces with what follows, so the text is encoded in chunks cut there,
-    and a chunk seen before is not encoded again.
+    The ids are those of ``tokenizers``.  Where the rank file is given, texts of
+    Latin letters are encoded with it: same vocabulary, same pattern, same ids
+    (tests compare them), three times faster.  Other texts, whose letters the
+    two libraries might class by different Unicode versions, go to ``tokenizers``.
     """
     if not text:
         return b""
-    encode, memo = _tokenizer(path)
-    chunks = _INNER_SPACE.split(text) if _RUN.search(text) or text[0] == " " else text.split(" ")
-    return encode(chunks[0]) + b"".join(map(memo.__getitem__, chunks[1:]))
+    encode, fast = _encoders(files)
+    ids = array("I", (encode if _BEYOND_LATIN.search(text) else fast)(text))
+    if sys.byteorder == "big":
+        ids.byteswap()
+    return ids.tobytes()
 
 
-def _pieces(batches, path, window, end_id):
+def _pieces(batches, files, window, end_id):
     names = [f.split(" ")[0] for f in _PIECE.split(", ")]
     end = np.array([end_id], "<u4").tobytes()
     for b in batches:
         out = []
         for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
-            ids = token_bytes(text.as_py(), path) + end
+            ids = token_bytes(text.as_py(), files) + end
             n = len(ids) // 4
             for start in range(0, n, window):
                 part = ids[4 * start:4 * (start + window)]
@@ -97,11 +99,11 @@ def _pieces(batches, path, window, end_id):
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
 
 
-def cut_documents(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int = 1) -> DataFrame:
+def cut_documents(docs: DataFrame, files: Files, window: int = 2048, end_id: int = 1) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens`` per piece: the full windows
     of a document and its remainder."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(lambda it: _pieces(it, tokenizer_path, window, end_id), _PIECE)
+    return rows.mapInArrow(lambda it: _pieces(it, files, window, end_id), _PIECE)
 
 
 # ------------------------------------------------------------------ planning
@@ -182,7 +184,7 @@ def _place(batches, places):
             [b.column(c) for c in names[:5]] + [pa.array(seq), pa.array(off)], names)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int = 1) -> DataFrame:
+def pack(docs: DataFrame, files: Files, window: int = 2048, end_id: int = 1) -> DataFrame:
     """Pieces with their place: ``doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset``.
 
@@ -190,7 +192,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int =
     gives many full windows; repeated rows are packed each on their own (a null
     doc_id is kept); other columns are ignored; an empty table gives no rows.
     """
-    pieces = cut(cut_documents(docs, tokenizer_path, window, end_id))
+    pieces = cut(cut_documents(docs, files, window, end_id))
     sizes = pieces.groupBy("length").count()
     histogram = {r["length"]: r["count"] for r in sizes.collect()}  # at most `window` rows
     places = _places(plan_windows(histogram, window))

@@ -21,9 +21,11 @@ def register(fn):
     return fn
 
 
-def tokenizer_path() -> str:
-    import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
+def tokenizer_files():
+    import public_tokenizers as public
+
+    from redeemflow.llm.packing import Files
+    return Files(public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
 
 
 @register
@@ -88,7 +90,7 @@ def op9_suffix_dedup(spark, d):
 @register
 def op10_packing(spark, d):
     from redeemflow.llm.packing import pack
-    return pack(table(spark, d, "documents"), tokenizer_path())
+    return pack(table(spark, d, "documents"), tokenizer_files())
 
 
 ORACLE: dict[str, str] = {k: v for k, v in SQL.items() if k in QUERIES}

@@ -8,13 +8,13 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from redeemflow.llm import packing as P
-from redeemflow.llm.queries import tokenizer_path
+from redeemflow.llm.queries import tokenizer_files
 
 
 @pytest.fixture(scope="module")
 def tok():
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(tokenizer_path())
+    t = Tokenizer.from_file(tokenizer_files().tokenizer)
     t.encode_special_tokens = True
     return t
 
@@ -26,13 +26,20 @@ TEXTS = ["", " ", "  a", "a b", " a  b ", "a\n b\n\nc \n d", "don't  it's 'll",
 @pytest.mark.parametrize("text", TEXTS)
 def test_ids_equal_the_whole_text(tok, text):
     want = tok.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(P.token_bytes(text, tokenizer_path()), "<u4").tolist() == want
+    assert np.frombuffer(P.token_bytes(text, tokenizer_files()), "<u4").tolist() == want
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.text(alphabet=st.characters(max_codepoint=0x24F) | st.sampled_from(" \n\t's"), max_size=30))
+def test_ids_of_any_latin_text(tok, text):
+    assert np.frombuffer(P.token_bytes(text, tokenizer_files()), "<u4").tolist() == tok.encode(
+        text, add_special_tokens=False).ids
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.sampled_from(" \n\t\r\xa0　\x1cab'sé1.,漢́<|>"), max_size=40))
 def test_ids_of_odd_spaces(tok, text):
-    assert np.frombuffer(P.token_bytes(text, tokenizer_path()), "<u4").tolist() == tok.encode(
+    assert np.frombuffer(P.token_bytes(text, tokenizer_files()), "<u4").tolist() == tok.encode(
         text, add_special_tokens=False).ids
 
 
@@ -69,9 +76,9 @@ def test_pack(spark, make_docs, tok, monkeypatch):
     pairs = [(i, " ".join(rnd.choice(["the", "of", "andre", "Xyz."]) for _ in range(rnd.choice([3, 3, 40, 900]))))
              for i in range(80)]
     pairs += [(900, None), (901, ""), (902, "word " * 9000), (3, pairs[3][1]), (None, "null id"), (4, "same id")]
-    got = [r.asDict() for r in P.pack(make_docs(pairs), tokenizer_path()).collect()]
+    got = [r.asDict() for r in P.pack(make_docs(pairs), tokenizer_files()).collect()]
     check(pairs, got, tok)
-    assert P.pack(make_docs([]), tokenizer_path()).count() == 0
+    assert P.pack(make_docs([]), tokenizer_files()).count() == 0
 
 
 def check(pairs, got, tok, window=2048):

@@ -2,7 +2,7 @@ import re
 
 from redeemflow.llm import quality as Q
 from redeemflow.llm.common import table
-from redeemflow.llm.queries import QUERIES, tokenizer_path
+from redeemflow.llm.queries import QUERIES, tokenizer_files
 from tests.llm.test_decontam import brute as brute_hits
 from tests.llm.test_packing import check
 from tests.llm.test_simhash import brute_groups
@@ -44,7 +44,7 @@ def test_stages_match_plain_versions(spark):
         assert got == sorted(want), name
         rows, now = out, got
     from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(tokenizer_path())
+    tok = Tokenizer.from_file(tokenizer_files().tokenizer)
     tok.encode_special_tokens = True
     last = C.STAGES[-1][1](spark, rows, SF)
     check(now, [r.asDict() for r in last.collect()], tok)
