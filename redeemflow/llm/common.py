@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gc
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +35,20 @@ def cut(df: DataFrame) -> DataFrame:
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage of a large table: write it as Parquet (compressed, by column) in
-    the shared checkpoint folder and read it again."""
-    path = scratch_path(df.sparkSession, name)
+    the shared checkpoint folder and read it again.
+
+    The shuffle files behind it are then of no use; Spark deletes them once the
+    driver has collected the plan that made them, so that is asked for here
+    (after a moment in which Spark's listeners let go of the plan).
+    """
+    spark, schema = df.sparkSession, df.schema
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    del df
+    time.sleep(1)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

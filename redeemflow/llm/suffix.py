@@ -6,8 +6,8 @@ fifty times its size, so the shards are built by content:
 
 1. *Anchors.*  Of the k-grams inside a 50-byte window the one with the smallest
    hash is the window's anchor; it depends on the window alone, so equal windows
-   have equal anchors at equal offsets.  About one position in 18 is an anchor.
-2. *Whole contexts.*  All windows of an anchor lie in its context, 34 bytes before
+   have equal anchors at equal offsets.  About one position in 16 is an anchor.
+2. *Whole contexts.*  All windows of an anchor lie in its context, 30 bytes before
    to 50 after its start.  Anchors are brought together by k-gram; where the whole
    context occurs in a smaller document, all its windows do.
 3. *Suffix arrays.*  The other contexts of a k-gram that several documents have
@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 from redeemflow.llm.common import store
 
 #: the anchor k-gram
-GRAM = 16
+GRAM = 20
 #: bytes whose hashes are computed together, and bytes of one suffix array
-SLAB, SHARD = 1 << 22, 1 << 20
+SLAB, SHARD = 1 << 17, 1 << 20
 #: contexts of one k-gram that stay in one shard
 SHARD_CONTEXTS = 4096
 #: heavy k-grams that may be broadcast
@@ -45,6 +45,9 @@ MAX_BROADCAST = 200_000
 _POS_BITS = 40
 _POS = (1 << _POS_BITS) - 1
 _LAST = (1 << 63) - 1
+#: hashes keep 48 bits: k-grams that collide only meet in vain, and contexts are
+#: compared within one k-gram
+_SHORT = np.uint64(16)
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -89,7 +92,10 @@ def anchors(buf: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray,
         m = len(v)
         if m < width:
             continue
-        h = _mix(_mix(v[:m - GRAM + 1]) ^ v[8:m - GRAM + 9])
+        h = v[:m - GRAM + 1]
+        for o in (8, GRAM - 8):
+            h = _mix(h) ^ v[o:o + m - GRAM + 1]
+        h = _mix(h) >> _SHORT
         low = _sliding_min(h, w)
         # windows that cross a document's end do not count
         e = ends[(ends > lo) & (ends < lo + m)] - lo
@@ -127,16 +133,22 @@ def _context_hash(buf, at, left, right, width):
         b = buf[np.clip(a + o, 0, k - 1)].astype(np.uint64) + np.uint64(1)
         x = np.where((o >= -lf) & (o < rg), _mix(x ^ b), x)
     c[~full] = x
-    return c
+    return c >> _SHORT
 
 
 def _first_ids(h, c, ids):
-    """Order by (h, c, id) and the smallest id of each (h, c) in that order."""
-    order = np.lexsort((ids, c, h))
-    h, c = h[order], c[order]
+    """The smallest id of each row's (h, c)."""
+    if not len(h):
+        return ids
+    key = _mix(h ^ _mix(c))
+    order = np.argsort(key)
+    k, hh, cc = key[order], h[order], c[order]
     new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
-    return order, ids[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+    # rows of one key that differ are told apart here and settled later
+    new[1:] = (k[1:] != k[:-1]) | (hh[1:] != hh[:-1]) | (cc[1:] != cc[:-1])
+    low = np.empty(len(h), np.int64)
+    low[order] = np.minimum.reduceat(ids[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+    return low
 
 
 _ANCHOR = "whole boolean, h long, c long, id long, pack long"
@@ -158,12 +170,12 @@ def _anchor_batches(batches, width):
         pack = sub[doc] << _POS_BITS | (at - starts[doc])
         mine = ids[doc]
         # a context seen before in this batch is settled here and travels apart
-        order, low = _first_ids(h, c, mine)
-        whole = mine[order] > low
-        h = np.where(whole, _mix(pack[order].astype(np.uint64) ^ mine[order].astype(np.uint64)), h[order])
+        whole = mine > _first_ids(h, c, mine)
+        h = np.where(whole, _mix(pack.astype(np.uint64) ^ mine.astype(np.uint64)) >> _SHORT, h)
+        c[whole] = 0
         yield pa.RecordBatch.from_arrays(
-            [pa.array(whole), pa.array(h.view(np.int64)), pa.array(c[order].view(np.int64)),
-             pa.array(mine[order]), pa.array(pack[order])], ["whole", "h", "c", "id", "pack"])
+            [pa.array(whole), pa.array(h.view(np.int64)), pa.array(c.view(np.int64)),
+             pa.array(mine), pa.array(pack)], ["whole", "h", "c", "id", "pack"])
 
 
 def _meet(batches):
@@ -212,9 +224,10 @@ def _meet(batches):
                 held = {n: rows[n][last] for n in names}
         done = [len(x["h"]) for x in out]
         whole = np.concatenate([np.ones(sum(done), bool), np.zeros(len(edges["h"]), bool)])
+        keep = {n: np.concatenate([*(x[n] for x in out), edges[n]]) for n in names}
+        keep["h"][whole] = keep["c"][whole] = 0  # settled: of no more use
         yield pa.RecordBatch.from_arrays(
-            [pa.array(whole)] + [pa.array(np.concatenate([*(x[n] for x in out), edges[n]])) for n in names],
-            ["whole", *names])
+            [pa.array(whole)] + [pa.array(keep[n]) for n in names], ["whole", *names])
 
 
 # ------------------------------------------------------------ suffix arrays
@@ -228,14 +241,14 @@ def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(text)
     padded = np.concatenate([text, np.zeros(8, np.uint8)])
     keys = np.ndarray(n, np.dtype(">u8"), padded.data, strides=(1,)).astype(np.uint64)
-    sa = np.argsort(keys, kind="stable")
+    sa = np.argsort(keys)
     new = np.ones(n + 1, bool)
     new[1:-1] = keys[sa[1:]] != keys[sa[:-1]]
     rank = np.zeros(n + 8, np.int64)  # past the end: smaller than any
     # spare zero bytes look like zeros of the text; the ranks past the end tell them apart
     h = 8 if not n or text.min() > 0 else 1
     if h == 1:
-        sa = np.argsort(text, kind="stable")
+        sa = np.argsort(text)
         new[1:-1] = text[sa[1:]] != text[sa[:-1]]
     start = np.flatnonzero(new[:-1])
     rank[sa] = np.repeat(start, np.diff(np.append(start, n))) + 1
@@ -244,7 +257,7 @@ def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         who = sa[open_at]
         group = rank[who]
         key = group.astype(np.uint64) << np.uint64(32) | rank[np.minimum(who + h, n)].astype(np.uint64)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         who, key = who[order], key[order]
         sa[open_at] = who
         first = np.ones(len(key), bool)
@@ -297,26 +310,28 @@ _FOUND = "id long, sub long, start long, end long, w1 long, w2 long"
 def _contexts(batches, width):
     """Contexts of the anchors listed with each document."""
     back = width - GRAM
+    names = [f.split(" ")[0] for f in _CONTEXT.split(", ")]
     for b in batches:
-        cols: list[list] = [[] for _ in range(6)]
-        for data, id_, sub, found in zip(b.column("data"), b.column("id").to_pylist(),
-                                         b.column("sub").to_pylist(), b.column("found").to_pylist()):
+        lists = [b.column(c) for c in ("pos", "route", "heavy")]
+        pos, route, heavy = (x.flatten() for x in lists)
+        per_doc = np.diff(lists[0].offsets.to_numpy())
+        doc = np.repeat(np.arange(len(b)), per_doc)
+        at = pos.to_numpy(zero_copy_only=False)
+        start = np.maximum(at - back, 0)
+        cuts, k = [], 0
+        for data, n in zip(b.column("data"), per_doc.tolist()):
             data = data.as_py()
-            for f in found:
-                start = max(0, f["pos"] - back)
-                for col, v in zip(cols, (f["route"], f["heavy"], id_, sub, start, data[start:f["pos"] + width])):
-                    col.append(v)
+            cuts += [data[s:e] for s, e in zip(start[k:k + n].tolist(), (at[k:k + n] + width).tolist())]
+            k += n
         yield pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.bool_()), *(pa.array(x, pa.int64()) for x in cols[2:5]),
-             pa.array(cols[5], pa.binary())], [f.split(" ")[0] for f in _CONTEXT.split(", ")])
+            [route, heavy, b.column("id").take(pa.array(doc)), b.column("sub").take(pa.array(doc)),
+             pa.array(start), pa.array(cuts, pa.binary())], names)
 
 
-def _shard(rows, width):
+def _shard(route_heavy, ids, sub, start, data, width):
     """Windows of one shard: intervals to remove, and for heavy k-grams the windows
     that are the shard's first of their kind."""
-    heavy, ids, sub, start, data = (np.array([r[k] for r in rows], t) for k, t in
-                                    ((1, bool), (2, np.int64), (3, np.int64), (4, np.int64), (5, object)))
-    lens = np.array([len(x) for x in data], np.int64)
+    lens = np.fromiter(map(len, data), np.int64, len(data))
     # 0xFF is in no UTF-8 text: it ends a context
     text = np.frombuffer(b"\xff".join([*data, b""]), np.uint8)
     ends = np.cumsum(lens + 1) - 1
@@ -327,51 +342,72 @@ def _shard(rows, width):
     run = np.cumsum(lcp < width)
     sa, run = sa[room], run[room]
     if not len(sa):
-        return []
+        return _found_batch([np.zeros(0, np.int64)] * 4)
     who = owner[sa]
     first = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
     low = np.repeat(np.minimum.reduceat(ids[who], first), np.diff(np.append(first, len(run))))
     gone = ids[who] > low
-    at = start[who] + sa - (ends - lens)[who]
-    out = []
+    at = sa - (ends - lens)[who]  # within the context
     # neighbouring windows of a context make one interval
-    o = np.lexsort((at[gone], who[gone]))
-    w, a = who[gone][o], at[gone][o]
-    if len(w):
-        new = np.append(True, (w[1:] != w[:-1]) | (a[1:] > a[:-1] + 1))
-        lo = np.flatnonzero(new)
-        hi = np.append(lo[1:], len(w)) - 1
-        out += [(ids[x], sub[x], s, e + width, None, None) for x, s, e in zip(w[lo], a[lo], a[hi])]
-    keep = ~gone & heavy[who]
-    if keep.any():
-        windows = text[sa[keep][:, None] + np.arange(width)].astype(np.uint64)
-        w1 = w2 = np.zeros(len(windows), np.uint64)
-        for k in range(width):
-            w1, w2 = _mix(w1 ^ windows[:, k] + np.uint64(k + 1)), _mix(w2 + windows[:, k] * _M1 + np.uint64(7))
-        out += list(zip(ids[who[keep]], sub[who[keep]], at[keep], at[keep] + width,
-                        w1.view(np.int64), w2.view(np.int64)))
-    return out
-
-
-def _found_batch(rows):
-    cols = list(zip(*rows)) if rows else [[]] * 6
-    return pa.RecordBatch.from_arrays(
-        [pa.array([None if v is None else int(v) for v in c], pa.int64()) for c in cols],
-        [f.split(" ")[0] for f in _FOUND.split(", ")])
+    mark = np.zeros(len(text) + 1, bool)
+    mark[sa[gone]] = True
+    lo = np.flatnonzero(mark[:-1] & ~np.append(False, mark[:-2]))
+    hi = np.flatnonzero(mark[:-1] & ~mark[1:])
+    w = owner[lo]
+    shift = (start - (ends - lens))[w]
+    found = [ids[w], sub[w], lo + shift, hi + shift + width]
+    keep = ~gone & route_heavy[who]
+    if not keep.any():
+        return _found_batch(found)
+    windows = text[sa[keep][:, None] + np.arange(width)].astype(np.uint64)
+    w1 = w2 = np.zeros(len(windows), np.uint64)
+    for k in range(width):
+        w1, w2 = _mix(w1 ^ windows[:, k] + np.uint64(k + 1)), _mix(w2 + windows[:, k] * _M1 + np.uint64(7))
+    w = who[keep]
+    more = [ids[w], sub[w], at[keep] + start[w], at[keep] + start[w] + width]
+    return _found_batch([np.concatenate(x) for x in zip(found, more)], len(found[0]), w1.view(np.int64), w2.view(np.int64))
+
+
+def _found_batch(cols, plain=None, w1=None, w2=None):
+    """A batch of found rows; the first ``plain`` rows (all by default) have no window key."""
+    n = len(cols[0])
+    keys = []
+    for w in (w1, w2):
+        if w is None:
+            keys.append(pa.nulls(n, pa.int64()))
+        else:
+            keys.append(pa.concat_arrays([pa.nulls(plain, pa.int64()), pa.array(w)]))
+    return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), *keys],
+                                      [f.split(" ")[0] for f in _FOUND.split(", ")])
 
 
 def _shards(batches, width):
     """Contexts sorted by route, cut into shards at route borders."""
-    rows, size = [], 0
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def run(parts):
+        cols = [np.concatenate([p.column(k).to_numpy(zero_copy_only=False) for p in parts]) for k in range(1, 5)]
+        data = [x for p in parts for x in p.column(5).to_pylist()]
+        return _shard(cols[0].astype(bool), *(c.astype(np.int64) for c in cols[1:]), data, width)
+
     for b in batches:
-        for r in zip(*(b.column(k).to_pylist() for k in range(6))):
-            if size >= SHARD and r[0] != rows[-1][0]:
-                yield _found_batch(_shard(rows, width))
-                rows, size = [], 0
-            rows.append(r)
-            size += len(r[5]) + 1
-    if rows:
-        yield _found_batch(_shard(rows, width))
+        route = b.column(0).to_numpy(zero_copy_only=False)
+        borders = np.flatnonzero(np.append(True, route[1:] != route[:-1]))
+        if held and len(route) and held[-1].column(0)[len(held[-1]) - 1].as_py() == route[0]:
+            borders = borders[1:]
+        offsets = np.frombuffer(b.column(5).buffers()[1], np.int32)[b.column(5).offset:][:len(b) + 1]
+        done = 0
+        for cut_at in borders.tolist():
+            size_here = size + int(offsets[cut_at] - offsets[done]) + cut_at - done
+            if size_here >= SHARD:
+                yield run([*held, b.slice(done, cut_at - done)])
+                held, size, done = [], 0, cut_at
+        if len(b) > done:
+            held.append(b.slice(done))
+            size += int(offsets[len(b)] - offsets[done]) + len(b) - done
+    if held:
+        yield run(held)
 
 
 def _merge(batches):
@@ -410,32 +446,23 @@ def removed_ranges(docs: DataFrame, width: int = 50) -> DataFrame:
     """``id, sub, ranges``: byte ranges (overlapping, unclipped) to remove per document."""
     if width < GRAM + 8:
         raise ValueError(f"windows have at least {GRAM + 8} bytes")
-    spark = docs.sparkSession
     data = _keyed(docs).select(F.col("_id").alias("id"), F.col("_sub").alias("sub"),
                                F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"))
-    found = (data.mapInArrow(lambda it: _anchor_batches(it, width), _ANCHOR)
-             .repartition("h").sortWithinPartitions("h", "c", "id").mapInArrow(_meet, _ANCHOR))
-    found = store(found, "anchors")
+    found = store(data.mapInArrow(lambda it: _anchor_batches(it, width), _ANCHOR)
+                  .repartition("h").sortWithinPartitions("h", "c", "id").mapInArrow(_meet, _ANCHOR), "anchors")
     pos = F.col("pack").bitwiseAND(F.lit(_POS))
     sub = F.shiftright("pack", _POS_BITS)
     whole = found.where("whole").select("id", sub.alias("sub"), (pos - (width - GRAM)).alias("start"),
                                         (pos + width).alias("end"))
     part = found.where("not whole")
-    heavy = (part.groupBy("h").count().where(F.col("count") > SHARD_CONTEXTS)
-             .select("h", F.ceil(F.col("count") / SHARD_CONTEXTS).alias("salts")))
-    heavy = store(heavy, "heavy")
+    heavy = store(part.groupBy("h").count().where(F.col("count") > SHARD_CONTEXTS)
+                  .select("h", F.ceil(F.col("count") / SHARD_CONTEXTS).alias("salts")), "heavy")
     if heavy.count() <= MAX_BROADCAST:
         heavy = F.broadcast(heavy)
     salts = F.coalesce("salts", F.lit(1))
-    listed = (part.join(heavy, "h", "left")
-              .select("id", sub.alias("sub"), pos.alias("pos"), (salts > 1).alias("heavy"),
-                      F.xxhash64("h", F.pmod("c", salts)).alias("route"))
-              .groupBy("id", "sub").agg(F.collect_list(F.struct("pos", "route", "heavy")).alias("found")))
-    contexts = (data.join(listed, ["id", "sub"]).select("data", "id", "sub", "found")
-                .mapInArrow(lambda it: _contexts(it, width), _CONTEXT))
-    windows = (contexts.repartition("route").sortWithinPartitions("route")
-               .mapInArrow(lambda it: _shards(it, width), _FOUND))
-    windows = store(windows, "windows")
+    windows = store(_windows(data, part.join(heavy, "h", "left").select(
+        "id", sub.alias("sub"), pos.alias("pos"), (salts > 1).alias("heavy"),
+        F.xxhash64("h", F.pmod("c", salts)).alias("route")), width), "windows")
     merged = (windows.where("w1 is not null").repartitionByRange("w1", "w2")
               .sortWithinPartitions("w1", "w2", "id").mapInArrow(_merge, _FOUND))
     spans = (whole.unionByName(windows.where("w1 is null").select("id", "sub", "start", "end"))
@@ -443,6 +470,16 @@ def removed_ranges(docs: DataFrame, width: int = 50) -> DataFrame:
     return spans.groupBy("id", "sub").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
 
 
+def _windows(data: DataFrame, part: DataFrame, width: int) -> DataFrame:
+    """What the shards find in the contexts of the anchors ``part``."""
+    listed = (part.groupBy("id", "sub").agg(F.collect_list(F.struct("pos", "route", "heavy")).alias("x"))
+              .select("id", "sub", "x.pos", "x.route", "x.heavy"))
+    return (data.join(listed, ["id", "sub"]).select("data", "id", "sub", "pos", "route", "heavy")
+            .mapInArrow(lambda it: _contexts(it, width), _CONTEXT)
+            .repartition("route").sortWithinPartitions("route")
+            .mapInArrow(lambda it: _shards(it, width), _FOUND))
+
+
 def kept_parts(n: int, ranges) -> tuple[list[tuple[int, int]], int, int]:
     """What is left of ``n`` bytes, how many bytes go, and in how many runs."""
     kept, removed, runs, at = [], 0, 0, 0
