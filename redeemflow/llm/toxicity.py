@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 20
 NGRAMS = (4, 5, 6)
-MAX_FEATURES, MIN_ROWS, MIN_SCORE, MIN_RATIO, FOLDS = 3000, 3, 3.0, 4, 5
+MAX_FEATURES, MIN_ROWS, MIN_SCORE, MIN_RATIO, FOLDS = 3000, 3, 2.0, 4, 5
 MEMO_WORDS = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 
