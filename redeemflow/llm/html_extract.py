@@ -36,18 +36,21 @@ _INLINE = frozenset("a abbr b bdi bdo cite code del dfn em font i img ins kbd la
                     "strike strong sub sup time tt u var wbr".split())
 _BAD_TAGS = frozenset("nav header footer aside form button menu dialog head".split())
 _GOOD_TAGS = frozenset("article main".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _HOLDERS = frozenset("div section ul ol dl table td".split()) | _BAD_TAGS | _GOOD_TAGS
 _NAME = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _BAD_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|complementary|contentinfo|cookies?|footer|"
-    r"disqus|header|masthead|menu|modal|nav\w*|newsletter|notices?|alert|popup|promo\w*|related|respond|search|"
+    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|complementary|consent|contentinfo|cookies?|footer|gdpr|"
+    r"disqus|header|masthead|menu|modal|nav(?:bar|igation)?|newsletter|notices?|alert|popup|promo\w*|related|respond|search|"
     r"share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?=$|[\s_-])", re.I)
 
 
 def blocks_of(page: str):
-    """``(text, link characters, inside, region, heading)`` per block; ``inside`` is -1
-    in a boilerplate element, 1 in an article, else 0; ``region`` numbers the articles."""
-    blocks, parts, link_chars, in_link, heading = [], [], 0, 0, False
+    """``(text, link characters, inside, region, tag)`` per block; ``inside`` is -1 in a
+    boilerplate element, 1 in an article, else 0; ``region`` numbers the articles;
+    ``tag`` is the block tag opened last, empty after a closed one."""
+    blocks, parts, link_chars, in_link, block_tag = [], [], 0, 0, ""
     stack: list[tuple[str, int, int]] = []
     regions = 0
 
@@ -59,7 +62,7 @@ def blocks_of(page: str):
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                blocks.append((text, link_chars, *where(), heading))
+                blocks.append((text, link_chars, *where(), block_tag))
         parts, link_chars = [], 0
 
     def add(raw):
@@ -84,7 +87,7 @@ def blocks_of(page: str):
                 in_link = 0 if m[2] else 1
         else:
             close()
-            in_link, heading = 0, not m[2] and len(tag) == 2 and tag[0] == "h"
+            in_link, block_tag = 0, "" if m[2] else tag
             if tag in _HOLDERS:
                 if m[2]:
                     for i in range(len(stack) - 1, -1, -1):
@@ -94,6 +97,7 @@ def blocks_of(page: str):
                 elif not m[4].endswith("/"):
                     inside, region = where()
                     names = " ".join(filter(None, (g for x in _NAME.findall(m[4]) for g in x)))
+                    names = _CAMEL.sub("-", names)
                     if tag in _BAD_TAGS or _BAD_NAME.search(names):
                         inside = -1
                     elif tag in _GOOD_TAGS and inside >= 0:
@@ -107,10 +111,13 @@ def blocks_of(page: str):
     return blocks
 
 
-def decide(text: str, link_chars: int, inside: int) -> int:
-    """First pass: 1 good, -1 bad, 0 undecided."""
-    if inside < 0 or link_chars > LINK_HIGH * len(text):
+def decide(text: str, link_chars: int, inside: int, tag: str) -> int:
+    """First pass: 1 good, -1 bad, 0 undecided.  In an article, a heading or sentence
+    that is a link is undecided; a list item that is one is a menu's."""
+    if inside < 0:
         return -1
+    if link_chars > LINK_HIGH * len(text):
+        return 0 if inside and tag != "li" else -1
     if len(text) < SHORT:
         return -1 if not inside and ("\xa9" in text or link_chars) else 0
     words = text.lower().split()
@@ -121,13 +128,13 @@ def decide(text: str, link_chars: int, inside: int) -> int:
 def main_text(page: str | None) -> str:
     """Good blocks in page order, joined by line feeds."""
     blocks = blocks_of(page or "")
-    labels = [decide(*b[:3]) for b in blocks]
+    labels = [decide(text, links, inside, tag) for text, links, inside, _, tag in blocks]
     near = [_neighbours(blocks, labels, range(len(blocks))),
             _neighbours(blocks, labels, range(len(blocks) - 1, -1, -1))]
     kept = []
     for block, label, (d0, before), (d1, after) in zip(blocks, labels, *near):
         if not label:
-            if block[4]:  # a heading goes with what follows
+            if block[4] in _HEADINGS:  # a heading goes with what follows
                 label = after
             else:
                 label = before if d0 < d1 else after if d1 < d0 else min(before, after)

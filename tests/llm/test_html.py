@@ -28,6 +28,9 @@ def page(body):
     ("<article><p><b>one.<br><p>two</article><footer>f", "one.\ntwo"),
     ("<article><p title='a > b'>q</p><p class=x>r</article>", "q\nr"),
     ("<article><p>a < b and 3 > 2</p><script>unclosed", "a < b and 3 > 2"),
+    (f"<article><h1><a href=/x>Linked head</a></h1><p>{LONG}</p><ul><li><a href=/y>More</a></li></ul>"
+     f"<section id=commentList>{LONG} no</section></article>", f"Linked head\n{LONG}"),
+    (f"<article><p>{LONG}</p><ul><li>one thing</li><li>two</li></ul></article>", f"{LONG}\none thing\ntwo"),
     (f"<div class='cookie-notice'>We use cookies. {LONG}</div><main>{LONG}</main>", LONG),
 ])
 def test_pages(body, want):
