@@ -995,7 +995,11 @@ fin AS (SELECT c FROM run ORDER BY it DESC LIMIT 1)
 """
 
 
-@register("kmeans_fit")
+@register("kmeans_fit", _KM_FIT.rstrip() + """,
+d AS (SELECT vec_id, [list_distance(v, c[1]), list_distance(v, c[2]), list_distance(v, c[3]),
+                      list_distance(v, c[4])] AS ds FROM e, fin)
+SELECT vec_id, CAST(list_position(ds, list_min(ds)) - 1 AS INTEGER) AS cluster,
+  round(list_min(ds), 6) AS distance, round(list_min(ds) * list_min(ds), 6) AS sq_error FROM d""")
 def q_kmeans_fit(spark, d):
     """M8: Lloyd's algorithm on the embeddings until no point changes cluster
     (k = 4, start = the 4 lowest vec_id); final assignment with squared
