@@ -31,7 +31,7 @@ def tokenizer_files():
 @register
 def op1_toxicity_chain(spark, d):
     from redeemflow.llm.toxicity import chain
-    return chain(table(spark, d, "documents"), table(spark, d, "labels"), threshold=0.5)
+    return chain(table(spark, d, "documents"), table(spark, d, "labels"), threshold=0.3)
 
 
 @register

@@ -165,7 +165,7 @@ def score_set(found: np.ndarray, models: list[np.ndarray]) -> list[float]:
     return p
 
 
-def predict(docs: DataFrame, model, categories: list[str], threshold: float = 0.5) -> DataFrame:
+def predict(docs: DataFrame, model, categories: list[str], threshold: float = 0.3) -> DataFrame:
     """``doc_id``, one ``p_<category>`` each and ``toxic`` (the last category's
     probability reaches ``threshold``) for every row.
 
@@ -209,7 +209,7 @@ def weak_categories() -> dict[str, Column]:
     return {"insult": uses(INSULT), "contempt": uses(CONTEMPT), "toxic": F.col("toxic") == 1}
 
 
-def chain(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_rows: int = 6000) -> DataFrame:
+def chain(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_rows: int = 6000) -> DataFrame:
     """Train the chain on the labelled rows of ``docs`` and judge every row."""
     categories = weak_categories()
     return predict(docs, fit(docs, labels, categories, max_rows), list(categories), threshold)
