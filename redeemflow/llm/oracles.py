@@ -82,4 +82,24 @@ SELECT conv_id, any_value(n_turns) AS n_turns,
 FROM s GROUP BY conv_id
 """
 
-SQL = {"op6_chat_format": OP6, "op2_url_filter": OP2, "op3_decontamination": OP3}
+OP9 = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+b AS (SELECT doc_id, hx, CAST(length(hx) // 2 AS BIGINT) AS n FROM d),
+w AS (SELECT doc_id, i, substr(hx, 2 * i + 1, 100) AS s
+  FROM (SELECT doc_id, hx, unnest(range(0, n - 49)) AS i FROM b WHERE n >= 50)),
+low AS (SELECT s, min(doc_id) AS first_id FROM w GROUP BY s),
+gone AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before
+  FROM w JOIN low USING (s) WHERE first_id < doc_id),
+runs AS (SELECT doc_id, i, sum(CASE WHEN i <= before + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run
+  FROM gone),
+spans AS (SELECT doc_id, min(i) AS s, max(i) + 50 AS e FROM runs GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS done FROM spans),
+cuts AS (SELECT doc_id, CAST(sum(e - s) AS BIGINT) AS n_removed, count(*) AS n_spans, max(e) AS last,
+    string_agg(substr(hx, 2 * done + 1, 2 * (s - done)), '' ORDER BY s) AS head
+  FROM gaps JOIN b USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN last IS NULL THEN hx ELSE head || substr(hx, 2 * last + 1) END)) AS kept_sha256
+FROM b LEFT JOIN cuts USING (doc_id)
+"""
+
+SQL = {"op9_suffix_dedup": OP9, "op6_chat_format": OP6, "op2_url_filter": OP2, "op3_decontamination": OP3}
