@@ -97,8 +97,8 @@ def min_max_scale(df: DataFrame, col: str, out: str) -> DataFrame:
 
 #: distinct scores that one task sorts
 AUC_BUCKET = 1_000_000
-#: buckets at most (their bounds and totals pass through the driver)
-AUC_MAX_BUCKETS = 4096
+#: buckets at least and at most (their bounds and totals pass through the driver)
+AUC_BUCKETS = (8, 4096)
 
 
 def exact_auc(df: DataFrame, score_col: str, label_col: str, buckets: int | None = None) -> DataFrame:
@@ -122,11 +122,9 @@ def exact_auc(df: DataFrame, score_col: str, label_col: str, buckets: int | None
                 F.count(F.when(F.col(label_col) != 1, 1)).alias("neg"))
            .checkpoint())
     if buckets is None:
-        buckets = min(AUC_MAX_BUCKETS, max(1, -(-g.count() // AUC_BUCKET)))
-    bounds: list[float] = []
-    if buckets > 1:
-        probs = [i / buckets for i in range(1, buckets)]
-        bounds = sorted(set(g.select(F.percentile_approx("s", probs, 10000)).first()[0] or []))
+        buckets = min(AUC_BUCKETS[1], max(AUC_BUCKETS[0], -(-g.count() // AUC_BUCKET)))
+    probs = [i / buckets for i in range(1, max(buckets, 2))]
+    bounds = sorted(set(g.select(F.percentile_approx("s", probs, 10000)).first()[0] or [0.0]))
     # bucket i holds scores in (bounds[i-1], bounds[i]]
     b = g.select("*", _bucket_of(F.col("s"), bounds).alias("bucket"))
     totals = dict(b.groupBy("bucket").agg(F.sum("neg").alias("n")).collect())
