@@ -45,9 +45,10 @@ def store(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     del df
-    time.sleep(1)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        time.sleep(1)
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 
 

@@ -28,8 +28,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from redeemflow.llm.common import store
 
@@ -37,6 +39,8 @@ from redeemflow.llm.common import store
 GRAM = 20
 #: bytes whose hashes are computed together, and bytes of one suffix array
 SLAB, SHARD = 1 << 17, 1 << 20
+#: documents whose anchors are found together
+ROWS = 2000
 #: contexts of one k-gram that stay in one shard
 SHARD_CONTEXTS = 4096
 #: heavy k-grams that may be broadcast
@@ -156,7 +160,7 @@ _ANCHOR = "whole boolean, h long, c long, id long, pack long"
 
 def _anchor_batches(batches, width):
     back = width - GRAM
-    for b in batches:
+    for b in (b.slice(k, ROWS) for b in batches for k in range(0, len(b), ROWS)):
         texts = b.column("data").to_pylist()
         ids = b.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
         sub = b.column("sub").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -443,7 +447,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def removed_ranges(docs: DataFrame, width: int = 50) -> DataFrame:
-    """``id, sub, ranges``: byte ranges (overlapping, unclipped) to remove per document."""
+    """``id, sub, starts, ends``: byte ranges (overlapping, unclipped) to remove per
+    document."""
     if width < GRAM + 8:
         raise ValueError(f"windows have at least {GRAM + 8} bytes")
     data = _keyed(docs).select(F.col("_id").alias("id"), F.col("_sub").alias("sub"),
@@ -467,7 +472,8 @@ def removed_ranges(docs: DataFrame, width: int = 50) -> DataFrame:
               .sortWithinPartitions("w1", "w2", "id").mapInArrow(_merge, _FOUND))
     spans = (whole.unionByName(windows.where("w1 is null").select("id", "sub", "start", "end"))
              .unionByName(merged.select("id", "sub", "start", "end")))
-    return spans.groupBy("id", "sub").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    return (spans.groupBy("id", "sub").agg(F.collect_list(F.struct("start", "end")).alias("x"))
+            .select("id", "sub", F.col("x.start").alias("starts"), F.col("x.end").alias("ends")))
 
 
 def _windows(data: DataFrame, part: DataFrame, width: int) -> DataFrame:
@@ -480,36 +486,36 @@ def _windows(data: DataFrame, part: DataFrame, width: int) -> DataFrame:
             .mapInArrow(lambda it: _shards(it, width), _FOUND))
 
 
-def kept_parts(n: int, ranges) -> tuple[list[tuple[int, int]], int, int]:
+def kept_parts(n: int, starts: np.ndarray, ends: np.ndarray) -> tuple[list[tuple[int, int]], int, int]:
     """What is left of ``n`` bytes, how many bytes go, and in how many runs."""
-    kept, removed, runs, at = [], 0, 0, 0
-    done = -1  # end of the last run
-    for start, end in sorted(ranges):
-        start, end = max(start, 0), min(end, n)
-        if end <= start:
-            continue
-        if start > done:
-            if start > at:
-                kept.append((at, start))
-            runs += 1
-            removed += end - start
-            done = end
-        elif end > done:
-            removed += end - done
-            done = end
-        at = done
-    if at < n:
-        kept.append((at, n))
-    return kept, removed, runs
+    s, e = np.maximum(starts, 0), np.minimum(ends, n)
+    s, e = s[e > s], e[e > s]
+    if not len(s):
+        return [(0, n)] if n else [], 0, 0
+    order = np.argsort(s)
+    s, e = s[order], np.maximum.accumulate(e[order])
+    first = np.append(True, s[1:] > e[:-1])
+    lo, hi = s[first], e[np.append(np.flatnonzero(first)[1:] - 1, len(e) - 1)]
+    gaps = zip(np.append(0, hi).tolist(), np.append(lo, n).tolist())
+    return [(a, b) for a, b in gaps if b > a], int((hi - lo).sum()), len(lo)
 
 
 def _with_ranges(docs: DataFrame, width: int) -> DataFrame:
-    ranges = removed_ranges(docs, width).select(F.col("id").alias("_id"), F.col("sub").alias("_sub"), "ranges")
+    ranges = removed_ranges(docs, width).select(F.col("id").alias("_id"), F.col("sub").alias("_sub"), "starts", "ends")
     return _keyed(docs).join(ranges, ["_id", "_sub"], "left")
 
 
-def _ranges(value):
-    return [(r["start"], r["end"]) for r in value or ()]
+def _kept(b: pa.RecordBatch, texts: pa.Array):
+    """Bytes, and ``kept_parts``, of each row of a batch."""
+    lists = []
+    for c in ("starts", "ends"):
+        x = b.column(c)
+        lists.append((x.flatten().to_numpy(zero_copy_only=False).astype(np.int64),
+                      np.append(0, np.cumsum([v or 0 for v in pc.list_value_length(x).to_pylist()]))))
+    (starts, at), (ends, _) = lists
+    for k, data in enumerate(texts.cast(pa.binary())):
+        data = data.as_py() or b""
+        yield data, *kept_parts(len(data), starts[at[k]:at[k + 1]], ends[at[k]:at[k + 1]])
 
 
 _REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -517,19 +523,22 @@ _REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256
 
 def _report(batches):
     for b in batches:
-        out = []
-        for doc_id, data, found in zip(b.column("doc_id").to_pylist(), b.column("data"),
-                                       b.column("ranges").to_pylist()):
-            data = data.as_py()
-            kept, removed, runs = kept_parts(len(data), _ranges(found))
-            digest = hashlib.sha256(b"".join(data[s:e] for s, e in kept)).hexdigest()
-            out.append((doc_id, len(data), removed, runs, digest))
-        cols = list(zip(*out)) if out else [[]] * 5
+        out = [(len(data), removed, runs, hashlib.sha256(b"".join([data[s:e] for s, e in kept])).hexdigest())
+               for data, kept, removed, runs in _kept(b, b.column("text"))]
+        cols = list(zip(*out)) if out else [[]] * 4
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in cols[:4]] + [pa.array(cols[4], pa.string())],
+            [b.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())],
             [f.split(" ")[0] for f in _REPORT.split(", ")])
 
 
+def _clean(batches):
+    for b in batches:
+        texts = b.column("_row").field("text")
+        left = [b"".join([data[s:e] for s, e in kept]).decode("utf-8", "ignore") if removed else None
+                for data, kept, removed, _ in _kept(b, texts)]
+        yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(left, pa.string())], ["_row", "_left"])
+
+
 def report(docs: DataFrame, width: int = 50) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``.
 
@@ -538,22 +547,16 @@ def report(docs: DataFrame, width: int = 50) -> DataFrame:
     other; rows of equal doc_id do not remove each other, and repeated rows get
     the same result; other columns are ignored.
     """
-    rows = _with_ranges(docs, width).select(
-        F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"), "ranges")
+    rows = _with_ranges(docs, width).select(F.col("doc_id").cast("long"), "text", "starts", "ends")
     return rows.mapInArrow(_report, _REPORT)
 
 
 def cleaned(docs: DataFrame, width: int = 50) -> DataFrame:
     """``docs`` with the repeated bytes taken out of ``text`` (a character cut in two
     goes as a whole); rows of which nothing is left go, unless they were empty."""
-    @F.udf("string")
-    def left(data, found):
-        if data is None or not found:
-            return None if data is None else data.decode("utf-8", "ignore")
-        kept, _, _ = kept_parts(len(data), [(r.start, r.end) for r in found])
-        return b"".join(bytes(data[s:e]) for s, e in kept).decode("utf-8", "ignore")
-
-    text = F.when(F.col("ranges").isNull(), F.col("text")).otherwise(left(F.col("text").cast("binary"), "ranges"))
-    rows = _with_ranges(docs, width).select("_row", "text", text.alias("_left"))
-    return (rows.where("_left is null or _left <> '' or text = ''")
-            .select(F.col("_row").withField("text", F.col("_left")).alias("_row")).select("_row.*"))
+    rows = _with_ranges(docs, width).select("_row", "starts", "ends")
+    schema = StructType([rows.schema["_row"], StructField("_left", StringType())])
+    # `_left` is null where nothing goes
+    rows = rows.mapInArrow(_clean, schema).where("_left is null or _left <> ''")
+    text = F.coalesce("_left", F.col("_row.text"))
+    return rows.select(F.col("_row").withField("text", text).alias("_row")).select("_row.*")

@@ -98,6 +98,10 @@ def test_cleaned(spark, make_docs):
 
 
 def test_ranges():
-    assert S.kept_parts(10, []) == ([(0, 10)], 0, 0)
-    assert S.kept_parts(10, [(-5, 3), (3, 4), (8, 20), (2, 3)]) == ([(4, 8)], 6, 2)
-    assert S.kept_parts(0, [(0, 5)]) == ([], 0, 0)
+    def parts(n, ranges):
+        a = np.array(ranges, np.int64).reshape(-1, 2)
+        return S.kept_parts(n, a[:, 0], a[:, 1])
+    assert parts(10, []) == ([(0, 10)], 0, 0)
+    assert parts(10, [(-5, 3), (3, 4), (8, 20), (2, 3)]) == ([(4, 8)], 6, 2)
+    assert parts(10, [(5, 5), (2, 9), (3, 4)]) == ([(0, 2), (9, 10)], 7, 1)
+    assert parts(0, [(0, 5)]) == ([], 0, 0)
