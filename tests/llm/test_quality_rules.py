@@ -46,7 +46,7 @@ def docs_and_labels(spark, n, junk):
         if i < junk:
             text = " ".join(w + "###" for w in text.split())
         rows.append((i, text, "en", 0))
-    rows += [(n, None, None, 0), (n + 1, "", "en", 0), (n + 2, clean % 1, "xx", 0), (0, rows[0][1], "en", 0)]
+    rows += [(n, None, None, 0), (n + 1, "", "en", 0), (n + 2, clean.replace("%d", "1"), "xx", 0), (0, rows[0][1], "en", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, stratum int")
     labels = spark.createDataFrame([(i, 0 if i < junk else 1) for i in range(n)] + [(10 ** 6, 1), (None, 1), (3, None)],
                                    "doc_id long, quality int")
