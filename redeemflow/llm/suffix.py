@@ -49,8 +49,8 @@ MAX_BROADCAST = 200_000
 _POS_BITS = 40
 _POS = (1 << _POS_BITS) - 1
 _LAST = (1 << 63) - 1
-#: hashes keep 48 bits: k-grams that collide only meet in vain, and contexts are
-#: compared within one k-gram
+#: k-gram hashes keep 48 bits: k-grams that collide only meet in vain.  Whole
+#: contexts are told apart by all 64 bits of theirs, within one k-gram
 _SHORT = np.uint64(16)
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -99,7 +99,7 @@ def anchors(buf: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray,
         h = v[:m - GRAM + 1]
         for o in (8, GRAM - 8):
             h = _mix(h) ^ v[o:o + m - GRAM + 1]
-        h = _mix(h) >> _SHORT
+        h = (_mix(h) >> _SHORT) + np.uint64(1)  # never 0, which marks no window
         low = _sliding_min(h, w)
         # windows that cross a document's end do not count
         e = ends[(ends > lo) & (ends < lo + m)] - lo
@@ -137,7 +137,7 @@ def _context_hash(buf, at, left, right, width):
         b = buf[np.clip(a + o, 0, k - 1)].astype(np.uint64) + np.uint64(1)
         x = np.where((o >= -lf) & (o < rg), _mix(x ^ b), x)
     c[~full] = x
-    return c >> _SHORT
+    return c
 
 
 def _first_ids(h, c, ids):

@@ -78,6 +78,28 @@ def test_report(spark, make_docs):
         assert got == sorted((r for r, _ in brute(pairs)), key=repr)
 
 
+def test_runs_of_nul_bytes(spark, make_docs):
+    x = b"\0" * 60 + b"some text between the runs" + b"\0" * 25 + b"of bytes " + b"\0" * 70
+    at, h = S.anchors(np.frombuffer(x + bytes(8), np.uint8), np.array([len(x)]), 50)
+    assert (h > 0).all()
+    for s in range(len(x) - 49):
+        assert ((at >= s) & (at <= s + 50 - S.GRAM)).any()
+    passage = "\0" * 200
+    pairs = [(1, "first one " + passage + " goes on"), (2, "and another " + passage + " ends"), (3, passage),
+             (4, "x" * 20 + "\0" * 24 + "y" * 20), (5, "ab" + "x" * 20 + "\0" * 24 + "y" * 20)]
+    got = sorted((tuple(r) for r in S.report(make_docs(pairs)).collect()), key=repr)
+    assert got == sorted((r for r, _ in brute(pairs)), key=repr)
+    assert [r[2] for r in got] == [0, 202, 200, 0, 64]
+
+
+def test_whole_contexts_keep_64_bits():
+    x = np.frombuffer(b"".join(b"%020d" % i for i in range(400)) + bytes(8), np.uint8)
+    at = np.arange(100, 7000)
+    full = np.full(len(at), 30), np.full(len(at), 50)
+    for left, right in (full, (full[0] - 3, full[1])):
+        assert int(S._context_hash(x, at, left, right, 50).max()) >> 60
+
+
 def test_heavy_grams_are_split_and_merged(spark, make_docs, monkeypatch):
     monkeypatch.setattr(S, "SHARD_CONTEXTS", 2)
     monkeypatch.setattr(S, "MAX_BROADCAST", -1)
