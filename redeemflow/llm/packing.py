@@ -53,31 +53,42 @@ class Files(NamedTuple):
 def _encoders(files: Files):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(files.tokenizer)
-    tok.encode_special_tokens = True  # their strings in a text are ordinary text
 
-    def encode(text):
-        return tok.encode(text, add_special_tokens=False).ids
+    def encoder(ordinary):
+        tok = Tokenizer.from_file(files.tokenizer)
+        tok.encode_special_tokens = ordinary  # their strings in a text are ordinary text
+        return tok, lambda text: tok.encode(text, add_special_tokens=False).ids
+    tok, whole = encoder(False)
+    added = [t.content for t in tok.get_added_tokens_decoder().values()]
+    # no added token: a pattern that matches nothing
+    holds_added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+    _, encode = encoder(True)
     if files.ranks is None:
-        return encode, encode
+        return whole, holds_added, encode, encode
     import tiktoken
     with open(files.ranks, "rb") as f:
         ranks = {base64.b64decode(t): int(n) for t, n in (line.split() for line in f)}
     fast = tiktoken.Encoding("ranks", pat_str=files.pattern, mergeable_ranks=ranks, special_tokens={})
-    return encode, fast.encode_ordinary
+    return whole, holds_added, encode, fast.encode_ordinary
 
 
-def token_bytes(text: str | None, files: Files) -> bytes:
+def token_bytes(text: str | None, files: Files, added: bool = False) -> bytes:
     """Ids of a whole text as little-endian unsigned 32-bit bytes.
 
     The ids are those of ``tokenizers``.  Where the rank file is given, texts of
     Latin letters are encoded with it: same vocabulary, same pattern, same ids
     (tests compare them), three times faster.  Other texts, whose letters the
     two libraries might class by different Unicode versions, go to ``tokenizers``.
+
+    With ``added``, a text that holds the string of an added token (such as
+    ``<|endoftext|>``) goes to the unmodified ``tokenizers`` file and gets that
+    token's id; without, the string is ordinary text.
     """
     if not text:
         return b""
-    encode, fast = _encoders(files)
+    whole, holds_added, encode, fast = _encoders(files)
+    if added and holds_added.search(text):
+        encode = fast = whole
     ids = array("I", (encode if _BEYOND_LATIN.search(text) else fast)(text))
     if sys.byteorder == "big":
         ids.byteswap()
@@ -90,7 +101,7 @@ def _pieces(batches, files, window, end_id):
     for b in batches:
         out = []
         for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
-            ids = token_bytes(text.as_py(), files) + end
+            ids = token_bytes(text.as_py(), files, added=True) + end
             n = len(ids) // 4
             for start in range(0, n, window):
                 part = ids[4 * start:4 * (start + window)]
@@ -101,7 +112,8 @@ def _pieces(batches, files, window, end_id):
 
 def cut_documents(docs: DataFrame, files: Files, window: int = 2048, end_id: int = 1) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens`` per piece: the full windows
-    of a document and its remainder."""
+    of a document and its remainder.  The ids are those of the unmodified
+    ``tokenizers`` file, added tokens included."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(lambda it: _pieces(it, files, window, end_id), _PIECE)
 

@@ -97,3 +97,17 @@ def check(pairs, got, tok, window=2048):
             at += length
         assert at <= window
     return len(seqs)
+
+
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", "漢字<|endoftext|> x", "<|endoftext|", "x<|endoftext|><|endoftext|>y\n", "plain text"]
+
+
+def test_added_tokens_keep_their_ids(spark, make_docs):
+    from tokenizers import Tokenizer
+    unmodified = Tokenizer.from_file(tokenizer_files().tokenizer)
+    for text in ADDED:
+        want = unmodified.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(P.token_bytes(text, tokenizer_files(), added=True), "<u4").tolist() == want
+    assert unmodified.encode(ADDED[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    pairs = list(enumerate(ADDED))
+    check(pairs, [r.asDict() for r in P.pack(make_docs(pairs), tokenizer_files()).collect()], unmodified)
