@@ -4,7 +4,12 @@ The page is cut into text blocks at block-level tags.  First pass: a block's
 link density, length, stop-word density and surroundings make it good, bad or
 undecided.  Second pass: undecided blocks (short ones, and long ones with few
 stop words) inherit the label of the nearest decided neighbours; the edges of an
-``article`` or ``main`` element count as good neighbours of what they hold.
+``article`` or ``main`` element count as good neighbours of what they hold.  On a
+page without a good block and without such an element, as in a language the stop
+words do not know, long blocks of running text are good.
+
+A boilerplate element without an end tag of its own ends at the next block tag, and
+one that wraps the page (a form round everything) says nothing about what it holds.
 """
 
 from __future__ import annotations
@@ -36,6 +41,7 @@ _INLINE = frozenset("a abbr b bdi bdo cite code del dfn em font i img ins kbd la
                     "strike strong sub sup time tt u var wbr".split())
 _BAD_TAGS = frozenset("nav header footer aside form button menu dialog head".split())
 _GOOD_TAGS = frozenset("article main".split())
+_FIELD_TAGS = frozenset("label legend".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _HOLDERS = frozenset("div section ul ol dl table td".split()) | _BAD_TAGS | _GOOD_TAGS
 _NAME = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -44,6 +50,34 @@ _BAD_NAME = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|complementary|consent|contentinfo|cookies?|footer|gdpr|"
     r"disqus|header|masthead|menu|modal|nav(?:bar|igation)?|newsletter|notices?|alert|popup|promo\w*|related|respond|search|"
     r"share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?=$|[\s_-])", re.I)
+#: how running text ends, in any script that marks it
+_SENTENCE = re.compile("[.!?\u2026\u3002\uff01\uff1f\u0964\u061f\u06d4\u104b\u17d4][\"'\xbb\u201d\u2019)\\]]*$")
+
+
+def _closed(page: str, tokens) -> tuple[dict[int, tuple[int, int]], int, int]:
+    """Start tags (by place in ``tokens``) that have an end tag of their own, with the
+    characters and the articles between both; all characters and articles."""
+    stack: list[tuple[str, int, int, int]] = []
+    closed, at, chars, articles = {}, 0, 0, 0
+    for k, m in enumerate(tokens):
+        chars += len(page[at:m.start()].strip())
+        at = m.end()
+        tag = (m[3] or "").lower()
+        if tag == "body" and not m[2]:
+            stack = [x for x in stack if x[0] != "head"]
+        if tag not in _HOLDERS and tag not in _FIELD_TAGS:
+            continue
+        if m[2]:
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] == tag:
+                    _, start, c, a = stack[i]
+                    closed[start] = (chars - c, articles - a)
+                    del stack[i:]
+                    break
+        elif not m[4].endswith("/"):
+            stack.append((tag, k, chars, articles))
+            articles += tag in _GOOD_TAGS
+    return closed, chars + len(page[at:].strip()), articles
 
 
 def blocks_of(page: str):
@@ -53,6 +87,9 @@ def blocks_of(page: str):
     blocks, parts, link_chars, in_link, block_tag = [], [], 0, 0, ""
     stack: list[tuple[str, int, int]] = []
     regions = 0
+    tokens = list(_TOKEN.finditer(page))
+    closed, chars, articles = _closed(page, tokens)
+    unclosed = False  # the element opened last is boilerplate without an end tag
 
     def where():
         return stack[-1][1:] if stack else (0, 0)
@@ -65,6 +102,11 @@ def blocks_of(page: str):
                 blocks.append((text, link_chars, *where(), block_tag))
         parts, link_chars = [], 0
 
+    def wraps_page(k, tag):
+        c, a = closed[k]
+        most, form = 2 * c > chars, tag == "form"
+        return form and most or bool(a) and a == articles and (form or most)
+
     def add(raw):
         nonlocal link_chars
         if raw:
@@ -74,21 +116,27 @@ def blocks_of(page: str):
                 link_chars += len(text.strip())
 
     at = 0
-    for m in _TOKEN.finditer(page):
+    for k, m in enumerate(tokens):
         add(page[at:m.start()])
         at = m.end()
         tag = (m[3] or "").lower()
         if not tag:
             continue
+        field = tag in _FIELD_TAGS and any(x[0] == "form" for x in stack)
         if tag in ("br", "hr"):
             parts.append(" ")
-        elif tag in _INLINE:
+        elif tag in _INLINE and not field:
             if tag == "a":
                 in_link = 0 if m[2] else 1
         else:
             close()
             in_link, block_tag = 0, "" if m[2] else tag
-            if tag in _HOLDERS:
+            if unclosed:
+                stack[-1] = (stack[-1][0], *(stack[-2][1:] if len(stack) > 1 else (0, 0)))
+                unclosed = False
+            if tag == "body" and not m[2]:
+                stack[:] = [x for x in stack if x[0] != "head"]
+            if tag in _HOLDERS or field:
                 if m[2]:
                     for i in range(len(stack) - 1, -1, -1):
                         if stack[i][0] == tag:
@@ -98,8 +146,10 @@ def blocks_of(page: str):
                     inside, region = where()
                     names = " ".join(filter(None, (g for x in _NAME.findall(m[4]) for g in x)))
                     names = _CAMEL.sub("-", names)
-                    if tag in _BAD_TAGS or _BAD_NAME.search(names):
+                    bad = tag in _BAD_TAGS or field or _BAD_NAME.search(names)
+                    if bad and not (k in closed and wraps_page(k, tag)):
                         inside = -1
+                        unclosed = k not in closed
                     elif tag in _GOOD_TAGS and inside >= 0:
                         if not region:
                             regions += 1
@@ -125,10 +175,20 @@ def decide(text: str, link_chars: int, inside: int, tag: str) -> int:
     return 1 if stop >= STOP_LOW else 0
 
 
+def _running(text: str) -> bool:
+    """Long running text, whatever its language: it ends like a sentence, or is in a
+    script that hardly uses spaces."""
+    if len(text.encode("utf-8", "replace")) < 2 * SHORT or "\xa9" in text:
+        return False
+    return bool(_SENTENCE.search(text)) or not text.isascii() and len(text) > 12 * len(text.split())
+
+
 def main_text(page: str | None) -> str:
     """Good blocks in page order, joined by line feeds."""
     blocks = blocks_of(page or "")
     labels = [decide(text, links, inside, tag) for text, links, inside, _, tag in blocks]
+    if not any(x > 0 for x in labels) and not any(b[3] for b in blocks):
+        labels = [1 if not x and _running(b[0]) else x for b, x in zip(blocks, labels)]
     near = [_neighbours(blocks, labels, range(len(blocks))),
             _neighbours(blocks, labels, range(len(blocks) - 1, -1, -1))]
     kept = []
@@ -175,9 +235,9 @@ def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages``.
 
     Defined cases: null or empty html, and pages of boilerplate alone, give an
-    empty text; nothing is capped; repeated rows are kept; unclosed tags,
-    comments and quotes end at the next tag or the page's end; other columns are
-    ignored.
+    empty text; nothing is capped; repeated rows are kept; unclosed boilerplate
+    elements end at the next block tag, comments and quotes at the next tag or the
+    page's end; other columns are ignored.
     """
     return (pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), "html")
             .mapInArrow(_extract, "page_id long, url string, text string, n_chars long"))

@@ -60,3 +60,35 @@ def test_empty_table_and_nulls(spark):
     assert extract(spark.createDataFrame([], schema)).count() == 0
     got = extract(spark.createDataFrame([(None, None, None), (1, "u", ""), (1, "u", "")], schema)).collect()
     assert [(r.text, r.n_chars) for r in got] == [("", 0)] * 3
+
+
+RUSSIAN = ("Кошка сидела на ковре, а собака спала в доме, потому что за окном весь день шёл сильный дождь. "
+           "Вечером они вышли в сад.")
+THAI = "แมวนั่งอยู่บนพรมและสุนัขนอนหลับอยู่ในบ้านเพราะข้างนอกฝนตกหนักตลอดทั้งวัน"
+FIELDS = "<label>Your name of the user</label><input><button>Send it</button>"
+
+
+@pytest.mark.parametrize("raw,want", [
+    # </head> is optional
+    (f"<html><head><title>T</title><meta charset=utf-8><body><article><p>{LONG}</p></article>", LONG),
+    (f"<html><head><title>T</title><article><p>{LONG}</p></article>", LONG),
+    (f"<head><title>T</title><link rel=x><body><p>{LONG}</p></body></html>", LONG),
+    (f"<head><title>T</title><p>{LONG}</p>", LONG),
+    # a form round the page; its fields stay out
+    (f"<body><form><nav><a href=/>Home</a></nav><article><p>{LONG}</p></article>{FIELDS}</form></body>", LONG),
+    (f"<body><form><div><p>{LONG}</p><p>{LONG}</p>{FIELDS}</div></form></body>", f"{LONG}\n{LONG}"),
+    (f"<body><p>{LONG}</p><p>{LONG}</p><form><p>Send us your name.</p>{FIELDS}</form></body>", f"{LONG}\n{LONG}"),
+    # unclosed boilerplate
+    (f"<body><nav><a href=/>Home</a><article><p>{LONG}</p></article></body>", LONG),
+    (f"<body><header>Site<main><p>{LONG}</p></main><footer>x</footer></body>", LONG),
+    (f"<body><div><nav><a href=/>Home</a><p>{LONG}</p></div></body>", LONG),
+    # closed boilerplate stays out, with an article in it too
+    (f"<article><p>{LONG}</p></article><aside><article>{LONG} more</article></aside>", LONG),
+    (f"<nav><p>{LONG}</p></nav><footer><p>{LONG}</p></footer>", ""),
+    # languages without stop words here
+    (f"<body><ul><li><a href=/>Дом</a></li></ul><p>{RUSSIAN}</p><p>\xa9 2024</p></body>", RUSSIAN),
+    (f"<body><p>{THAI}</p></body>", THAI),
+    (f"<body><div class=sidebar><p>{RUSSIAN}</p></div><p>{'Item ' * 40}</p></body>", ""),
+])
+def test_regions_end_and_languages(raw, want):
+    assert main_text(raw) == want
