@@ -20,7 +20,7 @@ MAX_BROADCAST_RULES = 100_000
 _CANONICAL = (r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?\s*canonical\b)"
               r"[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)")
 _REFRESH = (r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?\s*refresh\b)"
-            r"[^>]*?\bcontent\s*=\s*[\"']?[^\"'>]*?url\s*=\s*([^\"'\s>;]+)")
+            r"[^>]*?\bcontent\s*=\s*[\"']?[^\"'>]*?url\s*=\s*[\"']?([^\"'\s>;]+)")
 
 
 def with_address(df: DataFrame, url: Column, prefix: str = "") -> DataFrame:
@@ -35,16 +35,30 @@ def with_address(df: DataFrame, url: Column, prefix: str = "") -> DataFrame:
             .drop("_rest"))
 
 
+def without_dots(path: Column) -> Column:
+    """``path`` with its ``.`` and ``..`` segments resolved (RFC 3986, 5.2.4)."""
+    parts = F.split(path, "/")
+    kept = F.aggregate(
+        F.slice(parts, F.lit(2), F.size(parts)), F.array().cast("array<string>"),
+        lambda a, x: F.when(x == ".", a)
+        .when(x == "..", F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0))))
+        .otherwise(F.concat(a, F.array(x))))
+    # a last segment of dots names a folder
+    kept = F.when(path.rlike(r"/\.\.?$"), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
+
+
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """Edges ``(u_host, u_path, v_host, v_path)`` that pages declare by a
-    canonical link or a refresh redirect.  Targets without a scheme are
-    resolved against the page's own address."""
+    """Edges ``(u_host, u_path, v_host, v_path)`` that pages declare by their
+    canonical links and refresh redirects, all of them.  Targets without a scheme
+    are resolved against the page's own address, and dot segments of any target."""
     html = F.coalesce(F.col("html"), F.lit(""))
     low = F.lower(html)
-    found = F.filter(F.array(
-        F.when(F.contains(low, F.lit("canonical")), F.regexp_extract(html, _CANONICAL, 1)),
-        F.when(F.contains(low, F.lit("http-equiv")), F.regexp_extract(html, _REFRESH, 1))),
-        lambda x: x.isNotNull() & (x != ""))
+    none = F.array().cast("array<string>")
+    found = F.filter(F.concat(
+        F.when(F.contains(low, F.lit("canonical")), F.regexp_extract_all(html, F.lit(_CANONICAL), 1)).otherwise(none),
+        F.when(F.contains(low, F.lit("http-equiv")), F.regexp_extract_all(html, F.lit(_REFRESH), 1)).otherwise(none)),
+        lambda x: x != "")
     rows = (with_address(pages.select("url", F.explode(found).alias("to")), F.col("url"), "u_")
             .where("u_host <> ''"))
     to = F.col("to")
@@ -56,6 +70,7 @@ def alias_edges(pages: DataFrame) -> DataFrame:
             .otherwise(F.concat(F.lit("x://"), "u_host",
                                 F.when(folder == "", F.lit("/")).otherwise(folder), to)))
     return (with_address(rows.withColumn("full", full), F.col("full"), "v_")
+            .withColumn("v_path", without_dots(F.col("v_path")))
             .where("v_host <> '' and not (u_host = v_host and u_path = v_path)")
             .select("u_host", "u_path", "v_host", "v_path").distinct())
 
@@ -102,6 +117,10 @@ def filter_urls(pages: DataFrame, rules: DataFrame) -> DataFrame:
     else block if any alias is blocked, else allow.  ``class_id`` is the
     smallest address of the class (null outside classes).
 
+    An address is host and path.  Rules are about paths and the class is named by
+    one, so the query string is no part of it on either side: ``?id=1`` and
+    ``?id=2`` of a script are one address, and an edge of one is an edge of both.
+
     Defined cases: null url or no ``://`` gives empty host and path, no rule,
     allow.  Repeated rows and urls each keep their row.  Null html declares no
     edges.  Other columns are ignored.  Empty tables give no rows.

@@ -58,6 +58,24 @@ def test_block_reaches_aliases_and_allow_wins(spark):
     assert by[9].verdict == by[10].verdict == "block"
 
 
+def test_every_form_of_an_edge(spark):
+    refresh = '<meta http-equiv="refresh" content="{}">'
+    pages = [(1, "http://a.net/1", refresh.format("0; url='http://bad.net/a'")),
+             (2, "http://a.net/2", "<meta http-equiv=refresh content='0; URL=\"http://bad.net/b\"'>"),
+             (3, "http://a.net/3", canon("http://n.net/") + canon("http://bad.net/c")),         # the second link
+             (4, "http://a.net/4", refresh.format("0; url=http://n.net/x") + refresh.format("0; url=http://bad.net/d")),
+             (5, "http://b.net/x/y/5", canon("../z/./6")), (6, "http://b.net/x/z/6", canon("http://bad.net/e")),
+             (7, "http://b.net/x/y/7", canon("./8?q=..")), (8, "http://b.net/x/y/8", canon("http://bad.net/f")),
+             (9, "http://c.net/9", canon("/k/l/../../../m/..")), (10, "http://c.net/", canon("http://bad.net/g")),
+             (11, "http://d.net/11", canon("http://d.net/q/../12")), (12, "http://d.net/12", canon("http://bad.net/h")),
+             # one script is one address, whatever its query string
+             (13, "http://s.net/r?id=1", canon("http://bad.net/i")), (14, "http://s.net/r?id=2", None),
+             (15, "http://s.net/r..", canon("t..u"))]
+    by = {r.page_id: r for r in run(spark, pages)}
+    assert [k for k in range(1, 15) if by[k].verdict != "block"] == []
+    assert by[15].verdict == "allow" and by[15].class_id == "s.net/r.."
+
+
 def test_empty_tables(spark):
     assert run(spark, []) == []
     got = run(spark, [(1, "http://a.org/", canon("http://b.org/"))], [])
