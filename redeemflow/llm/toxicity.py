@@ -26,12 +26,10 @@ BUCKETS = 1 << 20
 NGRAMS = (4, 5, 6)
 MAX_FEATURES, MIN_ROWS, MIN_SCORE, MIN_RATIO, FOLDS = 3000, 3, 2.0, 4, 5
 MEMO_WORDS = 300_000
+#: label columns
+LABELS = ("quality", "toxic")
 _WORD = re.compile(r"[^\W\d_]+")
 
-#: words that stand for a category where only `toxic` is labelled (fixed values)
-INSULT = ("idiot", "moron", "loser", "clown", "scum")
-CONTEMPT = ("stupid", "pathetic", "worthless", "disgusting", "trash")
-
 
 def word_buckets(word: str) -> tuple[int, ...]:
     """Buckets of a lower-cased word: itself and its character n-grams."""
@@ -95,24 +93,27 @@ def fit_linear(rows: Rows, extra: np.ndarray, y: np.ndarray, width: int, l2: flo
 def train_chain(sets: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """Feature buckets and, per category, the weights of its linear model.
 
-    ``labels`` has one 0/1 column per category, in chain order.
+    ``labels`` has one 0/1 column per category, in chain order; -1 where a row's
+    label is not known: such a row is judged, not learned from.
     """
     index: dict[int, int] = {}
     for c in range(labels.shape[1]):
-        for b in choose_features(sets, labels[:, c]):
+        known = labels[:, c] >= 0
+        for b in choose_features([s for s, k in zip(sets, known) if k], labels[known, c]):
             index.setdefault(b, len(index))
     width, n = len(index), len(sets)
     fold = np.arange(n) % FOLDS
-    rows = Rows(sets, index)
-    parts = [(Rows([s for s, f in zip(sets, fold) if f != k], index),
-              Rows([s for s, f in zip(sets, fold) if f == k], index)) for k in range(FOLDS)]
+    def some(mine):
+        return Rows([s for s, x in zip(sets, mine) if x], index)
+    judged = [some(fold == k) for k in range(FOLDS)]
     earlier, models = np.zeros((n, 0)), []
     for c in range(labels.shape[1]):
-        y = labels[:, c].astype(float)
-        models.append(fit_linear(rows, earlier, y, width))
+        y, known = labels[:, c].astype(float), labels[:, c] >= 0
+        models.append(fit_linear(some(known), earlier[known], y[known], width))
         out_of_fold = np.zeros(n)
-        for k, (learn, judge) in enumerate(parts):
-            w = fit_linear(learn, earlier[fold != k], y[fold != k], width)
+        for k, judge in enumerate(judged):
+            learn = known & (fold != k)
+            w = fit_linear(some(learn), earlier[learn], y[learn], width)
             out_of_fold[fold == k] = _sigmoid(judge.dot(w[:width]) + earlier[fold == k] @ w[width:-1] + w[-1])
         earlier = np.column_stack([earlier, out_of_fold])
     return np.array(list(index), np.int64), models
@@ -136,18 +137,25 @@ def _train_batches(batches):
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_rows: int = 6000):
-    """Chain over ``categories`` (name -> 0/1 column over a label row and its ``text``).
+    """Chain over ``categories`` (name -> 0/1 column over the label columns, null where
+    not known; the last is of ``toxic``).
 
     Uses at most ``max_rows`` labelled documents, those with the smallest hash of
-    doc_id; repeated rows count once, contradicting and null labels not at all.
+    doc_id among those in ``docs``; repeated rows count once, contradicting and
+    null labels not at all.
     """
+    def agreed(c):  # the label of a document's rows, null where they differ or have none
+        x = F.when(F.col(c).isin(0, 1), F.col(c))
+        return F.when(F.min(x) == F.max(x), F.min(x)).alias(c)
     sample = (labels.where("doc_id is not null and toxic in (0, 1)")
-              .groupBy(F.col("doc_id").alias("l_id")).agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("t2"))
-              .where("toxic = t2").orderBy(F.xxhash64("l_id"), "l_id").limit(max_rows).select("l_id", "toxic"))
+              .groupBy(F.col("doc_id").alias("l_id")).agg(*[agreed(c) for c in LABELS])
+              .where("toxic is not null")
+              .join(docs.select(F.col("doc_id").alias("l_id")).distinct(), "l_id", "left_semi")
+              .orderBy(F.xxhash64("l_id"), "l_id").limit(max_rows).select("l_id", *LABELS))
     rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
             .join(F.broadcast(sample), F.col("doc_id") == F.col("l_id"))
             .select(F.col("doc_id").cast("long"), "text",
-                    F.array(*[c.cast("int") for c in categories.values()]).alias("y")))
+                    F.array(*[F.coalesce(c.cast("int"), F.lit(-1)) for c in categories.values()]).alias("y")))
     sets = rows.mapInArrow(_sets, "doc_id long, y array<int>, ids array<int>").dropDuplicates(["doc_id"])
     got = sets.coalesce(1).mapInArrow(_train_batches, "buckets array<long>, models array<array<double>>").first()
     if got is None:
@@ -201,15 +209,13 @@ def predict(docs: DataFrame, model, categories: list[str], threshold: float = 0.
             .withColumn("toxic", F.col(names[-1]) >= threshold))
 
 
-def weak_categories() -> dict[str, Column]:
-    """insult -> contempt -> toxic: the first two hold for toxic rows that use one of
-    their words, the last is the label."""
-    def uses(words):
-        return (F.col("toxic") == 1) & F.col("text").rlike(r"(?i)\b(?:" + "|".join(words) + r")\b")
-    return {"insult": uses(INSULT), "contempt": uses(CONTEMPT), "toxic": F.col("toxic") == 1}
+def labelled_categories() -> dict[str, Column]:
+    """low_quality -> toxic: the two columns that the rows are labelled with, in every
+    language alike."""
+    return {"low_quality": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
 
 
 def chain(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_rows: int = 6000) -> DataFrame:
     """Train the chain on the labelled rows of ``docs`` and judge every row."""
-    categories = weak_categories()
+    categories = labelled_categories()
     return predict(docs, fit(docs, labels, categories, max_rows), list(categories), threshold)

@@ -101,3 +101,26 @@ def test_toxicity_edge_rows(spark, make_docs):
     none = T.chain(make_docs([(1, "a")]), labels.limit(0)).first()
     assert none.p_toxic == 0.5
     assert T.chain(make_docs([]), labels).count() == 0
+
+
+def test_chain_categories_are_labels_of_every_language(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    cats = T.labelled_categories()
+    rows = labels.join(docs.select("doc_id", "lang"), "doc_id").select(
+        "lang", *[c.cast("int").alias(n) for n, c in cats.items()]).toPandas()
+    assert list(cats)[-1] == "toxic" and len(cats) > 1
+    shares = rows.groupby("lang").mean()
+    assert len(shares) > 3 and ((shares > 0.01) & (shares < 0.99)).all().all()
+    got = T.chain(docs, labels, max_rows=1000)
+    assert got.columns == ["doc_id", *(f"p_{c}" for c in cats), "toxic"]
+
+
+def test_chain_learns_only_known_labels():
+    rnd = random.Random(5)
+    sets = [np.array(sorted({1, 2, 3} if i % 2 else {4, 5, 6}) + [rnd.randrange(10, 40)]) for i in range(200)]
+    y = np.array([[i % 2, i % 2] for i in range(200)])
+    y[:100, 0] = -1
+    buckets, models = T.train_chain(sets, y)
+    index = {int(b): i for i, b in enumerate(buckets)}
+    p = np.array([T.score_set(np.array(sorted(index[b] for b in s if b in index), int), models) for s in sets])
+    assert ((p >= 0.5) == np.array([[i % 2, i % 2] for i in range(200)])).all()
