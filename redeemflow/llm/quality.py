@@ -98,12 +98,14 @@ def fit(docs: DataFrame, labelled: DataFrame, max_rows: int = 3000) -> tuple[np.
     """Learn from ``labelled`` (``doc_id, y`` with y 0 or 1).
 
     At most ``max_rows`` labelled documents are used, those with the smallest hash
-    of doc_id.  Contradicting labels of a document are left out, and repeated
+    of doc_id among those in ``docs``.  Contradicting labels of a document are left out, and repeated
     rows count once.  Without labelled documents every score is 0.5.
     """
     sample = (labelled.where("doc_id is not null and y in (0, 1)")
               .groupBy(F.col("doc_id").alias("l_id")).agg(F.min("y").alias("y"), F.max("y").alias("y2"))
-              .where("y = y2").orderBy(F.xxhash64("l_id"), "l_id").limit(max_rows)
+              .where("y = y2")
+              .join(docs.select(F.col("doc_id").alias("l_id")).distinct(), "l_id", "left_semi")
+              .orderBy(F.xxhash64("l_id"), "l_id").limit(max_rows)
               .select("l_id", F.col("y").cast("int").alias("y")))
     rows = (docs.select("doc_id", F.col("text").cast("binary").alias("data"))
             .join(F.broadcast(sample), F.col("doc_id") == F.col("l_id"))

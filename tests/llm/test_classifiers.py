@@ -124,3 +124,15 @@ def test_chain_learns_only_known_labels():
     index = {int(b): i for i, b in enumerate(buckets)}
     p = np.array([T.score_set(np.array(sorted(index[b] for b in s if b in index), int), models) for s in sets])
     assert ((p >= 0.5) == np.array([[i % 2, i % 2] for i in range(200)])).all()
+
+
+def test_samples_hold_only_labels_of_the_documents(spark, make_docs):
+    docs = make_docs([(i, ("the cat sat on a mat %d " % i) * 9 if i % 2 else "### $$$ you idiot clown " * 20)
+                      for i in range(40)])
+    labels = spark.createDataFrame([(i, i % 2, 1 - i % 2) for i in range(4000)], "doc_id long, quality int, toxic int")
+    w, _ = Q.fit(docs, labels.selectExpr("doc_id", "quality as y"), max_rows=40)
+    assert np.abs(w).max() > 0
+    score = {r.doc_id: r.score for r in Q.score(docs, (w, _)).collect()}
+    assert min(score[i] for i in score if i % 2) > max(score[i] for i in score if not i % 2)
+    got = T.chain(docs, labels, max_rows=40).collect()
+    assert all(r.toxic == (r.doc_id % 2 == 0) for r in got)
