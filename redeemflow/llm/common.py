@@ -52,6 +52,17 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def fold(parts: DataFrame, merge, schema: str) -> DataFrame:
+    """One row from many bounded summaries: first those of each shuffle partition are
+    merged, then what that gives.
+
+    ``merge`` takes an iterator of Arrow batches and yields batches of the same
+    schema, at most one row; it must be associative.  No row where ``parts`` has none.
+    """
+    part = parts.withColumn("_part", F.spark_partition_id()).repartition("_part").drop("_part")
+    return part.mapInArrow(merge, schema).repartition(1).mapInArrow(merge, schema)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest node reachable from every node of an undirected edge list.
 

@@ -93,4 +93,12 @@ def op10_packing(spark, d):
     return pack(table(spark, d, "documents"), tokenizer_files())
 
 
+@register
+def op12_token_counts(spark, d):
+    import public_tokenizers as public
+
+    from redeemflow.llm.token_counts import token_counts
+    return token_counts(table(spark, d, "documents"), public.path("piece_bpe_32k.model"), limit=4096)
+
+
 ORACLE: dict[str, str] = {k: v for k, v in SQL.items() if k in QUERIES}
