@@ -102,4 +102,53 @@ SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spa
 FROM b LEFT JOIN cuts USING (doc_id)
 """
 
-SQL = {"op9_suffix_dedup": OP9, "op6_chat_format": OP6, "op2_url_filter": OP2, "op3_decontamination": OP3}
+OP11 = r"""
+WITH RECURSIVE base AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+      lambda c: CAST(ord(c) AS BIGINT)) AS bytes FROM conversations),
+hashed AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes),
+    lambda h, b: list_reduce(list_prepend(xor(h, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda x, z: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END::BIGINT))), 4294967295::BIGINT) % 20 AS k FROM base),
+damaged AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN k = 3 THEN [1, 2] ELSE [1] END) AS copy FROM hashed WHERE k <> 0),
+placed AS (SELECT conv_id, turn, role, text, left(role, 1) AS r, rtrim(text, E' \t\n\x0b\x0c\r') AS t,
+    row_number() OVER w AS pos, lag(left(role, 1)) OVER w AS before,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS seen
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+judged AS (SELECT *, CASE WHEN t = '' THEN 'blank' WHEN seen THEN 'duplicate'
+    WHEN right(t, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed),
+ins(p, q, cost, audit, added) AS (VALUES (0, 0, 0, '', []::VARCHAR[]), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+  (0, 2, 3, 'I', ['user:']), (1, 2, 3, 'I', ['user:']), (3, 2, 3, 'I', ['user:']), (2, 3, 3, 'I', ['assistant:']),
+  (0, 3, 6, 'II', ['user:', 'assistant:']), (1, 3, 6, 'II', ['user:', 'assistant:'])),
+moves(r, role, p, q) AS (VALUES ('s', 'system', 0, 1), ('u', 'user', 0, 2), ('u', 'user', 1, 2), ('u', 'user', 3, 2),
+  ('a', 'assistant', 2, 3)),
+acts AS (
+  SELECT conv_id, pos, p, p AS q, 4 AS cost, 'D' AS audit, []::VARCHAR[] AS added FROM judged, unnest([0, 1, 2, 3]) AS s(p)
+  UNION ALL SELECT conv_id, pos, p, q, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END, 'K', [judged.role || ':' || text]
+    FROM judged JOIN moves USING (r) WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL SELECT conv_id, pos, p, q, CASE WHEN fault = 'truncated' THEN 6 ELSE 3 END, 'R', [moves.role || ':' || text]
+    FROM judged, moves WHERE fault NOT IN ('blank', 'duplicate') AND moves.r <> 's'),
+steps AS (SELECT conv_id, pos, ins.p, acts.q, ins.cost + acts.cost AS cost, ins.audit || acts.audit AS audit,
+    list_concat(ins.added, acts.added) AS added FROM acts JOIN ins ON ins.q = acts.p),
+path(conv_id, pos, place, best) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 0, {'cost': 0, 'audit': '', 'added': []::VARCHAR[]} FROM conversations
+  UNION ALL SELECT path.conv_id, steps.pos, steps.q, min({'cost': best.cost + steps.cost, 'audit': best.audit || steps.audit,
+      'added': list_concat(best.added, steps.added)})
+    FROM path JOIN steps ON steps.conv_id IS NOT DISTINCT FROM path.conv_id AND steps.pos = path.pos + 1 AND steps.p = path.place
+    GROUP BY path.conv_id, steps.pos, steps.q),
+counts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+ends AS (SELECT path.conv_id, min({'cost': best.cost + ins.cost, 'audit': best.audit || ins.audit,
+    'added': list_concat(best.added, ins.added)}) AS best
+  FROM path LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM path.conv_id JOIN ins ON ins.p = place AND ins.q IN (0, 3)
+  WHERE path.pos = coalesce(n, 0) GROUP BY path.conv_id)
+SELECT ends.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(best.cost AS BIGINT) AS cost, best.audit AS audit, sha256(array_to_string(best.added, chr(10))) AS repaired_sha256
+FROM ends LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ends.conv_id
+"""
+
+SQL = {"op11_conversation_repair": OP11, "op9_suffix_dedup": OP9, "op6_chat_format": OP6, "op2_url_filter": OP2, "op3_decontamination": OP3}

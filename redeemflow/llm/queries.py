@@ -93,6 +93,13 @@ def op10_packing(spark, d):
     return pack(table(spark, d, "documents"), tokenizer_files())
 
 
+@register
+def op11_conversation_repair(spark, d):
+    from redeemflow.llm.conversation_repair import damage, report
+    conversations = table(spark, d, "conversations")
+    return report(damage(conversations), conversations.select("conv_id"))
+
+
 @register
 def op12_token_counts(spark, d):
     import public_tokenizers as public
