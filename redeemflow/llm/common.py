@@ -33,6 +33,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as Parquet in the shared checkpoint folder, read again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage of a large table: write it as Parquet (compressed, by column) in
     the shared checkpoint folder and read it again.

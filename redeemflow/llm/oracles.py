@@ -113,11 +113,10 @@ damaged AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS r
     CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
     unnest(CASE WHEN k = 3 THEN [1, 2] ELSE [1] END) AS copy FROM hashed WHERE k <> 0),
 placed AS (SELECT conv_id, turn, role, text, left(role, 1) AS r, rtrim(text, E' \t\n\x0b\x0c\r') AS t,
-    row_number() OVER w AS pos, lag(left(role, 1)) OVER w AS before,
-    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS seen
-  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
-judged AS (SELECT *, CASE WHEN t = '' THEN 'blank' WHEN seen THEN 'duplicate'
-    WHEN right(t, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed),
+    row_number() OVER w AS pos, lag(left(role, 1)) OVER w AS before
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+judged AS (SELECT *, CASE WHEN t = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1
+    THEN 'duplicate' WHEN right(t, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed),
 ins(p, q, cost, audit, added) AS (VALUES (0, 0, 0, '', []::VARCHAR[]), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
   (0, 2, 3, 'I', ['user:']), (1, 2, 3, 'I', ['user:']), (3, 2, 3, 'I', ['user:']), (2, 3, 3, 'I', ['assistant:']),
   (0, 3, 6, 'II', ['user:', 'assistant:']), (1, 3, 6, 'II', ['user:', 'assistant:'])),

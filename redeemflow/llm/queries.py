@@ -108,4 +108,10 @@ def op12_token_counts(spark, d):
     return token_counts(table(spark, d, "documents"), public.path("piece_bpe_32k.model"), limit=4096)
 
 
+@register
+def op13_embedding_whitening(spark, d):
+    from redeemflow.llm.whitening import whiten
+    return whiten(table(spark, d, "embeddings"), components=4, scale=256)
+
+
 ORACLE: dict[str, str] = {k: v for k, v in SQL.items() if k in QUERIES}
