@@ -49,11 +49,12 @@ OTHER_COLUMNS = [
 ]
 
 
-def other_features(dataset: DataFrame) -> DataFrame:
-    """A-1: one row per distinct (user, coupon, date_received) of the dataset."""
-    s = day_gaps(first_last_flags(receipt_day_stats(dataset)))
+def other_features(dataset: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """A-1: one row per distinct (user, coupon, date_received) of the dataset (of each
+    of its sets, told apart by ``by``)."""
+    s = day_gaps(first_last_flags(receipt_day_stats(dataset, by=by)))
     return s.select(
-        "user_id", "coupon_id", "date_received",
+        *by, "user_id", "coupon_id", "date_received",
         F.col("n_uc").alias("this_month_user_receive_same_coupon_count"),
         F.col("n_u").alias("this_month_user_receive_all_coupon_count"),
         "this_month_user_receive_same_coupon_lastone",
@@ -71,7 +72,7 @@ COUPON_COLUMNS = ["day_of_week", "day_of_month", "days_distance", "discount_man"
                   "discount_jian", "is_man_jian"]
 
 
-def coupon_features(dataset: DataFrame, anchor: str, popularity: bool = True) -> DataFrame:
+def coupon_features(dataset: DataFrame, anchor: str | F.Column, popularity: bool = True) -> DataFrame:
     """A-2: dataset rows with receipt-date and discount features and the
     coupon's popularity in the dataset (``coupon_count``, unless ``popularity`` is
     false).
@@ -87,7 +88,7 @@ def coupon_features(dataset: DataFrame, anchor: str, popularity: bool = True) ->
           if c == "discount_rate" else F.col(c) for c in dataset.columns],
         RF.iso_weekday("date_received").alias("day_of_week"),
         F.dayofmonth("date_received").alias("day_of_month"),
-        F.datediff(F.col("date_received"), RF.lit_date(anchor)).alias("days_distance"),
+        F.datediff(F.col("date_received"), RF.lit_date(anchor) if isinstance(anchor, str) else anchor).alias("days_distance"),
         RF.p_man().alias("discount_man"),
         RF.p_jian().alias("discount_jian"),
         RF.p_is_manjian().alias("is_man_jian"),

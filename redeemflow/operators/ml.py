@@ -34,8 +34,12 @@ def _filled(df: DataFrame, features: list[str]) -> DataFrame:
                        if c in features else F.col(c) for c in df.columns])
 
 
-def fit_gbt(train: DataFrame, features: list[str], label: str = "label", max_iter: int = 20,
-            max_depth: int = 5, step_size: float = 0.1, subsample: float = 0.9,
+#: boosting rounds and step of every registered fit; README shows what more would give
+ROUNDS, STEP = 20, 0.1
+
+
+def fit_gbt(train: DataFrame, features: list[str], label: str = "label", max_iter: int = ROUNDS,
+            max_depth: int = 5, step_size: float = STEP, subsample: float = 0.9,
             feature_subset: str = "0.7", seed: int = 0) -> PipelineModel:
     """M1.  ``max_iter`` rounds at ``step_size`` are the caller's; the reference's own
     settings are ``models.REFERENCE_B`` / ``REFERENCE_A``.  Spark ML grows one tree
@@ -63,17 +67,40 @@ def score(model: PipelineModel, df: DataFrame, features: list[str],
     return out.select(*keep, vector_to_array("probability")[1].alias("prob"))
 
 
+def round_scores(model: PipelineModel, df: DataFrame, features: list[str], keep: list[str],
+                 rounds: list[int] | None = None) -> DataFrame:
+    """M1's watch list: the probability after each boosting round (all, or those of
+    ``rounds``), one row per row and round: ``keep``, ``round`` (from 1), ``prob``.
+
+    One pass over the rows: each tree adds its leaf value to a running sum, and the
+    sums after the wanted rounds are the scores of the shorter models.
+    """
+    gbt = model.stages[-1]
+    out = model.stages[0].transform(_filled(df, features)).select(*keep, "features", F.lit(0.0).alias("_m0"))
+    kept = []
+    for i, (tree, weight) in enumerate(zip(gbt.trees, gbt.treeWeights), 1):
+        out = tree.copy().setPredictionCol("_leaf").setFeaturesCol("features").transform(out)
+        out = out.withColumn(f"_m{i}", F.col(f"_m{i - 1}") + F.lit(float(weight)) * F.col("_leaf"))
+        old = [c for c in ("_leaf", f"_m{i - 1}") if c == "_leaf" or i - 1 not in kept]
+        out = out.drop(*old)
+        if rounds is None or i in rounds:
+            kept.append(i)
+    # the classifier's link: 1 / (1 + exp(-2 margin))
+    at = [F.struct(F.lit(i).alias("round"), (1.0 / (1.0 + F.exp(-2.0 * F.col(f"_m{i}")))).alias("prob")) for i in kept]
+    return out.select(*keep, F.explode(F.array(*at)).alias("_r")).select(*keep, "_r.round", "_r.prob")
+
+
 def importance(model: PipelineModel, features: list[str], spark: SparkSession) -> DataFrame:
-    """M5: gain importance per feature, sorted descending, plus the number of
-    split nodes using the feature (xgboost's default "weight" score)."""
+    """M5, O2: the number of split nodes per feature, most first, features that no tree
+    uses left out; the share of the gain beside it."""
     gbt = model.stages[-1]
     gains = gbt.featureImportances.toArray().tolist()
     splits = [0] * len(features)
     for tree in gbt.trees:
         _count_splits(tree._call_java("rootNode"), splits)
-    rows = [(f, float(g), int(s)) for f, g, s in zip(features, gains, splits)]
+    rows = [(f, float(g), int(s)) for f, g, s in zip(features, gains, splits) if s]
     schema = "feature string, importance double, splits long"
-    return spark.createDataFrame(rows, schema).orderBy(F.desc("importance"), "feature")
+    return spark.createDataFrame(rows, schema).orderBy(F.desc("splits"), "feature")
 
 
 def _count_splits(node, acc: list[int]) -> None:
@@ -143,6 +170,36 @@ def exact_auc(df: DataFrame, score_col: str, label_col: str, buckets: int | None
         F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
 
 
+def exact_auc_by(df: DataFrame, by: list[str], score_col: str, label_col: str,
+                 buckets: int | None = None) -> DataFrame:
+    """``exact_auc`` per group of ``by`` (non-null columns): ``by``, auc, positives,
+    negatives.  Scores of all groups share their buckets, so a group that holds
+    most rows is sorted in as many tasks as its scores fill."""
+    from redeemflow.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    g = (df.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
+           .groupBy(*by, F.col(score_col).cast("double").alias("s"))
+           .agg(F.count(F.when(F.col(label_col) == 1, 1)).alias("pos"),
+                F.count(F.when(F.col(label_col) != 1, 1)).alias("neg"))
+           .checkpoint())
+    if buckets is None:
+        buckets = min(AUC_BUCKETS[1], max(AUC_BUCKETS[0], -(-g.count() // AUC_BUCKET)))
+    probs = [i / buckets for i in range(1, max(buckets, 2))]
+    bounds = sorted(set(g.select(F.percentile_approx("s", probs, 10000)).first()[0] or [0.0]))
+    b = g.select("*", _bucket_of(F.col("s"), bounds).alias("bucket"))
+    before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (b.groupBy(*by, "bucket").agg(F.sum("neg").alias("n"))  # at most `buckets` rows a group
+              .select(*by, "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("below")))
+    inside = Window.partitionBy(*by, "bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (b.withColumn("within", F.coalesce(F.sum("neg").over(inside), F.lit(0))).join(totals, [*by, "bucket"]))
+    neg_below = F.col("below") + F.col("within")
+    return ranked.groupBy(*by).agg(
+        F.try_divide(F.sum(F.col("pos") * (neg_below + F.col("neg") / 2.0)),
+                     F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"),
+        F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
+
+
 def _bucket_of(score, bounds: list[float]):
     """Place of ``score`` among the sorted bounds (equal: the lower bucket), as a
     balanced CASE tree."""

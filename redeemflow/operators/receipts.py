@@ -25,13 +25,14 @@ from pyspark.sql import functions as F
 U, C, D = "user_id", "coupon_id", "date_received"
 
 
-def pair_day_stats(rows: DataFrame, user: str = U, coupon: str = C, day: str = D) -> DataFrame:
+def pair_day_stats(rows: DataFrame, user: str = U, coupon: str = C, day: str = D, by: tuple[str, ...] = ()) -> DataFrame:
     """One row per distinct (user, coupon, day) of ``rows``: n_ucd, n_uc (receipt
     counts), first_day, last_day (of the (user, coupon) group), prev_day, next_day
-    (nearest other distinct receipt day of the same pair, null if none)."""
+    (nearest other distinct receipt day of the same pair, null if none).  ``by``
+    names non-null columns that keep several sets of receipts apart."""
     ucd = (rows.where(F.col(user).isNotNull() & F.col(coupon).isNotNull() & F.col(day).isNotNull())
-               .groupBy(user, coupon, day).agg(F.count(F.lit(1)).alias("n_ucd")))
-    w = Window.partitionBy(user, coupon)
+               .groupBy(*by, user, coupon, day).agg(F.count(F.lit(1)).alias("n_ucd")))
+    w = Window.partitionBy(*by, user, coupon)
     wo = w.orderBy(day)
     return ucd.select(
         "*",
@@ -43,16 +44,16 @@ def pair_day_stats(rows: DataFrame, user: str = U, coupon: str = C, day: str = D
     )
 
 
-def receipt_day_stats(rows: DataFrame, user: str = U, coupon: str = C, day: str = D) -> DataFrame:
+def receipt_day_stats(rows: DataFrame, user: str = U, coupon: str = C, day: str = D, by: tuple[str, ...] = ()) -> DataFrame:
     """``pair_day_stats`` with n_ud and n_u, the receipts of the (user, day) and of
     the user."""
-    ucd = pair_day_stats(rows, user, coupon, day)
+    ucd = pair_day_stats(rows, user, coupon, day, by)
     # (user, day) totals, then user totals rolled up from those; the two
     # small tables are joined first (a user has at most one row per day),
     # so the (user, coupon, day) table is joined -- and shuffled -- once
-    ud = ucd.groupBy(user, day).agg(F.sum("n_ucd").alias("n_ud"))
-    u = ud.groupBy(user).agg(F.sum("n_ud").alias("n_u"))
-    return ucd.join(ud.join(u, [user]), [user, day])
+    ud = ucd.groupBy(*by, user, day).agg(F.sum("n_ucd").alias("n_ud"))
+    u = ud.groupBy(*by, user).agg(F.sum("n_ud").alias("n_u"))
+    return ucd.join(ud.join(u, [*by, user]), [*by, user, day])
 
 
 def first_last_flags(stats: DataFrame, day: str = D) -> DataFrame:

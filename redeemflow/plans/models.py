@@ -45,16 +45,42 @@ def b_fit(log: DataFrame, **settings) -> tuple[PipelineModel, list[str]]:
     return ml.fit_gbt(train, features, **settings), features
 
 
-def b_offline(log: DataFrame, **settings) -> DataFrame:
-    """M7, the offline run: fit on the train set, score the validate set (ids,
-    label, prob), written once."""
+def b_offline_fit(log: DataFrame, **settings) -> tuple[PipelineModel, list[str]]:
+    """M7: fit on the train set alone, the validate set held out."""
     train = assemble.b_dataset(log, "train")
     features = ml.feature_columns(train, assemble.B_ID_COLUMNS + ["label"])
-    model = ml.fit_gbt(train, features, **settings)
+    return ml.fit_gbt(train, features, **settings), features
+
+
+def b_offline(log: DataFrame, fitted: tuple[PipelineModel, list[str]] | None = None, **settings) -> DataFrame:
+    """M7, the offline run: fit on the train set (or take ``fitted``), score the
+    validate set (ids, label, prob), written once."""
+    model, features = fitted or b_offline_fit(log, **settings)
     scored = ml.score(model, assemble.b_dataset(log, "validate"), features, [*assemble.B_ID_COLUMNS, "label"])
     return _written(scored, "offline-scores")
 
 
+def b_watch(log: DataFrame, fitted: tuple[PipelineModel, list[str]], rounds: list[int] | None = None) -> DataFrame:
+    """M1/M7's watch list, long: ``part`` (train, validate), ``round``, auc, positives,
+    negatives.  The sets are assembled and scored once for all rounds."""
+    model, features = fitted
+    parts = [ml.round_scores(model, assemble.b_dataset(log, part), features, ["label"], rounds)
+             .withColumn("part", F.lit(part)) for part in ("train", "validate")]
+    return ml.exact_auc_by(parts[0].unionByName(parts[1]), ["part", "round"], "prob", "label")
+
+
+def curve(watch: DataFrame) -> DataFrame:
+    """The watch list with one row per round: ``round, auc_train, auc_validate``."""
+    return watch.groupBy("round").agg(*[F.max(F.when(F.col("part") == p, F.col("auc"))).alias(f"auc_{p}")
+                                        for p in ("train", "validate")])
+
+
+def best_rounds(watch: DataFrame) -> int:
+    """Rounds with the highest AUC on the validate set, the fewest of equals: the number
+    to refit with on train + validate (``b_fit(log, max_iter=...)``)."""
+    return curve(watch).orderBy(F.desc("auc_validate"), "round").first()["round"]
+
+
 def b_validate(log: DataFrame, **settings) -> DataFrame:
     """M7: exact AUC of the offline run (one row)."""
     return ml.exact_auc(b_offline(log, **settings), "prob", "label")
@@ -67,12 +93,9 @@ def b_predictions(log: DataFrame, model: PipelineModel, features: list[str]) ->
 
 def a_train_set(log: DataFrame) -> DataFrame:
     """Sets 1 and 2 with the training label, each deduplicated, stacked."""
-    sets = []
-    for n in (1, 2):
-        ds = assemble.a_dataset(log, n)
-        sets.append(ds.select(*[RF.label_for_training("label").alias("label")
-                                if c == "label" else F.col(c) for c in ds.columns]).distinct())
-    return sets[0].unionByName(sets[1])
+    both = assemble.a_sets(log, [1, 2])
+    return both.select(*[RF.label_for_training("label").alias("label") if c == "label" else F.col(c)
+                         for c in both.columns]).distinct().drop("part")
 
 
 def a_fit(log: DataFrame, **settings) -> tuple[PipelineModel, list[str]]:
@@ -97,6 +120,7 @@ def write_predictions(preds: DataFrame, path: str) -> None:
 
 
 def write_importance(imp: DataFrame, path: str) -> None:
-    """``feature,score`` CSV with a header, highest score first."""
-    out = imp.select("feature", F.col("importance").alias("score")).orderBy(F.desc("score"))
+    """``feature,score`` CSV with a header; the score is the number of splits, most
+    first (as many rows as features that are used)."""
+    out = imp.select("feature", F.col("splits").alias("score")).orderBy(F.desc("score"), "feature")
     write_csv(out.coalesce(1), path, header=True)

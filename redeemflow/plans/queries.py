@@ -15,19 +15,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from redeemflow import functions as RF
 from redeemflow.operators import blocks_a as A
 from redeemflow.operators import blocks_b as B
-from redeemflow.operators import eda, kmeans, ml, prep, split
+from redeemflow.operators import daybits, daygrain, eda, kmeans, median, ml, prep, split
 from redeemflow.operators.receipts import date_list_text, date_lists, day_gaps, first_last_flags, pair_day_stats
 from redeemflow.plans import assemble
 from redeemflow.plans import sql as S
 from redeemflow.session import apply_conf, scratch_path
-from redeemflow.sources import coupon_log, malformed, offline_test, read_log_csv, read_matrix_csv, write_csv
+from redeemflow.sources import (coupon_log, log_table_path, malformed, offline_test, read_log_csv, read_matrix_csv,
+                                stored_table, write_csv)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,6 +55,18 @@ def log(spark, d) -> DataFrame:
     return coupon_log(spark, d)
 
 
+def a_grain(spark, d) -> DataFrame:
+    """The stored day-grain partials of Family A: written once per input, like the log."""
+    lg = log(spark, d)
+    return stored_table(spark, f"{log_table_path(spark, d)}-grain-a", lambda: daygrain.a_grain(lg))
+
+
+def b_grain(spark, d) -> DataFrame:
+    """The same of Family B."""
+    lg = log(spark, d)
+    return stored_table(spark, f"{log_table_path(spark, d)}-grain-b", lambda: daygrain.b_grain(prep.prepare_b(lg)))
+
+
 def tl(spark, d) -> DataFrame:
     return split.half_open(prep.prepare_b(log(spark, d)), "date_received", "2016-05-16", 31)
 
@@ -559,18 +572,18 @@ def q_ds_test(spark, d):
     """B-8 on the July test table (no ``date``, no label): the set the
     Family B model scores."""
     lg = log(spark, d)
-    return r6(assemble.b_dataset(lg, "test", offline_test(lg)))
+    return r6(assemble.b_dataset(lg, "test", offline_test(lg), grain=b_grain(spark, d)))
 
 
 @register("ds_assemble", S.with_(PB, _TRAIN_CTES) + _TRAIN_SEL)
 def q_ds_assemble(spark, d):
-    return r6(assemble.b_dataset(log(spark, d), "train"))
+    return r6(assemble.b_dataset(log(spark, d), "train", grain=b_grain(spark, d)))
 
 
 @register("ds_big_train", S.with_(PB, _TRAIN_CTES, _VAL_CTES)
           + "SELECT * FROM (" + _TRAIN_SEL + ") UNION ALL SELECT * FROM (" + _VAL_SEL + ")")
 def q_ds_big_train(spark, d):
-    return r6(assemble.b_big_train(log(spark, d)))
+    return r6(assemble.b_big_train(log(spark, d), grain=b_grain(spark, d)))
 
 
 # ====================================================================== Family A
@@ -810,7 +823,7 @@ FROM cf LEFT JOIN mo ON mo.merchant_id = cf.merchant_id
 
 @register("a_dataset_train", _a_dataset_sql(A2D_W, A2F_W, "2016-05-14", True))
 def q_a_dataset_train(spark, d):
-    return r6(assemble.a_dataset(log(spark, d), 2))
+    return r6(assemble.a_dataset(log(spark, d), 2, grain=a_grain(spark, d)))
 
 
 @register("a_dataset_set1", _a_dataset_sql(
@@ -818,13 +831,129 @@ def q_a_dataset_train(spark, d):
     S.between("COALESCE(date, date_received)", "2016-01-01", "2016-04-13"), "2016-04-13", True))
 def q_a_dataset_set1(spark, d):
     """A-6 for set 1 (dataset 04-14..05-14, features 01-01..04-13)."""
-    return r6(assemble.a_dataset(log(spark, d), 1))
+    return r6(assemble.a_dataset(log(spark, d), 1, grain=a_grain(spark, d)))
 
 
 @register("a_dataset_test", _a_dataset_sql(S.TEST_WHERE, A3F_W, "2016-06-30", False))
 def q_a_dataset_test(spark, d):
     lg = log(spark, d)
-    return r6(assemble.a_dataset(lg, 3, offline_test(lg)))
+    return r6(assemble.a_dataset(lg, 3, offline_test(lg), a_grain(spark, d)))
+
+
+# ====================================================================== all splits at once
+def _a_all_sql(body: str, out: str) -> str:
+    """One Family A block of the three sets, each from its own feature window."""
+    windows = {"set1": ("2016-01-01", "2016-04-13"), "set2": ("2016-02-01", "2016-05-14"), "set3": ("2016-03-15", "2016-06-30")}
+    ctes, parts = [], []
+    for name, (first, last) in windows.items():
+        ctes.append(f"f_{name} AS (SELECT * FROM coupon WHERE {S.between('COALESCE(date, date_received)', first, last)})")
+        ctes.append(f"b_{name} AS ({body.format(src='f_' + name)})")
+        parts.append(f"SELECT '{name}' AS part, {out} FROM b_{name}")
+    return S.with_(*ctes) + "\nUNION ALL ".join(parts)
+
+
+@register("a_merchant_sets", _a_all_sql(_A_MERCHANT_SQL, _A_MERCHANT_OUT))
+def q_a_merchant_sets(spark, d):
+    """A-3 of all three sets from the day-grain partials."""
+    return r6(daygrain.a_merchant(a_grain(spark, d)))
+
+
+@register("a_user_sets", _a_all_sql(_A_USER_SQL, _A_USER_OUT))
+def q_a_user_sets(spark, d):
+    return r6(daygrain.a_user(a_grain(spark, d)))
+
+
+@register("a_user_merchant_sets", _a_all_sql(_A_UM_SQL, _A_UM_OUT))
+def q_a_user_merchant_sets(spark, d):
+    return r6(daygrain.a_user_merchant(a_grain(spark, d)))
+
+
+_B_HISTORY = {"train": ("2016-03-02", "2016-04-30"), "validate": ("2016-01-16", "2016-03-15"),
+              "test": ("2016-04-17", "2016-06-15")}
+_B_LABEL = {"train": ("2016-05-16", "2016-06-15"), "validate": ("2016-03-31", "2016-04-30"),
+            "test": ("2016-07-01", "2016-07-31")}
+
+
+def _b_all_sql(query: str) -> str:
+    """One Family B block of the three splits: its single-split oracle with other days."""
+    _, body = ORACLE[query].split(TL_CTE + ",\n" + TH_CTE, 1)
+    spine, select = body.split("\nSELECT ", 1) if "\nSELECT " in body else body.split(")SELECT ", 1)
+    ctes, parts = [], []
+    for name in _B_HISTORY:
+        ctes.append(f"tl_{name} AS (SELECT * FROM pb WHERE {S.between('date_received', *_B_LABEL[name])})")
+        ctes.append(f"th_{name} AS (SELECT * FROM pb WHERE {S.between('date_received', *_B_HISTORY[name])})")
+        own = spine.lstrip(",\n").replace("spine AS", f"spine_{name} AS").replace("\nh AS", f"\nh_{name} AS")
+        ctes.append(own.replace("FROM tl ", f"FROM tl_{name} ").replace("FROM th ", f"FROM th_{name} "))
+        parts.append(f"SELECT '{name}' AS part, " + select.replace("FROM spine LEFT JOIN h", f"FROM spine_{name} LEFT JOIN h_{name}"))
+    return S.with_(PB, *ctes) + "\nUNION ALL ".join(parts)
+
+
+def _hist_splits(name: str):
+    @register(f"feat_hist_{name}_splits", _b_all_sql(f"feat_hist_{name}"))
+    def query(spark, d):
+        lg = log(spark, d)
+        labels = assemble.b_labels(lg, ["train", "validate", "test"], offline_test(lg))
+        return r6(daygrain.hist(name, labels, b_grain(spark, d)))
+    query.__doc__ = f"The history block ``{name}`` of all three splits from the day-grain partials."
+
+
+for _name in ("user", "merchant", "coupon", "user_coupon", "user_ext"):
+    _hist_splits(_name)
+
+
+# nine intervals: history, middle and label of the three splits, by receipt day
+_NINE = {f"{name}_{part}": (first, last) for name, part, first, last in (
+    ("train", "history", "2016-03-02", "2016-04-30"), ("train", "middle", "2016-05-01", "2016-05-15"),
+    ("train", "label", "2016-05-16", "2016-06-15"), ("validate", "history", "2016-01-16", "2016-03-15"),
+    ("validate", "middle", "2016-03-16", "2016-03-30"), ("validate", "label", "2016-03-31", "2016-04-30"),
+    ("test", "history", "2016-04-17", "2016-06-15"), ("test", "middle", "2016-06-16", "2016-06-30"),
+    ("test", "label", "2016-07-01", "2016-07-31"))}
+
+
+def _distinct_sql(key: str, value: str) -> str:
+    return S.with_(PB) + "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS part, {key}, COUNT(DISTINCT {value}) AS received,
+  COUNT(DISTINCT {value}) FILTER (WHERE date IS NOT NULL) AS used, COUNT(DISTINCT {value}) FILTER (WHERE label = 1) AS used_15
+  FROM pb WHERE {S.between('date_received', *days)} GROUP BY {key} HAVING COUNT({value}) > 0"""
+        for name, days in _NINE.items())
+
+
+def _distinct_windows(spark, d, key: str, value: str) -> DataFrame:
+    rows = prep.prepare_b(log(spark, d))
+    marks = {"received": F.lit(True), "used": B.consumed(), "used_15": F.col("label") == 1}
+    bits = daybits.day_bits(rows, [key], value, "date_received", "2016-01-01", 213, marks)
+    return daybits.distinct_counts(bits, [key], "2016-01-01", 213, list(marks), _NINE)
+
+
+@register("agg_distinct_merchants", _distinct_sql("user_id", "merchant_id"))
+def q_agg_distinct_merchants(spark, d):
+    """A3: a user's distinct merchants in nine intervals, from one table of day bitmaps."""
+    return _distinct_windows(spark, d, "user_id", "merchant_id")
+
+
+@register("agg_distinct_users", _distinct_sql("merchant_id", "user_id"))
+def q_agg_distinct_users(spark, d):
+    return _distinct_windows(spark, d, "merchant_id", "user_id")
+
+
+@register("agg_median", S.with_(PB) + "\nUNION ALL ".join(
+    f"SELECT '{key}' AS key, {key} AS id, CAST(MEDIAN({value}) AS DOUBLE) AS median FROM pb WHERE {where} GROUP BY {key}"
+    for key, value, where in (("merchant_id", "distance", "date IS NOT NULL AND coupon_id IS NOT NULL AND distance <> -1"),
+                              ("coupon_id", "min_cost_of_manjian", "is_manjian = 1 AND coupon_id IS NOT NULL"),
+                              ("user_id", "coupon_id", "coupon_id IS NOT NULL"))))
+def q_agg_median(spark, d):
+    """A5: exact medians by counted selection, in ranges: distance of used receipts per
+    merchant, minimum spend per coupon, and a user's middle coupon number."""
+    rows = prep.prepare_b(log(spark, d))
+    used = rows.where(B.consumed() & F.col("coupon_id").isNotNull() & (F.col("distance") != -1))
+    plans = [("merchant_id", "distance", used), ("coupon_id", "min_cost_of_manjian", rows.where("is_manjian = 1 and coupon_id is not null")),
+             ("user_id", "coupon_id", rows)]
+    out = None
+    for key, value, kept in plans:
+        one = median.counted_median(median.value_counts(kept, [key], value), [key], value, ranges=8)
+        one = one.select(F.lit(key).alias("key"), F.col(key).alias("id"), "median")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 # ====================================================================== learning
@@ -851,7 +980,8 @@ def _model(spark, d, family: str):
     lg = log(spark, d)
     key = (spark.sparkContext.applicationId, log_table_path(spark, d), family)
     if key not in _MODELS:
-        _MODELS[key] = models.b_fit(lg) if family == "b" else models.a_fit(lg)
+        fit = {"b": models.b_fit, "b-offline": models.b_offline_fit, "a": models.a_fit}[family]
+        _MODELS[key] = fit(lg)
     model, features = _MODELS[key]
     return lg, model, features
 
@@ -876,7 +1006,34 @@ def q_ml_validate(spark, d):
     """M7: fit on the Family B train set, AUC on the validate set."""
     from redeemflow.plans import models
 
-    return models.b_validate(log(spark, d))
+    lg, *fitted = _model(spark, d, "b-offline")
+    return models.b_validate(lg, fitted=fitted)
+
+
+@register("ml_rounds")
+def q_ml_rounds(spark, d):
+    """M1/M7's watch list: AUC on the train and the validate set after every boosting
+    round of the offline fit."""
+    from redeemflow.plans import models
+
+    lg, *fitted = _model(spark, d, "b-offline")
+    return models.curve(models.b_watch(lg, fitted))
+
+
+@register("ml_round_rows", S.with_(PB, _TRAIN_CTES, _VAL_CTES) + f"""SELECT part, CAST(round AS INTEGER) AS round,
+  CAST(SUM(label) AS BIGINT) AS positives, CAST(COUNT(*) - SUM(label) AS BIGINT) AS negatives, TRUE AS agrees
+  FROM (SELECT 'train' AS part, label FROM ({_TRAIN_SEL}) UNION ALL SELECT 'validate', label FROM ({_VAL_SEL})),
+    unnest(range(1, {ml.ROUNDS + 1})) AS r(round) GROUP BY part, round""")
+def q_ml_round_rows(spark, d):
+    """What SQL can say of the watch list: every round judges every row of both sets; AUCs
+    are in range, and the last one on the validate set is that of the whole model."""
+    from redeemflow.plans import models
+
+    lg, *fitted = _model(spark, d, "b-offline")
+    whole = models.b_validate(lg, fitted=fitted).select("auc").scalar()
+    last = (F.col("part") == "validate") & (F.col("round") == ml.ROUNDS)
+    agrees = F.col("auc").between(0, 1) & (~last | (F.abs(F.col("auc") - whole) < 1e-9))
+    return models.b_watch(lg, fitted).select("part", "round", "positives", "negatives", agrees.alias("agrees"))
 
 
 @register("ml_offline_rows", S.with_(PB, _VAL_CTES) + f"""SELECT user_id, coupon_id, date_received, label,
@@ -886,7 +1043,8 @@ def q_ml_offline_rows(spark, d):
     validate row, and that each has a probability."""
     from redeemflow.plans import models
 
-    scored = models.b_offline(log(spark, d), max_iter=3)
+    lg, *fitted = _model(spark, d, "b-offline")
+    scored = models.b_offline(lg, fitted)
     return (scored.select("user_id", "coupon_id", "date_received", "label",
                           F.coalesce(F.col("prob").between(0, 1), F.lit(False)).alias("scored"))
             .groupBy("user_id", "coupon_id", "date_received", "label", "scored").agg(F.count("*").alias("rows")))
@@ -894,11 +1052,12 @@ def q_ml_offline_rows(spark, d):
 
 @register("ml_prediction_files", S.with_(PB, PT, _TEST_CTES) + f"""SELECT user_id, coupon_id, date_received,
   COUNT(*) AS rows, TRUE AS scored FROM ({_TEST_SEL}) GROUP BY ALL
-  UNION ALL SELECT -1, -1, NULL, 39, TRUE""")
+  UNION ALL SELECT -1, -1, NULL, 1, TRUE""")
 def q_ml_prediction_files(spark, d):
     """Predictions and importances written as files and read again.  Ids
-    come back as integers, probabilities in [0, 1]; the row -1 counts the
-    features in the importance file, highest score first."""
+    come back as integers, probabilities in [0, 1]; the row -1 stands for the
+    importance file: some of the features, each once, with its number of splits (whole,
+    one at least), most first, all splits together being those of the trees."""
     from redeemflow.plans import models
 
     lg, model, features = _model(spark, d, "b")
@@ -908,10 +1067,14 @@ def q_ml_prediction_files(spark, d):
     back = spark.read.csv(path, schema="user_id long, coupon_id long, day string, prob double", nullValue="null")
     rows = (back.groupBy("user_id", "coupon_id", F.to_date("day", "yyyyMMdd").alias("date_received"))
             .agg(F.count("*").alias("rows"), F.min(F.col("prob").between(0, 1)).alias("scored")))
-    imp = spark.read.csv(imp_path, header=True, schema="feature string, score double")
+    imp = spark.read.csv(imp_path, header=True, schema="feature string, score long")
+    line = Window.orderBy(F.monotonically_increasing_id())  # one row per feature
+    imp = imp.select("*", F.coalesce(F.lag("score").over(line) >= F.col("score"), F.lit(True)).alias("falls"))
+    splits = sum((t.numNodes - 1) // 2 for t in model.stages[-1].trees)
     total = imp.agg(F.lit(-1).cast("long").alias("user_id"), F.lit(-1).cast("long").alias("coupon_id"),
-                    F.lit(None).cast("date").alias("date_received"), F.count("*").alias("rows"),
-                    F.min(F.col("score").between(0, 1)).alias("scored"))
+                    F.lit(None).cast("date").alias("date_received"), F.lit(1).cast("long").alias("rows"),
+                    (F.min(F.col("falls") & (F.col("score") >= 1) & F.col("feature").isin(features))
+                     & (F.count_distinct("feature") == F.count("*")) & (F.sum("score") == splits)).alias("scored"))
     return rows.unionByName(total)
 
 

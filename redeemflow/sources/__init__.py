@@ -6,9 +6,11 @@ from redeemflow.sources.log import (  # noqa: F401
     coupon_view,
     malformed,
     materialize_log,
+    log_table_path,
     offline_test,
     read_log_csv,
     read_online_csv,
     read_matrix_csv,
+    stored_table,
     write_csv,
 )

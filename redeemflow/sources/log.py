@@ -233,7 +233,6 @@ def materialize_log(spark: SparkSession, sf_dir: str) -> str:
     final = log_table_path(spark, sf_dir)
     if _exists(spark, f"{final}/_SUCCESS"):
         return final
-    tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
     # Order by the row's own day (receipt day, else purchase day), then user:
     # receipts without a purchase and purchases without a coupon both get a
     # real key (a null key would send every plain purchase to one task), and
@@ -244,13 +243,26 @@ def materialize_log(spark: SparkSession, sf_dir: str) -> str:
     # 128 MB of input, and at least one per core of the cluster.
     in_bytes = sum(_fs_size(spark, f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders"))
     files = max(spark.sparkContext.defaultParallelism, -(-in_bytes // (128 << 20)))
-    (coupon_view(spark, sf_dir)
-        .repartitionByRange(files, day, F.col("user_id"))
-        .sortWithinPartitions(day, "user_id")
-        .write.mode("overwrite").parquet(tmp))
+    publish(coupon_view(spark, sf_dir)
+            .repartitionByRange(files, day, F.col("user_id"))
+            .sortWithinPartitions(day, "user_id"), final)
+    return final
+
+
+def publish(df: DataFrame, final: str) -> None:
+    """Write ``df`` as Parquet to a folder of its own and rename that to ``final``.  Where
+    another job was first, its table stays."""
+    spark, tmp = df.sparkSession, f"{final}.tmp-{uuid.uuid4().hex[:8]}"
+    df.write.mode("overwrite").parquet(tmp)
     if not _rename(spark, tmp, final) and not _exists(spark, f"{final}/_SUCCESS"):
         raise RuntimeError(f"could not publish {final}")
-    return final
+
+
+def stored_table(spark: SparkSession, path: str, make) -> DataFrame:
+    """The table at ``path``, made and published first if it is not there."""
+    if not _exists(spark, f"{path}/_SUCCESS"):
+        publish(make(), path)
+    return spark.read.parquet(path)
 
 
 def coupon_log(spark: SparkSession, sf_dir: str, materialized: bool = True) -> DataFrame:

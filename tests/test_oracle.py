@@ -31,7 +31,7 @@ def test_query_matches_duckdb(spark, con, name):
 
 def test_every_query_has_an_oracle_or_is_a_model_fit():
     assert set(QUERIES) - set(ORACLE) == {"ml_score", "ml_importance", "ml_score_a",
-                                              "ml_importance_a", "ml_validate"}
+                                              "ml_importance_a", "ml_validate", "ml_rounds"}
 
 
 def test_entry_smoke(spark):
