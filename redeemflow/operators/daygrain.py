@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from redeemflow import functions as RF
 from redeemflow.operators import blocks_b as B
 from redeemflow.operators.blocks_a import _count_if, _nz, has_coupon, has_date, has_received
-from redeemflow.operators.median import counted_median
 from redeemflow.operators.split import A_SETS, B_SPLITS, _plus
 
 #: windows by name, first and last day inclusive
@@ -27,6 +26,9 @@ B_WINDOWS = {name: (s.history[0], _plus(s.history[0], s.history[1] - 1)) for nam
 def in_windows(grain: DataFrame, windows: dict[str, tuple[str, str]], day: str = "day") -> DataFrame:
     """One copy of a row per window that holds its day, with the window's name in ``part``."""
     lo, hi = min(w[0] for w in windows.values()), max(w[1] for w in windows.values())
+    if len(windows) == 1:
+        return grain.where(F.col(day).between(RF.lit_date(lo), RF.lit_date(hi))).select(
+            F.lit(next(iter(windows))).alias("part"), *grain.columns)
     names = F.array(*[F.when(F.col(day).between(RF.lit_date(a), RF.lit_date(b)), F.lit(name))
                       for name, (a, b) in windows.items()])
     kept = grain.where(F.col(day).between(RF.lit_date(lo), RF.lit_date(hi)))
@@ -75,26 +77,18 @@ def a_user_merchant(grain: DataFrame, windows=None) -> DataFrame:
         RF.rate_null("n_common", bt).alias("user_merchant_common_buy_rate"))
 
 
-def _distances(grain: DataFrame, key: str, windows) -> DataFrame:
-    """Minimum, maximum, mean and median distance of used receipts per (part, key), from
-    counts per distance."""
-    keys = ["part", key]
-    counts = (in_windows(grain.where(F.col("distance").isNotNull()), windows).groupBy(*keys, "distance")
-              .agg(F.sum("n_used").alias("n")))
-    name = key.split("_")[0]
-    stats = counts.groupBy(*keys).agg(
-        F.min("distance").alias(f"{name}_min_distance"), F.max("distance").alias(f"{name}_max_distance"),
-        (F.sum(F.col("distance") * F.col("n")) / F.sum("n")).alias(f"{name}_mean_distance"))
-    # few distances: one step is enough
-    median = counted_median(counts, keys, "distance", out=f"{name}_median_distance", ranges=1)
-    return stats.join(median, keys)
+def _distances(name: str) -> list:
+    """Minimum, maximum, mean and exact median distance of used receipts.  The median is of
+    counted values, so its buffer holds a group's distinct distances, which are few."""
+    d, n = F.col("distance"), F.col("n_used")
+    return [F.min(d).alias(f"{name}_min_distance"), F.max(d).alias(f"{name}_max_distance"),
+            F.try_divide(F.sum(d * n), F.sum(F.when(d.isNotNull(), n))).alias(f"{name}_mean_distance"),
+            F.percentile(d, 0.5, n).alias(f"{name}_median_distance")]
 
 
 def a_merchant(grain: DataFrame, windows=None) -> DataFrame:
     """A-3 of every window."""
-    windows = windows or A_WINDOWS
-    g = _merged(in_windows(grain, windows), ["part", "merchant_id"])
-    g = g.join(_distances(grain, "merchant_id", windows), ["part", "merchant_id"], "left")
+    g = _merged(in_windows(grain, windows or A_WINDOWS), ["part", "merchant_id"], *_distances("merchant"))
     sales, coupons = _nz(F.col("n_date")), _nz(F.col("n_coupon"))
     return g.select(
         "part", "merchant_id", sales.alias("total_sales"), F.col("n_used").alias("sales_use_coupon"),
@@ -105,10 +99,13 @@ def a_merchant(grain: DataFrame, windows=None) -> DataFrame:
 
 
 def a_user(grain: DataFrame, windows=None) -> DataFrame:
-    """A-4 of every window.  Distinct merchants are counted among the merged pairs."""
-    windows = windows or A_WINDOWS
-    g = _merged(a_pairs(grain, windows), ["part", "user_id"], _count_if(F.col("n_date") > 0).alias("count_merchant"))
-    g = g.join(_distances(grain, "user_id", windows), ["part", "user_id"], "left")
+    """A-4 of every window.  Distinct merchants are counted on their own, on (user, merchant)
+    pairs, so that no pair carries a median's buffer."""
+    tagged = in_windows(grain, windows or A_WINDOWS)
+    g = _merged(tagged, ["part", "user_id"], *_distances("user"))
+    merchants = (tagged.where("n_date > 0").select("part", "user_id", "merchant_id").distinct()
+                 .groupBy("part", "user_id").agg(F.count(F.lit(1)).alias("count_merchant")))
+    g = g.join(merchants, ["part", "user_id"], "left").na.fill(0, ["count_merchant"])
     return g.select(
         "part", "user_id", "count_merchant", "user_min_distance", "user_max_distance", "user_mean_distance",
         "user_median_distance", F.col("n_used").alias("buy_use_coupon"), F.col("n_date").alias("buy_total"),
@@ -169,13 +166,11 @@ def b_history(grain: DataFrame, windows=None) -> dict[str, DataFrame]:
         (F.sum("n") - F.sum("n_used")).alias(pm + "received_not_consumed_cnt"))
     merchant = merchant.join(coupons.groupBy("part", "merchant_id").agg(F.count(F.lit(1)).alias(pm + "differ_Coupon_cnt")),
                              ["part", "merchant_id"], "left").na.fill(0, [pm + "differ_Coupon_cnt"])
-    spend = t.groupBy("part", "coupon_id", "min_cost").agg(*_sums("n", "n_15", "gap_15"))
-    coupon = spend.groupBy("part", "coupon_id").agg(
+    coupon = t.groupBy("part", "coupon_id").agg(
         F.sum("n").alias(pc + "received_cnt"), F.sum("n_15").alias(pc + "received_and_consumed_cnt_15"),
-        F.try_divide(F.sum("gap_15").cast("double"), F.sum("n_15")).alias(pc + "consumed_mean_time_gap_15"))
-    # few minimum spends: one step is enough
-    median = counted_median(spend, ["part", "coupon_id"], "min_cost", out=pc + "median_of_min_cost_of_manjian", ranges=1)
-    coupon = coupon.join(median, ["part", "coupon_id"], "left")
+        F.try_divide(F.sum("gap_15").cast("double"), F.sum("n_15")).alias(pc + "consumed_mean_time_gap_15"),
+        # of counted values: the buffer holds a coupon's distinct minimum spends
+        F.percentile("min_cost", 0.5, F.col("n")).alias(pc + "median_of_min_cost_of_manjian"))
     user_coupon = t.groupBy("part", "user_id", "coupon_id").agg(
         F.sum("n").alias(puc + "receive_cnt"), F.sum("n_used").alias(puc + "receive_and_consume_cnt"))
     return {"user": user, "merchant": merchant, "coupon": coupon, "user_coupon": user_coupon}

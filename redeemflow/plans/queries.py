@@ -55,16 +55,18 @@ def log(spark, d) -> DataFrame:
     return coupon_log(spark, d)
 
 
+def _grain(spark, d, family: str, make) -> DataFrame:
+    """The stored day-grain partials of a family: written once per input, like the log."""
+    lg, path = log(spark, d), log_table_path(spark, d)
+    return stored_table(spark, f"{path}-grain-{family}", path, ["day", "user_id"], lambda: make(lg))
+
+
 def a_grain(spark, d) -> DataFrame:
-    """The stored day-grain partials of Family A: written once per input, like the log."""
-    lg = log(spark, d)
-    return stored_table(spark, f"{log_table_path(spark, d)}-grain-a", lambda: daygrain.a_grain(lg))
+    return _grain(spark, d, "day-a", daygrain.a_grain)
 
 
 def b_grain(spark, d) -> DataFrame:
-    """The same of Family B."""
-    lg = log(spark, d)
-    return stored_table(spark, f"{log_table_path(spark, d)}-grain-b", lambda: daygrain.b_grain(prep.prepare_b(lg)))
+    return _grain(spark, d, "day-b", lambda lg: daygrain.b_grain(prep.prepare_b(lg)))
 
 
 def tl(spark, d) -> DataFrame:

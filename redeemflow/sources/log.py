@@ -258,10 +258,13 @@ def publish(df: DataFrame, final: str) -> None:
         raise RuntimeError(f"could not publish {final}")
 
 
-def stored_table(spark: SparkSession, path: str, make) -> DataFrame:
-    """The table at ``path``, made and published first if it is not there."""
+def stored_table(spark: SparkSession, path: str, source: str, order: list[str], make) -> DataFrame:
+    """The table at ``path``, made and published first if it is not there: ordered by the
+    columns ``order``, in a file per 128 MB of ``source`` (the table it is made from) and at
+    least one per core, so that no scan of it runs as one task."""
     if not _exists(spark, f"{path}/_SUCCESS"):
-        publish(make(), path)
+        files = max(spark.sparkContext.defaultParallelism, -(-_fs_size(spark, source) // (128 << 20)))
+        publish(make().repartitionByRange(files, *order).sortWithinPartitions(*order), path)
     return spark.read.parquet(path)
 
 
