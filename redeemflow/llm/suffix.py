@@ -15,6 +15,9 @@ fifty times its size, so the shards are built by content:
    Larsson-Sadakane refinement and common prefixes by Kasai's rule; runs of
    common prefixes of 50 and more are equal windows, and a window goes if its run
    has a smaller document.
+   A context that a document repeats takes part once; its verdict holds at all its
+   places, which are kept aside as runs.  So a long run of one byte, or of a short
+   period, is a few contexts.
 4. *Merging.*  A k-gram with very many contexts is split over shards.  Their
    windows that are first in their own shard meet range-partitioned and sorted,
    and binary search finds the first of each in all shards.
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from redeemflow.llm.common import store
+from redeemflow.llm.common import store, written
 
 #: the anchor k-gram
 GRAM = 20
@@ -41,8 +44,13 @@ GRAM = 20
 SLAB, SHARD = 1 << 17, 1 << 20
 #: documents whose anchors are found together
 ROWS = 2000
+#: text bytes and anchors that are worked on together
+BYTES, CHUNK = 8 << 20, 1 << 20
 #: contexts of one k-gram that stay in one shard
-SHARD_CONTEXTS = 4096
+SHARD_CONTEXTS = 1024
+#: one document in so many is looked at for k-grams to be dealt over several tasks; one
+#: with more than a part in HEAVY_SHARE of their anchors is
+LOOK, HEAVY_SHARE = 64, 100_000
 #: heavy k-grams that may be broadcast
 MAX_BROADCAST = 200_000
 
@@ -155,50 +163,129 @@ def _first_ids(h, c, ids):
     return low
 
 
-_ANCHOR = "whole boolean, h long, c long, id long, pack long"
+_ANCHOR = "kind int, h long, c long, id long, pack long"
+#: kinds of rows: a context at its first place in a document, bytes to remove, more places
+#: of a context.  ``pack`` holds the document's ``sub`` and a place (_POS: none); the other two
+#: kinds hold a range in ``c``
+_OPEN, _GONE, _ALSO = 0, 1, 2
+_HALF = 31
+
+
+def _range(start, end):
+    return start.astype(np.int64) << _HALF | end.astype(np.int64)
+
+
+def _once(at, h, c, doc, width):
+    """Which contexts are the first of their kind in their document, and the other places
+    of those that are repeated: arrays of (first place, run's start, run's end).  Places
+    at most ``width`` apart make one run, since whatever is removed around each of them is
+    at least that long."""
+    keep = np.ones(len(at), bool)
+    order = np.argsort(_mix(h ^ _mix(c ^ doc.astype(np.uint64) * _M1)))
+    new = np.ones(len(at), bool)
+    for x in (h, c, doc):
+        y = x[order]
+        new[1:] &= y[1:] == y[:-1]
+    new[1:] = ~new[1:]
+    group = np.cumsum(new) - 1
+    several = (np.bincount(group, minlength=1) > 1)[group]
+    rows, group = order[several], group[several]
+    by = np.lexsort((at[rows], group))
+    rows, group = rows[by], group[by]
+    if not len(rows):
+        return keep, *[np.zeros(0, np.int64)] * 4
+    first = np.append(True, group[1:] != group[:-1])
+    keep[rows[~first]] = False
+    place = at[rows]
+    begin = first | np.append(True, np.diff(place) > width)
+    finish = np.append(begin[1:], True)
+    rep = place[first][np.cumsum(first) - 1]
+    lo, hi = place[begin], place[finish]
+    more = hi > rep[begin]
+    return keep, doc[rows[begin]][more], rep[begin][more], lo[more], hi[more]
+
+
+def _slices(batch):
+    """Parts of a batch of at most ROWS rows and BYTES bytes (a longer text is alone)."""
+    size = pc.fill_null(pc.binary_length(batch.column("data")), 0).to_numpy(zero_copy_only=False)
+    at, held = 0, 0
+    for k, n in enumerate(size.tolist()):
+        if k > at and (held + n > BYTES or k - at == ROWS):
+            yield batch.slice(at, k - at)
+            at, held = k, 0
+        held += n
+    if len(batch) > at:
+        yield batch.slice(at)
 
 
 def _anchor_batches(batches, width):
     back = width - GRAM
-    for b in (b.slice(k, ROWS) for b in batches for k in range(0, len(b), ROWS)):
+    for b in (part for b in batches for part in _slices(b)):
         texts = b.column("data").to_pylist()
         ids = b.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
         sub = b.column("sub").to_numpy(zero_copy_only=False).astype(np.int64)
         ends = np.cumsum([len(t) for t in texts]).astype(np.int64)
         buf = np.frombuffer(b"".join([*texts, bytes(8)]), np.uint8)
-        at, h = anchors(buf, ends, width)
-        doc = np.searchsorted(ends, at, "right")
         starts = np.concatenate(([0], ends[:-1]))
-        left, right = np.minimum(back, at - starts[doc]), np.minimum(width, ends[doc] - at)
-        c = _context_hash(buf, at, left, right, width)
-        pack = sub[doc] << _POS_BITS | (at - starts[doc])
+        all_at, all_h = anchors(buf, ends, width)
+        parts, also = [], []
+        for k in range(0, len(all_at), CHUNK):
+            at, h = all_at[k:k + CHUNK], all_h[k:k + CHUNK]
+            doc = np.searchsorted(ends, at, "right")
+            left, right = np.minimum(back, at - starts[doc]), np.minimum(width, ends[doc] - at)
+            c = _context_hash(buf, at, left, right, width)
+            keep, *more = _once(at, h, c, doc, width)
+            also.append(more)
+            parts.append([x[keep] for x in (at, h, c, doc, left, right)])
+        if not parts:
+            continue
+        at, h, c, doc, left, right = (np.concatenate(x) for x in zip(*parts))
         mine = ids[doc]
-        # a context seen before in this batch is settled here and travels apart
+        # a context seen in a smaller document of this batch is settled here; what goes
+        # travels apart, neighbours as one range, and so do the other places of a context
         whole = mine > _first_ids(h, c, mine)
-        h = np.where(whole, _mix(pack.astype(np.uint64) ^ mine.astype(np.uint64)) >> _SHORT, h)
-        c[whole] = 0
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(whole), pa.array(h.view(np.int64)), pa.array(c.view(np.int64)),
-             pa.array(mine), pa.array(pack)], ["whole", "h", "c", "id", "pack"])
-
-
-def _meet(batches):
-    """Anchors sorted by (h, c, id): rows whose whole context is in a smaller
-    document, and (``whole`` false) the first rows of contexts of a k-gram that
-    has several contexts and several documents.
+        ad, rep, a_lo, a_hi = (np.concatenate(x) for x in zip(*also))
+        of = np.searchsorted(at, rep)
+        known = whole[of]
+        d, lo, hi = (np.concatenate([x[whole], y[known]]) for x, y in (
+            (doc, ad), (at - left, a_lo - left[of]), (at + right, a_hi + right[of])))
+        ad, rep, a_lo, a_hi = (x[~known] for x in (ad, rep, a_lo, a_hi))
+        order = np.argsort(lo, kind="stable")
+        d, lo, hi = d[order], lo[order], np.maximum.accumulate(hi[order])
+        fresh = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (lo[1:] > hi[:-1]))[:len(d)])
+        last = np.append(fresh[1:], len(d))[:len(fresh)] - 1
+        d, lo, hi = d[fresh], lo[fresh] - starts[d[fresh]], hi[last] - starts[d[fresh]]
+        open_ = ~whole
+        pack = np.concatenate([sub[doc[open_]] << _POS_BITS | (at - starts[doc])[open_], sub[d] << _POS_BITS | _POS,
+                               sub[ad] << _POS_BITS | (rep - starts[ad])])
+        kind = np.repeat(np.array([_OPEN, _GONE, _ALSO], np.int32), [int(open_.sum()), len(d), len(ad)])
+        who = np.concatenate([mine[open_], ids[d], ids[ad]])
+        cc = np.concatenate([c[open_].view(np.int64), _range(lo, hi), _range(a_lo - starts[ad], a_hi - starts[ad])])
+        spread = _mix(pack.astype(np.uint64) ^ who.astype(np.uint64) ^ _mix(cc.view(np.uint64))) >> _SHORT
+        spread[:int(open_.sum())] = h[open_]
+        yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(spread.view(np.int64)), pa.array(cc),
+                                          pa.array(who), pa.array(pack)], ["kind", "h", "c", "id", "pack"])
+
+
+def _meet(batches, width):
+    """Anchors sorted by (h, c, id), with ``salts``: ranges to remove of those whose whole
+    context is in a smaller document, and the first rows of contexts of a k-gram that has
+    several contexts and several documents (or is dealt over several tasks, where that
+    is taken for granted).
 
     Rows are held back only while their k-gram has one context or one document,
     and then only those of one document.
     """
-    names = ["h", "c", "id", "pack"]
+    names = ["h", "c", "id", "pack", "salts"]
     empty = {n: np.zeros(0, np.int64) for n in names}
     held, state = empty, None  # state: h, c, smallest id of (h, c), several c, several ids
     for b in batches:
-        settled = b.column("whole").to_numpy(zero_copy_only=False).astype(bool)
+        kind = b.column("kind").to_numpy(zero_copy_only=False)
+        settled = kind != _OPEN
         new = {n: b.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in names}
-        out = [{n: new[n][settled] for n in names}]
+        out = [(kind[settled], {n: new[n][settled] for n in names})]
         rows = {n: np.concatenate([held[n], new[n][~settled]]) for n in names}
-        edges, held = empty, empty
+        held = empty
         if len(rows["h"]):
             h, c, ids = rows["h"], rows["c"], rows["id"]
             new_h = np.ones(len(h), bool)
@@ -218,20 +305,21 @@ def _meet(batches):
                 several_c[0] |= state[3]
                 several_d[0] |= state[4] or first_c[0] != state[2]
             whole = ids > first_c[k]
-            both = several_c & several_d
-            out.append({n: rows[n][whole] for n in names})
+            both = several_c & several_d | (rows["salts"][at_h] > 1)
+            gone = {n: rows[n][whole] for n in names}
+            place = gone["pack"] & _POS
+            gone["c"] = _range(np.maximum(place - (width - GRAM), 0), place + width)
+            out.append((np.full(len(place), _GONE, np.int32), gone))
             edge = ~whole & both[g]
-            edges = {n: rows[n][edge] for n in names}
+            out.append((np.full(int(edge.sum()), _OPEN, np.int32), {n: rows[n][edge] for n in names}))
             state = (h[-1], c[-1], first_c[-1], several_c[-1], several_d[-1])
             if not both[-1]:
                 last = ~whole & (g == g[-1])
                 held = {n: rows[n][last] for n in names}
-        done = [len(x["h"]) for x in out]
-        whole = np.concatenate([np.ones(sum(done), bool), np.zeros(len(edges["h"]), bool)])
-        keep = {n: np.concatenate([*(x[n] for x in out), edges[n]]) for n in names}
-        keep["h"][whole] = keep["c"][whole] = 0  # settled: of no more use
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(whole)] + [pa.array(keep[n]) for n in names], ["whole", *names])
+        keep = {n: np.concatenate([x[n] for _, x in out]) for n in names[:4]}
+        kind = np.concatenate([k for k, _ in out])
+        keep["h"][kind != _OPEN] = 0  # of no more use
+        yield pa.RecordBatch.from_arrays([pa.array(kind), *(pa.array(keep[n]) for n in names[:4])], ["kind", *names[:4]])
 
 
 # ------------------------------------------------------------ suffix arrays
@@ -307,8 +395,8 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray) -> np.ndarray:
     return plcp[sa]
 
 
-_CONTEXT = "route long, heavy boolean, id long, sub long, start long, data binary"
-_FOUND = "id long, sub long, start long, end long, w1 long, w2 long"
+_CONTEXT = "route long, heavy boolean, id long, sub long, pos long, data binary"
+_FOUND = "id long, sub long, start long, end long, pos long, w1 long, w2 long"
 
 
 def _contexts(batches, width):
@@ -329,12 +417,13 @@ def _contexts(batches, width):
             k += n
         yield pa.RecordBatch.from_arrays(
             [route, heavy, b.column("id").take(pa.array(doc)), b.column("sub").take(pa.array(doc)),
-             pa.array(start), pa.array(cuts, pa.binary())], names)
+             pos, pa.array(cuts, pa.binary())], names)
 
 
-def _shard(route_heavy, ids, sub, start, data, width):
+def _shard(route_heavy, ids, sub, pos, data, width):
     """Windows of one shard: intervals to remove, and for heavy k-grams the windows
     that are the shard's first of their kind."""
+    start = np.maximum(pos - (width - GRAM), 0)
     lens = np.fromiter(map(len, data), np.int64, len(data))
     # 0xFF is in no UTF-8 text: it ends a context
     text = np.frombuffer(b"\xff".join([*data, b""]), np.uint8)
@@ -346,7 +435,7 @@ def _shard(route_heavy, ids, sub, start, data, width):
     run = np.cumsum(lcp < width)
     sa, run = sa[room], run[room]
     if not len(sa):
-        return _found_batch([np.zeros(0, np.int64)] * 4)
+        return _found_batch([np.zeros(0, np.int64)] * 5)
     who = owner[sa]
     first = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
     low = np.repeat(np.minimum.reduceat(ids[who], first), np.diff(np.append(first, len(run))))
@@ -359,7 +448,7 @@ def _shard(route_heavy, ids, sub, start, data, width):
     hi = np.flatnonzero(mark[:-1] & ~mark[1:])
     w = owner[lo]
     shift = (start - (ends - lens))[w]
-    found = [ids[w], sub[w], lo + shift, hi + shift + width]
+    found = [ids[w], sub[w], lo + shift, hi + shift + width, pos[w]]
     keep = ~gone & route_heavy[who]
     if not keep.any():
         return _found_batch(found)
@@ -368,7 +457,7 @@ def _shard(route_heavy, ids, sub, start, data, width):
     for k in range(width):
         w1, w2 = _mix(w1 ^ windows[:, k] + np.uint64(k + 1)), _mix(w2 + windows[:, k] * _M1 + np.uint64(7))
     w = who[keep]
-    more = [ids[w], sub[w], at[keep] + start[w], at[keep] + start[w] + width]
+    more = [ids[w], sub[w], at[keep] + start[w], at[keep] + start[w] + width, pos[w]]
     return _found_batch([np.concatenate(x) for x in zip(found, more)], len(found[0]), w1.view(np.int64), w2.view(np.int64))
 
 
@@ -418,8 +507,8 @@ def _merge(batches):
     """Windows of all shards sorted by (w1, w2, id): those after a smaller id."""
     last = None
     for b in batches:
-        cols = [b.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(6)]
-        ids, w1, w2 = cols[0], cols[4], cols[5]
+        cols = [b.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(7)]
+        ids, w1, w2 = cols[0], cols[5], cols[6]
         if not len(ids):
             continue
         first = np.searchsorted(w1, w1, "left")  # binary search for a window's first shard
@@ -446,20 +535,36 @@ def _keyed(docs: DataFrame) -> DataFrame:
         F.xxhash64("text").bitwiseAND(F.lit(0x3FFFFF)).alias("_sub"))
 
 
+def _dealt(data: DataFrame, width: int) -> DataFrame:
+    """``h, salts``: k-grams that so many documents have that their contexts are dealt over
+    ``salts`` tasks.  Which those are decides about tasks alone, not about results, so they
+    are told from the anchors of one document in LOOK; at most HEAVY_SHARE rows."""
+    few = data.where(F.pmod(F.xxhash64("id", "sub"), F.lit(LOOK)) == 0)
+    seen = few.mapInArrow(lambda it: _anchor_batches(it, width), _ANCHOR).where(F.col("kind") == _OPEN)
+    counts = written(seen.groupBy("h").count().where("count > 1"), "seen")
+    part = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0] // HEAVY_SHARE + 16
+    return counts.where(F.col("count") > part).select("h", F.ceil(F.col("count") / part).alias("salts"))
+
+
 def removed_ranges(docs: DataFrame, width: int = 50) -> DataFrame:
-    """``id, sub, starts, ends``: byte ranges (overlapping, unclipped) to remove per
-    document."""
+    """``id, sub, ranges`` per document: ``ranges`` are arrays ``starts, ends, pos, also`` (for
+    ``spread_ranges``): byte ranges, overlapping and unclipped, to remove, found at the place
+    ``pos`` (-1: at no place that stands for others), and where ``also`` is set, further places
+    (a run from start to end) of the context at ``pos``."""
     if width < GRAM + 8:
         raise ValueError(f"windows have at least {GRAM + 8} bytes")
     data = _keyed(docs).select(F.col("_id").alias("id"), F.col("_sub").alias("sub"),
                                F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"))
-    found = store(data.mapInArrow(lambda it: _anchor_batches(it, width), _ANCHOR)
-                  .repartition("h").sortWithinPartitions("h", "c", "id").mapInArrow(_meet, _ANCHOR), "anchors")
-    pos = F.col("pack").bitwiseAND(F.lit(_POS))
-    sub = F.shiftright("pack", _POS_BITS)
-    whole = found.where("whole").select("id", sub.alias("sub"), (pos - (width - GRAM)).alias("start"),
-                                        (pos + width).alias("end"))
-    part = found.where("not whole")
+    met = (data.mapInArrow(lambda it: _anchor_batches(it, width), _ANCHOR)
+           .join(F.broadcast(_dealt(data, width)), "h", "left").withColumn("salts", F.coalesce("salts", F.lit(1))))
+    found = store(met.repartition("h", F.pmod("c", "salts")).sortWithinPartitions("h", "c", "id")
+                  .mapInArrow(lambda it: _meet(it, width), _ANCHOR), "anchors")
+    pos, sub = F.col("pack").bitwiseAND(F.lit(_POS)), F.shiftright("pack", _POS_BITS)
+    settled = found.where(F.col("kind") != _OPEN).select(
+        "id", sub.alias("sub"), F.shiftright("c", _HALF).alias("start"),
+        F.col("c").bitwiseAND(F.lit((1 << _HALF) - 1)).alias("end"),
+        F.when(pos == _POS, F.lit(-1)).otherwise(pos).alias("pos"), (F.col("kind") == _ALSO).alias("also"))
+    part = found.where(F.col("kind") == _OPEN)
     heavy = store(part.groupBy("h").count().where(F.col("count") > SHARD_CONTEXTS)
                   .select("h", F.ceil(F.col("count") / SHARD_CONTEXTS).alias("salts")), "heavy")
     if heavy.count() <= MAX_BROADCAST:
@@ -470,10 +575,26 @@ def removed_ranges(docs: DataFrame, width: int = 50) -> DataFrame:
         F.xxhash64("h", F.pmod("c", salts)).alias("route")), width), "windows")
     merged = (windows.where("w1 is not null").repartitionByRange("w1", "w2")
               .sortWithinPartitions("w1", "w2", "id").mapInArrow(_merge, _FOUND))
-    spans = (whole.unionByName(windows.where("w1 is null").select("id", "sub", "start", "end"))
-             .unionByName(merged.select("id", "sub", "start", "end")))
-    return (spans.groupBy("id", "sub").agg(F.collect_list(F.struct("start", "end")).alias("x"))
-            .select("id", "sub", F.col("x.start").alias("starts"), F.col("x.end").alias("ends")))
+    plain = [*(F.col(c) for c in ("id", "sub", "start", "end", "pos")), F.lit(False).alias("also")]
+    spans = settled.unionByName(windows.where("w1 is null").select(*plain)).unionByName(merged.select(*plain))
+    return (spans.groupBy("id", "sub").agg(F.collect_list(F.struct("start", "end", "pos", "also")).alias("x"))
+            .select("id", "sub", F.struct(F.col("x.start").alias("starts"), F.col("x.end").alias("ends"),
+                                          F.col("x.pos").alias("pos"), F.col("x.also").alias("also")).alias("ranges")))
+
+
+def spread_ranges(starts, ends, pos, also):
+    """The ranges of a document, those found at one place of a context repeated at its
+    other places."""
+    if not also.any():
+        return starts, ends
+    order = np.argsort(pos[also], kind="stable")
+    rep, lo, hi = pos[also][order], starts[also][order], ends[also][order]
+    s, e, p = starts[~also], ends[~also], pos[~also]
+    a, b = np.searchsorted(rep, p, "left"), np.searchsorted(rep, p, "right")
+    n = np.where(p >= 0, b - a, 0)
+    which = np.repeat(np.arange(len(p)), n)
+    run = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(a, n)
+    return (np.concatenate([s, lo[run] + s[which] - p[which]]), np.concatenate([e, hi[run] + e[which] - p[which]]))
 
 
 def _windows(data: DataFrame, part: DataFrame, width: int) -> DataFrame:
@@ -501,21 +622,20 @@ def kept_parts(n: int, starts: np.ndarray, ends: np.ndarray) -> tuple[list[tuple
 
 
 def _with_ranges(docs: DataFrame, width: int) -> DataFrame:
-    ranges = removed_ranges(docs, width).select(F.col("id").alias("_id"), F.col("sub").alias("_sub"), "starts", "ends")
+    ranges = removed_ranges(docs, width).select(F.col("id").alias("_id"), F.col("sub").alias("_sub"), "ranges")
     return _keyed(docs).join(ranges, ["_id", "_sub"], "left")
 
 
 def _kept(b: pa.RecordBatch, texts: pa.Array):
     """Bytes, and ``kept_parts``, of each row of a batch."""
-    lists = []
-    for c in ("starts", "ends"):
-        x = b.column(c)
-        lists.append((x.flatten().to_numpy(zero_copy_only=False).astype(np.int64),
-                      np.append(0, np.cumsum([v or 0 for v in pc.list_value_length(x).to_pylist()]))))
-    (starts, at), (ends, _) = lists
-    for k, data in enumerate(texts.cast(pa.binary())):
+    types = {"starts": np.int64, "ends": np.int64, "pos": np.int64, "also": bool}
+    for data, r in zip(texts.cast(pa.binary()), b.column("ranges")):
         data = data.as_py() or b""
-        yield data, *kept_parts(len(data), starts[at[k]:at[k + 1]], ends[at[k]:at[k + 1]])
+        if not r.is_valid:
+            yield data, *kept_parts(len(data), np.zeros(0, np.int64), np.zeros(0, np.int64))
+            continue
+        found = [np.asarray(r[c].values.to_numpy(zero_copy_only=False), t) for c, t in types.items()]
+        yield data, *kept_parts(len(data), *spread_ranges(*found))
 
 
 _REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -545,16 +665,17 @@ def report(docs: DataFrame, width: int = 50) -> DataFrame:
     Defined cases: a null or empty text has no bytes and loses none; texts
     shorter than ``width`` lose none; a null doc_id counts as larger than every
     other; rows of equal doc_id do not remove each other, and repeated rows get
-    the same result; other columns are ignored.
+    the same result (rows of one doc_id with other texts are told apart by 22 bits of the
+    texts' hash: where those agree, both lose what either loses); other columns are ignored.
     """
-    rows = _with_ranges(docs, width).select(F.col("doc_id").cast("long"), "text", "starts", "ends")
+    rows = _with_ranges(docs, width).select(F.col("doc_id").cast("long"), "text", "ranges")
     return rows.mapInArrow(_report, _REPORT)
 
 
 def cleaned(docs: DataFrame, width: int = 50) -> DataFrame:
     """``docs`` with the repeated bytes taken out of ``text`` (a character cut in two
     goes as a whole); rows of which nothing is left go, unless they were empty."""
-    rows = _with_ranges(docs, width).select("_row", "starts", "ends")
+    rows = _with_ranges(docs, width).select("_row", "ranges")
     schema = StructType([rows.schema["_row"], StructField("_left", StringType())])
     # `_left` is null where nothing goes
     rows = rows.mapInArrow(_clean, schema).where("_left is null or _left <> ''")

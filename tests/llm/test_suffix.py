@@ -127,3 +127,26 @@ def test_ranges():
     assert parts(10, [(-5, 3), (3, 4), (8, 20), (2, 3)]) == ([(4, 8)], 6, 2)
     assert parts(10, [(5, 5), (2, 9), (3, 4)]) == ([(0, 2), (9, 10)], 7, 1)
     assert parts(0, [(0, 5)]) == ([], 0, 0)
+
+
+def test_long_runs_are_a_few_contexts(spark, make_docs):
+    """Runs of one byte and of short periods: one context per kind and document, the result
+    of the brute-force version, also where only a part of a run occurs before."""
+    pairs = [(1, "b" * 300 + "a" * 3000), (2, "x" + "a" * 5000 + "tail" * 5), (3, "abc" * 1200), (4, "zabc" + "abc" * 1500 + "q"),
+             (5, "c" * 49), (6, "c" * 60), (7, "c" * 200 + "d" + "c" * 200), (8, "0123456789abcdef" * 300),
+             (9, "q" + "0123456789abcdef" * 310 + "r" + "0123456789abcdef" * 20), (10, "a" * 70 + "b" * 90),
+             (11, ("word " * 30 + "\n") * 40), (12, ("word " * 31 + "\n") * 20), (4, "a" * 400)]
+    got = sorted((tuple(r) for r in S.report(make_docs(pairs)).collect()), key=repr)
+    assert got == sorted((r for r, _ in brute(pairs)), key=repr)
+    cols = [S.pa.array([t.encode() for _, t in pairs], S.pa.binary()), S.pa.array([i for i, _ in pairs]),
+            S.pa.array(range(len(pairs)))]
+    batch = S.pa.RecordBatch.from_arrays(cols, ["data", "id", "sub"])
+    rows = [r for out in S._anchor_batches([batch], 50) for r in out.to_pylist()]
+    per_doc = [sum(r["pack"] >> S._POS_BITS == k for r in rows) for k in range(len(pairs))]
+    assert max(per_doc) < 700, per_doc  # 5000 bytes of one letter would be 5000
+
+
+def test_megabytes_of_one_byte(spark, make_docs):
+    n = 2_000_000
+    got = {r.doc_id: r for r in S.report(make_docs([(1, "a" * n), (2, "a" * (n + 7)), (3, "xyz" * (n // 3)), (4, "yzx" * (n // 3))])).collect()}
+    assert [(got[k].n_removed, got[k].n_spans) for k in (1, 2, 3, 4)] == [(0, 0), (n + 7, 1), (0, 0), (n // 3 * 3, 1)]
