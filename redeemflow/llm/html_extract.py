@@ -8,14 +8,18 @@ stop words) inherit the label of the nearest decided neighbours; the edges of an
 page without a good block and without such an element, as in a language the stop
 words do not know, long blocks of running text are good.
 
-A boilerplate element without an end tag of its own ends at the next block tag, and
-one that wraps the page (a form round everything) says nothing about what it holds.
+Boilerplate is told by element, or by a word in any block element's class, id, role or
+label.  A boilerplate element without an end tag of its own ends at the next block tag,
+and one that wraps the page says nothing about what it holds: a form round everything, or
+a holder named for its layout (``has-sidebar``) on a page without running text elsewhere.
+A heading in an article's own header is the article's.
 """
 
 from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,7 +38,8 @@ SHORT, STOP_LOW, LINK_HIGH = 70, 0.2, 0.35
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|iframe|svg|textarea|select|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"""|<svg(?=[\s/])(?>[^<>"']+|"[^"]*"|'[^']*')*(?<=/)>"""
+    r"|<(script|style|noscript|template|iframe|svg|textarea|select|title)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>[^<>"']+|"[^"]*"|'[^']*')*)>"""
     r"|</?[a-zA-Z][^>]*>|<[!?][^>]*>", re.S | re.I)
 _INLINE = frozenset("a abbr b bdi bdo cite code del dfn em font i img ins kbd label mark q s samp small span "
@@ -44,55 +49,125 @@ _GOOD_TAGS = frozenset("article main".split())
 _FIELD_TAGS = frozenset("label legend".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _HOLDERS = frozenset("div section ul ol dl table td".split()) | _BAD_TAGS | _GOOD_TAGS
+#: holders that a name alone makes boilerplate
+_NAMED = frozenset("div section ul ol dl table td".split())
 _NAME = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _BAD_NAME = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|complementary|consent|contentinfo|cookies?|footer|gdpr|"
     r"disqus|header|masthead|menu|modal|nav(?:bar|igation)?|newsletter|notices?|alert|popup|promo\w*|related|respond|search|"
     r"share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?=$|[\s_-])", re.I)
+_WORD = re.compile(r"[^\s_-]+")
 #: how running text ends, in any script that marks it
 _SENTENCE = re.compile("[.!?\u2026\u3002\uff01\uff1f\u0964\u061f\u06d4\u104b\u17d4][\"'\xbb\u201d\u2019)\\]]*$")
 
 
-def _closed(page: str, tokens) -> tuple[dict[int, tuple[int, int]], int, int]:
-    """Start tags (by place in ``tokens``) that have an end tag of their own, with the
-    characters and the articles between both; all characters and articles."""
-    stack: list[tuple[str, int, int, int]] = []
-    closed, at, chars, articles = {}, 0, 0, 0
-    for k, m in enumerate(tokens):
-        chars += len(page[at:m.start()].strip())
-        at = m.end()
-        tag = (m[3] or "").lower()
-        if tag == "body" and not m[2]:
-            stack = [x for x in stack if x[0] != "head"]
-        if tag not in _HOLDERS and tag not in _FIELD_TAGS:
-            continue
-        if m[2]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    _, start, c, a = stack[i]
-                    closed[start] = (chars - c, articles - a)
-                    del stack[i:]
-                    break
-        elif not m[4].endswith("/"):
-            stack.append((tag, k, chars, articles))
-            articles += tag in _GOOD_TAGS
-    return closed, chars + len(page[at:].strip()), articles
+def _names(attributes: str) -> str:
+    """Class, id, role and label of a start tag, camel case taken apart."""
+    return _CAMEL.sub("-", " ".join(filter(None, (g for x in _NAME.findall(attributes) for g in x))))
+
+
+class _Open:
+    """Elements that are open: (tag, value) from the outermost.  Block elements that are no
+    holders are kept while one of their tag and a boilerplate name is open."""
+
+    def __init__(self):
+        self.items, self.tags = [], Counter()
+
+    def holds(self, tag: str, named: bool) -> bool:
+        return tag in _HOLDERS or tag in _FIELD_TAGS or named or self.tags[tag] > 0
+
+    def push(self, tag, value):
+        self.items.append((tag, value))
+        self.tags[tag] += 1
+
+    def pop(self, tag):
+        """The value of the innermost element of that tag, which ends it and those inside."""
+        if not self.tags[tag]:
+            return None
+        while True:
+            last, value = self.items.pop()
+            self.tags[last] -= 1
+            if last == tag:
+                return value
+
+    def drop(self, tag):
+        self.items = [x for x in self.items if x[0] != tag]
+        self.tags[tag] = 0
+
+
+class _Shape:
+    """What a page looks like before its blocks are judged: which start tags (by place in
+    ``tokens``) have an end tag of their own, with the characters and articles between
+    both; characters and articles of the page; and the holders named for their layout that
+    say nothing, because the page has no running text outside boilerplate."""
+
+    def __init__(self, page: str, tokens):
+        self.closed: dict[int, tuple[int, int]] = {}
+        self.chars = self.articles = 0
+        self.names: dict[int, str] = {}
+        stack, at, clear, bad = _Open(), 0, 0, 0  # clear: running text outside boilerplate
+        outer: list[tuple[int, int]] = []
+        for k, m in enumerate(tokens):
+            n = len(page[at:m.start()].strip())
+            self.chars += n
+            clear += n if n >= SHORT and not bad else 0
+            at = m.end()
+            tag = (m[3] or "").lower()
+            if tag == "body" and not m[2]:
+                stack.drop("head")
+                bad = sum(v[3] for _, v in stack.items)
+            if not tag or tag in _INLINE and tag not in _FIELD_TAGS or tag in ("br", "hr"):
+                continue
+            if m[2]:
+                value = stack.pop(tag)
+                if value:
+                    start, c, a, is_bad, bad = value
+                    self.closed[start] = (self.chars - c, self.articles - a)
+                    if is_bad and not bad and tag in _NAMED:
+                        outer.append((self.chars - c, start))
+            elif not m[4].endswith("/"):
+                names = _names(m[4])
+                named = bool(_BAD_NAME.search(names))
+                if not stack.holds(tag, named):
+                    continue
+                if named:
+                    self.names[k] = names
+                is_bad = named or tag in _BAD_TAGS
+                stack.push(tag, (k, self.chars, self.articles, is_bad, bad))
+                bad += is_bad
+                self.articles += tag in _GOOD_TAGS
+        n = len(page[at:].strip())
+        self.chars += n
+        clear += n if n >= SHORT and not bad else 0
+        self.neutral = {k for c, k in outer if not clear and 2 * c > self.chars and self._layout(self.names.get(k, ""))}
+
+    @staticmethod
+    def _layout(names: str) -> bool:
+        """Whether a name has another word than boilerplate's."""
+        return any(not _BAD_NAME.search(w) for w in _WORD.findall(names))
+
+    def wraps(self, k: int, tag: str) -> bool:
+        if k in self.neutral:
+            return True
+        c, a = self.closed[k]
+        most, form = 2 * c > self.chars, tag == "form"
+        return form and most or bool(a) and a == self.articles and (form or most)
 
 
 def blocks_of(page: str):
     """``(text, link characters, inside, region, tag)`` per block; ``inside`` is -1 in a
-    boilerplate element, 1 in an article, else 0; ``region`` numbers the articles;
-    ``tag`` is the block tag opened last, empty after a closed one."""
+    boilerplate element, -2 in an article's header, 1 in an article, else 0; ``region``
+    numbers the articles; ``tag`` is the block tag opened last, empty after a closed one."""
     blocks, parts, link_chars, in_link, block_tag = [], [], 0, 0, ""
-    stack: list[tuple[str, int, int]] = []
+    stack = _Open()
     regions = 0
     tokens = list(_TOKEN.finditer(page))
-    closed, chars, articles = _closed(page, tokens)
+    shape = _Shape(page, tokens)
     unclosed = False  # the element opened last is boilerplate without an end tag
 
     def where():
-        return stack[-1][1:] if stack else (0, 0)
+        return stack.items[-1][1] if stack.items else (0, 0)
 
     def close():
         nonlocal parts, link_chars
@@ -102,11 +177,6 @@ def blocks_of(page: str):
                 blocks.append((text, link_chars, *where(), block_tag))
         parts, link_chars = [], 0
 
-    def wraps_page(k, tag):
-        c, a = closed[k]
-        most, form = 2 * c > chars, tag == "form"
-        return form and most or bool(a) and a == articles and (form or most)
-
     def add(raw):
         nonlocal link_chars
         if raw:
@@ -122,7 +192,7 @@ def blocks_of(page: str):
         tag = (m[3] or "").lower()
         if not tag:
             continue
-        field = tag in _FIELD_TAGS and any(x[0] == "form" for x in stack)
+        field = tag in _FIELD_TAGS and stack.tags["form"] > 0
         if tag in ("br", "hr"):
             parts.append(" ")
         elif tag in _INLINE and not field:
@@ -132,30 +202,23 @@ def blocks_of(page: str):
             close()
             in_link, block_tag = 0, "" if m[2] else tag
             if unclosed:
-                stack[-1] = (stack[-1][0], *(stack[-2][1:] if len(stack) > 1 else (0, 0)))
+                stack.items[-1] = (stack.items[-1][0], stack.items[-2][1] if len(stack.items) > 1 else (0, 0))
                 unclosed = False
             if tag == "body" and not m[2]:
-                stack[:] = [x for x in stack if x[0] != "head"]
-            if tag in _HOLDERS or field:
-                if m[2]:
-                    for i in range(len(stack) - 1, -1, -1):
-                        if stack[i][0] == tag:
-                            del stack[i:]
-                            break
-                elif not m[4].endswith("/"):
-                    inside, region = where()
-                    names = " ".join(filter(None, (g for x in _NAME.findall(m[4]) for g in x)))
-                    names = _CAMEL.sub("-", names)
-                    bad = tag in _BAD_TAGS or field or _BAD_NAME.search(names)
-                    if bad and not (k in closed and wraps_page(k, tag)):
-                        inside = -1
-                        unclosed = k not in closed
-                    elif tag in _GOOD_TAGS and inside >= 0:
-                        if not region:
-                            regions += 1
-                            region = regions
-                        inside = 1
-                    stack.append((tag, inside, region))
+                stack.drop("head")
+            if m[2]:
+                stack.pop(tag)
+            elif not m[4].endswith("/") and (field or tag not in _FIELD_TAGS and stack.holds(tag, k in shape.names)):
+                inside, region = where()
+                if (tag in _BAD_TAGS or field or k in shape.names) and not (k in shape.closed and shape.wraps(k, tag)):
+                    inside = -2 if tag == "header" and inside == 1 and k in shape.closed else -1
+                    unclosed = k not in shape.closed
+                elif tag in _GOOD_TAGS and inside >= 0:
+                    if not region:
+                        regions += 1
+                        region = regions
+                    inside = 1
+                stack.push(tag, (inside, region))
     add(page[at:])
     close()
     return blocks
@@ -165,7 +228,7 @@ def decide(text: str, link_chars: int, inside: int, tag: str) -> int:
     """First pass: 1 good, -1 bad, 0 undecided.  In an article, a heading or sentence
     that is a link is undecided; a list item that is one is a menu's."""
     if inside < 0:
-        return -1
+        return 1 if inside == -2 and tag in _HEADINGS else -1
     if link_chars > LINK_HIGH * len(text):
         return 0 if inside and tag != "li" else -1
     if len(text) < SHORT:
@@ -189,6 +252,9 @@ def main_text(page: str | None) -> str:
     labels = [decide(text, links, inside, tag) for text, links, inside, _, tag in blocks]
     if not any(x > 0 for x in labels) and not any(b[3] for b in blocks):
         labels = [1 if not x and _running(b[0]) else x for b, x in zip(blocks, labels)]
+    if not any(x > 0 for x in labels) and not any(b[3] for b in blocks):  # a page of short paragraphs
+        labels = [1 if not x and not b[1] and _SENTENCE.search(b[0]) and "\xa9" not in b[0] else x
+                  for b, x in zip(blocks, labels)]
     near = [_neighbours(blocks, labels, range(len(blocks))),
             _neighbours(blocks, labels, range(len(blocks) - 1, -1, -1))]
     kept = []

@@ -32,6 +32,21 @@ def page(body):
      f"<section id=commentList>{LONG} no</section></article>", f"Linked head\n{LONG}"),
     (f"<article><p>{LONG}</p><ul><li>one thing</li><li>two</li></ul></article>", f"{LONG}\none thing\ntwo"),
     (f"<div class='cookie-notice'>We use cookies. {LONG}</div><main>{LONG}</main>", LONG),
+    # a holder named for its layout that has the page's running text
+    (f"<div class='layout has-sidebar'><p>{LONG}</p></div>", LONG), (f"<div class='post no-comments'><h1>H</h1><p>{LONG}</p></div>", f"H\n{LONG}"),
+    (f"<div class='right-sidebar'><div><p>{LONG}</p></div><div class=sidebar><p>{LONG}</p></div></div>", LONG),
+    (f"<div class='cookie-consent'>{LONG}</div><section class='entry-content social'><p>{LONG}</p><p>{LONG}</p></section>", f"{LONG}\n{LONG}"),
+    (f"<div class='cookie-notice'>{LONG}</div>", ""), (f"<article><p>{LONG}</p></article><div class='comment-list'>{LONG * 8}</div>", LONG),
+    # custom and self-closed elements
+    (f"<svg-icon>x</svg-icon><p>{LONG}</p>", LONG), (f"<title-bar>x</title-bar><p>{LONG}</p>", LONG),
+    (f"<svg/><p>{LONG}</p>", LONG), (f"<svg a='/>' b/><p>{LONG}</p>", LONG), (f"<svg><path d='M'/>no</svg><p>{LONG}</p>", LONG),
+    # names on any block element
+    (f"<p>{LONG}</p><p class='advert'>{LONG}</p><p>{LONG}</p>", f"{LONG}\n{LONG}"),
+    (f"<article><p>{LONG}</p><ul><li class='comment'>{LONG}<ul><li>inner</li></ul> tail</li></ul>"
+     f"<blockquote class='comment'>{LONG}</blockquote><p>End.</p></article>", f"{LONG}\nEnd."),
+    # short pages, and a headline in the article's header
+    ("<h1>Hi</h1><p>Yes we can do it.</p>", "Hi\nYes we can do it."), ("<div><p>One is here.</p><p>Two is here.</p></div>", "One is here.\nTwo is here."),
+    (f"<article><header><h1>Head</h1><p>By me</p></header><p>{LONG}</p></article>", f"Head\n{LONG}"),
 ])
 def test_pages(body, want):
     assert main_text(None if body is None else page(body)) == want
