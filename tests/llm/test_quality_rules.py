@@ -1,7 +1,9 @@
 import math
+import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from redeemflow.llm import quality_rules as Q
 
@@ -72,3 +74,56 @@ def test_few_labels_certify_nothing(spark):
     none = Q.judge(docs.limit(0), labels.limit(0))
     assert none.count() == 0
     assert Q.judge(docs, labels.limit(0)).where("not base_failed and not kept").count() == 0
+
+
+def test_copies_and_contradictions_are_no_evidence(spark):
+    docs, labels = docs_and_labels(spark, 40, 0)
+    once = Q.choose_cutoffs(Q.features(docs), labels).collect()
+    many = docs.crossJoin(spark.range(60)).drop("id")
+    renamed = docs.crossJoin(spark.range(60)).withColumn("doc_id", F.col("doc_id") + 1000 * F.col("id")).drop("id")
+    their = labels.crossJoin(spark.range(60)).withColumn("doc_id", F.col("doc_id") + 1000 * F.col("id")).drop("id")
+    for d, l in ((many, labels), (renamed, their)):
+        assert sorted(Q.choose_cutoffs(Q.features(d), l).collect()) == sorted(once)
+    assert all(v is None for r in once for v in r[1:])
+    docs, labels = docs_and_labels(spark, 200, 0)
+    contrary = labels.unionByName(labels.where("doc_id < 150").withColumn("quality", F.lit(0)))
+    assert Q.trials(Q.features(docs), labels).count() == 200  # a null label says nothing
+    assert Q.trials(Q.features(docs), contrary).count() == 50
+    assert all(r.upper_share is None for r in Q.choose_cutoffs(Q.features(docs), contrary).collect())
+
+
+def test_eighty_six_trials_without_a_rejection_suffice():
+    assert Q.certified_step([0] * 10, 86, 0.05, 0.05 / 4) == 9 and Q.certified_step([0] * 10, 85, 0.05, 0.05 / 4) is None
+    assert Q.certified_step([0, 0, 80, 0, 0], 500, 0.05, 0.01) == 1  # the walk ends at the first failure
+
+
+def test_step_of_first_rejection(spark):
+    rows = [(0.0,) * 5, (9.0,) + (0.0,) * 4, (0.06, 0.0, 0.0, 0.0, 0.0), (0.0, 0.35, 0.0, 0.06, 0.0)]
+    df = spark.createDataFrame(rows, ", ".join(f"{r} double" for r in Q.GRIDS))
+    got = [r.s for r in df.select(Q.first_rejected().alias("s")).collect()]
+    want = []
+    for row in rows:
+        hit = [t for t in range(Q.STEPS) if any(v > g[-1 - t] for v, g in zip(row, Q.GRIDS.values()))]
+        want.append(min(hit, default=Q.STEPS))
+    assert got == want == [10, 0, 9, 6]
+
+
+def test_guarantee_by_simulation():
+    """Over many draws of labels, the true false rejection rate at the certified step exceeds
+    the bound no more often than delta allows."""
+    rng, risk, delta = random.Random(4), 0.05, 0.1
+    true = [0.0, 0.01, 0.03, 0.045, 0.055, 0.08, 0.12, 0.3, 0.5, 0.8]  # rate of rejection at each step
+    broken = 0
+    for _ in range(600):
+        n = 400
+        steps = [next((t for t, p in enumerate(true) if u < p), 10) for u in (rng.random() for _ in range(n))]
+        step = Q.certified_step([sum(s <= t for s in steps) for t in range(10)], n, risk, delta)
+        broken += step is not None and true[step] > risk
+    assert broken <= 600 * delta
+
+
+def test_every_language_of_the_given_tables_certifies_a_path(spark):
+    d = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r.stratum: r for r in Q.choose_cutoffs(Q.features(docs), labels).collect()}
+    assert set(got) == {"de", "en", "es", "fr"} and all(None not in r for r in got.values()), got
