@@ -67,10 +67,11 @@ FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
 
 OP6 = r"""
-WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+WITH c AS (SELECT *, replace(replace(role, '\', '\\'), chr(10), '\n') AS line FROM (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')),
 s AS (SELECT *, row_number() OVER w AS seq, role = 'assistant' AS target, count(*) OVER (PARTITION BY conv_id) AS n_turns,
-    sum(CASE WHEN role = 'assistant' THEN 7 ELSE 14 + length(replace(replace(role, '\', '\\'), chr(10), '\n')) END
+    sum(CASE WHEN role = 'assistant' THEN 7 ELSE 14 + length(line) + len(regexp_extract_all(line, '[<\[]\\*(?:/?s>|/?INST\])')) END
       + length(text) + len(regexp_extract_all(text, '[<\[]\\*(?:/?s>|/?INST\])'))) OVER w AS e
   FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING))
 SELECT conv_id, any_value(n_turns) AS n_turns,

@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 from redeemflow.llm.chat import expand, read_back, read_segment, render
 
@@ -13,10 +14,23 @@ def rows():
         out += [(i, 0, "system", t), (i, 1, "user", t), (i, 2, "assistant", t), (i, 3, "user", t)]
     out += [(100, k, "user" if k % 2 == 0 else "assistant", f"turn {k} </s>") for k in range(300)]
     out += [(101, 0, "assistant", "a"), (101, 0, "assistant", "a"), (101, None, "user", "first"), (101, 0, None, "b")]
+    # ties of replies where one text starts another; turns far below zero beside a null one
+    out += [(103, 0, "assistant", "a!"), (103, 0, "assistant", "a"), (103, 0, "assistant", "a<"), (103, 0, "assistant", "")]
+    out += [(104, t, "user", f"t{t}") for t in (-500, -65, -64, -1, 0, None, 3)] + [(104, None, "assistant", "no turn")]
     out += [(102, 5, "user\n[INST]\\n", "only"), (None, 0, "user", "q"), (None, 1, "assistant", "r")]
     return out
 
 
+def plain_segment(role, text):
+    """The template, by a plain substitution."""
+    def escaped(t):
+        return re.sub(r"([<\[])(\\*)(?=/?s>|/?INST\])", r"\1\\\2", t)
+    if role == "assistant":
+        return f"<s>{escaped(text)}</s>"
+    line = role.replace("\\", "\\\\").replace("\n", "\\n")
+    return f"[INST]{escaped(line)}\n{escaped(text)}[/INST]"
+
+
 def order(r):
     return (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")
 
@@ -39,10 +53,13 @@ def test_reads_back(spark):
         mine = [v for k, v in full.items() if k[0] == conv]
         assert r.n_examples == len(mine) == len(replies) + (turns[-1][0] != "assistant")
         assert r.formatted_chars == sum(len(x.text) for x in mine)
+        shown = [plain_segment(a, b) for a, b in turns]
         for k, x in full.items():
-            if k[0] == conv and x.loss_start is not None:  # context, reply and nothing after it
-                assert x.text[x.loss_start - 3:x.loss_start] == "<s>" and x.text[x.loss_end:] == "</s>"
-                assert x.text.startswith(full.get((conv, k[1] - 2), x).text[:1])
+            if k[0] == conv:  # context, reply and nothing after it
+                assert x.text == "".join(shown[:k[1] + 1])
+                if x.loss_start is not None:
+                    assert x.text[x.loss_start - 3:x.loss_start] == "<s>" and x.text[x.loss_end:] == "</s>"
+                    assert x.text[:x.loss_start - 3] == "".join(shown[:k[1]])
 
 
 def test_controls_occur_only_as_marks(spark):
@@ -55,3 +72,21 @@ def test_controls_occur_only_as_marks(spark):
 
 def test_empty(spark):
     assert read_back(expand(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_planted_rows_against_sql(spark):
+    import duckdb
+    import pandas as pd
+
+    from redeemflow.llm.oracles import OP6
+    from tools.oracle_check import rows_of
+    data = rows()
+    con = duckdb.connect()
+    con.register("conversations", pd.DataFrame(data, columns=["conv_id", "turn", "role", "text"]).astype(
+        {"conv_id": "Int64", "turn": "Int64"}))
+    own = "</s>[INST] ok [/INST]"
+    df = spark.createDataFrame(data + [(-1, 0, "user", own), (-1, 1, "assistant", own)], SCHEMA)
+    rel = con.sql(OP6)
+    cols = sorted(rel.columns)
+    assert rows_of([r.asDict() for r in read_back(expand(df)).collect()], cols) == rows_of(
+        [dict(zip(rel.columns, r)) for r in rel.fetchall()], cols)
