@@ -9,24 +9,50 @@ rest AS (SELECT page_id, coalesce(html, '') AS html,
 p AS (SELECT page_id, html,
   translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
-tags AS (SELECT host, path, unnest(list_concat(
-    list_transform(list_filter(regexp_extract_all(html, '(?is)<link\b[^>]*>'),
-      lambda t: regexp_matches(t, '(?is)\brel\s*=\s*["'']?\s*canonical\b')),
-      lambda t: regexp_extract(t, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
-    list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\b[^>]*>'),
-      lambda t: regexp_matches(t, '(?is)\bhttp-equiv\s*=\s*["'']?\s*refresh\b')),
-      lambda t: regexp_extract(t, '(?is)\bcontent\s*=\s*["'']?[^"''>]*?url\s*=\s*([^"''\s>;]+)', 1)))) AS t
+loud AS (SELECT host, path, regexp_replace(html, '(?is)<!--.*?(?:-->|\z)|<script(?:[\s/][^>]*)?>.*?(?:</script\s*>|\z)|<style(?:[\s/][^>]*)?>.*?(?:</style\s*>|\z)|<textarea(?:[\s/][^>]*)?>.*?(?:</textarea\s*>|\z)|<title(?:[\s/][^>]*)?>.*?(?:</title\s*>|\z)|<iframe(?:[\s/][^>]*)?>.*?(?:</iframe\s*>|\z)|<xmp(?:[\s/][^>]*)?>.*?(?:</xmp\s*>|\z)', ' ', 'g') AS html
   FROM p WHERE host <> ''),
+tags AS (SELECT host, path, lower(regexp_extract(t, '^<([a-zA-Z]+)', 1)) AS tag,
+    row_number() OVER () AS n, regexp_replace(t, '^<[a-zA-Z]+|>$', '', 'g') AS t FROM (
+  SELECT host, path, unnest(regexp_extract_all(html, '(?is)<(?:link|meta|base)[\s/](?:[^>"'']|"[^"]*"|''[^'']*'')*>')) AS t FROM loud)),
+pieces AS (SELECT host, path, tag, n, unnest(regexp_extract_all(t, '(?s)[^\s"''>/=]+(?:\s*=\s*(?:"[^"]*"|''[^'']*''|[^\s"''>]+))?')) AS a,
+  generate_subscripts(regexp_extract_all(t, '(?s)[^\s"''>/=]+(?:\s*=\s*(?:"[^"]*"|''[^'']*''|[^\s"''>]+))?'), 1) AS k FROM tags),
+raw AS (SELECT host, path, tag, n, k, lower(regexp_extract(a, '^[^\s=]+', 0)) AS name,
+  regexp_replace(regexp_replace(a, '(?s)^[^\s=]+(\s*=\s*)?', ''), '(?s)^"(.*)"$|^''(.*)''$', '\1\2') AS v FROM pieces),
+plain AS (SELECT host, path, tag, n, k, name, trim(regexp_replace(array_to_string(list_transform(list_zip(
+    list_prepend('', list_transform(string_split(v, '&')[2:], lambda x: '&' || x)), string_split(v, '&')[1:1]),
+  lambda z: CASE WHEN z[1] IS NULL OR z[1] = '' THEN coalesce(z[2], '') ELSE coalesce(
+    CASE regexp_extract(z[1], '^&(amp|lt|gt|quot|apos)', 1) WHEN 'amp' THEN '&' WHEN 'lt' THEN '<' WHEN 'gt' THEN '>'
+      WHEN 'quot' THEN '"' WHEN 'apos' THEN '''' END || regexp_replace(z[1], '^&[a-z]+;?', ''),
+    CASE WHEN regexp_matches(z[1], '^&#[0-9]{1,7}') THEN chr(CAST(regexp_extract(z[1], '^&#([0-9]+)', 1) AS INTEGER))
+      WHEN regexp_matches(z[1], '^&#[xX][0-9a-fA-F]{1,6}') THEN chr(CAST(list_reduce(list_prepend(0, list_transform(
+        string_split(lower(regexp_extract(z[1], '^&#[xX]([0-9a-fA-F]+)', 1)), ''), lambda d: strpos('0123456789abcdef', d) - 1)),
+        lambda x, y: x * 16 + y) AS INTEGER)) END || regexp_replace(z[1], '^&#[xX]?[0-9a-fA-F]+;?', ''), z[1]) END), ''),
+  '[\t\r\n\f]+', ' ', 'g')) AS v FROM raw),
+attr AS (SELECT host, path, tag, n, name, arg_min(v, k) AS v FROM plain GROUP BY ALL),
+tagged AS (SELECT host, path, tag, n, max(v) FILTER (name = 'href') AS href, max(v) FILTER (name = 'rel') AS rel,
+  max(v) FILTER (name = 'content') AS content, max(v) FILTER (name = 'http-equiv') AS equiv FROM attr GROUP BY ALL),
+bases AS (SELECT host, path, arg_min(href, n) AS b FROM tagged WHERE tag = 'base' AND href IS NOT NULL GROUP BY ALL),
+targets AS (SELECT host, path, CASE WHEN tag = 'link' THEN href ELSE
+    trim(regexp_replace(regexp_extract(content, '(?is)^[\s\d.]*[;,\s]\s*(?:url\s*=\s*)?(.*)', 1), '(?s)^"([^"]*)"?.*$|^''([^'']*)''?.*$', '\1\2')) END AS t
+  FROM tagged WHERE (tag = 'link' AND list_contains(string_split_regex(lower(coalesce(rel, '')), '\s+'), 'canonical'))
+    OR (tag = 'meta' AND lower(equiv) = 'refresh')),
+seen AS (SELECT host, path, t, split_part(CASE WHEN b IS NULL THEN host || path ELSE bf END, '?', 1) AS here FROM targets LEFT JOIN (
+  SELECT host, path, b, CASE WHEN regexp_matches(b, '^[^/?#]*://') THEN substr(b, strpos(b, '://') + 3) WHEN starts_with(b, '//') THEN substr(b, 3)
+    WHEN starts_with(b, '/') THEN host || b ELSE host || CASE WHEN strpos(path, '/') = 0 THEN '/' ELSE regexp_extract(path, '^(.*/)', 1) END || b END AS bf
+  FROM bases) USING (host, path) WHERE t <> ''),
 full_url AS (SELECT host, path, CASE
     WHEN regexp_matches(t, '^[^/?#]*://') THEN substr(t, strpos(t, '://') + 3)
     WHEN starts_with(t, '//') THEN substr(t, 3)
-    WHEN starts_with(t, '/') THEN host || t
-    WHEN regexp_matches(t, '^[?#]') THEN host || path || t
-    ELSE host || CASE WHEN strpos(path, '/') = 0 THEN '/' ELSE regexp_extract(path, '^(.*/)', 1) END || t END AS f
-  FROM tags WHERE t <> ''),
-ends AS (SELECT host || path AS u,
-    translate(regexp_extract(f, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
-    || regexp_extract(f, '^[^/?#]*([^?#]*)', 1) AS v FROM full_url WHERE NOT regexp_matches(f, '^[/?#]|^$')),
+    WHEN starts_with(t, '/') THEN regexp_extract(here, '^[^/]*', 0) || t
+    WHEN regexp_matches(t, '^[?#]') THEN here || t
+    ELSE CASE WHEN strpos(here, '/') = 0 THEN here || '/' ELSE regexp_extract(here, '^(.*/)', 1) END || t END AS f FROM seen),
+joined AS (SELECT host || path AS u,
+    translate(regexp_extract(f, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS vh,
+    regexp_extract(f, '^[^/?#]*([^?#]*)', 1) AS vp FROM full_url WHERE NOT regexp_matches(f, '^[/?#]|^$')),
+ends AS (SELECT u, vh || CASE WHEN regexp_matches(vp, '/\.\.?(/|$)') THEN '/' || array_to_string(list_reduce(
+      list_prepend([]::VARCHAR[], list_transform(string_split(vp, '/')[2:], lambda x: [x])),
+      lambda a, x: CASE x[1] WHEN '.' THEN a WHEN '..' THEN a[1:len(a) - 1] ELSE list_concat(a, x) END)
+      || CASE WHEN regexp_matches(vp, '/\.\.?$') THEN [''] ELSE [] END, '/') ELSE vp END AS v FROM joined),
 e AS (SELECT u, v FROM ends WHERE u <> v UNION SELECT v, u FROM ends WHERE u <> v),
 reach(node, other) AS (SELECT u, u FROM e UNION SELECT r.node, e.v FROM reach r JOIN e ON e.u = r.other),
 class AS (SELECT node, min(other) AS class_id FROM reach GROUP BY node),

@@ -17,10 +17,61 @@ from redeemflow.llm.common import ascii_lower, connected_components, cut
 #: rows of a rule table that may be broadcast (about 100 bytes each)
 MAX_BROADCAST_RULES = 100_000
 
-_CANONICAL = (r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?\s*canonical\b)"
-              r"[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)")
-_REFRESH = (r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?\s*refresh\b)"
-            r"[^>]*?\bcontent\s*=\s*[\"']?[^\"'>]*?url\s*=\s*[\"']?([^\"'\s>;]+)")
+#: what declares nothing: comments, and the text of elements that hold no markup
+_SILENT = (r"(?is)<!--.*?(?:-->|\z)|<(script|style|textarea|title|iframe|xmp)(?=[\s/>])[^>]*+>.*?(?:</\1\s*+>|\z)")
+#: a start tag with its quoted values whole; possessive, so its length needs no stack
+_TAG = r"""(?is)<(?:%s)(?=[\s/])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
+_ATTRIBUTE = r"""(?s)([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?+"""
+_REFRESH = r"""(?is)^[\s\d.]*+[;,\s]\s*+(?:url\s*+=\s*+)?+(?:"([^"]*+)"?+|'([^']*+)'?+|(.*))"""
+#: character references that addresses use by name (fixed values)
+_NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+
+
+def decoded(text: Column) -> Column:
+    """``text`` with its character references replaced: all numeric ones, and those by name
+    that addresses use.  Each is read once, so ``&amp;#38;`` gives ``&#38;``."""
+    def one(piece):
+        name = F.regexp_extract(piece, r"^&(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|amp|lt|gt|quot|apos);?", 1)
+        digits = F.when(F.lower(F.substr(name, F.lit(2), F.lit(1))) == "x", F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(
+            F.substr(name, F.lit(2))).try_cast("int")
+        digits = F.when(digits.between(1, 0xD7FF) | digits.between(0xE000, 0x10FFFF), digits)
+        # a code point's four bytes are its UTF-32 form
+        sign = F.decode(F.unhex(F.lpad(F.hex(digits), 8, "0")), "UTF-32")
+        for k, v in _NAMED.items():
+            sign = F.when(name == k, v).otherwise(sign)
+        rest = F.regexp_replace(piece, r"^&(?:#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|amp|lt|gt|quot|apos);?", "")
+        return F.when((name != "") & sign.isNotNull(), F.concat(sign, rest)).otherwise(piece)
+    return F.array_join(F.transform(F.split(text, "(?=&)"), one), "")
+
+
+def attributes(tag: Column) -> Column:
+    """Attributes of a start tag's inside: an array of (name, value), names lower-case,
+    values decoded, without white space around them and line breaks inside."""
+    parts = [F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), i) for i in range(1, 5)]
+    pairs = F.arrays_zip(*[p.alias(f"p{i}") for i, p in enumerate(parts)])
+    return F.transform(pairs, lambda x: F.struct(
+        ascii_lower(x["p0"]).alias("name"),
+        F.trim(F.regexp_replace(decoded(F.concat(x["p1"], x["p2"], x["p3"])), r"[\t\r\n\f]++", " ")).alias("value")))
+
+
+def _value(found: Column, name: str) -> Column:
+    """The value of the first attribute of that name; null without one."""
+    return F.get(F.filter(found, lambda x: x["name"] == name), 0)["value"]
+
+
+def declared(pages: DataFrame) -> DataFrame:
+    """``pages`` with ``to``, the targets of their canonical links and refresh redirects, and
+    ``base``, their base address (null without one)."""
+    pages = pages.withColumn("_loud", F.regexp_replace("html", _SILENT, " "))
+    for name in ("link", "meta", "base"):
+        pages = pages.withColumn(f"_{name}", F.transform(
+            F.regexp_extract_all("_loud", F.lit(_TAG % name), 1), attributes))
+    links = F.transform(F.filter("_link", lambda a: F.array_contains(
+        F.split(ascii_lower(F.coalesce(_value(a, "rel"), F.lit(""))), r"\s+"), "canonical")), lambda a: _value(a, "href"))
+    jumps = F.transform(F.filter("_meta", lambda a: ascii_lower(_value(a, "http-equiv")) == "refresh"), lambda a: F.trim(
+        F.concat(*[F.coalesce(F.regexp_extract(_value(a, "content"), _REFRESH, i), F.lit("")) for i in (1, 2, 3)])))
+    base = F.get(F.filter(F.transform("_base", lambda a: _value(a, "href")), lambda x: x.isNotNull()), 0)
+    return pages.withColumns({"to": F.filter(F.concat(links, jumps), lambda x: F.coalesce(x, F.lit("")) != ""), "base": base})
 
 
 def with_address(df: DataFrame, url: Column, prefix: str = "") -> DataFrame:
@@ -48,28 +99,30 @@ def without_dots(path: Column) -> Column:
     return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
 
 
+def _resolved(to: Column, host: Column, path: Column) -> Column:
+    """``to`` as an address with a scheme, seen from a page at ``host`` and ``path``."""
+    folder = F.regexp_extract(path, r"^(.*/)?", 0)
+    return (F.when(to.rlike(r"^[^/?#]*://"), to)
+            .when(F.startswith(to, F.lit("//")), F.concat(F.lit("x:"), to))
+            .when(F.startswith(to, F.lit("/")), F.concat(F.lit("x://"), host, to))
+            .when(to.rlike(r"^([?#]|$)"), F.concat(F.lit("x://"), host, path, to))
+            .otherwise(F.concat(F.lit("x://"), host, F.when(folder == "", F.lit("/")).otherwise(folder), to)))
+
+
 def alias_edges(pages: DataFrame) -> DataFrame:
     """Edges ``(u_host, u_path, v_host, v_path)`` that pages declare by their
-    canonical links and refresh redirects, all of them.  Targets without a scheme
-    are resolved against the page's own address, and dot segments of any target."""
-    html = F.coalesce(F.col("html"), F.lit(""))
-    low = F.lower(html)
-    none = F.array().cast("array<string>")
-    found = F.filter(F.concat(
-        F.when(F.contains(low, F.lit("canonical")), F.regexp_extract_all(html, F.lit(_CANONICAL), 1)).otherwise(none),
-        F.when(F.contains(low, F.lit("http-equiv")), F.regexp_extract_all(html, F.lit(_REFRESH), 1)).otherwise(none)),
-        lambda x: x != "")
-    rows = (with_address(pages.select("url", F.explode(found).alias("to")), F.col("url"), "u_")
-            .where("u_host <> ''"))
-    to = F.col("to")
-    folder = F.regexp_extract("u_path", r"^(.*/)?", 0)
-    full = (F.when(to.rlike(r"^[^/?#]*://"), to)
-            .when(F.startswith(to, F.lit("//")), F.concat(F.lit("x:"), to))
-            .when(F.startswith(to, F.lit("/")), F.concat(F.lit("x://"), "u_host", to))
-            .when(to.rlike(r"^[?#]"), F.concat(F.lit("x://"), "u_host", "u_path", to))
-            .otherwise(F.concat(F.lit("x://"), "u_host",
-                                F.when(folder == "", F.lit("/")).otherwise(folder), to)))
-    return (with_address(rows.withColumn("full", full), F.col("full"), "v_")
+    canonical links and refresh redirects, all of them.  Tags are read attribute by
+    attribute, outside comments and scripts, character references decoded.  Targets
+    without a scheme are resolved against the page's base element or own address, and
+    dot segments of any target."""
+    low = F.lower(F.coalesce("html", F.lit("")))
+    rows = pages.where(F.contains(low, F.lit("canonical")) | F.contains(low, F.lit("http-equiv")) | F.contains(low, F.lit("&#")))
+    rows = with_address(declared(rows.select("url", "html")).select("url", "to", "base"), F.col("url"), "u_").where("u_host <> ''")
+    rows = rows.select("u_host", "u_path", "base", F.explode("to").alias("to"))
+    rows = with_address(rows, F.when(F.col("base").isNotNull(), _resolved(F.col("base"), F.col("u_host"), F.col("u_path"))), "b_")
+    host = F.when(F.col("b_host") == "", F.col("u_host")).otherwise(F.col("b_host"))
+    path = F.when(F.col("b_host") == "", F.col("u_path")).otherwise(F.col("b_path"))
+    return (with_address(rows.withColumn("full", _resolved(F.col("to"), host, path)), F.col("full"), "v_")
             .withColumn("v_path", without_dots(F.col("v_path")))
             .where("v_host <> '' and not (u_host = v_host and u_path = v_path)")
             .select("u_host", "u_path", "v_host", "v_path").distinct())

@@ -1,9 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from redeemflow.llm.common import connected_components
-from redeemflow.llm.url_filters import filter_urls
+from redeemflow.llm.url_filters import decoded, filter_urls
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("com", "/fr/", "allow"),
          ("com", "/de/", "block"), ("bad.net", "", "block"), ("good.net", "/x", "allow"),
@@ -101,3 +102,65 @@ def test_components_match_union_find(spark, seed):
     got = connected_components(spark.createDataFrame(edges, "u long, v long")).collect()
     assert {(r.node, r.component) for r in got} == {(x, find(x)) for x in linked}
     assert len(got) == len(linked)
+
+
+#: forms that declare an edge to bad.net/z, whose rule blocks
+EDGES = [
+    '<link data-href="/no" rel="canonical" href="http://bad.net/z">',
+    """<link title="a > b" rel=canonical href='http://bad.net/z'>""",
+    '<link rel="canonical" href="http://bad.net&#47;z">', '<link rel="canonical" href="http&colon;//no" href="x"><link rel=canonical href="http:&#x2F;&#x2f;bad.net/z">',
+    '<base href="http://bad.net/q/r"><link rel="canonical" href="../z">', '<link rel="canonical" href="  http://bad.net/z\n ">',
+    '<link rel="nofollow canonical" href="//bad.net/z">', '<LINK HREF="http://bad.net/./a/../z" REL="Canonical"/>',
+    """<meta http-equiv="refresh" content="0; url='http://bad.net/z'">""", '<meta content="5,http://bad.net/z" http-equiv=refresh>',
+    '<meta http-equiv="Refresh" content="0;URL=&quot;http://bad.net/z&quot;">', '<base href="//bad.net"><meta http-equiv=refresh content="0; url=z">',
+]
+#: forms that declare none
+SILENT = [
+    '<!-- <link rel="canonical" href="http://bad.net/z"> -->', '<script>var x = \'<link rel="canonical" href="http://bad.net/z">\'</script>',
+    '<style><link rel="canonical" href="http://bad.net/z"></style>', '<!-- open <link rel="canonical" href="http://bad.net/z">',
+    '<link rel="canonicals" href="http://bad.net/z">', '<linked rel="canonical" href="http://bad.net/z">',
+    '<link rel="stylesheet" title="canonical" href="http://bad.net/z">', '<meta http-equiv="refresh" content="30">',
+    '<link rel="canonical" data-href="http://bad.net/z">', '<meta name="refresh" content="0; url=http://bad.net/z">', '<link rel="canonical">',
+    '<textarea><link rel="canonical" href="http://bad.net/z"></textarea>',
+]
+
+
+def test_forms_of_edges(spark):
+    pages = [(i, f"http://p{i}.net/a", h) for i, h in enumerate(EDGES + SILENT)]
+    got = run(spark, pages)
+    assert [r.page_id for r in got if r.verdict == "block"] == list(range(len(EDGES)))
+
+
+def test_long_tags_and_pages_end(spark):
+    many = "<link " + "a='b' " * 50_000 + 'rel="canonical" href="http://bad.net/z">'
+    half = "<link rel='canonical' href='" + "x" * 100_000
+    pages = [(0, "http://a.net/", many), (1, "http://b.net/", half), (2, "http://c.net/", "<script>canonical" * 5000),
+             (3, "http://d.net/", "<!-- canonical" + " x" * 300_000)]
+    assert [r.verdict for r in run(spark, pages)] == ["block", "allow", "allow", "allow"]
+
+
+def test_references(spark):
+    cases = ["a&amp;b", "&amp;#38;", "&#38;&#x26;", "&#8364;&#x1F600", "&unknown;&", "&#0;&#xD800;", "", "&lt&gt;&quot;&apos;", "&#99999999;"]
+    want = ["a&b", "&#38;", "&&", "\u20ac\U0001f600", "&unknown;&", "&#0;&#xD800;", "", "<>\"'", None]
+    got = [r.x for r in spark.createDataFrame([(c,) for c in cases], "t string").select(decoded(F.col("t")).alias("x")).collect()]
+    assert got[:-1] == want[:-1]
+
+
+def test_planted_pages_against_sql(spark):
+    import duckdb
+    import pandas as pd
+
+    from redeemflow.llm.oracles import OP2
+    from redeemflow.llm.queries import URL_RULES
+    from tools.oracle_check import rows_of
+    blocked = [h.replace("bad.net/q/r", "x.com/de/q/r").replace("bad.net", "x.com/de") for h in EDGES + SILENT]
+    pages = [(i, f"http://p{i}.net/a/b", h) for i, h in enumerate(blocked)]
+    pages += [(100, "http://x.com/de/z", None), (101, "http://x.com/fr/1", '<link rel=canonical href="/de/./y">'), (102, None, "<p>"),
+              (103, "http://q.org/1", '<link rel="canonical" href="http://k.io/../a/.././b/..">'), (104, "http://k.io/", None)]
+    con = duckdb.connect()
+    con.register("pages", pd.DataFrame(pages, columns=["page_id", "url", "html"]))
+    rel = con.sql(OP2)
+    cols = sorted(rel.columns)
+    got = run(spark, pages, URL_RULES)
+    assert rows_of([r.asDict() for r in got], cols) == rows_of([dict(zip(rel.columns, r)) for r in rel.fetchall()], cols)
+    assert sum(r.verdict == "block" for r in got) > len(EDGES) // 2
