@@ -16,12 +16,15 @@ from __future__ import annotations
 
 import re
 import zlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from redeemflow.llm.common import cut
+
 BUCKETS = 1 << 20
 NGRAMS = (4, 5, 6)
 MAX_FEATURES, MIN_ROWS, MIN_SCORE, MIN_RATIO, FOLDS = 3000, 3, 2.0, 4, 5
@@ -136,13 +139,36 @@ def _train_batches(batches):
              pa.array([[m.tolist() for m in models]], pa.list_(pa.list_(pa.float64())))], ["buckets", "models"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_rows: int = 6000):
+class Model(NamedTuple):
+    buckets: np.ndarray
+    models: list[np.ndarray]
+    trained: bool = True
+
+
+def _sample(known: DataFrame, max_rows: int) -> DataFrame:
+    """At most ``max_rows`` rows: the smallest hashes of doc_id, of each combination of labels
+    first (a twelfth of the bound each, there are six), then of all.  Top-k by hash, so no
+    combination is gathered, however common it is."""
+    order = [F.xxhash64("l_id"), F.col("l_id")]
+    parts = [known.orderBy(*order).limit(max_rows).withColumn("first", F.lit(1))]
+    for toxic in (0, 1):
+        for quality in ("quality = 0", "quality = 1", "quality is null"):
+            parts.append(known.where(f"toxic = {toxic} and {quality}").orderBy(*order).limit(max_rows // 12)
+                         .withColumn("first", F.lit(0)))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    rows = rows.groupBy("l_id", *LABELS).agg(F.min("first").alias("first"))
+    return rows.orderBy("first", *order).limit(max_rows).drop("first")
+
+
+def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_rows: int = 6000) -> Model:
     """Chain over ``categories`` (name -> 0/1 column over the label columns, null where
     not known; the last is of ``toxic``).
 
-    Uses at most ``max_rows`` labelled documents, those with the smallest hash of
-    doc_id among those in ``docs``; repeated rows count once, contradicting and
-    null labels not at all.
+    Uses at most ``max_rows`` labelled documents among those in ``docs``, the smallest
+    hashes of doc_id, with every combination of labels among them (``_sample``); repeated
+    rows count once, contradicting and null labels not at all.
     """
     def agreed(c):  # the label of a document's rows, null where they differ or have none
         x = F.when(F.col(c).isin(0, 1), F.col(c))
@@ -150,8 +176,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_r
     sample = (labels.where("doc_id is not null and toxic in (0, 1)")
               .groupBy(F.col("doc_id").alias("l_id")).agg(*[agreed(c) for c in LABELS])
               .where("toxic is not null")
-              .join(docs.select(F.col("doc_id").alias("l_id")).distinct(), "l_id", "left_semi")
-              .orderBy(F.xxhash64("l_id"), "l_id").limit(max_rows).select("l_id", *LABELS))
+              .join(docs.select(F.col("doc_id").alias("l_id")).distinct(), "l_id", "left_semi").select("l_id", *LABELS))
+    sample = _sample(cut(sample), max_rows)
     rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
             .join(F.broadcast(sample), F.col("doc_id") == F.col("l_id"))
             .select(F.col("doc_id").cast("long"), "text",
@@ -159,8 +185,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_r
     sets = rows.mapInArrow(_sets, "doc_id long, y array<int>, ids array<int>").dropDuplicates(["doc_id"])
     got = sets.coalesce(1).mapInArrow(_train_batches, "buckets array<long>, models array<array<double>>").first()
     if got is None:
-        return np.zeros(0, np.int64), [np.zeros(i + 1) for i in range(len(categories))]
-    return np.array(got["buckets"], np.int64), [np.array(m) for m in got["models"]]
+        return Model(np.zeros(0, np.int64), [np.zeros(i + 1) for i in range(len(categories))], False)
+    return Model(np.array(got["buckets"], np.int64), [np.array(m) for m in got["models"]])
 
 
 # ------------------------------------------------------------------ scoring
@@ -178,14 +204,15 @@ def predict(docs: DataFrame, model, categories: list[str], threshold: float = 0.
     probability reaches ``threshold``) for every row.
 
     Defined cases: a null or empty text has no features and gets the biases'
-    probabilities; repeated rows score alike; a null doc_id is kept; other
-    columns are ignored.
+    probabilities; repeated rows score alike; a null doc_id is kept; a model without
+    training rows gives 0.5 everywhere and calls nothing toxic; other columns are
+    ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_FEATURES per category
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))  # at most MAX_FEATURES per category
     names = ["doc_id", *(f"p_{c}" for c in categories)]
 
     def run(batches):
-        buckets, models = shared.value
+        buckets, models, _ = shared.value
         index = {int(b): i for i, b in enumerate(buckets)}
         memo: dict[str, tuple] = {}
         for b in batches:
@@ -206,7 +233,7 @@ def predict(docs: DataFrame, model, categories: list[str], threshold: float = 0.
 
     schema = "doc_id long, " + ", ".join(f"{n} double" for n in names[1:])
     return (docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
-            .withColumn("toxic", F.col(names[-1]) >= threshold))
+            .withColumn("toxic", (F.col(names[-1]) >= threshold) & F.lit(model.trained)))
 
 
 def labelled_categories() -> dict[str, Column]:

@@ -81,13 +81,17 @@ def toxic(spark):
 
 def test_toxicity_on_unseen_rows(spark, toxic):
     labels = table(spark, SF, "labels")
-    seen = {r.doc_id for r in labels.orderBy(T.F.xxhash64("doc_id"), "doc_id").limit(2500).collect()}
+    seen = {r.l_id for r in T._sample(labels.withColumnRenamed("doc_id", "l_id"), 2500).collect()}
+    assert len(seen) == 2500
     lab = labels.toPandas().merge(toxic, on="doc_id", suffixes=("_label", ""))
     new = lab[~lab.doc_id.isin(seen)]
     assert len(toxic) == 10_000 and len(new) > 1000
     assert new[new.toxic_label == 1].toxic.mean() > 0.9
     assert new[new.toxic_label == 0].toxic.mean() < 0.02
     assert toxic.filter(like="p_").notna().all().all()
+    recall = new[new.toxic_label == 1].groupby("quality").toxic.agg(["mean", "size"])
+    print("recall on unseen toxic rows by quality:", recall.to_dict())
+    assert recall["mean"][1] > 0.9
 
 
 def test_toxicity_edge_rows(spark, make_docs):
@@ -99,7 +103,7 @@ def test_toxicity_edge_rows(spark, make_docs):
     assert len(got) == 44 and all(r.p_toxic is not None for r in got)
     assert all(r.toxic == (r.doc_id % 2 == 1) for r in got if r.doc_id is not None and r.doc_id < 40)
     none = T.chain(make_docs([(1, "a")]), labels.limit(0)).first()
-    assert none.p_toxic == 0.5
+    assert none.p_toxic == 0.5 and not none.toxic
     assert T.chain(make_docs([]), labels).count() == 0
 
 
