@@ -8,7 +8,7 @@ never windows over the whole table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from redeemflow import functions as RF
@@ -104,9 +104,22 @@ def monthly(log: DataFrame) -> DataFrame:
                     .agg(F.sum("red").cast("long").alias("redeemed"),
                          F.sum("rec").cast("long").alias("received"),
                          F.sum("con").cast("long").alias("consumed")))
-    # 12 rows at most: the axis is spanned by the two end months
-    axis = months.agg(F.explode(F.sequence(F.min("month"), F.max("month"))).alias("month"))
-    return _on_axis(axis, months, "month")
+    return _between_ends(months)
+
+
+def _between_ends(months: DataFrame) -> DataFrame:
+    """``months`` (``month`` and counts, 12 rows at most) with zeros for the months between the
+    first and the last that it lacks.  Zero rows of all twelve are added and the ends
+    found among the sums, so ``months`` is computed once."""
+    names = [c for c in months.columns if c != "month"]
+    zero = months.sparkSession.range(1, 13).select(F.col("id").cast("int").alias("month"),
+                                                   *[F.lit(0).cast("long").alias(c) for c in names], F.lit(0).alias("_has"))
+    both = months.select("month", *names, F.lit(1).alias("_has")).unionByName(zero)
+    sums = both.groupBy("month").agg(*[F.sum(c).alias(c) for c in names], F.max("_has").alias("_has"))
+    ends = Window.partitionBy()  # twelve rows
+    there = F.when(F.col("_has") == 1, F.col("month"))
+    sums = sums.select("*", F.min(there).over(ends).alias("_lo"), F.max(there).over(ends).alias("_hi"))
+    return sums.where("month between _lo and _hi").select("month", *names)
 
 
 def _on_axis(axis: DataFrame, counts: DataFrame, key: str) -> DataFrame:
@@ -154,3 +167,71 @@ def distance_discount(log: DataFrame, distances=(0, 4, 8, 10)) -> DataFrame:
                .select("distance", RF.p_ratio().alias("ratio")))
     return (rows.where(F.col("ratio").isNotNull())
                 .groupBy("distance", "ratio").agg(F.count(F.lit(1)).alias("rows")))
+
+
+# ------------------------------------------------------------- all charts at once
+_DIMS = ["user_id", "merchant_id", "coupon_id", "date_received", "date", "distance", "ratio", "month_received",
+         "month_used", "weekday", "is_manjian", "label"]
+_SETS = [[], *[[d] for d in _DIMS], ["distance", "ratio"]]
+#: set of dimensions -> grouping id: a bit per dimension that is not grouped by
+_GROUP = {tuple(s): sum(1 << (len(_DIMS) - 1 - i) for i, d in enumerate(_DIMS) if d not in s) for s in _SETS}
+
+
+def all_counts(log: DataFrame) -> DataFrame:
+    """The log aggregated by every chart's key in one pass (GROUPING SETS): the keys, their
+    grouping id ``g``, and ``n, received, with_coupon, redeemed``, with the null counts
+    of the log's columns on the row of the whole.  ``charts`` reads its tables from this one."""
+    lab = _labelled(log).select("*", *RF.discount_parts("discount_rate"))
+    rows = lab.select(
+        "user_id", "merchant_id", "coupon_id", "date_received", "date", "distance", RF.p_ratio("discount_rate", "b").alias("ratio"),
+        F.month("date_received").alias("month_received"), F.month("date").alias("month_used"),
+        RF.iso_weekday("date_received").alias("weekday"), RF.is_manjian("discount_rate").alias("is_manjian"), "label",
+        F.col("date_received").isNotNull().alias("_received"), F.col("coupon_id").isNotNull().alias("_coupon"),
+        (F.col("label") == 1).alias("_redeemed"), *[F.col(c).isNull().alias(f"_null_{c}") for c in log.columns])
+    return rows.groupingSets([[F.col(d) for d in s] for s in _SETS], *[F.col(d) for d in _DIMS]).agg(
+        F.grouping_id().alias("g"), F.count(F.lit(1)).alias("n"), F.count_if("_received").alias("received"),
+        F.count_if("_coupon").alias("with_coupon"), F.count_if("_redeemed").alias("redeemed"),
+        *[F.count_if(f"_null_{c}").alias(f"null_{c}") for c in log.columns])
+
+
+def charts(counts: DataFrame, columns: list[str]) -> dict[str, DataFrame]:
+    """The twelve tables of this module from ``all_counts`` (stored once by the caller);
+    ``columns`` are the log's.  Same rows and columns as the single functions."""
+    def by(*keys):
+        rows = counts.where(F.col("g") == _GROUP[keys])
+        for k in keys:
+            rows = rows.where(F.col(k).isNotNull())
+        return rows
+
+    def shares(rows, key, n):
+        rows = rows.where(F.col(n) > 0)
+        total = rows.select(F.sum(n)).scalar()
+        return rows.select(key, F.col(n).alias("rows"), (F.col(n) / total).alias("share"))
+    whole = by()
+    ends = {"date_received": ("first_received", "last_received"), "date": ("first_used", "last_used")}
+    profile_row = whole.select(
+        F.col("n").alias("rows"), F.col("received").alias("receipts"), (F.col("n") - F.col("null_date")).alias("purchases"),
+        *[by(f"{k}_id").select(F.count(F.lit(1))).scalar().alias(f"{k}s") for k in ("user", "merchant", "coupon")],
+        *[by(k).select(f(k)).scalar().alias(name) for k, names in ends.items() for f, name in zip((F.min, F.max), names)])
+    nulls = whole.select("n", *[F.col(f"null_{c}").alias(c) for c in columns]).unpivot("n", columns, "column_name", "nulls")
+    day = by("date_received").select("date_received", F.col("with_coupon").alias("received"))
+    months = (by("month_received").select(F.col("month_received").alias("month"), "redeemed", "received", F.lit(0).cast("long").alias("consumed"))
+              .unionByName(by("month_used").select(F.col("month_used").alias("month"), F.lit(0).cast("long").alias("redeemed"),
+                                                   F.lit(0).cast("long").alias("received"), F.col("n").alias("consumed")))
+              .groupBy("month").agg(*[F.sum(c).alias(c) for c in ("redeemed", "received", "consumed")]))
+    axis = counts.sparkSession.range(1, 8).select(F.col("id").cast("int").alias("weekday"))
+    return {
+        "profile": profile_row,
+        "missing": nulls.select("column_name", "nulls", F.try_divide(F.col("nulls").cast("double"), F.col("n")).alias("share"),
+                                (F.col("nulls") > 0).alias("any_null")),
+        "daily": day.select("*", day.select(F.max("received")).scalar().alias("max_received")),
+        "distance_counts": by("distance").select("distance", F.col("n").alias("rows")),
+        "distance_rate": by("distance").select("distance", (F.col("redeemed") / F.col("n")).alias("rate"), F.col("n").alias("rows"), "redeemed"),
+        "discount_counts": by("ratio").select("ratio", F.col("n").alias("received"), "redeemed"),
+        "monthly": _between_ends(months),
+        "weekday": _on_axis(axis, by("weekday").select("weekday", F.col("n").alias("received"), "redeemed"), "weekday"),
+        "type_share": shares(by("is_manjian"), "is_manjian", "received"),
+        "type_share_redeemed": shares(by("is_manjian"), "is_manjian", "redeemed"),
+        "label_share": shares(by("label"), "label", "n"),
+        "distance_discount": by("distance", "ratio").where(F.col("distance").isin(0, 4, 8, 10)).select("distance", "ratio", F.col("n").alias("rows")),
+    }

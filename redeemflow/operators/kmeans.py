@@ -67,6 +67,15 @@ def first_k(points: DataFrame, k: int, order: str, vec: str = "embedding") -> li
     return [[float(x) for x in r[0]] for r in rows]
 
 
+def random_k(points: DataFrame, k: int, order: str, seed: int, vec: str = "embedding") -> list[list[float]]:
+    """A random start: ``k`` rows in the order of a hash of the seed and the row's ``order`` key.
+    The same rows however the table is partitioned; rows of one key are told apart by
+    their vectors."""
+    rank = F.md5(F.concat(F.lit(f"{seed}:").cast("binary"), F.col(order).cast("string").cast("binary")))
+    rows = points.orderBy(rank, F.col(vec)).limit(k).select(vec).collect()
+    return [[float(x) for x in r[0]] for r in rows]
+
+
 def _distances(x, cents):
     """Squared distance of every row of ``x`` to every centroid, by direct
     differences (the expanded form loses digits where norms are large)."""
@@ -132,8 +141,8 @@ def _partial_sums(vec: str, cents, prev):
     return run
 
 
-def kmeans(points: DataFrame, k: int, order: str, vec: str = "embedding",
-           max_iter: int | None = None) -> tuple[list[list[float]], DataFrame]:
+def kmeans(points: DataFrame, k: int, order: str, vec: str = "embedding", max_iter: int | None = None,
+           start: list[list[float]] | None = None) -> tuple[list[list[float]], DataFrame]:
     """Lloyd's algorithm until no point changes cluster (the reference's
     rule).  One job per iteration: each partition assigns its points under
     the new and the previous centroids and emits per-cluster partial sums
@@ -142,12 +151,13 @@ def kmeans(points: DataFrame, k: int, order: str, vec: str = "embedding",
     driver.  An empty cluster keeps its previous centroid.  Returns the
     centroids and the final (lazy) assignment with squared errors.
 
+    ``start`` gives the first centroids; unset, they are those of ``first_k``.
     ``max_iter`` bounds the iterations; reaching it with points still moving
     raises, so an unfinished result is never returned.  Nearest-centroid ties
     go to the lower index; the fit and the final assignment measure alike."""
     from pyspark import StorageLevel
 
-    cents = first_k(points, k, order, vec)
+    cents = first_k(points, k, order, vec) if start is None else start
     prev, done, n_iter = None, False, 0
     schema = "cluster int, position int, s double, n long, changed long"
     # the vectors are read once per iteration: keep them (memory, spilling
@@ -177,3 +187,16 @@ def kmeans(points: DataFrame, k: int, order: str, vec: str = "embedding",
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema.fields)
     return cents, points.mapInPandas(_assign_batches(vec, cents),
                                      fields + ", cluster int, distance double, sq_error double")
+
+
+def restarts(points: DataFrame, k: int, order: str, seeds: list[int], vec: str = "embedding",
+             max_iter: int | None = None) -> tuple[int, list[list[float]], DataFrame]:
+    """K-means from a random start per seed; the fit with the lowest sum of squared errors is
+    kept (of equals, the first seed's).  Returns its seed, centroids and assignment."""
+    best = None
+    for seed in seeds:
+        cents, assigned = kmeans(points, k, order, vec, max_iter, random_k(points, k, order, seed, vec))
+        error = assigned.agg(F.sum("sq_error")).first()[0]
+        if best is None or error < best[0]:
+            best = (error, seed, cents, assigned)
+    return best[1:]

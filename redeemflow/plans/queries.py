@@ -13,6 +13,7 @@ values.  Intervals (all 2016):
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -27,8 +28,9 @@ from redeemflow.operators.receipts import date_list_text, date_lists, day_gaps,
 from redeemflow.plans import assemble
 from redeemflow.plans import sql as S
 from redeemflow.session import apply_conf, scratch_path
-from redeemflow.sources import (coupon_log, log_table_path, malformed, offline_test, read_log_csv, read_matrix_csv,
-                                stored_table, write_csv)
+from redeemflow.sources import (coupon_log, log_table_path, malformed, offline_test, read_by_day, read_log_checked,
+                                read_log_csv, read_matrix_csv, read_online_csv, stored_table, write_bucketed, write_by_day,
+                                write_csv)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -123,6 +125,45 @@ def q_src_malformed(spark, d):
     return malformed(spark, path, header=True)
 
 
+_BAD_COUPON, _BAD_DATE = "coupon_id % 7 = 0", "merchant_id = 3 AND date_received IS NOT NULL"
+
+
+@register("src_quarantine", S.with_() + f"""SELECT CASE WHEN reason = '' THEN 'good' ELSE 'rejected' END AS status, reason,
+  COUNT(*) AS rows, CAST(SUM(user_id) AS BIGINT) AS users FROM (SELECT user_id, CASE WHEN user_id % 13 = 0 THEN 'columns'
+    WHEN COALESCE({_BAD_COUPON}, FALSE) AND {_BAD_DATE} THEN 'coupon_id,date_received' WHEN {_BAD_COUPON} THEN 'coupon_id'
+    WHEN {_BAD_DATE} THEN 'date_received' ELSE '' END AS reason FROM coupon) GROUP BY ALL""")
+def q_src_quarantine(spark, d):
+    """S1 with a quarantine: the log written with a cell too many in some lines, letters in
+    some coupons and a day that is none in some dates; every line is a row or is rejected
+    with its reasons."""
+    path = scratch_path(spark, "csv-quarantine")
+    bad = {"coupon_id": F.when(F.expr(_BAD_COUPON), F.concat(F.lit("x"), "coupon_id")),
+           "date_received": F.when(F.expr(_BAD_DATE), F.lit("20161345"))}
+    rows = log(spark, d)
+    cells = [F.coalesce(bad.get(c, F.lit(None)), F.date_format(c, "yyyyMMdd") if c.startswith("date") else F.col(c).cast("string"),
+                        F.lit("null")) for c in rows.columns]
+    line = F.concat_ws(",", *cells, F.when(F.col("user_id") % 13 == 0, "9"))
+    rows.select(line.alias("value")).write.text(path)
+    good, rejected = read_log_checked(spark, path, header=False)
+    user = F.split("line", ",")[0].cast("long")
+    both = good.select(F.lit("good").alias("status"), F.lit("").alias("reason"), "user_id").unionByName(
+        rejected.select(F.lit("rejected").alias("status"), "reason", user.alias("user_id")))
+    return both.groupBy("status", "reason").agg(F.count("*").alias("rows"), F.sum("user_id").alias("users"))
+
+
+@register("src_online", S.with_() + """SELECT user_id, merchant_id, CAST(CASE WHEN coupon_id IS NULL THEN 1 ELSE 2 END AS INTEGER) AS action,
+  CASE WHEN coupon_id % 10 = 0 THEN 'fixed' ELSE CAST(coupon_id AS VARCHAR) END AS coupon_id, discount_rate, date_received, date FROM coupon""")
+def q_src_online(spark, d):
+    """S3: the online log's layout (an action, coupon ids as text), written and read typed."""
+    path = scratch_path(spark, "csv-online")
+    rows = log(spark, d).select(
+        "user_id", "merchant_id", F.when(F.col("coupon_id").isNull(), 1).otherwise(2).alias("action"),
+        F.when(F.col("coupon_id") % 10 == 0, "fixed").otherwise(F.col("coupon_id").cast("string")).alias("coupon_id"),
+        "discount_rate", "date_received", "date")
+    write_csv(rows, path, header=False)
+    return read_online_csv(spark, path)
+
+
 # ====================================================================== row level
 @register("prep_discount", S.with_() + f"""SELECT user_id, merchant_id, coupon_id, discount_rate,
   {S.is_manjian()} AS is_manjian, round({S.ratio_b()}, 6) AS rate_b,
@@ -170,6 +211,18 @@ def q_prep_all(spark, d):
     return r6(prep.prep_all(log(spark, d)))
 
 
+@register("prep_by_day", ORACLE["prep_all"])
+def q_prep_by_day(spark, d):
+    """E12 and S6 as a table by day: all days written, three of them a second time, which
+    changes nothing."""
+    path = scratch_path(spark, "prepared-by-day")
+    prepared = prep.prep_all(log(spark, d))
+    day = F.coalesce("date_received", "date")
+    write_by_day(prepared, path, day)
+    write_by_day(prepared.where(day.between(RF.lit_date("2016-05-15"), RF.lit_date("2016-05-17"))), path, day)
+    return r6(read_by_day(spark, path))
+
+
 _ONEHOT_SQL = ", ".join(
     f"CAST(COALESCE(distance, -1) = {v} AS INTEGER) AS distance_{'neg1' if v < 0 else v}"
     for v in prep.DISTANCE_DOMAIN)
@@ -382,6 +435,53 @@ def q_eda_distance_discount(spark, d):
     return r6(eda.distance_discount(log(spark, d)))
 
 
+_CHART_COLUMNS = {
+    "profile": [], "missing": ["column_name"], "daily": ["date_received"], "distance_counts": ["distance"],
+    "distance_rate": ["distance"], "discount_counts": ["ratio"], "monthly": ["month"], "weekday": ["weekday"],
+    "type_share": ["is_manjian"], "type_share_redeemed": ["is_manjian"], "label_share": ["label"],
+    "distance_discount": ["distance", "ratio"]}
+_CHART_ORACLE = dict(zip(_CHART_COLUMNS, (
+    "eda_profile", "eda_missing", "eda_daily", "eda_distance", "eda_distance_rate", "eda_discount", "eda_month", "eda_weekday",
+    "eda_type_share", "eda_type_share_redeemed", "eda_label_share", "eda_distance_discount")))
+_CHART_VALUES = {
+    "profile": ["rows", "receipts", "purchases", "users", "merchants", "coupons"], "missing": ["nulls", "share"],
+    "daily": ["received", "max_received"], "distance_counts": ["rows"], "distance_rate": ["rate", "rows", "redeemed"],
+    "discount_counts": ["received", "redeemed"], "monthly": ["redeemed", "received", "consumed"],
+    "weekday": ["received", "redeemed"], "type_share": ["rows", "share"], "type_share_redeemed": ["rows", "share"],
+    "label_share": ["rows", "share"], "distance_discount": ["rows"]}
+
+
+def _eda_all_sql() -> str:
+    """The twelve single oracles as one long table."""
+    parts = []
+    for chart, keys in _CHART_COLUMNS.items():
+        key = [f"CAST({'round(ratio * 1000000)' if k == 'ratio' else k} AS VARCHAR)" for k in keys]
+        key = [k.replace("AS VARCHAR", "AS BIGINT) AS VARCHAR").replace("CAST(round", "CAST(CAST(round") if "ratio" in k else k for k in key]
+        key += ["CAST(NULL AS VARCHAR)"] * (2 - len(key))
+        for v in _CHART_VALUES[chart]:
+            parts.append(f"SELECT '{chart}' AS chart, {key[0]} AS key1, {key[1]} AS key2, '{v}' AS metric, "
+                         f"round(CAST({v} AS DOUBLE), 6) AS value FROM ({ORACLE[_CHART_ORACLE[chart]]})")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("eda_all", _eda_all_sql())
+def q_eda_all(spark, d):
+    """The twelve chart tables from one aggregate with grouping sets: the log is read once."""
+    lg = log(spark, d)
+    path = scratch_path(spark, "chart-counts")
+    eda.all_counts(lg).write.parquet(path)
+    out = None
+    for chart, df in eda.charts(spark.read.parquet(path), lg.columns).items():
+        keys = [(F.round(F.col(k) * 1000000).cast("long") if k == "ratio" else F.col(k)).cast("string") for k in _CHART_COLUMNS[chart]]
+        keys += [F.lit(None).cast("string")] * (2 - len(keys))
+        values = F.array(*[F.struct(F.lit(v).alias("metric"), F.round(F.col(v).cast("double"), 6).alias("value"))
+                           for v in _CHART_VALUES[chart]])
+        one = df.select(F.lit(chart).alias("chart"), keys[0].alias("key1"), keys[1].alias("key2"), F.explode(values).alias("_v"))
+        one = one.select("chart", "key1", "key2", "_v.metric", "_v.value")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ====================================================================== Family B
 _SIMPLE_SQL = """stats AS (
   SELECT user_id, coupon_id, date_received, COUNT(*) AS n_ucd,
@@ -903,6 +1003,23 @@ for _name in ("user", "merchant", "coupon", "user_coupon", "user_ext"):
     _hist_splits(_name)
 
 
+@register("ds_handover", S.with_(PB, TL_CTE, TH_CTE, "h AS (SELECT user_id, COUNT(*) AS rc, "
+  "COUNT(*) FILTER (WHERE date IS NOT NULL) AS cc, COUNT(DISTINCT merchant_id) AS dm FROM th GROUP BY user_id)") + f"""SELECT user_id, coupon_id, date_received, label, COALESCE(rc, 0) AS {_HU}receive_cnt,
+  COALESCE(cc, 0) AS {_HU}receive_and_consume_cnt, COALESCE(dm, 0) AS {_HU}receive_differ_Merchant_cnt
+  FROM tl LEFT JOIN h USING (user_id)""")
+def q_ds_handover(spark, d):
+    """Label rows and the user history block handed over as tables in buckets of the
+    user, and joined without an exchange."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    uid = scratch_path(spark, "x").rsplit("-", 1)[1]
+    block = daygrain.b_history(b_grain(spark, d), {"train": daygrain.B_WINDOWS["train"]})["user"].drop("part")
+    names = [_HU + c for c in ("receive_cnt", "receive_and_consume_cnt", "receive_differ_Merchant_cnt")]
+    rows = write_bucketed(tl(spark, d).select("user_id", "coupon_id", "date_received", "label"), f"handover_rows_{uid}",
+                          scratch_path(spark, "handover-rows"), ["user_id"], n)
+    block = write_bucketed(block.select("user_id", *names), f"handover_user_{uid}", scratch_path(spark, "handover-user"), ["user_id"], n)
+    return rows.join(block, "user_id", "left").na.fill(0, names)
+
+
 # nine intervals: history, middle and label of the three splits, by receipt day
 _NINE = {f"{name}_{part}": (first, last) for name, part, first, last in (
     ("train", "history", "2016-03-02", "2016-04-30"), ("train", "middle", "2016-05-01", "2016-05-15"),
@@ -1096,6 +1213,29 @@ def q_ml_importance_a(spark, d):
     return ml.importance(model, features, spark)
 
 
+@register("ml_score_a_rows", f"""SELECT user_id, coupon_id, date_received, COUNT(*) AS rows, TRUE AS sorted
+  FROM (SELECT DISTINCT * FROM ({ORACLE["a_dataset_test"]})) GROUP BY ALL
+  UNION ALL SELECT -1, -1, NULL, 1, TRUE""")
+def q_ml_score_a_rows(spark, d):
+    """Family A's prediction files read again: ids of every row of set 3, each file
+    sorted by (coupon_id, score).  The row -1 says whether the scores run from 0 to 1."""
+    from redeemflow.plans import models
+
+    lg, model, features = _model(spark, d, "a")
+    path = scratch_path(spark, "predictions-a")
+    models.write_predictions(models.a_predictions(lg, model, features), path)
+    back = spark.read.csv(path, schema="user_id long, coupon_id long, day string, score double", nullValue="null")
+    back = back.select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
+    here, pair = Window.partitionBy("file").orderBy("line"), F.struct("coupon_id", "score")
+    back = back.withColumn("sorted", F.coalesce(F.lag(pair).over(here) <= pair, F.lit(True)))
+    rows = (back.groupBy("user_id", "coupon_id", F.to_date("day", "yyyyMMdd").alias("date_received"))
+            .agg(F.count("*").alias("rows"), F.min("sorted").alias("sorted")))
+    ends = back.agg(F.lit(-1).cast("long").alias("user_id"), F.lit(-1).cast("long").alias("coupon_id"),
+                    F.lit(None).cast("date").alias("date_received"), F.lit(1).cast("long").alias("rows"),
+                    ((F.min("score") == 0) & (F.max("score") == 1)).alias("sorted"))
+    return rows.unionByName(ends)
+
+
 @register("ml_auc", S.with_(PB, TL_CTE,
                             "g AS (SELECT discount_rate AS s, COUNT(*) FILTER (WHERE label = 1) AS pos, "
                             "COUNT(*) FILTER (WHERE label <> 1) AS neg FROM tl "
@@ -1174,6 +1314,35 @@ def q_kmeans_fit(spark, d):
     return r6(assigned.select("vec_id", "cluster", "distance", "sq_error"))
 
 
+def _km_start(seed: int) -> str:
+    """The unrolled fit from the start that the seed draws, its tables named for it."""
+    sql = _KM_FIT.split("flat AS", 1)[1].replace(
+        "list(v ORDER BY i) AS c FROM e WHERE i <= 4", "list(v ORDER BY r) AS c FROM (SELECT v, row_number() OVER "
+        f"(ORDER BY md5('{seed}:' || CAST(vec_id AS VARCHAR))) AS r FROM e) WHERE r <= 4")
+    for name in ("start", "run", "fin"):
+        sql = re.sub(rf"\b{name}\b", f"{name}_{seed}", sql)
+    return sql.split("),\n", 1)[1].rstrip()
+
+
+_KM_SEEDS = (1, 2, 3)
+_KM_ERRORS = "\nUNION ALL ".join(
+    f"SELECT {s} AS seed, c FROM fin_{s}" for s in _KM_SEEDS)
+
+
+@register("kmeans_restarts", _KM_FIT.split("start AS", 1)[0] + ",\n".join(_km_start(s) for s in _KM_SEEDS) + f""",
+ends AS ({_KM_ERRORS}),
+far AS (SELECT seed, vec_id, [list_distance(v, c[1]), list_distance(v, c[2]), list_distance(v, c[3]), list_distance(v, c[4])] AS ds
+  FROM e, ends),
+best AS (SELECT seed FROM far GROUP BY seed ORDER BY round(SUM(list_min(ds) * list_min(ds)), 6), seed LIMIT 1)
+SELECT seed, vec_id, CAST(list_position(ds, list_min(ds)) - 1 AS INTEGER) AS cluster, round(list_min(ds), 6) AS distance
+FROM far JOIN best USING (seed)""")
+def q_kmeans_restarts(spark, d):
+    """M8 from random starts: three seeds, the fit with the lowest error kept."""
+    pts = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", "embedding")
+    seed, _, assigned = kmeans.restarts(pts, 4, "vec_id", list(_KM_SEEDS))
+    return r6(assigned.select(F.lit(seed).alias("seed"), "vec_id", "cluster", "distance"))
+
+
 @register("kmeans_matrix_file", "WITH " + ",\n".join(_KM_CTES) + """
 SELECT cluster, COUNT(*) AS points, round(SUM(distance), 4) AS distance FROM a GROUP BY cluster""")
 def q_kmeans_matrix_file(spark, d):

@@ -96,6 +96,85 @@ def malformed(spark: SparkSession, path: str, header: bool = True, with_date: bo
     return counts.unpivot([], [f.name for f in schema.fields], "column_name", "cells")
 
 
+def read_log_checked(spark: SparkSession, path: str, header: bool = True, with_date: bool = True, sep: str = ",",
+                     strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Read a raw log file into rows that are what they should be and lines that are not.
+
+    The first result has the rows of ``read_log_csv`` without those of rejected lines; the
+    second has ``file, line, reason`` of every rejected line.  Together they are the lines of
+    the files (a header, which holds the columns' names in any case, is none).  A line
+    is rejected for another number of cells (``columns``, alone), for a cell that is no id,
+    number or date (``<column>``), and for a missing user or merchant (``no <column>``); reasons
+    are joined by commas in column order.  With ``strict`` the first result raises at the
+    first such line instead.
+    """
+    schema = LOG_SCHEMA if with_date else TEST_LOG_SCHEMA
+    names = schema.fieldNames()
+    raw = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField("_bad", T.StringType())])
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    if header:
+        lines = lines.where(F.lower("line") != sep.join(names))
+    lines = lines.where("trim(line) <> ''")
+    options = {"sep": sep, "nullValue": "null", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    cells = lines.select("file", "line", F.from_csv("line", raw.simpleString()[len("struct<"):-1].replace(":", " "), options).alias("_c"))
+    cells = cells.select("file", "line", F.col("_c._bad").alias("_bad"), *[
+        F.when(F.col(f"_c.{n}").isin("", "nan", "NaN"), None).otherwise(F.col(f"_c.{n}")).alias(n) for n in names])
+    typed = _typed(cells.select("*", F.struct(*names).alias("_raw")), schema, keep=["file", "line", "_bad", "_raw"])
+    reasons = []
+    for f in schema.fields:
+        reasons.append(F.when(F.col(f"_raw.{f.name}").isNotNull() & F.col(f.name).isNull(), f.name))
+        if f.name in ("user_id", "merchant_id"):
+            reasons.append(F.when(F.col(f"_raw.{f.name}").isNull(), f"no {f.name}"))
+    reason = F.when(F.col("_bad").isNotNull(), "columns").otherwise(F.array_join(F.array_compact(F.array(*reasons)), ","))
+    judged = typed.select(*names, "file", "line", reason.alias("reason"))
+    rejected = judged.where("reason <> ''").select("file", "line", "reason")
+    if strict:
+        told = F.raise_error(F.concat(F.lit("rejected line ("), "reason", F.lit("): "), "line")).cast("boolean")
+        return judged.where(F.when(F.col("reason") == "", True).otherwise(told)).select(*names), rejected
+    return judged.where("reason = ''").select(*names), rejected
+
+
+def write_by_day(df: DataFrame, path: str, day: str | Column) -> None:
+    """Write rows into a folder per day (E12 and S6 as one table that grows by days).  Days that
+    ``df`` has replace what the table holds of them; other days stay as they are, so a day
+    can be written again.  A busy day is split over tasks by its users."""
+    day = F.col(day) if isinstance(day, str) else day
+    (df.withColumn("day", day).repartitionByRange("day", F.col(df.columns[0]))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path))
+
+
+def read_by_day(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """A table of ``write_by_day``, or its days from ``first`` to ``last``: only their folders
+    are read."""
+    rows = spark.read.parquet(path)
+    if first is not None:
+        rows = rows.where(F.col("day") >= F.lit(first).cast("date"))
+    if last is not None:
+        rows = rows.where(F.col("day") <= F.lit(last).cast("date"))
+    return rows.drop("day")
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Hand a block over as a table dealt into buckets by its keys and sorted in them (S4):
+    tables of the same keys and number of buckets are joined without moving a row.  One
+    file per bucket; ``path`` lies in shared storage.  Returns the table."""
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
+       .bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
+def open_bucketed(spark: SparkSession, name: str, path: str, schema: T.StructType, keys: list[str], buckets: int) -> DataFrame:
+    """The table that another session handed over."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    by = ", ".join(f"`{k}`" for k in keys)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) "
+              f"INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 def read_online_csv(spark: SparkSession, path: str, header: bool = False,
                     sep: str = ",") -> DataFrame:
     """S3: the online log (with ``action``).  The reference loads it and never
