@@ -79,9 +79,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star rounds until the edge list stops
     changing.  A round aggregates each node's smallest neighbour (with map-side
-    combine, so a hub never gathers its neighbours in one task) and joins
-    that one value back; the edge list never grows past its first size.  Each
-    round is checkpointed in the shared folder.
+    combine, so a hub's neighbours are never a list) and joins that one value back:
+    there a hub's edges share a partition, which AQE's skew join splits.  The edge list
+    never grows past its first size.  Each round is checkpointed in the shared folder.
     """
     def star(sym: DataFrame) -> DataFrame:
         low = sym.groupBy("u").agg(F.min("v").alias("m"))

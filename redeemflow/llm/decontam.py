@@ -30,19 +30,17 @@ def words_of(text: Column) -> Column:
 
 
 def item_windows(items: DataFrame, window: int) -> DataFrame:
-    """Distinct windows: ``win`` (id), ``win_words``, ``size``, ``item_ids``.
+    """Windows of the items: ``win`` (id), ``win_words``, ``size``, ``item_id``, one row per window
+    and item.
 
-    An item of fewer than ``window`` words, but not none, is one window.  Items
-    that share a window share its row, so equal passages are joined once.
+    An item of fewer than ``window`` words, but not none, is one window.
     """
-    w = items.select("item_id", words_of(F.col("text")).alias("w")).where("size(w) > 0")
+    w = items.select(F.col("item_id").cast("string").alias("item_id"), words_of(F.col("text")).alias("w")).where("size(w) > 0")
     n = F.greatest(F.size("w") - window + 1, F.lit(1))
     w = (w.withColumn("at", F.explode(F.sequence(F.lit(1), n)))
          .select("item_id", F.slice("w", F.col("at"), F.lit(window)).alias("win_words")))
-    return (w.groupBy("win_words")
-            .agg(F.collect_set(F.col("item_id").cast("string")).alias("item_ids"))
-            .select(F.xxhash64("win_words").alias("win"), "win_words",
-                    F.size("win_words").alias("size"), "item_ids"))
+    return w.distinct().select(F.xxhash64("win_words").alias("win"), "win_words",
+                               F.size("win_words").alias("size"), "item_id")
 
 
 def _shingle(words: Column, at: Column, k) -> Column:
@@ -92,7 +90,9 @@ def uncontaminated(docs: DataFrame, items: DataFrame, window: int = 10, shingle:
 
 def covered_words(docs: DataFrame, items: DataFrame, window: int, shingle: int) -> DataFrame:
     """``doc_id, text_key, n_hit, ids`` of the documents that hold a window."""
-    wins = cut(item_windows(items, window))
+    # equal windows of many items are joined once; whose they are is looked up at the end
+    owned = cut(item_windows(items, window))
+    wins = cut(owned.select("win", "win_words", "size").distinct())
     k = F.least(F.col("size"), F.lit(shingle))
     # every shingle of every window: one per offset
     parts = (wins.select("win", "size", k.alias("k"),
@@ -136,23 +136,24 @@ def covered_words(docs: DataFrame, items: DataFrame, window: int, shingle: int)
              .where("offset <= before")
              .where(F.slice("around", F.col("before") - F.col("offset") + 1, F.col("size"))
                     == F.col("win_words"))
-             .select("doc_id", "text_key", (F.col("pos") - F.col("offset")).alias("start"),
-                     "size", "item_ids"))
-    return _cover(found)
+             .select("doc_id", "text_key", (F.col("pos") - F.col("offset")).alias("start"), "size", "win"))
+    return _cover(cut(found), owned.select(F.col("win").alias("o_win"), "item_id"))
 
 
-def _cover(found: DataFrame) -> DataFrame:
+def _cover(found: DataFrame, owned: DataFrame) -> DataFrame:
     """Words covered by a document's window occurrences, and their items.
 
     Starts are counted once at their longest size; sorted within the document,
-    an occurrence adds what lies beyond the furthest end before it.
+    an occurrence adds what lies beyond the furthest end before it.  A document's distinct
+    windows meet their items in a join, so a window of very many items is a list nowhere
+    but in the documents that hold it.
     """
-    spans = (found.groupBy("doc_id", "text_key", "start")
-             .agg(F.max("size").alias("size"),
-                  F.array_distinct(F.flatten(F.collect_set("item_ids"))).alias("ids"))
+    spans = (found.groupBy("doc_id", "text_key", "start").agg(F.max("size").alias("size"))
              .groupBy("doc_id", "text_key")
-             .agg(F.array_sort(F.collect_list(F.struct("start", "size"))).alias("spans"),
-                  F.array_distinct(F.flatten(F.collect_set("ids"))).alias("ids")))
+             .agg(F.array_sort(F.collect_list(F.struct("start", "size"))).alias("spans")))
+    ids = (found.select("doc_id", "text_key", "win").distinct().join(owned, F.col("win") == F.col("o_win"))
+           .groupBy(F.col("doc_id").alias("i_doc"), F.col("text_key").alias("i_key")).agg(F.collect_set("item_id").alias("ids")))
+    spans = spans.join(ids, F.col("doc_id").eqNullSafe(F.col("i_doc")) & (F.col("text_key") == F.col("i_key")))
     zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end"))
     covered = F.aggregate(
         "spans", zero,

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from redeemflow.llm.common import cut
 
 #: pieces of one length that are ranked together
-RANK_GROUP = 100_000
+RANK_GROUP = 10_000
 
 _BEYOND_LATIN = re.compile("[^\\x00-\\u024f]")
 _PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
