@@ -90,6 +90,8 @@ def date_lists(rows: DataFrame, user: str = U, coupon: str = C, day: str = D) ->
 
 
 def date_list_text(lists: DataFrame) -> DataFrame:
-    """The same as text, ``yyyyMMdd:count`` pairs joined by ``,``."""
+    """The same as text: ``dates``, ``yyyyMMdd:count`` pairs joined by ``,``, and ``days_text``, the
+    days alone joined by ``:``, each once (as long as a pair's distinct days are many)."""
     pairs = F.transform("days", lambda x: F.concat(F.date_format(x["day"], "yyyyMMdd"), F.lit(":"), x["n"]))
-    return lists.withColumn("dates", F.array_join(pairs, ",")).drop("days")
+    alone = F.transform("days", lambda x: F.date_format(x["day"], "yyyyMMdd"))
+    return lists.withColumns({"dates": F.array_join(pairs, ","), "days_text": F.array_join(alone, ":")}).drop("days")

@@ -860,7 +860,8 @@ def q_a_other(spark, d):
 
 
 @register("agg_date_list", S.with_(A2D_CTE) + """SELECT user_id, coupon_id,
-  string_agg(strftime(date_received, '%Y%m%d') || ':' || n, ',' ORDER BY date_received) AS dates
+  string_agg(strftime(date_received, '%Y%m%d') || ':' || n, ',' ORDER BY date_received) AS dates,
+  string_agg(strftime(date_received, '%Y%m%d'), ':' ORDER BY date_received) AS days_text
   FROM (SELECT user_id, coupon_id, date_received, COUNT(*) AS n FROM d2
         WHERE coupon_id IS NOT NULL AND date_received IS NOT NULL GROUP BY ALL)
   GROUP BY user_id, coupon_id""")

@@ -37,6 +37,8 @@ def build_session(master: str | None = None, app: str = "redeemflow",
         builder = builder.master(master)
     # the UI is a server; it must be off before the context starts
     builder = builder.config("spark.ui.enabled", "false")
+    # checkpoint files of plans that nobody holds any more go with them
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -94,6 +96,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete this session's checkpoint folder: the intermediate tables and lineage cuts of all
+    its queries.  For the end of a job, when its results are written elsewhere; the
+    ingested log and the day-grain tables, which lie beside that folder, stay."""
+    path = spark.sparkContext.getCheckpointDir()
+    if path:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def apply_conf(spark: SparkSession) -> None:
     """The settings that query results rest on, for sessions built elsewhere:
     dates and weekdays are cast in UTC."""

@@ -214,3 +214,23 @@ def test_restarts_keep_the_lowest_error(spark):
     seed, cents, best = kmeans.restarts(pts, 4, "vec_id", list(errors))
     assert best.agg(F.sum("sq_error")).first()[0] == pytest.approx(min(errors.values())) and errors[seed] == min(errors.values())
     assert len(cents) == 4
+
+
+# ------------------------------------------------------------------ scratch
+def test_scratch_goes_and_the_log_stays():
+    import subprocess
+    import sys
+    root = tempfile.mkdtemp(prefix="rf-scratch-")
+    code = f"""
+import os
+from redeemflow.session import build_session, remove_scratch
+from redeemflow.plans.queries import QUERIES
+spark = build_session("local[2]", shuffle_partitions=2, extra={{"spark.checkpoint.dir": {root!r}}})
+assert QUERIES["agg_median"](spark, {SF_SMALL!r}).count() and QUERIES["a_user_sets"](spark, {SF_SMALL!r}).count()
+remove_scratch(spark)
+print("LEFT", sorted(x.split("-")[0] for x in os.listdir({root!r}) if not x.startswith(".")))
+"""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    got = subprocess.run([sys.executable, "-c", code], cwd=repo, capture_output=True, text=True, timeout=300,
+                         env=os.environ | {"PYTHONPATH": repo})
+    assert "LEFT ['coupon_log', 'coupon_log']" in got.stdout, got.stdout + got.stderr[-1500:]
