@@ -177,4 +177,44 @@ SELECT ends.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank,
 FROM ends LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ends.conv_id
 """
 
-SQL = {"op11_conversation_repair": OP11, "op9_suffix_dedup": OP9, "op6_chat_format": OP6, "op2_url_filter": OP2, "op3_decontamination": OP3}
+_GRIDS = {"symbols_per_word": "0.05, 0.1, 0.2, 0.3, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0",
+          "upper_share": "0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9",
+          "marks_per_word": "0.1, 0.2, 0.3, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0",
+          "repeat_share": "0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5",
+          "dup_line_share": "0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9"}
+_STEP = "least(" + ", ".join(f"10 - len(list_filter([{g}]::DOUBLE[], lambda c: {r} > c))" for r, g in _GRIDS.items()) + ")"
+
+OP7 = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text, text AS raw FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+tri AS (SELECT k, i, words[i] || chr(10) || words[i + 1] || chr(10) || words[i + 2] AS t
+  FROM (SELECT k, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) > 2)),
+rep AS (SELECT k, count(DISTINCT p) AS n FROM (SELECT k, unnest(range(i, i + 3)) AS p FROM (
+  SELECT k, i, count(*) OVER (PARTITION BY k, t) AS times FROM tri) WHERE times > 1) GROUP BY k),
+counts AS (SELECT w.k, doc_id, stratum, raw, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+    length(regexp_replace(text, '[^A-Z]', '', 'g')) AS upper_n, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS letters,
+    length(regexp_replace(text, '[^!?]', '', 'g')) AS marks, len(lines) AS n_lines FROM w LEFT JOIN rep USING (k)),
+f AS (SELECT *, n_symbols / greatest(n_words, 1) AS symbols_per_word, upper_n / greatest(letters, 1) AS upper_share,
+    marks / greatest(n_words, 1) AS marks_per_word, n_repeat_words / greatest(n_words, 1) AS repeat_share,
+    n_dup_lines / greatest(n_lines, 1) AS dup_line_share FROM counts),
+s AS (SELECT *, """ + _STEP + r""" AS step, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
+known AS (SELECT doc_id, min(quality) AS worst FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+trials AS (SELECT stratum, raw, min(step) AS step FROM s JOIN known USING (doc_id) GROUP BY stratum, raw HAVING min(worst) = 1),
+sizes AS (SELECT stratum, count(*) AS n, 0.05 / (SELECT count(DISTINCT stratum) FROM trials) AS level FROM trials GROUP BY stratum),
+tests AS (SELECT stratum, t, n, level, (SELECT count(*) FROM trials x WHERE x.stratum = z.stratum AND x.step <= t) AS bad
+  FROM sizes z, unnest(range(0, 10)) AS r(t)),
+passed AS (SELECT stratum, t, bad / n < 0.05 AND list_sum(list_transform(range(0, bad + 1), lambda i:
+    exp(lgamma(n + 1) - CASE WHEN i = 0 THEN 0 ELSE lgamma(i + 1) END - lgamma(n - i + 1) + i * ln(0.05) + (n - i) * ln(0.95)))) <= level AS ok
+  FROM tests),
+walked AS (SELECT stratum, max(t) AS last FROM (SELECT stratum, t, bool_and(ok) OVER (PARTITION BY stratum ORDER BY t) AS ok FROM passed)
+  WHERE ok GROUP BY stratum)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND (last IS NULL OR step > last) AS kept, stratum, symbols_per_word, upper_share, marks_per_word, repeat_share, dup_line_share
+FROM s LEFT JOIN walked USING (stratum)
+"""
+
+SQL = {"op7_quality_rules": OP7, "op11_conversation_repair": OP11, "op9_suffix_dedup": OP9, "op6_chat_format": OP6, "op2_url_filter": OP2, "op3_decontamination": OP3}
