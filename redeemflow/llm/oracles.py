@@ -217,4 +217,83 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM s LEFT JOIN walked USING (stratum)
 """
 
-SQL = {"op7_quality_rules": OP7, "op11_conversation_repair": OP11, "op9_suffix_dedup": OP9, "op6_chat_format": OP6, "op2_url_filter": OP2, "op3_decontamination": OP3}
+# XXH64 in SQL: 128-bit products modulo 2^64.  Fixed values: the five primes of the hash.
+_M = "18446744073709551616::UHUGEINT"
+_P1, _P2, _P3, _P4, _P5 = (f"{p}::UHUGEINT" for p in (
+    11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
+
+
+def _bound(value: str, name: str, then: str) -> str:
+    """``then`` with ``name`` standing for ``value``, computed once."""
+    return f"list_transform([{value}], lambda {name}: {then})[1]"
+
+
+def _mul(a: str, b: str) -> str:
+    return f"(({a}) * {b}) % {_M}"
+
+
+def _add(a: str, b: str) -> str:
+    return f"(({a}) + {b}) % {_M}"
+
+
+def _xor(a: str, b: str) -> str:
+    return f"xor(CAST({a} AS UBIGINT), CAST({b} AS UBIGINT))::UHUGEINT"
+
+
+def _turn(x: str, r: int) -> str:
+    return _bound(x, f"t{r}", f"(t{r} * {1 << r}::UHUGEINT) % {_M} + t{r} // {1 << (64 - r)}::UHUGEINT")
+
+
+def _fold(x: str, r: int) -> str:
+    return _bound(x, f"f{r}", _xor(f"f{r}", f"f{r} // {1 << r}::UHUGEINT"))
+
+
+def _round(acc: str, lane: str) -> str:
+    return _mul(_turn(_add(acc, _mul(lane, _P2)), 31), _P1)
+
+
+def _lanes(width: int, first: str, count: str) -> str:
+    """Little-endian numbers of ``width`` bytes of the hex text ``hx``, from byte ``first`` on."""
+    number = " + ".join(f"CAST(strpos('0123456789ABCDEF', substr(hx, 2 * o + {2 * i + 1}, 1)) - 1 AS UHUGEINT) * {16 << (8 * i)}::UHUGEINT"
+                        f" + CAST(strpos('0123456789ABCDEF', substr(hx, 2 * o + {2 * i + 2}, 1)) - 1 AS UHUGEINT) * {1 << (8 * i)}::UHUGEINT"
+                        for i in range(width))
+    return f"list_transform(list_transform(range(0, {count}), lambda j: {first} + j * {width}), lambda o: {number})"
+
+
+_START = [f"{(42 + 11400714785074694791 + 14029467366897019727) % 2 ** 64}::UHUGEINT", f"{(42 + 14029467366897019727) % 2 ** 64}::UHUGEINT",
+          "42::UHUGEINT", f"{(42 - 11400714785074694791) % 2 ** 64}::UHUGEINT"]
+_STRIPES = ("list_reduce(list_prepend([" + ", ".join(_START) + "], list_transform(range(0, n // 32), lambda j: w8[4 * j + 1:4 * j + 4])), "
+            "lambda v, x: [" + ", ".join(_round(f"v[{i}]", f"x[{i}]") for i in range(1, 5)) + "])")
+_MERGED = " + ".join(_turn(f"v[{i}]", r) for i, r in zip(range(1, 5), (1, 7, 12, 18)))
+
+
+def _merge(h: str, i: int) -> str:
+    return _add(_mul(_xor(h, _round("0::UHUGEINT", f"v[{i}]")), _P1), _P4)
+
+
+_LONG = _merge(_merge(_merge(_merge(f"(({_MERGED}) % {_M})", 1), 2), 3), 4)
+
+OP5 = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS k, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+sh AS (SELECT k, array_to_string(words[i:i + 2], ' ') AS t FROM (
+  SELECT k, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM d WHERE len(words) > 0)),
+b AS (SELECT t, hex(encode(t)) AS hx, CAST(strlen(t) AS BIGINT) AS n FROM (SELECT DISTINCT t FROM sh)),
+lanes AS (SELECT t, hx, n, """ + _lanes(8, "0", "n // 8") + r""" AS w8 FROM b),
+v AS (SELECT t, hx, n, w8, CASE WHEN n >= 32 THEN """ + _STRIPES + r""" END AS v FROM lanes),
+h0 AS (SELECT t, hx, n, w8, """ + _add("CASE WHEN n >= 32 THEN " + _LONG + f" ELSE {(42 + 2870177450012600261) % 2 ** 64}::UHUGEINT END", "n::UHUGEINT") + r""" AS h FROM v),
+h8 AS (SELECT t, hx, n, list_reduce(list_prepend(h, w8[4 * (n // 32) + 1:]), lambda a, x: """ + _add(_mul(_turn(_xor("a", _round("0::UHUGEINT", "x")), 27), _P1), _P4) + r""") AS h FROM h0),
+h4 AS (SELECT t, hx, n, CASE WHEN n % 8 >= 4 THEN """ + _add(_mul(_turn(_xor("h", _mul("(" + _lanes(4, "n // 8 * 8", "1") + ")[1]", _P1)), 23), _P2), _P3) + r""" ELSE h END AS h FROM h8),
+h1 AS (SELECT t, list_reduce(list_prepend(h, """ + _lanes(1, "n // 4 * 4", "n % 4") + r"""), lambda a, x: """ + _mul(_turn(_xor("a", _mul("x", _P5)), 11), _P1) + r""") AS h FROM h4),
+hash AS (SELECT t, CAST(""" + _fold(_mul(_fold(_mul(_fold("h", 33), _P2), 29), _P3), 32) + r""" AS UBIGINT) AS h FROM h1),
+bits AS (SELECT k, bit, count(*) AS n, sum((h >> bit::UBIGINT) & 1::UBIGINT) AS ones FROM sh JOIN hash USING (t), unnest(range(0, 64)) AS r(bit) GROUP BY k, bit),
+made AS (SELECT k, bit_or(CASE WHEN 2 * ones > n THEN 1::UBIGINT << bit::UBIGINT ELSE 0::UBIGINT END) AS fp FROM bits GROUP BY k),
+f AS (SELECT k, doc_id, coalesce(fp, 0)::UBIGINT AS fp FROM d LEFT JOIN made USING (k)),
+ids AS (SELECT fp, min(doc_id) AS low FROM f GROUP BY fp),
+e AS (SELECT a.fp AS u, b.fp AS v FROM ids a, ids b WHERE bit_count(xor(a.fp, b.fp)) <= 3),
+reach(u, v) AS (SELECT u, v FROM e UNION SELECT r.u, e.v FROM reach r JOIN e ON e.u = r.v)
+SELECT doc_id, lower(lpad(hex(fp), 16, '0')) AS fingerprint, component_id FROM f JOIN (
+  SELECT reach.u AS fp, min(low) AS component_id FROM reach JOIN ids ON ids.fp = reach.v GROUP BY reach.u) USING (fp)
+"""
+
+SQL = {"op5_simhash_dedup": OP5, "op7_quality_rules": OP7, "op11_conversation_repair": OP11, "op9_suffix_dedup": OP9, "op6_chat_format": OP6, "op2_url_filter": OP2, "op3_decontamination": OP3}

@@ -56,7 +56,7 @@ def op4_quality_classifier(spark, d):
 @register
 def op5_simhash_dedup(spark, d):
     from redeemflow.llm.simhash import group
-    return group(table(spark, d, "documents"), shingle=3, distance=3)
+    return group(table(spark, d, "documents"), shingle=3, distance=3).select("doc_id", "fingerprint", "component_id")
 
 
 @register
