@@ -39,12 +39,10 @@ def day_bits(rows: DataFrame, keys: list[str], value: str, day: str, origin: str
     return rows.groupBy(*keys, value).agg(*bits)
 
 
-def merge_bits(*tables: DataFrame) -> DataFrame:
-    """One table of several, of other days or the same ones."""
-    first = tables[0]
-    words = [f.name for f in first.schema.fields if f.name.rsplit("_", 1)[-1].isdigit()]
-    keys = [c for c in first.columns if c not in words]
-    out = first
+def merge_bits(keys: list[str], value: str, *tables: DataFrame) -> DataFrame:
+    """One table of several, of other days or the same ones (of one origin)."""
+    keys, out = [*keys, value], tables[0]
+    words = [c for c in out.columns if c not in keys]
     for t in tables[1:]:
         out = out.unionByName(t)
     return out.groupBy(*keys).agg(*[F.bit_or(w).alias(w) for w in words])

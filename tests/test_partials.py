@@ -67,7 +67,7 @@ def test_day_bits_merge_and_answer_every_window(spark):
                "day": ("2016-06-15", "2016-06-15"), "beyond": ("2015-01-01", "2016-01-20"), "none": ("2017-01-01", "2017-02-01")}
     early, late = df.where("d < '2016-04-01'"), df.where("d >= '2016-04-01'")
     whole = daybits.day_bits(df, ["k"], "v", "d", "2016-01-01", 213, marks)
-    merged = daybits.merge_bits(*[daybits.day_bits(x, ["k"], "v", "d", "2016-01-01", 213, marks) for x in (early, late)])
+    merged = daybits.merge_bits(["k"], "v", *[daybits.day_bits(x, ["k"], "v", "d", "2016-01-01", 213, marks) for x in (early, late)])
     assert rows(whole) == rows(merged)
     got = {(r.k, r.part): (r["any"], r.used) for r in daybits.distinct_counts(merged, ["k"], "2016-01-01", 213, ["any", "used"], windows).collect()}
     want = {}

@@ -14,7 +14,8 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 SKIP = {"ml_score", "ml_importance", "ml_score_a", "ml_importance_a", "ml_validate", "ml_offline_rows",
-        "ml_prediction_files", "src_csv_roundtrip", "src_csv_headerless", "src_malformed"}
+        "ml_prediction_files", "ml_rounds", "ml_round_rows", "ml_score_a_rows", "src_csv_roundtrip",
+        "src_csv_headerless", "src_malformed", "src_quarantine", "src_online"}
 
 
 def summarise(plan: str) -> dict:
