@@ -141,9 +141,9 @@ def b_history(grain: DataFrame, windows=None) -> dict[str, DataFrame]:
     """Raw history aggregates of every window: ``user``, ``merchant``, ``coupon``, ``user_coupon``,
     each with ``part``, its keys and the columns of the block in ``blocks_b``.
 
-    Distinct counts are counts of the merged rows one key finer: merchants of a user
-    and users of a merchant of the (user, merchant) rows, coupons of a merchant of the
-    (merchant, coupon) rows.
+    A user's three distinct counts of merchants are counts of the merged (user, merchant)
+    rows; a merchant's users and coupons are two-level aggregates (first on the key and
+    the value).
     """
     t = in_windows(grain, windows or B_WINDOWS)
     pu = RF.prefix("history_field", ["user_id"])
@@ -159,13 +159,11 @@ def b_history(grain: DataFrame, windows=None) -> dict[str, DataFrame]:
         F.try_divide(F.sum("rate_sum"), F.sum("rate_n")).alias(pu + "receive_and_consume_mean_discount_rate"),
         F.try_divide(F.sum("far_sum").cast("double"), F.sum("far_n")).alias(pu + "receive_and_consume_mean_distance"),
         F.count(F.when(F.col("n_used") > 0, F.col("merchant_id"))).alias(pu + "receive_differ_Merchant_and_consume_cnt"))
-    coupons = t.where(F.col("coupon_id").isNotNull()).select("part", "merchant_id", "coupon_id").distinct()
-    merchant = pairs.groupBy("part", "merchant_id").agg(
-        F.sum("n").alias(pm + "received_cnt"), F.count("user_id").alias(pm + "received_differ_User_cnt"),
+    merchant = t.groupBy("part", "merchant_id").agg(
+        F.sum("n").alias(pm + "received_cnt"), F.count_distinct("user_id").alias(pm + "received_differ_User_cnt"),
         F.sum("n_used").alias(pm + "received_and_consumed_cnt"),
-        (F.sum("n") - F.sum("n_used")).alias(pm + "received_not_consumed_cnt"))
-    merchant = merchant.join(coupons.groupBy("part", "merchant_id").agg(F.count(F.lit(1)).alias(pm + "differ_Coupon_cnt")),
-                             ["part", "merchant_id"], "left").na.fill(0, [pm + "differ_Coupon_cnt"])
+        (F.sum("n") - F.sum("n_used")).alias(pm + "received_not_consumed_cnt"),
+        F.count_distinct("coupon_id").alias(pm + "differ_Coupon_cnt"))
     coupon = t.groupBy("part", "coupon_id").agg(
         F.sum("n").alias(pc + "received_cnt"), F.sum("n_15").alias(pc + "received_and_consumed_cnt_15"),
         F.try_divide(F.sum("gap_15").cast("double"), F.sum("n_15")).alias(pc + "consumed_mean_time_gap_15"),
