@@ -14,10 +14,9 @@ A control string inside a role or text gets one backslash after its first
 character (``</s>`` -> ``<\/s>``, ``<\/s>`` -> ``<\\/s>``), which is undone by taking
 one away.  Line feeds and backslashes of a role are written ``\n`` and ``\\``.
 
-An example is a prefix of its conversation's formatted text, so ``expand`` stores
-each turn's text once, as a segment with its offset, and gives examples as
-ranges of offsets; the output grows with the input, not with the square of a
-long conversation.  ``render`` writes the examples out as full texts.
+An example is a prefix of its conversation's formatted text, written out in full: the
+output grows with the square of a conversation's turns, as the method does (README has
+figures).  The read-back takes replies and their marks from these texts.
 """
 
 from __future__ import annotations
@@ -34,6 +33,8 @@ TURNS_PER_BLOCK = 64
 
 _CONTROL = r"(?=/?s>|/?INST\])"
 _SEGMENT = re.compile(r"\[INST\](.*?)\n(.*)\[/INST\]|<s>(.*)</s>", re.S)
+#: segments of an example: their marks occur nowhere else
+_SEGMENTS = re.compile(r"\[INST\].*?\[/INST\]|<s>.*?</s>", re.S)
 _UNESCAPE = re.compile(r"([<\[])\\(\\*)" + _CONTROL)
 
 
@@ -61,13 +62,26 @@ def read_segment(seg: str) -> tuple[str, str]:
     return role, unescape(text)
 
 
+def read_example(text: str):
+    """Role and text of the segments of an example, in order."""
+    at = 0
+    for m in _SEGMENTS.finditer(text):
+        if m.start() != at:
+            break
+        at = m.end()
+        yield read_segment(m[0])
+    if at != len(text):
+        raise ValueError(f"no segment at {at}: {text[at:at + 40]!r}")
+
+
 def expand(conversations: DataFrame) -> DataFrame:
-    """One row per turn: ``conv_id, turn, seq, segment, start, end, target, last``.
+    """One row per turn: ``conv_id, turn, seq, segment, start, end, target, loss_start, loss_end,
+    last, text``.
 
     ``start`` and ``end`` are code point offsets in the conversation's formatted
-    text.  A row with ``target`` is an example: context ``[0, start)``, trainable
-    ``[loss_start, loss_end)``, text ``[0, end)``.  A ``last`` row without ``target``
-    is the example without a trainable part.
+    text.  A row with ``target`` is an example: ``text`` is the context ``[0, start)`` and the
+    reply, of which ``[loss_start, loss_end)`` is trainable.  A ``last`` row without
+    ``target`` is the example without a trainable part.  Other rows have no ``text``.
 
     Defined cases: null role or text is empty; turns are ordered by turn
     (nulls first), then role, then text; repeated rows are turns of their own;
@@ -75,7 +89,8 @@ def expand(conversations: DataFrame) -> DataFrame:
 
     Offsets are summed in two steps, within blocks of turns and then over
     blocks, so a conversation with very many turns is spread over tasks (rows of one
-    turn number, and those without one, are of one block: sorted in one task).
+    turn number, and those without one, are of one block: sorted in one task).  The
+    examples of a conversation are written by one task, one at a time.
     """
     rows = conversations.select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"),
@@ -97,27 +112,21 @@ def expand(conversations: DataFrame) -> DataFrame:
     out = rows.join(blocks, F.col("conv_id").eqNullSafe(F.col("b_conv")) & F.col("block").eqNullSafe(F.col("b_block")))
     end = F.col("base") + F.col("b_end")
     target = F.col("role") == "assistant"
-    return out.select(
+    out = out.select(
         "conv_id", "turn", (F.col("seq0") + F.col("b_seq") - 1).alias("seq"), shown.alias("segment"),
         (end - F.col("n")).alias("start"), end.alias("end"), target.alias("target"),
         F.when(target, end - F.col("n") + 3).alias("loss_start"),
         F.when(target, end - 4).alias("loss_end"),
         ((F.col("later") == 0) & (F.col("b_seq") == F.col("turns"))).alias("last"))
+    so_far = Window.partitionBy("conv_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prefix = F.collect_list("segment").over(so_far)
+    return (out.withColumn("_prefix", prefix)
+            .select(*out.columns, F.when(F.col("target") | F.col("last"), F.array_join("_prefix", "")).alias("text")))
 
 
 def render(segments: DataFrame) -> DataFrame:
-    """Examples as full texts: ``conv_id, seq, text, loss_start, loss_end``.
-
-    Writes every prefix out, so the size is the sum of the prefixes; meant for
-    conversations that fit a training window.
-    """
-    ends = (segments.where("target or last")
-            .select(F.col("conv_id").alias("e_conv"), F.col("seq").alias("e_seq"), "loss_start", "loss_end"))
-    parts = segments.select("conv_id", "seq", "segment")
-    return (ends.join(parts, F.col("conv_id").eqNullSafe(F.col("e_conv")) & (F.col("seq") <= F.col("e_seq")))
-            .groupBy(F.col("e_conv").alias("conv_id"), F.col("e_seq").alias("seq"), "loss_start", "loss_end")
-            .agg(F.array_sort(F.collect_list(F.struct("seq", "segment"))).alias("x"))
-            .select("conv_id", "seq", F.array_join("x.segment", "").alias("text"), "loss_start", "loss_end"))
+    """The examples alone: ``conv_id, seq, text, loss_start, loss_end``."""
+    return segments.where("target or last").select("conv_id", "seq", "text", "loss_start", "loss_end")
 
 
 READ_BACK = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
@@ -125,15 +134,18 @@ READ_BACK = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long,
 
 
 def read_back(segments: DataFrame) -> DataFrame:
-    """Digests per conversation, read from the output of ``expand``.
+    """Digests per conversation, read from the examples' texts in the output of ``expand``.
 
-    A digest runs over its conversation in order, so a conversation stays in
-    one task; that task streams its sorted rows and holds one batch.
-    ``formatted_chars`` adds up the lengths of the conversation's examples.
+    Replies are cut out of their own examples by the loss range, turns are read
+    from the last example, which holds them all; ``formatted_chars`` adds up the lengths of
+    the conversation's examples.  A digest runs over its conversation in order, so a
+    conversation stays in one task; that task streams its sorted rows and holds one batch.
     """
-    cols = ["conv_id", "seq", "segment", "start", "end", "target", "loss_start", "loss_end", "last"]
-    rows = segments.select(*cols).repartition("conv_id").sortWithinPartitions("conv_id", "seq")
-    return rows.mapInArrow(_digests, READ_BACK)
+    reply = F.when(F.col("target"), F.substring("text", F.col("loss_start") + 1, F.col("loss_end") - F.col("loss_start")))
+    rows = segments.where("target or last").select(
+        "conv_id", "seq", F.when(F.col("last"), F.col("text")).alias("whole"), reply.alias("reply"),
+        F.length("text").cast("long").alias("chars"))
+    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "seq").mapInArrow(_digests, READ_BACK)
 
 
 def _digests(batches):
@@ -147,16 +159,16 @@ def _digests(batches):
                 if state is not None:
                     done.append(_finish(state))
                 state = [r["conv_id"], 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
-            role, text = read_segment(r["segment"])
-            state[1] += 1
-            state[2].update(f"{role}\n{text}\n".encode())
-            if r["target"]:
-                reply = unescape(r["segment"][r["loss_start"] - r["start"]:r["loss_end"] - r["start"]])
+            if r["whole"] is not None:
+                for role, text in read_example(r["whole"]):
+                    state[1] += 1
+                    state[2].update(f"{role}\n{text}\n".encode())
+            if r["reply"] is not None:
+                reply = unescape(r["reply"])
                 state[3] += len(reply)
                 state[4].update(reply.encode())
-            if r["target"] or r["last"]:
-                state[5] += r["end"]
-                state[6] += 1
+            state[5] += r["chars"]
+            state[6] += 1
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*done), types)]
                                          if done else [pa.array([], t) for t in types], fields)
     if state is not None:

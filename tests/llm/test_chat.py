@@ -90,3 +90,19 @@ def test_planted_rows_against_sql(spark):
     cols = sorted(rel.columns)
     assert rows_of([r.asDict() for r in read_back(expand(df)).collect()], cols) == rows_of(
         [dict(zip(rel.columns, r)) for r in rel.fetchall()], cols)
+
+
+def test_examples_are_built_and_read(spark):
+    """Every example's whole text is in the output of ``expand``, and digests come from it."""
+    df = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "r"), (1, 3, "assistant", "b"),
+                                (2, 0, "user", "x"), (2, 1, "system", "y")], SCHEMA)
+    out = expand(df)
+    texts = {(r.conv_id, r.seq): r.text for r in out.collect()}
+    q, a, r, b = "[INST]user\nq[/INST]", "<s>a</s>", "[INST]user\nr[/INST]", "<s>b</s>"
+    assert texts == {(1, 0): None, (1, 1): q + a, (1, 2): None, (1, 3): q + a + r + b, (2, 0): None,
+                     (2, 1): "[INST]user\nx[/INST][INST]system\ny[/INST]"}
+    changed = out.selectExpr("* except (text)", "replace(replace(text, '<s>a</s>', '<s>c</s>'), 'nr', 'ns') as text")
+    got = {r.conv_id: r for r in read_back(changed).collect()}
+    assert got[1].loss_sha256 == hashlib.sha256(b"cb").hexdigest()
+    assert got[1].turns_sha256 == hashlib.sha256(b"user\nq\nassistant\nc\nuser\nr\nassistant\nb\n").hexdigest()
+    assert got[1].formatted_chars == len(q + a) + len(q + a + r + b) and got[2].n_turns == 2
