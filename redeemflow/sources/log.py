@@ -116,9 +116,12 @@ def read_log_checked(spark: SparkSession, path: str, header: bool = True, with_d
         lines = lines.where(F.lower("line") != sep.join(names))
     lines = lines.where("trim(line) <> ''")
     options = {"sep": sep, "nullValue": "null", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    cells = lines.select("file", "line", F.from_csv("line", raw.simpleString()[len("struct<"):-1].replace(":", " "), options).alias("_c"))
-    cells = cells.select("file", "line", F.col("_c._bad").alias("_bad"), *[
-        F.when(F.col(f"_c.{n}").isin("", "nan", "NaN"), None).otherwise(F.col(f"_c.{n}")).alias(n) for n in names])
+    parsed = F.from_csv("line", raw.simpleString()[len("struct<"):-1].replace(":", " "), options)
+    # unpacked by a generator, through which no filter is pushed: a filter on the cells would
+    # parse the line again for every mention of one
+    cells = lines.select("file", "line", F.inline(F.array(parsed)))
+    cells = cells.select("file", "line", "_bad", *[
+        F.when(F.col(n).isin("", "nan", "NaN"), None).otherwise(F.col(n)).alias(n) for n in names])
     typed = _typed(cells.select("*", F.struct(*names).alias("_raw")), schema, keep=["file", "line", "_bad", "_raw"])
     reasons = []
     for f in schema.fields:

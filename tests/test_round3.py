@@ -38,3 +38,13 @@ def test_every_feature_is_judged_by_the_importance_file(spark, monkeypatch):
         monkeypatch.setattr(models, "write_importance", lambda imp, path, wrong=wrong: write(wrong(imp), path))
         row = Q.QUERIES["ml_prediction_files"](spark, SF_SMALL).where("user_id = -1").collect()
         assert [(r["rows"], r.scored) for r in row] == [(39, False)]
+
+
+def test_a_line_is_parsed_once(spark):
+    folder = tempfile.mkdtemp(prefix="rf-parse-")
+    spark.createDataFrame([("1,2,x3,0.9,1,20160305,null",), ("1,2,3,0.9,1,20160305,20160306",)], "value string").write.mode(
+        "overwrite").text(folder)
+    good, rejected = read_log_checked(spark, folder, header=False)
+    for df in (good, rejected):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1
+    assert good.count() == 1 and [r.reason for r in rejected.collect()] == ["coupon_id"]
