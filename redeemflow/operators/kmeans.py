@@ -81,72 +81,157 @@ def _distances(x, cents):
     differences (the expanded form loses digits where norms are large)."""
     import numpy as np
 
-    return np.stack([((x - c) ** 2).sum(1) for c in cents], axis=1)
+    out = np.empty((len(x), len(cents)))
+    for i, c in enumerate(cents):
+        diff = x - c
+        out[:, i] = np.einsum("ij,ij->i", diff, diff)
+    return out
+
+
+def _matrix(column):
+    """An Arrow column of lists as a matrix of doubles; vectors that are null or of other lengths
+    are an error, null entries are NaN."""
+    import numpy as np
+
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+    if column.null_count or len(set(sizes.tolist())) > 1:
+        raise ValueError("vectors must be there and of one length")
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(sizes), -1)
 
 
 def _assign_batches(vec: str, cents):
     import numpy as np
+    import pyarrow as pa
 
     c = np.asarray(cents, dtype=np.float64)
 
     def run(batches):
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            d2 = _distances(np.stack(pdf[vec].to_numpy()).astype(np.float64), c)
+            d2 = _distances(_matrix(batch.column(batch.schema.get_field_index(vec))), c)
             best = d2.argmin(1)
-            pdf["cluster"] = best.astype(np.int32)
-            pdf["distance"] = np.sqrt(d2[np.arange(len(best)), best])
-            pdf["sq_error"] = pdf["distance"] * pdf["distance"]
-            yield pdf
+            dist = np.sqrt(d2[np.arange(len(best)), best])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(best.astype(np.int32)), pa.array(dist), pa.array(dist * dist)],
+                [*batch.schema.names, "cluster", "distance", "sq_error"])
     return run
 
 
-def _partial_sums(vec: str, cents, prev):
-    """mapInPandas body: per Arrow batch, nearest centroid under the new and
-    the previous centroids (numpy, vectorised); per-cluster sums accumulate
-    over the whole partition, so k * d rows leave each task."""
-    import numpy as np
-    import pandas as pd
+#: bytes of doubles in one stored block of vectors
+BLOCK_BYTES = 1 << 22
 
-    c_new = np.asarray(cents, dtype=np.float64)
-    c_old = None if prev is None else np.asarray(prev, dtype=np.float64)
-    k, d = c_new.shape
 
-    def nearest(x, c):
-        return _distances(x, c).argmin(1)  # the first (lowest index) on ties
+def _blocks(vec: str):
+    """mapInArrow body: vectors as blocks of doubles, which every iteration reads without
+    unpacking a vector."""
+    import pyarrow as pa
 
     def run(batches):
-        # accumulate over every batch of the partition; emit once per task
-        n = np.zeros(k, dtype=np.int64)
-        moved = np.zeros(k, dtype=np.int64)
-        sums = np.zeros((k, d), dtype=np.float64)
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            x = np.stack(pdf[vec].to_numpy()).astype(np.float64)
-            a = nearest(x, c_new)
-            changed = np.ones(len(a), dtype=bool) if c_old is None else a != nearest(x, c_old)
-            n += np.bincount(a, minlength=k)
-            moved += np.bincount(a, weights=changed, minlength=k).astype(np.int64)
-            np.add.at(sums, a, x)
-        # long format (cluster, position, sum); the point and change counts
-        # ride on position 0 so they are added once per cluster
-        cl, pos = np.meshgrid(np.arange(k), np.arange(d), indexing="ij")
-        cl, pos = cl.ravel(), pos.ravel()
-        first = pos == 0
-        yield pd.DataFrame({"cluster": cl.astype(np.int32), "position": pos.astype(np.int32),
-                            "s": sums.ravel(), "n": np.where(first, n[cl], 0),
-                            "changed": np.where(first, moved[cl], 0)})
+            x = _matrix(batch.column(batch.schema.get_field_index(vec)))
+            step = max(1, BLOCK_BYTES // (8 * max(1, x.shape[1])))
+            for i in range(0, len(x), step):
+                part = x[i:i + step]
+                yield pa.RecordBatch.from_arrays([pa.array([len(part)], pa.int64()), pa.array([part.tobytes()], pa.binary())],
+                                                 ["n", "block"])
     return run
 
 
+def _partial_sums(cents, prevs):
+    """mapInArrow body over blocks: nearest centroid of every vector under the new and the
+    previous centroids of every run (``cents`` and ``prevs`` by run); per-cluster sums
+    accumulate over the whole partition, so k * d rows a run leave each task."""
+    import numpy as np
+    import pyarrow as pa
+
+    new = {run: np.asarray(c, dtype=np.float64) for run, c in cents.items()}
+    old = {run: np.asarray(c, dtype=np.float64) for run, c in prevs.items() if c is not None}
+
+    def sums(batches):
+        n = {run: np.zeros(len(c), dtype=np.int64) for run, c in new.items()}
+        moved = {run: np.zeros(len(c), dtype=np.int64) for run, c in new.items()}
+        total = {run: np.zeros(c.shape) for run, c in new.items()}
+        for batch in batches:
+            for rows, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+                x = np.frombuffer(block.as_buffer(), dtype=np.float64).reshape(rows, -1)
+                for run, c in new.items():
+                    a = _distances(x, c).argmin(1)  # the first (lowest index) on ties
+                    changed = np.ones(rows, dtype=bool) if run not in old else a != _distances(x, old[run]).argmin(1)
+                    n[run] += np.bincount(a, minlength=len(c))
+                    moved[run] += np.bincount(a[changed], minlength=len(c))
+                    for j in range(len(c)):
+                        total[run][j] += x[a == j].sum(0)
+        # long format (run, cluster, position, sum); the point and change counts
+        # ride on position 0 so they are added once per cluster
+        for run, c in new.items():
+            k, d = c.shape
+            cl, pos = (m.ravel() for m in np.meshgrid(np.arange(k), np.arange(d), indexing="ij"))
+            first = pos == 0
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(k * d, run, dtype=np.int32)), pa.array(cl.astype(np.int32)), pa.array(pos.astype(np.int32)),
+                 pa.array(total[run].ravel()), pa.array(np.where(first, n[run][cl], 0)),
+                 pa.array(np.where(first, moved[run][cl], 0))], ["run", "cluster", "position", "s", "n", "changed"])
+    return sums
+
+
+#: vectors of one task of an iteration
+TASK_VECTORS = 200_000
+
+
+def _fits(points: DataFrame, starts: list, vec: str, max_iter: int | None) -> list[list[list[float]]]:
+    """Lloyd's algorithm from every start, all in the same passes over the vectors; a run whose
+    points keep their clusters takes no further part."""
+    from pyspark import StorageLevel
+
+    spark = points.sparkSession
+    cents, prevs, n_iter = dict(enumerate(starts)), {run: None for run in range(len(starts))}, 0
+    schema = "run int, cluster int, position int, s double, n long, changed long"
+    rows = points.select(vec)
+    # the blocks are read once per iteration: keep them (memory, spilling to disk) for the loop,
+    # as MLlib's KMeans does, in enough parts for every core; a lost one is made anew from the source
+    tasks = max(spark.sparkContext.defaultParallelism, -(-rows.count() // TASK_VECTORS))
+    blocks = rows.repartition(tasks).mapInArrow(_blocks(vec), "n long, block binary").persist(StorageLevel.MEMORY_AND_DISK)
+    left = set(cents)
+    try:
+        while left:
+            if max_iter is not None and n_iter >= max_iter:
+                raise RuntimeError(f"points still change cluster after {max_iter} iterations")
+            n_iter += 1
+            parts = blocks.mapInArrow(_partial_sums({r: cents[r] for r in left}, {r: prevs[r] for r in left}), schema)
+            per_cluster = (parts.groupBy("run", "cluster", "position")
+                           .agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("changed").alias("changed"))
+                           .collect())  # k * d rows a run
+            for run in list(left):
+                mine = [r for r in per_cluster if r["run"] == run]
+                if prevs[run] is not None and sum(r["changed"] or 0 for r in mine) == 0:
+                    left.discard(run)
+                    continue
+                sizes = {r["cluster"]: r["n"] for r in mine if r["position"] == 0}
+                new = [list(c) for c in cents[run]]
+                for r in mine:
+                    if sizes.get(r["cluster"]):  # an empty cluster keeps its centroid
+                        new[r["cluster"]][r["position"]] = r["s"] / sizes[r["cluster"]]
+                prevs[run], cents[run] = cents[run], new
+    finally:
+        blocks.unpersist()
+    return [cents[run] for run in range(len(starts))]
+
+
+def _assigned(points: DataFrame, cents: list[list[float]], vec: str) -> DataFrame:
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema.fields)
+    return points.mapInArrow(_assign_batches(vec, cents), fields + ", cluster int, distance double, sq_error double")
+
+
 def kmeans(points: DataFrame, k: int, order: str, vec: str = "embedding", max_iter: int | None = None,
            start: list[list[float]] | None = None) -> tuple[list[list[float]], DataFrame]:
     """Lloyd's algorithm until no point changes cluster (the reference's
     rule).  One job per iteration: each partition assigns its points under
     the new and the previous centroids and emits per-cluster partial sums
-    (``mapInPandas``, numpy inside the task); Spark adds them up by
+    (``mapInArrow``, numpy inside the task); Spark adds them up by
     (cluster, coordinate); k * d means and k change counts reach the
     driver.  An empty cluster keeps its previous centroid.  Returns the
     centroids and the final (lazy) assignment with squared errors.
@@ -155,47 +240,18 @@ def kmeans(points: DataFrame, k: int, order: str, vec: str = "embedding", max_it
     ``max_iter`` bounds the iterations; reaching it with points still moving
     raises, so an unfinished result is never returned.  Nearest-centroid ties
     go to the lower index; the fit and the final assignment measure alike."""
-    from pyspark import StorageLevel
-
-    cents = first_k(points, k, order, vec) if start is None else start
-    prev, done, n_iter = None, False, 0
-    schema = "cluster int, position int, s double, n long, changed long"
-    # the vectors are read once per iteration: keep them (memory, spilling
-    # to disk) for the loop, as MLlib's KMeans does; a lost block is
-    # recomputed from the source
-    vectors = points.select(vec).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        while not done:
-            if max_iter is not None and n_iter >= max_iter:
-                raise RuntimeError(f"points still change cluster after {max_iter} iterations")
-            n_iter += 1
-            parts = vectors.mapInPandas(_partial_sums(vec, cents, prev), schema)
-            per_cluster = (parts.groupBy("cluster", "position")
-                           .agg(F.sum("s").alias("s"), F.sum("n").alias("n"),
-                                F.sum("changed").alias("changed"))
-                           .collect())  # k * d rows
-            done = prev is not None and sum(r["changed"] or 0 for r in per_cluster) == 0
-            if not done:
-                sizes = {r["cluster"]: r["n"] for r in per_cluster if r["position"] == 0}
-                new = [list(c) for c in cents]
-                for r in per_cluster:
-                    if sizes.get(r["cluster"]):  # an empty cluster keeps its centroid
-                        new[r["cluster"]][r["position"]] = r["s"] / sizes[r["cluster"]]
-                prev, cents = cents, new
-    finally:
-        vectors.unpersist()
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema.fields)
-    return cents, points.mapInPandas(_assign_batches(vec, cents),
-                                     fields + ", cluster int, distance double, sq_error double")
+    cents, = _fits(points, [first_k(points, k, order, vec) if start is None else start], vec, max_iter)
+    return cents, _assigned(points, cents, vec)
 
 
 def restarts(points: DataFrame, k: int, order: str, seeds: list[int], vec: str = "embedding",
              max_iter: int | None = None) -> tuple[int, list[list[float]], DataFrame]:
     """K-means from a random start per seed; the fit with the lowest sum of squared errors is
     kept (of equals, the first seed's).  Returns its seed, centroids and assignment."""
+    starts = [random_k(points, k, order, seed, vec) for seed in seeds]
     best = None
-    for seed in seeds:
-        cents, assigned = kmeans(points, k, order, vec, max_iter, random_k(points, k, order, seed, vec))
+    for seed, cents in zip(seeds, _fits(points, starts, vec, max_iter)):  # the seeds share their passes
+        assigned = _assigned(points, cents, vec)
         error = assigned.agg(F.sum("sq_error")).first()[0]
         if best is None or error < best[0]:
             best = (error, seed, cents, assigned)

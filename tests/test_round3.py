@@ -48,3 +48,20 @@ def test_a_line_is_parsed_once(spark):
     for df in (good, rejected):
         assert df._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1
     assert good.count() == 1 and [r.reason for r in rejected.collect()] == ["coupon_id"]
+
+
+def test_restarts_share_their_passes(spark):
+    sc = spark.sparkContext
+    pts = spark.range(0, 60).select(F.col("id").alias("vec_id"), F.array(*[
+        ((F.col("id") * k) % 13).cast("float") for k in (3, 5, 7)]).alias("embedding"))
+
+    def jobs(run):
+        group = f"km-{run}-{id(run)}"
+        sc.setJobGroup(group, group)
+        out = run()
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        return len(sc.statusTracker().getJobIdsForGroup(group)), out
+    alone = [jobs(lambda s=s: kmeans.kmeans(pts, 4, "vec_id", start=kmeans.random_k(pts, 4, "vec_id", s)))for s in (1, 2, 3)]
+    n, (seed, cents, _) = jobs(lambda: kmeans.restarts(pts, 4, "vec_id", [1, 2, 3]))
+    assert cents == alone[seed - 1][1][0]
+    assert n < sum(a[0] for a in alone)
