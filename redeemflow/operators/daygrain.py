@@ -36,14 +36,14 @@ def in_windows(grain: DataFrame, windows: dict[str, tuple[str, str]], day: str =
 
 
 # ---------------------------------------------------------------- Family A
-def a_grain(log: DataFrame) -> DataFrame:
+def a_grain(log: DataFrame, files: int | None = None) -> DataFrame:
     """Partials per (user, merchant, distance of a used receipt, day); the day is the one on
     which the row counts in Family A's feature windows."""
     used = has_date() & has_coupon()
     gap = F.when(has_date() & has_received(), F.datediff("date", "date_received"))
-    return (log.where(has_date() | has_received())
-            .groupBy("user_id", "merchant_id", F.when(used, F.col("distance")).alias("distance"),
-                     F.coalesce("date", "date_received").alias("day"))
+    rows = log.where(has_date() | has_received()).withColumn("day", F.coalesce("date", "date_received"))
+    return (_ranged(rows, files)
+            .groupBy("user_id", "merchant_id", F.when(used, F.col("distance")).alias("distance"), "day")
             .agg(F.count(F.lit(1)).alias("n"), _count_if(has_date()).alias("n_date"),
                  _count_if(has_coupon()).alias("n_coupon"), _count_if(used).alias("n_used"),
                  _count_if(has_date() & has_received()).alias("n_both"),
@@ -117,11 +117,12 @@ def a_user(grain: DataFrame, windows=None) -> DataFrame:
 
 
 # ---------------------------------------------------------------- Family B
-def b_grain(prepared: DataFrame) -> DataFrame:
+def b_grain(prepared: DataFrame, files: int | None = None) -> DataFrame:
     """Partials per (user, merchant, coupon, minimum spend, receipt day) of prepared rows
     (``prep.prepare_b``)."""
     known = B.consumed() & (F.col("distance") != -1)
-    return (prepared.where(F.col("date_received").isNotNull())
+    rows = prepared.where(F.col("date_received").isNotNull()).withColumn("day", F.col("date_received"))
+    return (_ranged(rows, files)
             .groupBy("user_id", "merchant_id", "coupon_id",
                      F.when(F.col("is_manjian") == 1, F.col("min_cost_of_manjian")).alias("min_cost"),
                      F.col("date_received").alias("day"))

@@ -342,11 +342,13 @@ def publish(df: DataFrame, final: str) -> None:
 
 def stored_table(spark: SparkSession, path: str, source: str, order: list[str], make) -> DataFrame:
     """The table at ``path``, made and published first if it is not there: ordered by the
-    columns ``order``, in a file per 128 MB of ``source`` (the table it is made from) and at
-    least one per core, so that no scan of it runs as one task."""
+    columns ``order``, in a file per 8 MB of ``source`` (the table it is made from, compressed
+    well: some million rows) and at least one per core.  ``make`` takes that number and returns
+    rows dealt into so many ranges of ``order``, so what it aggregates by these columns and
+    others moves once."""
     if not _exists(spark, f"{path}/_SUCCESS"):
-        files = max(spark.sparkContext.defaultParallelism, -(-_fs_size(spark, source) // (128 << 20)))
-        publish(make().repartitionByRange(files, *order).sortWithinPartitions(*order), path)
+        files = max(spark.sparkContext.defaultParallelism, -(-_fs_size(spark, source) // (8 << 20)))
+        publish(make(files).sortWithinPartitions(*order), path)
     return spark.read.parquet(path)
 
 

@@ -65,3 +65,14 @@ def test_restarts_share_their_passes(spark):
     n, (seed, cents, _) = jobs(lambda: kmeans.restarts(pts, 4, "vec_id", [1, 2, 3]))
     assert cents == alone[seed - 1][1][0]
     assert n < sum(a[0] for a in alone)
+
+
+def test_a_grain_moves_once(spark):
+    lg = log_df(spark, ROWS)
+    for made in (daygrain.a_grain(lg, 3), daygrain.b_grain(prep.prepare_b(lg), 3)):
+        plan = plan_of(made.sortWithinPartitions("day", "user_id"))
+        assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+        assert made.rdd.getNumPartitions() == 3
+    key = lambda r: repr(tuple(r))
+    for f in (daygrain.a_grain, lambda x, n=None: daygrain.b_grain(prep.prepare_b(x), n)):
+        assert sorted(f(lg, 3).collect(), key=key) == sorted(f(lg).collect(), key=key)
