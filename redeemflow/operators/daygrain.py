@@ -35,6 +35,26 @@ def in_windows(grain: DataFrame, windows: dict[str, tuple[str, str]], day: str =
     return kept.select(F.explode(F.array_compact(names)).alias("part"), *grain.columns)
 
 
+#: rows of a grain that one task merges (a row of merged partials takes some 200 bytes)
+TASK_ROWS = 1_000_000
+
+
+def _dealt(grain: DataFrame, tasks: bool, *keys: str) -> DataFrame:
+    """The grain dealt by ``keys``, before its rows are copied into windows: few rows share a day's
+    keys, so merging them where they are read would hold nearly all of a task's rows without
+    making them fewer.  With ``tasks`` the rows (of a stored grain: its footers know) say in
+    how many parts."""
+    if not tasks:
+        return grain.repartition(*keys)
+    n = max(grain.sparkSession.sparkContext.defaultParallelism, -(-grain.count() // TASK_ROWS))
+    return grain.repartition(n, *keys)
+
+
+def _ranged(rows: DataFrame, files: int | None) -> DataFrame:
+    """Rows in ``files`` ranges of (day, user), which aggregates by these and other keys keep."""
+    return rows if files is None else rows.repartitionByRange(files, "day", "user_id")
+
+
 # ---------------------------------------------------------------- Family A
 def a_grain(log: DataFrame, files: int | None = None) -> DataFrame:
     """Partials per (user, merchant, distance of a used receipt, day); the day is the one on
@@ -59,15 +79,16 @@ def _merged(rows: DataFrame, keys: list[str], *more) -> DataFrame:
                                    F.max("gap_max").alias("gap_max"), *more)
 
 
-def a_pairs(grain: DataFrame, windows=None) -> DataFrame:
+def a_pairs(grain: DataFrame, windows=None, tasks: bool = False) -> DataFrame:
     """Merged partials per (part, user, merchant): what all three blocks are made of."""
-    return _merged(in_windows(grain, windows or A_WINDOWS), ["part", "user_id", "merchant_id"])
+    dealt = _dealt(grain, tasks, "user_id", "merchant_id")
+    return _merged(in_windows(dealt, windows or A_WINDOWS), ["part", "user_id", "merchant_id"])
 
 
-def a_user_merchant(grain: DataFrame, windows=None) -> DataFrame:
+def a_user_merchant(grain: DataFrame, windows=None, tasks: bool = False) -> DataFrame:
     """A-5 of every window."""
     bt, rc = _nz(F.col("n_date")), _nz(F.col("n_coupon"))
-    return a_pairs(grain, windows).select(
+    return a_pairs(grain, windows, tasks).select(
         "part", "user_id", "merchant_id", bt.alias("user_merchant_buy_total"), rc.alias("user_merchant_received"),
         F.col("n_both").alias("user_merchant_buy_use_coupon"), F.col("n").alias("user_merchant_any"),
         F.col("n_common").alias("user_merchant_buy_common"),

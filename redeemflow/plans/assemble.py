@@ -121,13 +121,14 @@ def a_sets(log: DataFrame, numbers: list[int], test_log: DataFrame | None = None
     # (coupon_count would be dropped below, so it is not joined in at all)
     rows = A.coupon_features(data, anchor, popularity=False).distinct()
     windows = {p: s.features for p, s in sets.items()}
-    grain = a_grain(log) if grain is None else grain
+    stored = grain is not None
+    grain = grain if stored else a_grain(log)
     # user features ride on the (user, coupon, day) table, which is smaller
     # than the rows, so the rows take both in one join
     per_receipt = A.other_features(data, by=("part",)).join(a_user(grain, windows), ["part", "user_id"], "left")
     joined = (rows
               .join(per_receipt, ["part", *UCD], "left")
-              .join(a_user_merchant(grain, windows), ["part", "user_id", "merchant_id"], "left")
+              .join(a_user_merchant(grain, windows, tasks=stored), ["part", "user_id", "merchant_id"], "left")
               .join(a_merchant(grain, windows), ["part", "merchant_id"], "left"))
     m_cols = ["total_sales", "sales_use_coupon", "total_coupon", "merchant_min_distance",
               "merchant_max_distance", "merchant_mean_distance", "merchant_median_distance",

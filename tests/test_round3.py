@@ -67,6 +67,19 @@ def test_restarts_share_their_passes(spark):
     assert n < sum(a[0] for a in alone)
 
 
+def test_windows_merge_after_the_exchange_only(spark):
+    """No map-side buffer of nearly distinct keys, and no copies of rows for distinct counts."""
+    lg = log_df(spark, ROWS)
+    plan = plan_of(daygrain.a_pairs(spark.createDataFrame(daygrain.a_grain(lg).collect(), daygrain.a_grain(lg).schema)))
+    assert "HashAggregate" not in plan[plan.rindex("Exchange"):] and plan.count("Exchange hashpartitioning") == 1
+    grain = daygrain.b_grain(prep.prepare_b(lg))
+    merchant = daygrain.b_history(grain, {"w": ("2016-03-01", "2016-03-31")})["merchant"]
+    assert "Expand" not in plan_of(merchant)
+    got = {r.merchant_id: tuple(r)[2:] for r in merchant.collect()}
+    # received, users, used, not used, coupons
+    assert got == {5: (4, 2, 2, 2, 2), None: (1, 1, 1, 0, 1)}
+
+
 def test_a_grain_moves_once(spark):
     lg = log_df(spark, ROWS)
     for made in (daygrain.a_grain(lg, 3), daygrain.b_grain(prep.prepare_b(lg), 3)):
