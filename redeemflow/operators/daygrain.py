@@ -145,8 +145,7 @@ def b_grain(prepared: DataFrame, files: int | None = None) -> DataFrame:
     rows = prepared.where(F.col("date_received").isNotNull()).withColumn("day", F.col("date_received"))
     return (_ranged(rows, files)
             .groupBy("user_id", "merchant_id", "coupon_id",
-                     F.when(F.col("is_manjian") == 1, F.col("min_cost_of_manjian")).alias("min_cost"),
-                     F.col("date_received").alias("day"))
+                     F.when(F.col("is_manjian") == 1, F.col("min_cost_of_manjian")).alias("min_cost"), "day")
             .agg(F.count(F.lit(1)).alias("n"), _count_if(B.consumed()).alias("n_used"),
                  _count_if(B.redeemed15()).alias("n_15"),
                  F.sum(F.when(B.redeemed15(), F.datediff("date", "date_received"))).alias("gap_15"),
@@ -159,20 +158,21 @@ def _sums(*names) -> list:
     return [F.sum(c).alias(c) for c in names]
 
 
-def b_history(grain: DataFrame, windows=None) -> dict[str, DataFrame]:
+def b_history(grain: DataFrame, windows=None, tasks: bool = False) -> dict[str, DataFrame]:
     """Raw history aggregates of every window: ``user``, ``merchant``, ``coupon``, ``user_coupon``,
     each with ``part``, its keys and the columns of the block in ``blocks_b``.
 
     A user's three distinct counts of merchants are counts of the merged (user, merchant)
-    rows; a merchant's users and coupons are two-level aggregates (first on the key and
-    the value).
+    rows, and so is a merchant's of users; a merchant's coupons are counted on merged
+    (merchant, coupon) rows.
     """
     t = in_windows(grain, windows or B_WINDOWS)
     pu = RF.prefix("history_field", ["user_id"])
     pm = RF.prefix("history_field", ["merchant_id"])
     pc = RF.prefix("history_field", ["coupon_id"])
     puc = RF.prefix("history_field", ["user_id", "coupon_id"])
-    pairs = t.groupBy("part", "user_id", "merchant_id").agg(*_sums("n", "n_used", "n_15", "rate_sum", "rate_n", "far_sum", "far_n"))
+    dealt = in_windows(_dealt(grain, tasks, "user_id", "merchant_id"), windows or B_WINDOWS)
+    pairs = dealt.groupBy("part", "user_id", "merchant_id").agg(*_sums("n", "n_used", "n_15", "rate_sum", "rate_n", "far_sum", "far_n"))
     user = pairs.groupBy("part", "user_id").agg(
         F.sum("n").alias(pu + "receive_cnt"), (F.sum("n") - F.sum("n_used")).alias(pu + "receive_not_consume_cnt"),
         F.sum("n_used").alias(pu + "receive_and_consume_cnt"),
@@ -181,11 +181,16 @@ def b_history(grain: DataFrame, windows=None) -> dict[str, DataFrame]:
         F.try_divide(F.sum("rate_sum"), F.sum("rate_n")).alias(pu + "receive_and_consume_mean_discount_rate"),
         F.try_divide(F.sum("far_sum").cast("double"), F.sum("far_n")).alias(pu + "receive_and_consume_mean_distance"),
         F.count(F.when(F.col("n_used") > 0, F.col("merchant_id"))).alias(pu + "receive_differ_Merchant_and_consume_cnt"))
-    merchant = t.groupBy("part", "merchant_id").agg(
-        F.sum("n").alias(pm + "received_cnt"), F.count_distinct("user_id").alias(pm + "received_differ_User_cnt"),
-        F.sum("n_used").alias(pm + "received_and_consumed_cnt"),
-        (F.sum("n") - F.sum("n_used")).alias(pm + "received_not_consumed_cnt"),
-        F.count_distinct("coupon_id").alias(pm + "differ_Coupon_cnt"))
+    none = F.lit(None).cast("long")
+    offered = t.select("part", "merchant_id", "coupon_id").distinct()
+    merchant = (pairs.select("part", "merchant_id", "n", "n_used", "user_id", none.alias("coupon"))
+                .unionByName(offered.select("part", "merchant_id", none.alias("n"), none.alias("n_used"), none.alias("user_id"),
+                                            F.col("coupon_id").alias("coupon")))
+                .groupBy("part", "merchant_id").agg(
+                    F.sum("n").alias(pm + "received_cnt"), F.count("user_id").alias(pm + "received_differ_User_cnt"),
+                    F.sum("n_used").alias(pm + "received_and_consumed_cnt"),
+                    (F.sum("n") - F.sum("n_used")).alias(pm + "received_not_consumed_cnt"),
+                    F.count("coupon").alias(pm + "differ_Coupon_cnt")))
     coupon = t.groupBy("part", "coupon_id").agg(
         F.sum("n").alias(pc + "received_cnt"), F.sum("n_15").alias(pc + "received_and_consumed_cnt_15"),
         F.try_divide(F.sum("gap_15").cast("double"), F.sum("n_15")).alias(pc + "consumed_mean_time_gap_15"),
@@ -199,7 +204,7 @@ def b_history(grain: DataFrame, windows=None) -> dict[str, DataFrame]:
 _BLOCKS = {"user": B.USER, "merchant": B.MERCHANT, "coupon": B.COUPON, "user_coupon": B.USER_COUPON, "user_ext": B.USER_EXT}
 
 
-def hist(name: str, labels: DataFrame, grain: DataFrame, windows=None) -> DataFrame:
+def hist(name: str, labels: DataFrame, grain: DataFrame, windows=None, tasks: bool = False) -> DataFrame:
     """B-3 .. B-7 (``name``: a key of ``_BLOCKS``) of every split: one row per distinct (part, key) of
     ``labels``, the label rows of all splits with their ``part``."""
     block = _BLOCKS[name]()
@@ -207,5 +212,5 @@ def hist(name: str, labels: DataFrame, grain: DataFrame, windows=None) -> DataFr
     for k in block.keys:
         cond = cond & F.col(k).isNotNull()
     keys = ["part", *block.keys]
-    raw = b_history(grain, windows)["user" if name == "user_ext" else name]
+    raw = b_history(grain, windows, tasks)["user" if name == "user_ext" else name]
     return labels.select(*keys).where(cond).distinct().join(raw, keys, "left").select(*keys, *block.finish_columns())

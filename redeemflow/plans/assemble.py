@@ -70,7 +70,8 @@ def b_sets(log: DataFrame, names: list[str], test_log: DataFrame | None = None,
         (F.col("n_ucd") > 1).cast("int").alias(B.SIMPLE_COLUMNS[4]))
     blocks = []
     if with_history:
-        h = b_history(b_grain(prepare_b(log)) if grain is None else grain, {n: B_WINDOWS[n] for n in names})
+        h = b_history(b_grain(prepare_b(log)) if grain is None else grain, {n: B_WINDOWS[n] for n in names},
+                      tasks=grain is not None)
         blocks = [B.USER(), B.MERCHANT(), B.COUPON(), B.USER_COUPON()]
         stats = (stats.join(h["coupon"], ["part", "coupon_id"], "left").join(h["user"], ["part", "user_id"], "left")
                  .join(h["user_coupon"], ["part", "user_id", "coupon_id"], "left"))
