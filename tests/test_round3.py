@@ -89,3 +89,25 @@ def test_a_grain_moves_once(spark):
     key = lambda r: repr(tuple(r))
     for f in (daygrain.a_grain, lambda x, n=None: daygrain.b_grain(prep.prepare_b(x), n)):
         assert sorted(f(lg, 3).collect(), key=key) == sorted(f(lg).collect(), key=key)
+
+
+def test_a_fit_runs_in_parts_of_bounded_size(spark, monkeypatch):
+    """However few parts the training set comes in."""
+    monkeypatch.setattr(ml, "TASK_ROWS", 10)
+    seen = []
+    dealt = ml._dealt
+    monkeypatch.setattr(ml, "_dealt", lambda df: seen.append(dealt(df)) or seen[-1])
+    train = spark.range(200).select((F.col("id") % 7).alias("x"), (F.col("id") % 7 > 3).cast("int").alias("label")).coalesce(1)
+    model = ml.fit_gbt(train, ["x"], max_iter=1)
+    assert seen[0].rdd.getNumPartitions() == 20 and not model.stages[-1].getCacheNodeIds()
+
+
+def test_the_watch_list_assembles_both_sets_in_one_plan(spark, monkeypatch):
+    calls = []
+    both = models.assemble.b_sets
+    monkeypatch.setattr(models.assemble, "b_sets", lambda log, names, *a, **k: calls.append(list(names)) or both(log, names, *a, **k))
+    lg = Q.log(spark, SF_SMALL)
+    fitted = models.b_offline_fit(lg, max_iter=1)
+    calls.clear()
+    watch = models.b_watch(lg, fitted).collect()
+    assert calls == [["train", "validate"]] and {(r.part, r["round"]) for r in watch} == {("train", 1), ("validate", 1)}
